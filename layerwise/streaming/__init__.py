@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no stream: its "iterators" are re-readable batch sources, which
+here are cached or written DataFrames read once per epoch. Nothing in this package
+adds streaming operators. The scoring operators are ``mapInArrow`` jobs and the
+preparation functions are column expressions, so both can be applied unchanged to
+a DataFrame from ``spark.readStream`` when a caller needs it.
+"""
