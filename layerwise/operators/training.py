@@ -31,6 +31,7 @@ from .splits import assign_batches
 
 CHUNK = 4096
 ROUNDS_PER_BLOCK = 64
+DRIVER_AVERAGE_BYTES = 1 << 26  # workers x parameters below this are averaged after one collect
 
 
 # ---------------------------------------------------------------- losses and penalties (TRN-01)
@@ -313,37 +314,26 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             shipped.params = dict(net.params)
             get = ship(spark, shipped)
             base_iter = iteration
-            feats, labs, ks, freq = dict(features), dict(labels), dict(n_classes), spec.frequency
-
-            def train(pdf: pd.DataFrame, _get=get, _vec=vec, _base=base_iter) -> pd.DataFrame:
-                model = _get().copy()
-                pdf = pdf.sort_values(["batch_idx", "_key", id_col])
-                w, s = _vec[:n_par].copy(), _vec[n_par:].copy()
-                score = 0.0
-                nb = 0
-                for bi, (b, g) in enumerate(pdf.groupby("batch_idx", sort=True)):
-                    fd = {name: np.stack(g[c].to_numpy()).astype(float).reshape(len(g), -1)
-                          for name, c in feats.items()}
-                    ld = {}
-                    for o, c in labs.items():
-                        vals = g[c].to_numpy()
-                        ld[o] = (np.stack(vals).astype(float) if vals.dtype == object
-                                 else _onehot(vals.astype(int), ks[o]))
-                    w, s, score = _worker_step(model, spec, w, s, keys, fd, ld, _base + bi,
-                                               g[id_col].to_numpy())
-                    nb += 1
-                out = np.concatenate([w, s])
-                m = max(1, math.ceil(out.size / CHUNK))
-                return pd.DataFrame({"chunk": np.arange(m, dtype=np.int32), "n": np.ones(m, dtype=np.int64),
-                                     "loss": np.full(m, score),
-                                     "vals": [out[i * CHUNK:(i + 1) * CHUNK] for i in range(m)],
-                                     "nb": np.full(m, nb, dtype=np.int64)})
+            feats, labs, ks = dict(features), dict(labels), dict(n_classes)
+
+            train = _make_train(get, vec, base_iter, n_par, keys, spec, id_col, feats, labs, ks)
 
             schema = T.StructType(_PARTIAL.fields + [T.StructField("nb", T.LongType())])
             rnd = data.filter((F.col("round_block") == F.lit(r // ROUNDS_PER_BLOCK)) & (F.col("round") == F.lit(r)))
             per_worker = rnd.groupBy("worker_id").applyInPandas(train, schema)
-            summed = per_worker.groupBy("chunk").applyInPandas(
-                lambda pdf: _sum_chunks(pdf).assign(nb=int(pdf["nb"].max())), schema).collect()
+            if spec.workers * vec.size * 8 <= DRIVER_AVERAGE_BYTES:
+                # W small parameter vectors: one collect, averaged on the driver
+                rows = per_worker.collect()
+                by_chunk: dict = {}
+                for row in rows:
+                    by_chunk.setdefault(row["chunk"], []).append(row)
+                summed = [{"chunk": c, "n": sum(x["n"] for x in rs), "loss": sum(x["loss"] for x in rs),
+                           "vals": np.sum([np.asarray(x["vals"], dtype=float) for x in rs], axis=0),
+                           "nb": max(x["nb"] for x in rs)} for c, rs in by_chunk.items()]
+            else:
+                # many workers or large models: chunk-wise sums run as a grouped job
+                summed = per_worker.groupBy("chunk").applyInPandas(
+                    lambda pdf: _sum_chunks(pdf).assign(nb=int(pdf["nb"].max())), schema).collect()
             summed = sorted(summed, key=lambda row: row["chunk"])
             n_workers = summed[0]["n"]
             avg = np.concatenate([np.asarray(row["vals"], dtype=float) for row in summed]) / n_workers
@@ -360,6 +350,36 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     return net, mdf, state
 
 
+def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks):
+    """One worker's part of a round: F mini-batches from the common parameters."""
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = _get().copy()
+        pdf = pdf.sort_values(["batch_idx", "_key", id_col])
+        w, s = _vec[:n_par].copy(), _vec[n_par:].copy()
+        score = 0.0
+        nb = 0
+        for bi, (b, g) in enumerate(pdf.groupby("batch_idx", sort=True)):
+            fd = {name: np.stack(g[c].to_numpy()).astype(float).reshape(len(g), -1)
+                  for name, c in feats.items()}
+            ld = {}
+            for o, c in labs.items():
+                vals = g[c].to_numpy()
+                ld[o] = (np.stack(vals).astype(float) if vals.dtype == object
+                         else _onehot(vals.astype(int), ks[o]))
+            w, s, score = _worker_step(model, spec, w, s, keys, fd, ld, _base + bi,
+                                       g[id_col].to_numpy())
+            nb += 1
+        out = np.concatenate([w, s])
+        m = max(1, math.ceil(out.size / CHUNK))
+        return pd.DataFrame({"chunk": np.arange(m, dtype=np.int32), "n": np.ones(m, dtype=np.int64),
+                             "loss": np.full(m, score),
+                             "vals": [out[i * CHUNK:(i + 1) * CHUNK] for i in range(m)],
+                             "nb": np.full(m, nb, dtype=np.int64)})
+
+    return train
+
+
 def fit_sequential(batches, net: Net, spec: FitSpec, n_classes: int):
     """Driver-side reference loop (tests only): plain mini-batch steps in order."""
     net = net.copy()
@@ -371,3 +391,27 @@ def fit_sequential(batches, net: Net, spec: FitSpec, n_classes: int):
         w, s, _ = _worker_step(net, spec, w, s, keys, {"input": x}, {net.outputs[0]: _onehot(y, n_classes)}, it, ids)
         it += 1
     return net.set_flat(w)
+
+
+# ---------------------------------------------------------------- table forms of the options (OPT-3, OPT-6)
+
+def schedule_expr(iteration, schedule: dict | None, base: float):
+    """OPT-3 as a column expression of an iteration column (same rule as ``schedule_rate``)."""
+    it = F.col(iteration) if isinstance(iteration, str) else iteration
+    if not schedule:
+        return F.lit(base)
+    if schedule["type"] == "step":
+        return F.lit(base) * F.pow(F.lit(float(schedule["decay"])), F.floor(it / F.lit(schedule["step"])))
+    expr = F.lit(base)
+    for k in sorted(int(k) for k in schedule["values"]):
+        val = schedule["values"][k] if k in schedule["values"] else schedule["values"][str(k)]
+        expr = F.when(it >= F.lit(k), F.lit(float(val))).otherwise(expr)
+    return expr
+
+
+def dropout_expr(arr, id_col: str, seed: int, iteration: int, vertex: str, keep: float):
+    """OPT-6 on an array column: unit u kept when md5(seed|iteration|vertex|id|u) < keep, scaled 1/keep."""
+    from ..functions.hashing import hash01
+    a = F.col(arr) if isinstance(arr, str) else arr
+    return F.transform(a, lambda x, u: F.when(hash01(seed, F.lit(iteration), F.lit(vertex), id_col, u) < F.lit(keep),
+                                              x / F.lit(keep)).otherwise(F.lit(0.0)))
