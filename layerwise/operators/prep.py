@@ -1,11 +1,12 @@
 """Preparation of labelled examples: native column and array expressions only.
 
 Images are channel-major flattened arrays ``px`` with their shape (c, h, w)
-passed as arguments; every function here stays inside whole-stage codegen.
+passed as arguments; everything here is a JVM-side column expression (no Python).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -115,31 +116,31 @@ def resize(px: Column | str, c: int, h: int, w: int, oh: int, ow: int) -> Column
     neighbour clamped to the last row/column. Output is DOUBLE.
     """
     arr = F.col(px) if isinstance(px, str) else px
-    sy, sx = h / oh, w / ow
-
-    def one(k):
-        ch = F.floor(k / F.lit(oh * ow))
-        rem = k - ch * F.lit(oh * ow)
-        y = F.floor(rem / F.lit(ow))
-        x = rem - y * F.lit(ow)
-        fy_src = F.greatest((y + F.lit(0.5)) * F.lit(sy) - F.lit(0.5), F.lit(0.0))
-        fx_src = F.greatest((x + F.lit(0.5)) * F.lit(sx) - F.lit(0.5), F.lit(0.0))
-        y0 = F.least(F.floor(fy_src), F.lit(h - 1))
-        x0 = F.least(F.floor(fx_src), F.lit(w - 1))
-        ty = fy_src - F.floor(fy_src)
-        tx = fx_src - F.floor(fx_src)
-        y1 = F.least(y0 + 1, F.lit(h - 1))
-        x1 = F.least(x0 + 1, F.lit(w - 1))
-        base = ch * F.lit(h * w)
-        p00 = _px(arr, base + y0 * w + x0).cast("double")
-        p01 = _px(arr, base + y0 * w + x1).cast("double")
-        p10 = _px(arr, base + y1 * w + x0).cast("double")
-        p11 = _px(arr, base + y1 * w + x1).cast("double")
-        top = (F.lit(1.0) - tx) * p00 + tx * p01
-        bot = (F.lit(1.0) - tx) * p10 + tx * p11
-        return (F.lit(1.0) - ty) * top + ty * bot
-
-    return F.transform(F.sequence(F.lit(0), F.lit(c * oh * ow - 1)), one)
+    # The sampling geometry depends only on the shapes: computed once on the driver and
+    # folded into one literal array, so each image is a pure gather + blend in codegen.
+    geo = []
+    for ch in range(c):
+        for y in range(oh):
+            fy = max((y + 0.5) * (h / oh) - 0.5, 0.0)
+            y0 = min(math.floor(fy), h - 1)
+            y1 = min(y0 + 1, h - 1)
+            for x in range(ow):
+                fx = max((x + 0.5) * (w / ow) - 0.5, 0.0)
+                x0 = min(math.floor(fx), w - 1)
+                x1 = min(x0 + 1, w - 1)
+                base = ch * h * w + 1
+                geo.append((base + y0 * w + x0, base + y0 * w + x1, base + y1 * w + x0, base + y1 * w + x1,
+                            fy - math.floor(fy), fx - math.floor(fx)))
+    table = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(g, ("a", "b", "c", "d", "ty", "tx"))])
+                      for g in geo])
+
+    def one(s):
+        p = [F.element_at(arr, s[n]).cast("double") for n in ("a", "b", "c", "d")]
+        top = (F.lit(1.0) - s["tx"]) * p[0] + s["tx"] * p[1]
+        bot = (F.lit(1.0) - s["tx"]) * p[2] + s["tx"] * p[3]
+        return (F.lit(1.0) - s["ty"]) * top + s["ty"] * bot
+
+    return F.transform(table, one)
 
 
 def flip_horizontal(px: Column | str, c: int, h: int, w: int) -> Column:
@@ -170,7 +171,8 @@ def augment(df: DataFrame, px_col: str, id_col: str,
 def to_pixel_rows(df: DataFrame, id_col: str, px_col: str, c: int, h: int, w: int,
                   keep: Sequence[str] = ()) -> DataFrame:
     """PRE-10: flattened channel-major array -> rows (id, c, y, x, value)."""
-    ex = df.select(id_col, *keep, F.posexplode(px_col).alias("_i", "value"))
+    ex = (df.select(id_col, *keep, F.posexplode_outer(px_col).alias("_i", "value"))
+          .filter(F.col("_i").isNotNull()))
     return ex.select(id_col, *keep,
                      (F.col("_i") / F.lit(h * w)).cast("bigint").alias("c"),
                      ((F.col("_i") % F.lit(h * w)) / F.lit(w)).cast("bigint").alias("y"),
@@ -187,6 +189,12 @@ def from_pixel_rows(rows: DataFrame, id_col: str, h: int, w: int, out_col: str =
 
 def explode_array(df: DataFrame, keys: Sequence[str], arr_col: str, idx_name: str = "i",
                   val_name: str = "value") -> DataFrame:
-    """(keys..., array) -> (keys..., i, value) for comparison or SQL-form operators."""
-    return (df.select(*keys, F.posexplode(arr_col).alias(idx_name, val_name))
+    """(keys..., array) -> (keys..., i, value) for comparison or SQL-form operators.
+
+    posexplode_outer + a filter on the position gives the same rows as posexplode, but
+    keeps Catalyst from inferring a size(array) > 0 filter below the projection, which
+    would re-evaluate an expensive array expression a second time per row.
+    """
+    return (df.select(*keys, F.posexplode_outer(arr_col).alias(idx_name, val_name))
+            .filter(F.col(idx_name).isNotNull())
             .withColumn(idx_name, F.col(idx_name).cast("bigint")))

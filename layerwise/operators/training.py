@@ -81,6 +81,19 @@ def _sum_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
                          "loss": [float(pdf["loss"].sum())], "vals": [acc]})
 
 
+def tree_sum(partial: DataFrame, n_partials: int) -> DataFrame:
+    """Sum per-task partial vectors chunk by chunk in two grouped levels.
+
+    Level 1 groups (chunk, task mod S), level 2 groups chunk, with S ~ sqrt(#partials):
+    no group ever holds more than ~sqrt(#partials) chunk rows.
+    """
+    s = max(1, math.isqrt(max(n_partials, 1)))
+    if s > 1:
+        lvl1 = partial.withColumn("_g", (F.spark_partition_id() % F.lit(s)).cast("int"))
+        partial = lvl1.groupBy("chunk", "_g").applyInPandas(_sum_chunks, _PARTIAL)
+    return partial.groupBy("chunk").applyInPandas(_sum_chunks, _PARTIAL)
+
+
 def gradient(df: DataFrame, net: Net, features: dict | str, labels: dict | str, n_classes: dict | int,
              l1: float = 0.0, l2: float = 0.0):
     """Mean gradient over all rows of ``df`` (plus penalty gradient) and the mean score.
@@ -124,7 +137,7 @@ def gradient(df: DataFrame, net: Net, features: dict | str, labels: dict | str,
 
     cols = list(dict.fromkeys(list(feats.values()) + list(labs.values())))
     partial = df.select(*cols).mapInArrow(run, _PARTIAL)
-    total = partial.groupBy("chunk").applyInPandas(_sum_chunks, _PARTIAL).collect()  # model-sized
+    total = tree_sum(partial, df.rdd.getNumPartitions()).collect()  # model-sized
     total = sorted(total, key=lambda r: r["chunk"])
     n = total[0]["n"] if total else 0
     vec = np.concatenate([np.asarray(r["vals"], dtype=float) for r in total]) / max(n, 1)
@@ -304,7 +317,10 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     for epoch in range(spec.epochs):
         path = scratch_path(spark, f"rounds-e{epoch}")
         prep = prepare_rounds(df.select(*cols), id_col, spec, epoch)
-        prep.write.mode("overwrite").partitionBy("round_block").parquet(path)
+        # one writer per round block, rows sorted by round: a round reads one directory and,
+        # through row-group statistics, only its own rows
+        (prep.repartition("round_block").sortWithinPartitions("round", "worker_id")
+         .write.mode("overwrite").partitionBy("round_block").parquet(path))
         data = spark.read.parquet(path)
         n_rounds_row = data.agg(F.max("round").alias("r")).first()
         n_rounds = 0 if n_rounds_row["r"] is None else int(n_rounds_row["r"]) + 1

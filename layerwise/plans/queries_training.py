@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import prep
@@ -11,7 +12,7 @@ from ..operators.model import Net, Vertex, conv2d, dense, output, pool2d
 from ..operators.scoring import predict
 from ..operators.splits import assign_batches, weighted_split
 from . import fixtures as fx
-from .queries_scoring import SCORER_SQL, scorer_net
+from .queries_scoring import SCORER_SQL, TWO_INPUTS_SQL, scorer_net
 from .registry import V64, dense_sql, explode, md5_int, order_key, register, softmax_sql, w_sql
 
 SEED = fx.SEED
@@ -223,11 +224,7 @@ def graph_net():
 @register("trn05_fit_graph")
 def trn05(spark, sf_dir):
     """Two inputs merged, two outputs (class: order status, regression: scaled price and line count)."""
-    o = fx.order_inputs(spark, sf_dir)
-    li = fx.line_inputs(spark, sf_dir)
-    j = o.join(li, "id").select("id", "in1", "in2", "status_id",
-                                F.array(fx.quantise(F.col("o_totalprice") / F.lit(524288.0)),
-                                        F.col("n_lines").cast("double") / F.lit(8.0)).alias("target"))
+    j = graph_table(spark, sf_dir)
     spec = TR.FitSpec(workers=3, batch=256, frequency=5, epochs=1, seed=SEED,
                       updater=TR.Updater("nesterovs", lr=0.01, momentum=0.9))
     net, metrics, _ = TR.fit_averaging(j, graph_net().init(seed=SEED), "id", {"input1": "in1", "input2": "in2"},
@@ -266,3 +263,99 @@ def opt6(spark, sf_dir):
     d = v.select("id", TR.dropout_expr("features", "id", SEED, 0, "0", 0.5).alias("dropped"))
     return prep.explode_array(d, ["id"], "dropped", "i", "value")
 
+
+
+# ---------------------------------------------------------------- TRN-05 one step in SQL, OPT-2 updates in SQL
+
+def graph_table(spark, sf_dir):
+    o = fx.order_inputs(spark, sf_dir)
+    li = fx.line_inputs(spark, sf_dir)
+    return o.join(li, "id").select("id", "in1", "in2", "status_id",
+                                   F.array(fx.quantise(F.col("o_totalprice") / F.lit(524288.0)),
+                                           F.col("n_lines").cast("double") / F.lit(8.0)).alias("target"))
+
+
+@register("trn05_graph_gradient", f"""
+WITH {TWO_INPUTS_SQL},
+t AS (SELECT o_orderkey AS id, (CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END) AS status_id,
+             round(o_totalprice / 524288 * 256) / 256 AS t0 FROM orders),
+jt AS (SELECT j.id, j.in1, j.in2, t.status_id, t.t0, j.in2[1] AS t1 FROM j JOIN t ON t.id = j.id),
+n AS (SELECT count(*)::DOUBLE AS n FROM jt),
+e1 AS ({explode('jt', 'in1')}), e2 AS ({explode('jt', 'in2')}),
+h AS (SELECT id, j AS i, greatest(z, 0.0::DOUBLE) AS v, z FROM ({dense_sql('e1', 0, 4)})
+      UNION ALL SELECT id, j + 4 AS i, greatest(z, 0.0::DOUBLE) AS v, z FROM ({dense_sql('e2', 1, 4)})),
+z3 AS ({dense_sql('h', 3, 3)}), s3 AS ({softmax_sql('z3')}),
+d3 AS (SELECT s3.id, s3.j, p - CASE WHEN jt.status_id = s3.j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d
+       FROM s3 JOIN jt ON jt.id = s3.id),
+z4 AS ({dense_sql('h', 4, 2)}),
+d4 AS (SELECT z4.id, z4.j, z4.z - CASE WHEN z4.j = 0 THEN jt.t0 ELSE jt.t1 END AS d FROM z4 JOIN jt ON jt.id = z4.id),
+dh AS (SELECT id, i, sum(d) AS d FROM (
+         SELECT d3.id, t.i, d3.d * {w_sql(3, 't.i', 'd3.j')} AS d FROM d3, range(8) t(i)
+         UNION ALL SELECT d4.id, t.i, d4.d * {w_sql(4, 't.i', 'd4.j')} AS d FROM d4, range(8) t(i)) GROUP BY id, i),
+dz AS (SELECT dh.id, dh.i, CASE WHEN h.z > 0 THEN dh.d ELSE 0.0::DOUBLE END AS d FROM dh
+       JOIN h ON h.id = dh.id AND h.i = dh.i),
+grads AS (
+  SELECT 0 AS layer, 'W' AS name, e1.i * 4 + dz.i AS idx, sum(e1.v * dz.d) / (SELECT n FROM n) AS g
+  FROM e1 JOIN dz ON e1.id = dz.id AND dz.i < 4 GROUP BY e1.i, dz.i
+  UNION ALL SELECT 0, 'b', i, sum(d) / (SELECT n FROM n) FROM dz WHERE i < 4 GROUP BY i
+  UNION ALL SELECT 1, 'W', e2.i * 4 + dz.i - 4, sum(e2.v * dz.d) / (SELECT n FROM n)
+  FROM e2 JOIN dz ON e2.id = dz.id AND dz.i >= 4 GROUP BY e2.i, dz.i
+  UNION ALL SELECT 1, 'b', i - 4, sum(d) / (SELECT n FROM n) FROM dz WHERE i >= 4 GROUP BY i
+  UNION ALL SELECT 3, 'W', h.i * 3 + d3.j, sum(h.v * d3.d) / (SELECT n FROM n) FROM h JOIN d3 ON h.id = d3.id
+  GROUP BY h.i, d3.j
+  UNION ALL SELECT 3, 'b', j, sum(d) / (SELECT n FROM n) FROM d3 GROUP BY j
+  UNION ALL SELECT 4, 'W', h.i * 2 + d4.j, sum(h.v * d4.d) / (SELECT n FROM n) FROM h JOIN d4 ON h.id = d4.id
+  GROUP BY h.i, d4.j
+  UNION ALL SELECT 4, 'b', j, sum(d) / (SELECT n FROM n) FROM d4 GROUP BY j)
+SELECT layer::INTEGER AS layer, name, idx::BIGINT AS idx, round(g, 6) AS value FROM grads""")
+def trn05_gradient(spark, sf_dir):
+    net = graph_net().fixed_init()
+    grads, _, _ = TR.gradient(graph_table(spark, sf_dir), net, {"input1": "in1", "input2": "in2"},
+                              {"out1": "status_id", "out2": "target"}, {"out1": 3, "out2": 2})
+    g = net.copy()
+    g.params = grads
+    return params_frame(spark, g).withColumn("value", F.round("value", 6))
+
+
+NEST_LR, NEST_MU = 0.1, 0.9
+
+
+def _softmax_grad_sql(w_table: str, src: str = "xe") -> str:
+    """Mean softmax-regression gradient (bias as input 64) for weights in w_table(i, j, w)."""
+    return f"""(SELECT xe.i, dz.j, sum(xe.v * dz.d) / (SELECT n FROM n) AS g FROM {src} xe JOIN (
+       SELECT id, j, e / sum(e) OVER (PARTITION BY id) - CASE WHEN label = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d
+       FROM (SELECT id, label, j, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM (
+             SELECT xe.id, xe.label, w.j, sum(xe.v * w.w) AS z FROM {src} xe JOIN {w_table} w ON w.i = xe.i
+             GROUP BY xe.id, xe.label, w.j))) dz ON dz.id = xe.id GROUP BY xe.i, dz.j)"""
+
+
+@register("opt2_nesterov_two_steps", f"""
+WITH v AS ({V64}), n AS (SELECT count(*)::DOUBLE AS n FROM v),
+xe AS (SELECT id, label, generate_subscripts(x, 1) - 1 AS i, unnest(x) AS v FROM v
+       UNION ALL SELECT id, label, 64 AS i, 1.0::DOUBLE AS v FROM v),
+w0 AS (SELECT a.i, b.j, 0.0::DOUBLE AS w FROM range(65) a(i), range(10) b(j)),
+g0 AS {_softmax_grad_sql('w0')},
+s1 AS (SELECT i, j, {NEST_MU}::DOUBLE * 0.0::DOUBLE - {NEST_LR}::DOUBLE * g AS vel FROM g0),
+w1 AS (SELECT w0.i, w0.j, w0.w + (1 + {NEST_MU}::DOUBLE) * s1.vel - {NEST_MU}::DOUBLE * 0.0::DOUBLE AS w
+       FROM w0 JOIN s1 USING (i, j)),
+g1 AS {_softmax_grad_sql('w1')},
+s2 AS (SELECT s1.i, s1.j, s1.vel AS v_old, {NEST_MU}::DOUBLE * s1.vel - {NEST_LR}::DOUBLE * g1.g AS vel
+       FROM s1 JOIN g1 USING (i, j)),
+w2 AS (SELECT w1.i, w1.j, w1.w + (1 + {NEST_MU}::DOUBLE) * s2.vel - {NEST_MU}::DOUBLE * s2.v_old AS w
+       FROM w1 JOIN s2 USING (i, j))
+SELECT 0::INTEGER AS layer, CASE WHEN i < 64 THEN 'W' ELSE 'b' END AS name,
+       (CASE WHEN i < 64 THEN i * 10 + j ELSE j END)::BIGINT AS idx, round(w, 6) AS value FROM w2""")
+def opt2(spark, sf_dir):
+    v = fx.vectors64(spark, sf_dir)
+    net = Net.sequential((64,), [output(10, "softmax", "nll")]).init(scheme="zero")
+    upd = TR.Updater("nesterovs", lr=NEST_LR, momentum=NEST_MU)
+    state = None
+    for _ in range(2):
+        grads, _, _ = TR.gradient(v, net, "features", "label", 10)
+        g = net.copy()
+        g.params = grads
+        w, gv = net.flat(), g.flat()
+        state = np.zeros_like(w) if state is None else state
+        w2, state = upd.step(w, gv, state, np.full(w.size, upd.lr))
+        net.set_flat(w2)
+    return params_frame(spark, net).withColumn("value", F.round("value", 6))
