@@ -13,7 +13,8 @@ from ..operators.scoring import predict
 from ..operators.splits import assign_batches, weighted_split
 from . import fixtures as fx
 from .queries_scoring import SCORER_SQL, TWO_INPUTS_SQL, scorer_net
-from .registry import V64, dense_sql, explode, md5_int, order_key, register, softmax_sql, w_sql
+from . import sql_tensors as Q
+from .registry import V64, b_sql, dense_sql, explode, md5_int, order_key, register, softmax_sql, w_sql
 
 SEED = fx.SEED
 L1, L2 = 1e-3, 1e-4
@@ -359,3 +360,47 @@ def opt2(spark, sf_dir):
         w2, state = upd.step(w, gv, state, np.full(w.size, upd.lr))
         net.set_flat(w2)
     return params_frame(spark, net).withColumn("value", F.round("value", 6))
+
+
+# ---------------------------------------------------------------- TRN-04 core: conv + max-pool gradient in SQL
+
+def conv_grad_net():
+    return Net.sequential((1, 8, 8), [conv2d(2, (3, 3)), pool2d((2, 2), (2, 2)),
+                                      output(10, "softmax", "nll")]).fixed_init()
+
+
+_IMG256 = ("SELECT vec_id AS id, label, list_transform(embedding, lambda e: floor((e::DOUBLE + 1) * 127.5) / 256) "
+           "AS x FROM embeddings")
+
+
+@register("trn04_conv_gradient", f"""
+WITH img AS ({_IMG256}), n AS (SELECT count(*)::DOUBLE AS n FROM img),
+p AS ({Q.pixels('img', 'x', 8, 8)}),
+cv AS ({Q.conv('p', 0, 2, 3, 3, 1, 0, 0, 6, 6)}),
+rk AS (SELECT id, c, y, x, v, row_number() OVER (PARTITION BY id, c, y // 2, x // 2 ORDER BY v DESC, y % 2, x % 2)
+       AS r FROM cv),
+feat AS (SELECT id, c * 9 + (y // 2) * 3 + (x // 2) AS i, v, c, y AS ay, x AS ax FROM rk WHERE r = 1),
+z AS (SELECT f.id, t.j, sum(f.v * {w_sql(2, 'f.i', 't.j')}) + {b_sql(2, 't.j')} AS z FROM feat f, range(10) t(j)
+      GROUP BY f.id, t.j),
+s AS ({softmax_sql('z')}),
+d2 AS (SELECT s.id, s.j, s.p - CASE WHEN img.label = s.j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d
+       FROM s JOIN img ON img.id = s.id),
+dpool AS (SELECT feat.id, feat.c, feat.ay, feat.ax, sum(d2.d * {w_sql(2, 'feat.i', 'd2.j')}) AS d
+          FROM feat JOIN d2 ON feat.id = d2.id GROUP BY feat.id, feat.c, feat.ay, feat.ax),
+grads AS (
+  SELECT 0 AS layer, 'W' AS name, dp.c * 9 + ky.ky * 3 + kx.kx AS idx, sum(dp.d * p.v) / (SELECT n FROM n) AS g
+  FROM dpool dp CROSS JOIN range(3) ky(ky) CROSS JOIN range(3) kx(kx)
+  JOIN p ON p.id = dp.id AND p.y = dp.ay + ky.ky AND p.x = dp.ax + kx.kx GROUP BY dp.c, ky.ky, kx.kx
+  UNION ALL SELECT 0, 'b', c, sum(d) / (SELECT n FROM n) FROM dpool GROUP BY c
+  UNION ALL SELECT 2, 'W', feat.i * 10 + d2.j, sum(feat.v * d2.d) / (SELECT n FROM n)
+  FROM feat JOIN d2 ON feat.id = d2.id GROUP BY feat.i, d2.j
+  UNION ALL SELECT 2, 'b', j, sum(d) / (SELECT n FROM n) FROM d2 GROUP BY j)
+SELECT layer::INTEGER AS layer, name, idx::BIGINT AS idx, round(g, 6) AS value FROM grads""")
+def trn04_gradient(spark, sf_dir):
+    img = fx.image8(spark, sf_dir).select("id", "label",
+                                          F.transform("px", lambda p: p.cast("double") / F.lit(256.0)).alias("x"))
+    net = conv_grad_net()
+    grads, _, _ = TR.gradient(img, net, "x", "label", 10)
+    g = net.copy()
+    g.params = grads
+    return params_frame(spark, g).withColumn("value", F.round("value", 6))
