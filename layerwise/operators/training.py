@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,7 @@ from .splits import assign_batches
 CHUNK = 4096
 ROUNDS_PER_BLOCK = 64
 DRIVER_AVERAGE_BYTES = 1 << 26  # workers x parameters below this are averaged after one collect
+CACHE_ROUNDS_BYTES = 1 << 33    # prepared round tables up to this size are persisted co-located
 
 
 # ---------------------------------------------------------------- losses and penalties (TRN-01)
@@ -324,6 +326,15 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
         data = spark.read.parquet(path)
         n_rounds_row = data.agg(F.max("round").alias("r")).first()
         n_rounds = 0 if n_rounds_row["r"] is None else int(n_rounds_row["r"]) + 1
+        # Small prepared tables are kept in executor memory (spilling to disk), hash-partitioned so
+        # every worker's rows of a round sit in one partition: a round is then one stage with no
+        # shuffle. Larger tables stay on shared storage and a round groups its rows by worker.
+        size = int(str(data._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        co_located = size <= cache_limit(spark)
+        if co_located:
+            parts = max(1, min(spark.sparkContext.defaultParallelism,
+                               spec.workers * (n_rounds // ROUNDS_PER_BLOCK + 1)))
+            data = data.repartition(parts, "worker_id", "round_block").persist(StorageLevel.MEMORY_AND_DISK)
         for r in range(n_rounds):
             vec = np.concatenate([net.flat(), state])
             shipped = Net(net.inputs, net.vertices, net.outputs)
@@ -336,7 +347,10 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
 
             schema = T.StructType(_PARTIAL.fields + [T.StructField("nb", T.LongType())])
             rnd = data.filter((F.col("round_block") == F.lit(r // ROUNDS_PER_BLOCK)) & (F.col("round") == F.lit(r)))
-            per_worker = rnd.groupBy("worker_id").applyInPandas(train, schema)
+            if co_located:
+                per_worker = rnd.mapInPandas(_per_partition(train), schema)
+            else:
+                per_worker = rnd.groupBy("worker_id").applyInPandas(train, schema)
             if spec.workers * vec.size * 8 <= DRIVER_AVERAGE_BYTES:
                 # W small parameter vectors: one collect, averaged on the driver
                 rows = per_worker.collect()
@@ -361,11 +375,34 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             metrics.append(rec)
             if listener is not None:
                 listener(rec)
+        if co_located:
+            data.unpersist()
     mdf = spark.createDataFrame(metrics, "run string, epoch int, round int, iteration bigint, score double, "
                                          "elapsed_ms bigint")
     return net, mdf, state
 
 
+def cache_limit(spark) -> int:
+    try:
+        return int(spark.conf.get("spark.layerwise.cacheRoundsBytes"))
+    except Exception:  # noqa: BLE001 - unset
+        return CACHE_ROUNDS_BYTES
+
+
+def _per_partition(train):
+    """mapInPandas body: the round's rows of the workers hashed to this partition, one worker at a time."""
+
+    def run(it):
+        frames = [p for p in it if len(p)]
+        if not frames:
+            return
+        rows = pd.concat(frames, ignore_index=True)
+        for _, g in rows.groupby("worker_id", sort=True):
+            yield train(g)
+
+    return run
+
+
 def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks):
     """One worker's part of a round: F mini-batches from the common parameters."""
 

@@ -196,3 +196,17 @@ def test_scaling_fit_and_image_scale(spark):
     stats = prep.fit_range(t, ["x"])
     out = [r[0] for r in prep.apply_range(t, stats, 0, 1).select("x_scaled").collect()]
     assert out == [0.0, 0.5, 1.0]
+
+
+def test_fit_averaging_shared_storage_path_equals_co_located(spark):
+    """Large round tables take the grouped path; both paths give the same parameters."""
+    v = fx.vectors64(spark, SF)
+    net0 = Net.sequential((64,), [output(10, "softmax", "nll")]).init(scheme="zero")
+    spec = TR.FitSpec(workers=3, batch=16, frequency=2, epochs=1, seed=5, updater=TR.Updater("nesterovs", lr=0.1))
+    a, _, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    spark.conf.set("spark.layerwise.cacheRoundsBytes", "0")
+    try:
+        b, _, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    finally:
+        spark.conf.unset("spark.layerwise.cacheRoundsBytes")
+    assert np.allclose(a.flat(), b.flat(), atol=1e-12)
