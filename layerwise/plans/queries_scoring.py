@@ -188,7 +188,47 @@ def scr09(spark, sf_dir):
 
 # ---------------------------------------------------------------- SCR-10..12 series
 
-@register("scr10_lstm_user_series")
+def _lstm_sql() -> str:
+    """Peephole LSTM (5 -> 5) + per-step softmax output on [x, h], one recursion step per time step."""
+    sig = "(1.0::DOUBLE / (1.0::DOUBLE + exp(-({})))) "
+    types = ", ".join(f"'{t}'" for t in fx.EVENT_TYPES)
+    return f"""
+WITH RECURSIVE
+ev AS (SELECT user_id, event_id, event_type,
+              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS step FROM events),
+x AS (SELECT ev.user_id, ev.step, ev.event_id, t.i AS i,
+             CASE WHEN ev.event_type = [{types}][t.i + 1] THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS v
+      FROM ev, range(5) t(i)),
+st(user_id, step, u, h, c) AS (
+  SELECT DISTINCT user_id, -1::BIGINT, t.u, 0.0::DOUBLE, 0.0::DOUBLE FROM ev, range(5) t(u)
+  UNION ALL
+  SELECT * FROM (
+    WITH cur AS (SELECT * FROM st),
+    xs AS (SELECT x.user_id, x.step, x.i, x.v FROM x JOIN (SELECT DISTINCT user_id, step FROM cur) k
+           ON x.user_id = k.user_id AND x.step = k.step + 1),
+    gx AS (SELECT xs.user_id, xs.step, t.k, sum(xs.v * {w_sql(0, 'xs.i', 't.k')}) AS s FROM xs, range(20) t(k)
+           GROUP BY xs.user_id, xs.step, t.k),
+    gh AS (SELECT cur.user_id, t.k, sum(cur.h * {w_sql(1, 'cur.u', 't.k')}) AS s FROM cur, range(20) t(k)
+           GROUP BY cur.user_id, t.k),
+    g AS (SELECT gx.user_id, gx.step, gx.k, gx.s + gh.s + CASE WHEN gx.k BETWEEN 5 AND 9 THEN 1.0::DOUBLE
+                 ELSE 0.0::DOUBLE END AS g FROM gx JOIN gh ON gx.user_id = gh.user_id AND gx.k = gh.k),
+    gates AS (SELECT user_id, step, k % 5 AS u, max(CASE WHEN k < 5 THEN g END) AS gi,
+                     max(CASE WHEN k BETWEEN 5 AND 9 THEN g END) AS gf, max(CASE WHEN k BETWEEN 10 AND 14 THEN g END) AS go,
+                     max(CASE WHEN k >= 15 THEN g END) AS gc FROM g GROUP BY user_id, step, k % 5),
+    c2 AS (SELECT gates.user_id, gates.step, gates.u, gates.go,
+                  {sig.format('gates.gf + cur.c / 64')} * cur.c + {sig.format('gates.gi + cur.c / 64')} * tanh(gates.gc) AS c
+           FROM gates JOIN cur ON cur.user_id = gates.user_id AND cur.u = gates.u)
+    SELECT user_id, step, u, {sig.format('go + c / 64')} * tanh(c) AS h, c FROM c2)
+),
+feat AS (SELECT user_id, step, i, v FROM x UNION ALL SELECT user_id, step, 5 + u AS i, h AS v FROM st WHERE step >= 0),
+z AS (SELECT user_id, step, t.j AS j, sum(v * {w_sql(2, 'i', 't.j')}) AS z FROM feat, range(5) t(j)
+      GROUP BY user_id, step, t.j),
+p AS ({softmax_sql('z', keys='user_id, step')})
+SELECT p.user_id, ev.event_id, p.step::BIGINT AS step, p.j::BIGINT AS i, round(p.p, 6) AS value
+FROM p JOIN ev ON ev.user_id = p.user_id AND ev.step = p.step"""
+
+
+@register("scr10_lstm_user_series", _lstm_sql())
 def scr10(spark, sf_dir):
     s = fx.user_series(spark, sf_dir)
     params = sequence.lstm_params(5, 5, 5)
