@@ -174,11 +174,61 @@ def trn03(spark, sf_dir):
     return params_frame(spark, net).withColumn("value", F.round("value", 6))
 
 
-@register("trn03_fit_nesterov_f2")
+NF2_LR, NF2_MU = 0.1, 0.9
+
+
+def _worker_grad_sql(rows: str, params: str, keyed: bool) -> str:
+    """Per-worker mean softmax-regression gradient on ``rows`` with weights ``params``
+    (common weights when not keyed, per-worker weights when keyed)."""
+    on = "w.i = xe.i AND w.worker = xe.worker" if keyed else "w.i = xe.i"
+    return f"""(SELECT xe.worker, xe.i, dz.j, sum(xe.v * dz.d) / max(cn.m) AS g FROM {rows} xe JOIN (
+       SELECT id, j, e / sum(e) OVER (PARTITION BY id) - CASE WHEN label = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d
+       FROM (SELECT id, label, j, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM (
+             SELECT xe.id, xe.label, w.j, sum(xe.v * w.w) AS z FROM {rows} xe JOIN {params} w ON {on}
+             GROUP BY xe.id, xe.label, w.j))) dz ON dz.id = xe.id
+     JOIN (SELECT worker, count(DISTINCT id)::DOUBLE AS m FROM {rows} GROUP BY worker) cn ON cn.worker = xe.worker
+     GROUP BY xe.worker, xe.i, dz.j)"""
+
+
+FIT_NF2_SQL = f"""
+WITH RECURSIVE
+v AS ({V64}),
+d0 AS (SELECT id, x, label, {md5_int(SEED, 'id')} % {FIT_W} AS worker, {order_key(SEED)} AS k FROM v),
+d AS (SELECT id, x, label, worker, (row_number() OVER (PARTITION BY worker ORDER BY k, id) - 1) // {FIT_B} AS bt
+      FROM d0),
+xe AS (SELECT id, worker, bt, label, generate_subscripts(x, 1) - 1 AS i, unnest(x) AS v FROM d
+       UNION ALL SELECT id, worker, bt, label, 64 AS i, 1.0::DOUBLE AS v FROM d),
+nr AS (SELECT max(bt) // 2 + 1 AS n FROM d),
+p(r, i, j, w, vel) AS (
+  SELECT 0::BIGINT, a.i, b.j, 0.0::DOUBLE, 0.0::DOUBLE FROM range(65) a(i), range(10) b(j)
+  UNION ALL
+  SELECT * FROM (
+    WITH cur AS (SELECT r, i, j, w, vel FROM p WHERE r < (SELECT n FROM nr)),
+    r1 AS (SELECT * FROM xe WHERE bt = 2 * (SELECT max(r) FROM cur)),
+    r2 AS (SELECT * FROM xe WHERE bt = 2 * (SELECT max(r) FROM cur) + 1),
+    g1 AS {_worker_grad_sql('r1', 'cur', False)},
+    s1 AS (SELECT g1.worker, cur.i, cur.j, {NF2_MU}::DOUBLE * cur.vel - {NF2_LR}::DOUBLE * g1.g AS vel, cur.vel AS v0,
+                  cur.w AS w0 FROM g1 JOIN cur ON cur.i = g1.i AND cur.j = g1.j),
+    w1 AS (SELECT worker, i, j, w0 + (1 + {NF2_MU}::DOUBLE) * vel - {NF2_MU}::DOUBLE * v0 AS w, vel FROM s1),
+    g2 AS {_worker_grad_sql('r2', 'w1', True)},
+    w2 AS (SELECT w1.worker, w1.i, w1.j,
+                  CASE WHEN g2.g IS NULL THEN w1.w
+                       ELSE w1.w + (1 + {NF2_MU}::DOUBLE) * ({NF2_MU}::DOUBLE * w1.vel - {NF2_LR}::DOUBLE * g2.g)
+                            - {NF2_MU}::DOUBLE * w1.vel END AS w,
+                  CASE WHEN g2.g IS NULL THEN w1.vel ELSE {NF2_MU}::DOUBLE * w1.vel - {NF2_LR}::DOUBLE * g2.g END AS vel
+           FROM w1 LEFT JOIN g2 ON g2.worker = w1.worker AND g2.i = w1.i AND g2.j = w1.j)
+    SELECT (SELECT max(r) FROM cur) + 1, i, j, avg(w), avg(vel) FROM w2 GROUP BY i, j)
+)
+SELECT 0::INTEGER AS layer, CASE WHEN i < 64 THEN 'W' ELSE 'b' END AS name,
+       (CASE WHEN i < 64 THEN i * 10 + j ELSE j END)::BIGINT AS idx, round(w, 6) AS value
+FROM p WHERE r = (SELECT n FROM nr)"""
+
+
+@register("trn03_fit_nesterov_f2", FIT_NF2_SQL)
 def trn03_nesterov(spark, sf_dir):
     """Two batches per worker between averages, Nesterov momentum (updater state averaged too)."""
-    net, _, _ = softmax_regression_fit(spark, sf_dir, frequency=2, updater=TR.Updater("nesterovs", lr=0.1,
-                                                                                         momentum=0.9))
+    net, _, _ = softmax_regression_fit(spark, sf_dir, frequency=2,
+                                       updater=TR.Updater("nesterovs", lr=NF2_LR, momentum=NF2_MU))
     return params_frame(spark, net).withColumn("value", F.round("value", 6))
 
 
