@@ -9,8 +9,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import hash01
 
@@ -32,13 +33,15 @@ def split_label(df: DataFrame, cols: Sequence[str], label_index: int,
 def index_labels(df: DataFrame, col: str, out_col: str = "label") -> DataFrame:
     """PRE-02: class name -> 0-based id in sorted order of the distinct names."""
     names = df.select(col).where(F.col(col).isNotNull()).distinct()
-    n = names.count()
-    if n <= LABEL_TABLE_BOUND:
-        # bounded table: one small window, then a broadcast lookup
-        lut = names.withColumn(out_col, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    first = names.limit(LABEL_TABLE_BOUND + 1).collect()
+    spark = df.sparkSession
+    if len(first) <= LABEL_TABLE_BOUND:
+        # bounded dictionary: sorted on the driver, broadcast as a lookup
+        ordered = sorted(r[0] for r in first)
+        lut = spark.createDataFrame([(v, i) for i, v in enumerate(ordered)],
+                                    T.StructType([df.schema[col], T.StructField(out_col, T.IntegerType())]))
         return df.join(F.broadcast(lut), col, "left")
     # very large dictionaries: ranks from a range-partitioned sort, shuffle join
-    spark = df.sparkSession
     rdd = names.orderBy(col).rdd.zipWithIndex().map(lambda t: (t[0][0], int(t[1])))
     lut = spark.createDataFrame(rdd, f"{col} string, {out_col} int")
     return df.join(lut, col, "left")

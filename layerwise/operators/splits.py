@@ -11,8 +11,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import hex_prefix_int, md5_key
 
@@ -20,7 +21,7 @@ MAX_BUCKETS = 1 << 16  # bound of every histogram collected or broadcast here
 
 
 def _bucket_bits(n_groups: int) -> int:
-    return max(4, 16 - math.ceil(math.log2(max(n_groups, 1))))
+    return max(0, 16 - math.ceil(math.log2(max(n_groups, 1))))
 
 
 def with_order_key(df: DataFrame, id_col: str, seed) -> DataFrame:
@@ -31,8 +32,8 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
            n_groups: int = 1, rank_col: str = "rank") -> DataFrame:
     """0-based rank of each row in (md5(seed|id), id) order, per ``partition_cols``.
 
-    Two passes: (1) bucket histogram per group, a bounded table whose running sum
-    is taken with a small window; (2) broadcast join of offsets and a row_number
+    Two passes: (1) bucket histogram per group, a bounded table collected to the
+    driver for its running sums; (2) broadcast join of the offsets and a row_number
     inside (group, bucket) only. ``n_groups`` bounds the number of distinct group
     values so the histogram stays within ``MAX_BUCKETS`` rows.
     """
@@ -41,8 +42,17 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
     hist = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = Window.partitionBy(*pcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hist.select(*pcols, "_b", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
+    rows = hist.collect()  # at most n_groups * 2^bits = MAX_BUCKETS rows
+    if len(rows) > MAX_BUCKETS:
+        raise ValueError(f"{len(rows)} (group, bucket) cells: raise n_groups to the number of groups")
+    offsets_rows, running = [], {}
+    for r in sorted(rows, key=lambda r: (tuple(r[c] for c in pcols), r["_b"])):
+        g = tuple(r[c] for c in pcols)
+        offsets_rows.append((*g, r["_b"], running.get(g, 0)))
+        running[g] = running.get(g, 0) + r["_cnt"]
+    schema = T.StructType([keyed.schema[c] for c in pcols] + [T.StructField("_b", T.IntegerType()),
+                                                               T.StructField("_off", T.LongType())])
+    offsets = df.sparkSession.createDataFrame(offsets_rows, schema)
     w = Window.partitionBy(*pcols, "_b").orderBy("_key", id_col)
     out = (keyed.join(F.broadcast(offsets), on=[*pcols, "_b"], how="inner")
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
@@ -79,7 +89,7 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
                   keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt")).collect())
     n = sum(c for _, c in hist)
     cuts = split_sizes(n, weights)
-    lookup, boundary = [], {}
+    lookup = []
     off = 0
     for b, c in hist:
         lo, hi = off, off + c
@@ -89,7 +99,6 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
             lookup.append((b, p_lo, None))
         else:
             lookup.append((b, None, lo))
-            boundary[b] = lo
         off = hi
     spark = df.sparkSession
     lk = spark.createDataFrame(lookup, "_b int, _p int, _off long")
@@ -138,7 +147,3 @@ def batch_bounds(df: DataFrame, id_col: str, batch_col: str = "batch_id") -> Dat
                                      F.min(id_col).alias("min_id"),
                                      F.max(id_col).alias("max_id"))
 
-
-def coin(seed, *cols) -> Column:
-    from ..functions.hashing import hash01
-    return hash01(seed, *cols)
