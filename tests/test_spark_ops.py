@@ -210,3 +210,42 @@ def test_fit_averaging_shared_storage_path_equals_co_located(spark):
     finally:
         spark.conf.unset("spark.layerwise.cacheRoundsBytes")
     assert np.allclose(a.flat(), b.flat(), atol=1e-12)
+
+
+def test_dense_join_equals_mapinarrow_scoring(spark):
+    from layerwise.operators.scoring import dense_join, score
+    v = fx.vectors64(spark, SF)
+    net = Net.sequential((64,), [dense(10, "identity")]).fixed_init()
+    a = {r["id"]: r["out"] for r in score(v, net, "features", keep=["id"]).collect()}
+    W = net.params[("0", "W")]
+    wdf = spark.createDataFrame([(i, j, float(W[i, j])) for i in range(64) for j in range(10)], "i int, j int, w double")
+    bdf = spark.createDataFrame([(j, float(x)) for j, x in enumerate(net.params[("0", "b")])], "j int, b double")
+    b = {r["id"]: r["z"] for r in dense_join(v, "id", "features", wdf, bdf).collect()}
+    assert a.keys() == b.keys()
+    assert all(np.allclose(a[k], b[k]) for k in a)
+
+
+def test_large_model_goes_by_broadcast_and_size_bound_is_enforced(spark):
+    from layerwise.operators.scoring import score
+    v = fx.vectors64(spark, SF)
+    big = Net.sequential((64,), [dense(4096, "relu"), output(10, "softmax", "nll")]).init(seed=1)
+    assert big.nbytes() > 1 << 20
+    out = score(v, big, "features", keep=["id"]).first()["out"]
+    assert abs(sum(out) - 1.0) < 1e-9
+    spark.conf.set("spark.layerwise.maxModelBytes", str(1 << 20))
+    try:
+        with pytest.raises(ValueError):
+            score(v, big, "features", keep=["id"])
+    finally:
+        spark.conf.unset("spark.layerwise.maxModelBytes")
+
+
+@pytest.mark.parametrize("program", ["people_mlp", "digits_mlp", "animals_mlp", "image_lenet"])
+def test_programs_run_end_to_end(spark, program):
+    from layerwise.plans import programs
+    from layerwise.operators.evaluation import summary
+    kwargs = {"epochs": 1} if program != "animals_mlp" else {"epochs": 1, "workers": 64}
+    net, metrics, conf = getattr(programs, program)(spark, SF, **kwargs)
+    s = summary(conf).first()
+    assert s["total"] > 0 and 0.0 <= s["accuracy"] <= 1.0
+    assert metrics.count() > 0
