@@ -134,8 +134,10 @@ def resize(px: Column | str, c: int, h: int, w: int, oh: int, ow: int) -> Column
                 base = ch * h * w + 1
                 geo.append((base + y0 * w + x0, base + y0 * w + x1, base + y1 * w + x0, base + y1 * w + x1,
                             fy - math.floor(fy), fx - math.floor(fx)))
-    table = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(g, ("a", "b", "c", "d", "ty", "tx"))])
-                      for g in geo])
+    # one SQL literal (a single call into the JVM instead of one per value)
+    table = F.expr("array(" + ", ".join(
+        f"named_struct('a', {a}, 'b', {b}, 'c', {c_}, 'd', {d}, 'ty', {ty!r}D, 'tx', {tx!r}D)"
+        for a, b, c_, d, ty, tx in geo) + ")")
 
     def one(s):
         p = [F.element_at(arr, s[n]).cast("double") for n in ("a", "b", "c", "d")]
