@@ -316,9 +316,13 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     metrics = []
     t0 = time.time()
     iteration = 0
+    # the input is computed once: written to the shared folder, then ranked from the written copy
+    src_path = scratch_path(spark, "fit-input")
+    df.select(*cols).write.mode("overwrite").parquet(src_path)
+    src = spark.read.parquet(src_path)
     for epoch in range(spec.epochs):
         path = scratch_path(spark, f"rounds-e{epoch}")
-        prep = prepare_rounds(df.select(*cols), id_col, spec, epoch)
+        prep = prepare_rounds(src, id_col, spec, epoch)
         # one writer per round block, rows sorted by round: a round reads one directory and,
         # through row-group statistics, only its own rows
         (prep.repartition("round_block").sortWithinPartitions("round", "worker_id")
@@ -334,7 +338,8 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
         if co_located:
             parts = max(1, min(spark.sparkContext.defaultParallelism,
                                spec.workers * (n_rounds // ROUNDS_PER_BLOCK + 1)))
-            data = data.repartition(parts, "worker_id", "round_block").persist(StorageLevel.MEMORY_AND_DISK)
+            data = (data.repartition(parts, "worker_id", "round_block").sortWithinPartitions("round")
+                    .persist(StorageLevel.MEMORY_AND_DISK))  # sorted: cached-batch statistics prune rounds
         for r in range(n_rounds):
             vec = np.concatenate([net.flat(), state])
             shipped = Net(net.inputs, net.vertices, net.outputs)
