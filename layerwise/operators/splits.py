@@ -42,17 +42,15 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
     hist = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    rows = hist.collect()  # at most n_groups * 2^bits = MAX_BUCKETS rows
-    if len(rows) > MAX_BUCKETS:
-        raise ValueError(f"{len(rows)} (group, bucket) cells: raise n_groups to the number of groups")
-    offsets_rows, running = [], {}
-    for r in sorted(rows, key=lambda r: (tuple(r[c] for c in pcols), r["_b"])):
-        g = tuple(r[c] for c in pcols)
-        offsets_rows.append((*g, r["_b"], running.get(g, 0)))
-        running[g] = running.get(g, 0) + r["_cnt"]
+    pdf = hist.toPandas()  # Arrow transfer; at most n_groups * 2^bits = MAX_BUCKETS rows
+    if len(pdf) > MAX_BUCKETS:
+        raise ValueError(f"{len(pdf)} (group, bucket) cells: raise n_groups to the number of groups")
+    pdf = pdf.sort_values([*pcols, "_b"]).reset_index(drop=True)
+    running = pdf.groupby(pcols)["_cnt"].cumsum() if pcols else pdf["_cnt"].cumsum()
+    pdf["_off"] = (running - pdf["_cnt"]).astype("int64")
     schema = T.StructType([keyed.schema[c] for c in pcols] + [T.StructField("_b", T.IntegerType()),
                                                                T.StructField("_off", T.LongType())])
-    offsets = df.sparkSession.createDataFrame(offsets_rows, schema)
+    offsets = df.sparkSession.createDataFrame(pdf[[*pcols, "_b", "_off"]].astype({"_b": "int32"}), schema)
     w = Window.partitionBy(*pcols, "_b").orderBy("_key", id_col)
     out = (keyed.join(F.broadcast(offsets), on=[*pcols, "_b"], how="inner")
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
@@ -85,8 +83,8 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
     """
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", hex_prefix_int(F.col("_key"), 4).cast("int")))
-    hist = sorted((r["_b"], r["_cnt"]) for r in
-                  keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+    hpdf = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()  # <= MAX_BUCKETS rows
+    hist = sorted(zip(hpdf["_b"].astype(int).tolist(), hpdf["_cnt"].astype(int).tolist()))
     n = sum(c for _, c in hist)
     cuts = split_sizes(n, weights)
     lookup = []
@@ -101,7 +99,9 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
             lookup.append((b, None, lo))
         off = hi
     spark = df.sparkSession
-    lk = spark.createDataFrame(lookup, "_b int, _p int, _off long")
+    import pandas as pd
+    lk = spark.createDataFrame(pd.DataFrame(lookup, columns=["_b", "_p", "_off"]).astype(
+        {"_b": "int32", "_p": "Int32", "_off": "Int64"}), "_b int, _p int, _off long")
     joined = keyed.join(F.broadcast(lk), "_b")
     plain = joined.filter(F.col("_p").isNotNull()).withColumn(part_col, F.col("_p").cast("bigint"))
     edge = joined.filter(F.col("_p").isNull())
