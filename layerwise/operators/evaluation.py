@@ -8,28 +8,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRID_BROADCAST_CELLS = 1 << 20
-
-
 def confusion(df: DataFrame, k: int, label_col: str = "label", pred_col: str = "pred",
               zero_cells: bool = True) -> DataFrame:
     """EVL-01: (actual, predicted, n) with all k x k cells when ``zero_cells``.
 
-    Counting is a partial + final hash aggregate; the grid comes from
-    ``spark.range(k*k)`` (no cross join) and is broadcast only when k*k is small.
+    One aggregation: every scored row counts 1 and every grid cell (from ``spark.range(k*k)``,
+    no cross join) counts 0, so the partial + final hash aggregate yields the full matrix,
+    including labels outside 0..k-1, with a single shuffle of at most tasks x k^2 partial rows.
     """
-    counts = (df.groupBy(F.col(label_col).cast("bigint").alias("actual"),
-                         F.col(pred_col).cast("bigint").alias("predicted"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    if not zero_cells:
-        return counts
-    grid = df.sparkSession.range(k * k).select((F.col("id") / k).cast("bigint").alias("actual"),
-                                                (F.col("id") % k).cast("bigint").alias("predicted"))
-    g = F.broadcast(grid) if k * k <= GRID_BROADCAST_CELLS else grid
-    extra = counts.join(g, ["actual", "predicted"], "left_anti")  # labels outside 0..k-1 are kept
-    return (g.join(counts, ["actual", "predicted"], "left")
-            .select("actual", "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
-            .unionByName(extra))
+    rows = df.select(F.col(label_col).cast("bigint").alias("actual"),
+                     F.col(pred_col).cast("bigint").alias("predicted"), F.lit(1).cast("bigint").alias("n"))
+    if zero_cells:
+        grid = df.sparkSession.range(k * k).select((F.col("id") / k).cast("bigint").alias("actual"),
+                                                    (F.col("id") % k).cast("bigint").alias("predicted"),
+                                                    F.lit(0).cast("bigint").alias("n"))
+        rows = rows.unionByName(grid)
+    return rows.groupBy("actual", "predicted").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def merge_confusions(parts: Sequence[DataFrame]) -> DataFrame:
@@ -39,15 +33,20 @@ def merge_confusions(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def class_metrics(conf: DataFrame) -> DataFrame:
-    """EVL-02 per class: tp, fp, fn, precision, recall, f1 (NULL where 0/0)."""
-    tp = conf.filter(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("cls"), F.col("n").alias("tp"))
-    act = conf.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("n_actual"))
-    prd = conf.groupBy(F.col("predicted").alias("cls")).agg(F.sum("n").alias("n_pred"))
-    m = (act.join(prd, "cls", "full").join(tp, "cls", "left")
-         .select("cls",
-                 F.coalesce("tp", F.lit(0)).cast("bigint").alias("tp"),
-                 (F.coalesce("n_pred", F.lit(0)) - F.coalesce("tp", F.lit(0))).cast("bigint").alias("fp"),
-                 (F.coalesce("n_actual", F.lit(0)) - F.coalesce("tp", F.lit(0))).cast("bigint").alias("fn")))
+    """EVL-02 per class: tp, fp, fn, precision, recall, f1 (NULL where 0/0).
+
+    Each confusion cell contributes to its actual class and to its predicted class;
+    one grouped pass over the (small) k x k table gives all per-class counts.
+    """
+    as_actual = conf.select(F.col("actual").alias("cls"), F.col("n").alias("n_actual"), F.lit(0).cast("bigint").alias("n_pred"),
+                            F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp"))
+    as_pred = conf.select(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("n_actual"),
+                          F.col("n").alias("n_pred"), F.lit(0).cast("bigint").alias("tp"))
+    m = (as_actual.unionByName(as_pred).groupBy("cls")
+         .agg(F.sum("tp").alias("tp"), F.sum("n_actual").alias("n_actual"), F.sum("n_pred").alias("n_pred"))
+         .select("cls", F.col("tp").cast("bigint").alias("tp"),
+                 (F.col("n_pred") - F.col("tp")).cast("bigint").alias("fp"),
+                 (F.col("n_actual") - F.col("tp")).cast("bigint").alias("fn")))
     prec = F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))
     rec = F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0))
     return (m.withColumn("precision", prec).withColumn("recall", rec)
