@@ -142,6 +142,45 @@ def act_expr(col: Column | str, kind: str, slope: float = 0.01) -> Column:
     raise ValueError(kind)
 
 
+def batchnorm_fit(df: DataFrame, px_col: str, c: int, h: int, w: int) -> tuple[list[float], list[float]]:
+    """SCR-06 fit: per-channel mean and population variance over rows and pixels.
+
+    Two global aggregate passes straight from the arrays (per-row channel sums, then
+    squared deviations from the mean): no explode, partial aggregation in every task,
+    and a result of 2 x c numbers.
+    """
+    hw = h * w
+    arr = F.col(px_col)
+
+    def chan(k, fn):
+        return F.aggregate(F.slice(arr, k * hw + 1, hw), F.lit(0.0), lambda acc, x: acc + fn(x))
+
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(chan(k, lambda x: x)).alias(f"s{k}") for k in range(c)]).first()
+    n = row["n"] * hw
+    mean = [row[f"s{k}"] / n for k in range(c)]
+    row2 = df.agg(*[F.sum(chan(k, lambda x, m=mean[k]: (x - F.lit(m)) * (x - F.lit(m)))).alias(f"q{k}")
+                    for k in range(c)]).first()
+    var = [row2[f"q{k}"] / n for k in range(c)]
+    return mean, var
+
+
+def batchnorm_apply(px: Column | str, hw: int, mean, var, gamma=None, beta=None, eps: float = 1e-5) -> Column:
+    """SCR-06 apply: (x - mean_c) / sqrt(var_c + eps) * gamma_c + beta_c on a channel-major array."""
+    arr = F.col(px) if isinstance(px, str) else px
+    c = len(mean)
+    gamma = gamma if gamma is not None else [1.0] * c
+    beta = beta if beta is not None else [0.0] * c
+    m_a, v_a = F.array(*[F.lit(float(x)) for x in mean]), F.array(*[F.lit(float(x)) for x in var])
+    g_a, b_a = F.array(*[F.lit(float(x)) for x in gamma]), F.array(*[F.lit(float(x)) for x in beta])
+
+    def one(x, i):
+        ch = (i / F.lit(hw)).cast("int") + 1
+        return ((x - F.element_at(m_a, ch)) / F.sqrt(F.element_at(v_a, ch) + F.lit(eps))
+                * F.element_at(g_a, ch) + F.element_at(b_a, ch))
+
+    return F.transform(arr, one)
+
+
 def residual_add(a: Column | str, b: Column | str) -> Column:
     """SCR-09: element-wise sum of two branches."""
     ca = F.col(a) if isinstance(a, str) else a

@@ -120,12 +120,9 @@ o AS (SELECT id, p.c, y, x, round((v - m) / sqrt(s2 + 0.00001::DOUBLE), 6) AS v
 {Q.flat('o', 4, 4)}""")
 def scr06(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
-    rows = prep.to_pixel_rows(v, "id", "features", 4, 4, 4)
-    stats = rows.groupBy("c").agg(F.avg("value").alias("m"), F.var_pop("value").alias("s2"))  # channels: bounded
-    out = rows.join(F.broadcast(stats), "c").select(
-        "id", (F.col("c") * 16 + F.col("y") * 4 + F.col("x")).alias("i"),
-        F.round((F.col("value") - F.col("m")) / F.sqrt(F.col("s2") + F.lit(1e-5)), 6).alias("value"))
-    return out
+    mean, var = S.batchnorm_fit(v, "features", 4, 4, 4)
+    out = v.select("id", S.batchnorm_apply("features", 16, mean, var).alias("bn"))
+    return _rounded(_explode(out, ["id"], "bn"), ["value"])
 
 
 @register("scr07_zero_padding", f"""
