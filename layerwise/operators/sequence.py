@@ -1,7 +1,8 @@
 """Operators over ordered series per key (SCR-10..12).
 
-1-D convolution and pooling are window expressions (lag/lead, framed max) over
-``partitionBy(key).orderBy(order)``. The recurrent layer needs state carried from
+1-D convolution and pooling are scatter-aggregates over (key, output step) after a
+skew-proof per-key position (time-bucket histogram + row_number inside a bucket).
+The recurrent layer needs state carried from
 step to step: rows are hash-partitioned by key and sorted inside partitions, then
 one ``mapInArrow`` streams them batch by batch, carrying (h, c) across batch
 borders. A long series is never materialised as one group: memory per task is
@@ -21,57 +22,86 @@ from pyspark.sql import types as T
 from . import kernels as K
 
 
-def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos") -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("bigint"))
+SERIES_BUCKET_SECONDS = 3600
+
+
+def _time_bucket(col_name: str, dtype, granularity: float):
+    c = F.col(col_name)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(granularity * 1e6)).cast("bigint")
+    if isinstance(dtype, T.DateType):
+        return F.floor(F.unix_date(c) * F.lit(86400.0) / F.lit(granularity)).cast("bigint")
+    return F.floor(c.cast("double") / F.lit(float(granularity))).cast("bigint")
+
+
+def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos",
+              granularity: float = SERIES_BUCKET_SECONDS, with_length: bool = False) -> DataFrame:
+    """0-based position of each row in its key's series, ordered by ``order``.
+
+    No window holds a whole series: rows are bucketed by (key, floor(order[0] / granularity));
+    the per-key histogram of buckets (bounded by the series' time span / granularity, not by
+    its row count) gives each bucket's offset, and row_number runs only inside one
+    (key, bucket). A key holding a third of all rows is spread over its buckets.
+    """
+    order = list(order)
+    b = _time_bucket(order[0], df.schema[order[0]].dataType, granularity)
+    d = df.withColumn("_tb", b)
+    hist = d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
+    w_hist = Window.partitionBy(key).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    offs = hist.select(key, "_tb", F.coalesce(F.sum("_cnt").over(w_hist), F.lit(0)).alias("_off"),
+                       F.sum("_cnt").over(Window.partitionBy(key)).alias("_len"))
+    w = Window.partitionBy(key, "_tb").orderBy(*order)
+    out = (d.join(offs, [key, "_tb"])
+           .withColumn(pos_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
+    out = out.drop("_tb", "_off")
+    return out if with_length else out.drop("_len")
 
 
 def conv1d(df: DataFrame, key: str, order: Sequence[str], value_col: str, weights: np.ndarray,
-           bias: np.ndarray, padding: int | None = None, stride: int = 1, out_col: str = "out") -> DataFrame:
+           bias: np.ndarray, padding: int | None = None, stride: int = 1, out_col: str = "out",
+           granularity: float = SERIES_BUCKET_SECONDS) -> DataFrame:
     """weights (n_out, k): out[t, o] = sum_d w[o, d] * x[t*stride + d - padding] + b[o], zeros outside.
 
-    Emits one row per output step with an array of n_out values.
+    Scatter-aggregate: each input row sends w[:, d] * x to the output steps it feeds, and the
+    contributions are summed per (key, output step), a nearly unique grouping key, so a hot
+    series is spread over many tasks. Output length per key = floor((n + 2p - k) / stride) + 1.
     """
     n_out, k = weights.shape
     pad = k // 2 if padding is None else padding
-    w = Window.partitionBy(key).orderBy(*order)
-    d = positions(df, key, order)
-    taps = {}
-    for off in range(-pad, k - pad):
-        col = F.col(value_col).cast("double")
-        if off < 0:
-            taps[off] = F.coalesce(F.lag(col, -off).over(w), F.lit(0.0))
-        elif off > 0:
-            taps[off] = F.coalesce(F.lead(col, off).over(w), F.lit(0.0))
-        else:
-            taps[off] = col
-    outs = []
-    for o in range(n_out):
-        expr = None
-        for dd in range(k):
-            term = taps[dd - pad] * F.lit(float(weights[o, dd]))
-            expr = term if expr is None else expr + term
-        outs.append(expr + F.lit(float(bias[o])))
-    res = d.select(key, "pos", F.array(*outs).alias(out_col))
-    if stride > 1:
-        res = res.filter(F.col("pos") % stride == 0).withColumn("pos", (F.col("pos") / stride).cast("bigint"))
-    return res
+    d = positions(df.select(key, *order, value_col), key, order, granularity=granularity, with_length=True)
+    x = F.col(value_col).cast("double")
+    taps = []
+    for dd in range(k):
+        num = F.col("pos") + F.lit(pad - dd)  # = t * stride
+        t = F.when(num % stride == 0, (num / stride).cast("bigint"))
+        taps.append(F.struct(t.alias("t"), F.array(*[x * F.lit(float(weights[o, dd])) for o in range(n_out)]).alias("c")))
+    contrib = d.select(key, "_len", F.explode(F.array(*taps)).alias("tap")).select(key, "_len", "tap.t", "tap.c")
+    n_steps = F.floor((F.col("_len") + F.lit(2 * pad - k)) / F.lit(stride)) + 1
+    contrib = contrib.filter(F.col("t").isNotNull() & (F.col("t") >= 0) & (F.col("t") < n_steps))
+    sums = contrib.groupBy(key, F.col("t").alias("pos")).agg(
+        *[F.sum(F.col("c")[o]).alias(f"_o{o}") for o in range(n_out)])
+    return sums.select(key, "pos", F.array(*[F.col(f"_o{o}") + F.lit(float(bias[o])) for o in range(n_out)])
+                       .alias(out_col))
 
 
 def pool1d(df: DataFrame, key: str, order: Sequence[str], value_col: str, kernel: int = 3, stride: int = 2,
-           padding: int = 1, kind: str = "max", out_col: str = "value") -> DataFrame:
-    """Window k, stride s, padding p: out[t] = agg(x[t*s - p .. t*s - p + k - 1]), padding ignored."""
-    lo, hi = -padding, kernel - 1 - padding
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(lo, hi)
+           padding: int = 1, kind: str = "max", out_col: str = "value",
+           granularity: float = SERIES_BUCKET_SECONDS) -> DataFrame:
+    """Window k, stride s, padding p: out[t] = agg(x[t*s - p .. t*s - p + k - 1]), padding ignored.
+
+    Scatter-aggregate as in ``conv1d``: each row joins the (at most ceil(k/s)) windows that
+    contain it; the aggregate runs per (key, output step).
+    """
+    d = positions(df.select(key, *order, value_col), key, order, granularity=granularity, with_length=True)
+    taps = []
+    for dd in range(kernel):
+        num = F.col("pos") + F.lit(padding - dd)
+        taps.append(F.when(num % stride == 0, (num / stride).cast("bigint")))
+    contrib = d.select(key, "_len", value_col, F.explode(F.array(*taps)).alias("t"))
+    n_steps = F.floor((F.col("_len") + F.lit(2 * padding - kernel)) / F.lit(stride)) + 1
+    contrib = contrib.filter(F.col("t").isNotNull() & (F.col("t") >= 0) & (F.col("t") < n_steps))
     agg = F.max if kind == "max" else F.avg
-    d = positions(df, key, order)
-    n_w = Window.partitionBy(key)
-    res = d.select(key, "pos", agg(F.col(value_col)).over(w).alias(out_col), F.count(F.lit(1)).over(n_w).alias("_n"))
-    n_out = F.floor((F.col("_n") + 2 * padding - kernel) / stride) + 1
-    # output t is anchored on input row t*stride, its frame spans rows t*stride - p .. t*stride - p + k - 1
-    res = res.filter(F.col("pos") % stride == 0)
-    res = res.withColumn("pos", (F.col("pos") / stride).cast("bigint"))
-    return res.filter(F.col("pos") < n_out).drop("_n")
+    return contrib.groupBy(key, F.col("t").alias("pos")).agg(agg(value_col).alias(out_col))
 
 
 def lstm_params(n_in: int, units: int, n_out: int, seed: int | None = None) -> dict:

@@ -249,3 +249,30 @@ def test_programs_run_end_to_end(spark, program):
     s = summary(conf).first()
     assert s["total"] > 0 and 0.0 <= s["accuracy"] <= 1.0
     assert metrics.count() > 0
+
+
+def test_series_ops_with_a_hot_key_match_brute_force(spark):
+    """One user holds a third of all rows; positions, conv1d and pool1d stay exact."""
+    ev = fx.table(spark, SF, "events").select(
+        F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("user_id"),
+        "ts", "event_id", fx.quantise(F.col("value")).alias("value"))
+    w = np.array([[0.25, -0.5, 0.125], [0.0625, 0.75, -0.25]])
+    b = np.array([0.5, -0.125])
+    conv = {(r["user_id"], r["pos"]): r["out"] for r in
+            sequence.conv1d(ev, "user_id", ["ts", "event_id"], "value", w, b, padding=1, granularity=600).collect()}
+    pool = {(r["user_id"], r["pos"]): r["value"] for r in
+            sequence.pool1d(ev, "user_id", ["ts", "event_id"], "value", 3, 2, 1, "max", granularity=600).collect()}
+    pdf = ev.toPandas().sort_values(["user_id", "ts", "event_id"])
+    n_conv = n_pool = 0
+    for uid, g in pdf.groupby("user_id"):
+        x = g["value"].to_numpy()
+        xp = np.concatenate([[0.0], x, [0.0]])
+        for t in range(len(x)):
+            ref = w @ xp[t:t + 3] + b
+            assert np.allclose(conv[(uid, t)], ref)
+            n_conv += 1
+        for t in range((len(x) + 2 - 3) // 2 + 1):
+            lo, hi = max(0, 2 * t - 1), min(len(x), 2 * t + 2)
+            assert pool[(uid, t)] == x[lo:hi].max()
+            n_pool += 1
+    assert n_conv == len(conv) and n_pool == len(pool)
