@@ -108,10 +108,6 @@ def apply_range(df: DataFrame, stats: dict[str, tuple[float, float]], a: float =
 
 # ---------------------------------------------------------------- PRE-06..08 images
 
-def _px(arr: Column, idx: Column) -> Column:
-    return F.element_at(arr, (idx + 1).cast("int"))
-
-
 def resize(px: Column | str, c: int, h: int, w: int, oh: int, ow: int) -> Column:
     """PRE-06: bilinear resize with half-pixel centres, edge-clamped, per channel.
 
@@ -120,7 +116,7 @@ def resize(px: Column | str, c: int, h: int, w: int, oh: int, ow: int) -> Column
     """
     arr = F.col(px) if isinstance(px, str) else px
     # The sampling geometry depends only on the shapes: computed once on the driver and
-    # folded into one literal array, so each image is a pure gather + blend in codegen.
+    # folded into one literal array, so each image is a pure gather + blend on the JVM.
     geo = []
     for ch in range(c):
         for y in range(oh):

@@ -276,3 +276,25 @@ def test_series_ops_with_a_hot_key_match_brute_force(spark):
             assert pool[(uid, t)] == x[lo:hi].max()
             n_pool += 1
     assert n_conv == len(conv) and n_pool == len(pool)
+
+
+def test_scoring_applies_unchanged_to_a_streaming_frame(spark, tmp_path):
+    """The streaming package's note: scoring is a mapInArrow job, so a readStream frame works."""
+    from layerwise.operators.scoring import score
+    from layerwise.plans.queries_scoring import scorer_net
+    v = fx.vectors64(spark, SF)
+    src = str(tmp_path / "emb")
+    spark.read.parquet(f"{SF}/embeddings.parquet").write.parquet(src)  # a folder the stream can watch
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    feats = stream.select(F.col("vec_id").alias("id"),
+                          F.transform("embedding", lambda e: fx.quantise(e)).alias("features"))
+    q = (score(feats, scorer_net(), "features", keep=["id"]).writeStream.format("memory")
+         .queryName("scored_stream").option("checkpointLocation", str(tmp_path / "ck")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r["id"]: r["out"] for r in spark.sql("SELECT * FROM scored_stream").collect()}
+    ref = {r["id"]: r["out"] for r in score(v, scorer_net(), "features", keep=["id"]).collect()}
+    assert got.keys() == ref.keys()
+    assert all(np.allclose(got[k], ref[k]) for k in ref)
