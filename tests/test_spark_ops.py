@@ -298,3 +298,26 @@ def test_scoring_applies_unchanged_to_a_streaming_frame(spark, tmp_path):
     ref = {r["id"]: r["out"] for r in score(v, scorer_net(), "features", keep=["id"]).collect()}
     assert got.keys() == ref.keys()
     assert all(np.allclose(got[k], ref[k]) for k in ref)
+
+
+def test_gradient_is_independent_of_partitioning(spark):
+    """16 partitions take the two-level chunk reduction; 1 partition the single level."""
+    v = fx.vectors64(spark, SF)
+    net = Net.sequential((64,), [dense(300, "relu"), output(10, "softmax", "nll")]).init(seed=2)  # > 1 chunk
+    g1, s1, n1 = TR.gradient(v.repartition(1), net, "features", "label", 10)
+    g16, s16, n16 = TR.gradient(v.repartition(16), net, "features", "label", 10)
+    assert n1 == n16 == v.count()
+    assert abs(s1 - s16) < 1e-9
+    for k in g1:
+        assert np.allclose(g1[k], g16[k], atol=1e-12)
+
+
+def test_summary_leaves_out_classes_without_predictions(spark):
+    from layerwise.operators.evaluation import class_metrics, summary
+    df = spark.createDataFrame([(0, 0), (0, 0), (1, 0), (2, 2)], "label int, pred int")
+    conf = confusion(df, 3)
+    per = {r["cls"]: r for r in class_metrics(conf).collect()}
+    assert per[1]["precision"] is None and per[1]["recall"] == 0.0
+    s = summary(conf).first()
+    assert s["total"] == 4 and s["correct"] == 3
+    assert s["macro_precision"] == pytest.approx((2 / 3 + 1.0) / 2)
