@@ -292,13 +292,39 @@ def prepare_rounds(df: DataFrame, id_col: str, spec: FitSpec, epoch: int = 0) ->
             .withColumn("_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string"))))
 
 
+def _round_table(spark, src: DataFrame, id_col: str, spec: FitSpec, epoch: int):
+    """Write the epoch's round table once; return (table, number of rounds, co-located flag)."""
+    path = scratch_path(spark, f"rounds-e{epoch}")
+    prep = prepare_rounds(src, id_col, spec, epoch)
+    # one writer per round block, rows sorted by round: a round reads one directory and,
+    # through row-group statistics, only its own rows
+    (prep.repartition("round_block").sortWithinPartitions("round", "worker_id")
+     .write.mode("overwrite").partitionBy("round_block").parquet(path))
+    data = spark.read.parquet(path)
+    n_rounds_row = data.agg(F.max("round").alias("r")).first()
+    n_rounds = 0 if n_rounds_row["r"] is None else int(n_rounds_row["r"]) + 1
+    # Small prepared tables are kept in executor memory (spilling to disk), hash-partitioned so
+    # every worker's rows of a round sit in one partition: a round is then one stage with no
+    # shuffle. Larger tables stay on shared storage and a round groups its rows by worker.
+    size = int(str(data._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    co_located = size <= cache_limit(spark)
+    if co_located:
+        parts = max(1, min(spark.sparkContext.defaultParallelism,
+                           spec.workers * (n_rounds // ROUNDS_PER_BLOCK + 1)))
+        data = (data.repartition(parts, "worker_id", "round_block").sortWithinPartitions("round")
+                .persist(StorageLevel.MEMORY_AND_DISK))  # sorted: cached-batch statistics prune rounds
+    return data, n_rounds, co_located
+
+
 def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, labels: dict | str,
                   n_classes: dict | int, spec: FitSpec, run: str = "fit", listener=None):
     """TRN-03: synchronous parameter averaging. Returns (trained Net, metrics DataFrame, state vector).
 
-    Per round one Spark job: read round r (partition-pruned), group by worker,
-    run F mini-batches in NumPy from the broadcast parameters, emit the worker's
-    parameters + updater state in chunks, average chunks by a grouped job.
+    The round table is written once per fit (or once per epoch when reshuffling). Per round
+    one Spark job: read round r (cached co-located rows, or partition-pruned Parquet grouped by
+    worker), run F mini-batches in NumPy from the shipped parameters, emit the worker's
+    parameters + updater state in chunks, and average them (one collect when small, a grouped
+    chunk sum otherwise).
     """
     spark = df.sparkSession
     if isinstance(features, str):
@@ -320,26 +346,13 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     src_path = scratch_path(spark, "fit-input")
     df.select(*cols).write.mode("overwrite").parquet(src_path)
     src = spark.read.parquet(src_path)
+    data = None
+    co_located = False
     for epoch in range(spec.epochs):
-        path = scratch_path(spark, f"rounds-e{epoch}")
-        prep = prepare_rounds(src, id_col, spec, epoch)
-        # one writer per round block, rows sorted by round: a round reads one directory and,
-        # through row-group statistics, only its own rows
-        (prep.repartition("round_block").sortWithinPartitions("round", "worker_id")
-         .write.mode("overwrite").partitionBy("round_block").parquet(path))
-        data = spark.read.parquet(path)
-        n_rounds_row = data.agg(F.max("round").alias("r")).first()
-        n_rounds = 0 if n_rounds_row["r"] is None else int(n_rounds_row["r"]) + 1
-        # Small prepared tables are kept in executor memory (spilling to disk), hash-partitioned so
-        # every worker's rows of a round sit in one partition: a round is then one stage with no
-        # shuffle. Larger tables stay on shared storage and a round groups its rows by worker.
-        size = int(str(data._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        co_located = size <= cache_limit(spark)
-        if co_located:
-            parts = max(1, min(spark.sparkContext.defaultParallelism,
-                               spec.workers * (n_rounds // ROUNDS_PER_BLOCK + 1)))
-            data = (data.repartition(parts, "worker_id", "round_block").sortWithinPartitions("round")
-                    .persist(StorageLevel.MEMORY_AND_DISK))  # sorted: cached-batch statistics prune rounds
+        if data is None or spec.reshuffle_each_epoch:
+            if data is not None and co_located:
+                data.unpersist()
+            data, n_rounds, co_located = _round_table(spark, src, id_col, spec, epoch)
         for r in range(n_rounds):
             vec = np.concatenate([net.flat(), state])
             shipped = Net(net.inputs, net.vertices, net.outputs)
@@ -380,8 +393,8 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             metrics.append(rec)
             if listener is not None:
                 listener(rec)
-        if co_located:
-            data.unpersist()
+    if data is not None and co_located:
+        data.unpersist()
     mdf = spark.createDataFrame(metrics, "run string, epoch int, round int, iteration bigint, score double, "
                                          "elapsed_ms bigint")
     return net, mdf, state
