@@ -128,6 +128,12 @@ def assign_batches(df: DataFrame, id_col: str, size: int, seed,
     return r.withColumn(batch_col, F.floor(F.col("_rank") / F.lit(size)).cast("bigint")).drop("_rank")
 
 
+def collate_batches(df: DataFrame, batch_col: str, cols, out_col: str = "rows") -> DataFrame:
+    """PRE-09 collation: one row per batch holding its examples; a group is one batch (bounded
+    by the batch size), never a whole table."""
+    return df.groupBy(batch_col).agg(F.collect_list(F.struct(*cols)).alias(out_col))
+
+
 def stride_sample(df: DataFrame, batch_col: str = "batch_id", every: int = 3,
                   exclude: bool = True, part_col: str = "part") -> DataFrame:
     """SPL-03: batches with batch_id % every == 0 are the test part.

@@ -263,6 +263,7 @@ class FitSpec:
     renorm_l2: bool = False
     dropout_seed: int = 7
     reshuffle_each_epoch: bool = False
+    score_every: int = 1          # SNK-03: keep a metrics row every N rounds (and the last of each epoch)
 
 
 def _worker_step(model: Net, spec: FitSpec, w: np.ndarray, s: np.ndarray, keys, fd, ld, iteration, ids):
@@ -390,9 +391,10 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             iteration += int(summed[0]["nb"])
             score = summed[0]["loss"] / n_workers
             rec = (run, epoch, r, iteration, float(score), int((time.time() - t0) * 1000))
-            metrics.append(rec)
-            if listener is not None:
-                listener(rec)
+            if r % max(spec.score_every, 1) == 0 or r == n_rounds - 1:
+                metrics.append(rec)
+                if listener is not None:
+                    listener(rec)
     if data is not None and co_located:
         data.unpersist()
     mdf = spark.createDataFrame(metrics, "run string, epoch int, round int, iteration bigint, score double, "

@@ -321,3 +321,23 @@ def test_summary_leaves_out_classes_without_predictions(spark):
     s = summary(conf).first()
     assert s["total"] == 4 and s["correct"] == 3
     assert s["macro_precision"] == pytest.approx((2 / 3 + 1.0) / 2)
+
+
+def test_metrics_every_n_rounds(spark):
+    v = fx.vectors64(spark, SF)
+    net0 = Net.sequential((64,), [output(10, "softmax", "nll")]).init(scheme="zero")
+    spec = TR.FitSpec(workers=2, batch=16, frequency=1, epochs=1, seed=3, score_every=3)
+    _, every, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    spec.score_every = 1
+    _, all_rounds, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    n = all_rounds.count()
+    assert every.count() == len({r for r in range(n) if r % 3 == 0} | {n - 1})
+
+
+def test_collate_batches_keeps_every_row_once(spark):
+    o = fx.table(spark, SF, "orders").select("o_orderkey", "o_totalprice")
+    b = splits.assign_batches(o, "o_orderkey", 64, 1)
+    col = splits.collate_batches(b, "batch_id", ["o_orderkey", "o_totalprice"]).toPandas()
+    keys = [r["o_orderkey"] for rows in col["rows"] for r in rows]
+    assert sorted(keys) == sorted(r[0] for r in o.collect())
+    assert max(len(rows) for rows in col["rows"]) == 64
