@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import hex_prefix_int, md5_key
 
 MAX_BUCKETS = 1 << 16  # bound of every histogram collected or broadcast here
+HOT_ROWS = 1 << 22     # a rank unit above this size (and far above the average) is split
 
 
 def _bucket_bits(n_groups: int) -> int:
@@ -28,6 +29,57 @@ def with_order_key(df: DataFrame, id_col: str, seed) -> DataFrame:
     return df.withColumn("_key", md5_key(seed, id_col))
 
 
+def hot_rows(spark) -> int:
+    try:
+        return int(spark.conf.get("spark.layerwise.hotRows"))
+    except Exception:  # noqa: BLE001 - unset
+        return HOT_ROWS
+
+
+def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
+    """Order-preserving rank units (pcols, _b, _seg, _sub) and their sizes.
+
+    Normally a unit is one md5 bucket (_seg = _sub = 0). A bucket far above the average
+    size holds a heavily repeated id: its rows are tied in the order, so each such tie
+    group becomes its own segment between the runs of other rows (_seg = 2 * groups below,
+    + 1 for the group itself) and is split into _sub parts by a row hash. Every unit stays
+    small, and the concatenation of units in key order is still the sorted order.
+    """
+    spark = keyed.sparkSession
+    keyed = keyed.withColumn("_h", F.xxhash64(*data_cols))
+    hist = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()  # bounded
+    if len(hist) > MAX_BUCKETS:
+        raise ValueError(f"{len(hist)} (group, bucket) cells: raise n_groups to the number of groups")
+    limit = hot_rows(spark)
+    expected = max(1, int(hist["_cnt"].sum()) // max(len(hist), 1))
+    hot = hist[hist["_cnt"] > max(limit, 8 * expected)]
+    if hot.empty:
+        keyed = keyed.withColumn("_seg", F.lit(0)).withColumn("_sub", F.lit(0))
+        return keyed, hist.assign(_seg=0, _sub=0)
+    # repeated (key, id) values, looked for inside the over-full buckets only
+    hb = spark.createDataFrame(hot[[*pcols, "_b"]].astype({"_b": "int32"}),
+                               T.StructType([keyed.schema[c] for c in pcols] + [T.StructField("_b", T.IntegerType())]))
+    ties = (keyed.join(F.broadcast(hb), [*pcols, "_b"]).groupBy(*pcols, "_b", "_key", id_col)
+            .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(max(limit // 4, 2 * expected))))
+    part = max(1, limit // 8)
+    ties = ties.withColumn("_s", F.ceil(F.col("_n") / F.lit(part)).cast("int"))
+    per_bucket = ties.groupBy(*pcols, "_b").agg(F.collect_list(
+        F.struct(F.col("_key").alias("k"), F.col(id_col).alias("i"), F.col("_s").alias("s"))).alias("_ties"))
+    # at most MAX_BUCKETS / 2 tie groups exist in total, so this table is bounded
+    keyed = keyed.join(F.broadcast(per_bucket), [*pcols, "_b"], "left")
+    key, idc = F.col("_key"), F.col(id_col)
+    below = F.coalesce(F.size(F.filter("_ties", lambda t: (t["k"] < key) | ((t["k"] == key) & (t["i"] < idc)))),
+                       F.lit(0))
+    mine = F.filter("_ties", lambda t: (t["k"] == key) & (t["i"] == idc))
+    is_tie = F.coalesce(F.size(mine), F.lit(0)) > 0
+    keyed = (keyed.withColumn("_seg", F.when(is_tie, below * 2 + 1).otherwise(below * 2).cast("int"))
+             .withColumn("_sub", F.when(is_tie, F.pmod(F.col("_h"), F.element_at(mine, 1)["s"].cast("long")))
+                         .otherwise(F.lit(0)).cast("int"))
+             .drop("_ties"))
+    hist = keyed.groupBy(*pcols, "_b", "_seg", "_sub").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()
+    return keyed, hist
+
+
 def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
            n_groups: int = 1, rank_col: str = "rank") -> DataFrame:
     """0-based rank of each row in (md5(seed|id), id) order, per ``partition_cols``.
@@ -35,26 +87,28 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
     Two passes: (1) bucket histogram per group, a bounded table collected to the
     driver for its running sums; (2) broadcast join of the offsets and a row_number
     inside (group, bucket) only. ``n_groups`` bounds the number of distinct group
-    values so the histogram stays within ``MAX_BUCKETS`` rows.
+    values so the histogram stays within ``MAX_BUCKETS`` rows. Rows that tie on a
+    heavily repeated id are split over several units (see ``_units``); their order
+    among themselves follows a hash of the whole row.
     """
     bits = _bucket_bits(n_groups)
     pcols = list(partition_cols)
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
-    hist = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    pdf = hist.toPandas()  # Arrow transfer; at most n_groups * 2^bits = MAX_BUCKETS rows
-    if len(pdf) > MAX_BUCKETS:
-        raise ValueError(f"{len(pdf)} (group, bucket) cells: raise n_groups to the number of groups")
-    pdf = pdf.sort_values([*pcols, "_b"]).reset_index(drop=True)
+    keyed, pdf = _units(keyed, id_col, pcols, list(df.columns))
+    unit = [*pcols, "_b", "_seg", "_sub"]
+    pdf = pdf.sort_values(unit).reset_index(drop=True)
     running = pdf.groupby(pcols)["_cnt"].cumsum() if pcols else pdf["_cnt"].cumsum()
     pdf["_off"] = (running - pdf["_cnt"]).astype("int64")
-    schema = T.StructType([keyed.schema[c] for c in pcols] + [T.StructField("_b", T.IntegerType()),
-                                                               T.StructField("_off", T.LongType())])
-    offsets = df.sparkSession.createDataFrame(pdf[[*pcols, "_b", "_off"]].astype({"_b": "int32"}), schema)
-    w = Window.partitionBy(*pcols, "_b").orderBy("_key", id_col)
-    out = (keyed.join(F.broadcast(offsets), on=[*pcols, "_b"], how="inner")
+    schema = T.StructType([keyed.schema[c] for c in pcols] + [
+        T.StructField("_b", T.IntegerType()), T.StructField("_seg", T.IntegerType()),
+        T.StructField("_sub", T.IntegerType()), T.StructField("_off", T.LongType())])
+    offsets = df.sparkSession.createDataFrame(
+        pdf[[*unit, "_off"]].astype({"_b": "int32", "_seg": "int32", "_sub": "int32"}), schema)
+    w = Window.partitionBy(*unit).orderBy("_key", id_col, "_h")
+    out = (keyed.join(F.broadcast(offsets), on=unit, how="inner")
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
-    return out.drop("_key", "_b", "_off")
+    return out.drop("_key", "_b", "_off", "_seg", "_sub", "_h")
 
 
 def seeded_order(df: DataFrame, id_col: str, seed, pos_col: str = "pos") -> DataFrame:
@@ -83,29 +137,32 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
     """
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", hex_prefix_int(F.col("_key"), 4).cast("int")))
-    hpdf = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()  # <= MAX_BUCKETS rows
-    hist = sorted(zip(hpdf["_b"].astype(int).tolist(), hpdf["_cnt"].astype(int).tolist()))
-    n = sum(c for _, c in hist)
+    keyed, hpdf = _units(keyed, id_col, [], list(df.columns))
+    unit = ["_b", "_seg", "_sub"]
+    hpdf = hpdf.sort_values(unit).reset_index(drop=True)
+    n = int(hpdf["_cnt"].sum())
     cuts = split_sizes(n, weights)
     lookup = []
     off = 0
-    for b, c in hist:
+    for b, sg, sb, c in zip(hpdf["_b"].tolist(), hpdf["_seg"].tolist(), hpdf["_sub"].tolist(),
+                            hpdf["_cnt"].astype(int).tolist()):
         lo, hi = off, off + c
         p_lo = next(j for j, cut in enumerate(cuts) if lo < cut) if c else 0
         p_hi = next(j for j, cut in enumerate(cuts) if hi - 1 < cut) if c else 0
         if p_lo == p_hi:
-            lookup.append((b, p_lo, None))
+            lookup.append((b, sg, sb, p_lo, None))
         else:
-            lookup.append((b, None, lo))
+            lookup.append((b, sg, sb, None, lo))
         off = hi
     spark = df.sparkSession
     import pandas as pd
-    lk = spark.createDataFrame(pd.DataFrame(lookup, columns=["_b", "_p", "_off"]).astype(
-        {"_b": "int32", "_p": "Int32", "_off": "Int64"}), "_b int, _p int, _off long")
-    joined = keyed.join(F.broadcast(lk), "_b")
+    lk = spark.createDataFrame(pd.DataFrame(lookup, columns=[*unit, "_p", "_off"]).astype(
+        {"_b": "int32", "_seg": "int32", "_sub": "int32", "_p": "Int32", "_off": "Int64"}),
+        "_b int, _seg int, _sub int, _p int, _off long")
+    joined = keyed.join(F.broadcast(lk), unit)
     plain = joined.filter(F.col("_p").isNotNull()).withColumn(part_col, F.col("_p").cast("bigint"))
     edge = joined.filter(F.col("_p").isNull())
-    w = Window.partitionBy("_b").orderBy("_key", id_col)
+    w = Window.partitionBy(*unit).orderBy("_key", id_col, "_h")
     rank = F.col("_off") + F.row_number().over(w) - 1
     part_expr = F.lit(len(cuts) - 1)
     for j in range(len(cuts) - 2, -1, -1):

@@ -341,3 +341,32 @@ def test_collate_batches_keeps_every_row_once(spark):
     keys = [r["o_orderkey"] for rows in col["rows"] for r in rows]
     assert sorted(keys) == sorted(r[0] for r in o.collect())
     assert max(len(rows) for rows in col["rows"]) == 64
+
+
+def test_ranks_and_split_with_a_heavily_repeated_id(spark):
+    """A third of the rows share one id: ranks stay a permutation in (md5, id) order, split sizes stay exact."""
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                               F.col("id").alias("payload"))
+    spark.conf.set("spark.layerwise.hotRows", "64")
+    try:
+        r = splits.ranked(df, "k", 5, rank_col="r").toPandas()
+        parts = splits.weighted_split(df, "k", [7, 3], 5).toPandas()
+        plan = splits.ranked(df, "k", 5, rank_col="r")._jdf.queryExecution().executedPlan().toString()
+        keyed = splits.with_order_key(df, "k", 5).withColumn(
+            "_b", splits.hex_prefix_int(F.col("_key"), 4).cast("int"))
+        _, hist = splits._units(keyed, "k", [], list(df.columns))
+    finally:
+        spark.conf.unset("spark.layerwise.hotRows")
+    assert sorted(r["r"]) == list(range(n))
+    r["key"] = [hashlib.md5(f"5|{k}".encode()).hexdigest() for k in r["k"]]
+    ordered = r.sort_values("r")
+    keys = list(zip(ordered["key"], ordered["k"]))
+    assert keys == sorted(keys)
+    assert (parts["part"] == 0).sum() == n * 7 // 10 and len(parts) == n
+    parts["key"] = [hashlib.md5(f"5|{k}".encode()).hexdigest() for k in parts["k"]]
+    top = max(zip(parts[parts.part == 0]["key"], parts[parts.part == 0]["k"]))
+    bottom = min(zip(parts[parts.part == 1]["key"], parts[parts.part == 1]["k"]))
+    assert top <= bottom
+    assert "Window" in plan
+    assert hist["_cnt"].max() <= 64 and len(hist[hist["_seg"] > 0]) > 1  # the tie group was split
