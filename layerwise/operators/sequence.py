@@ -23,6 +23,7 @@ from . import kernels as K
 
 
 SERIES_BUCKET_SECONDS = 3600
+MIN_BUCKET_SECONDS = 1e-6
 
 
 def _time_bucket(col_name: str, dtype, granularity: float):
@@ -41,12 +42,22 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
     No window holds a whole series: rows are bucketed by (key, floor(order[0] / granularity));
     the per-key histogram of buckets (bounded by the series' time span / granularity, not by
     its row count) gives each bucket's offset, and row_number runs only inside one
-    (key, bucket). A key holding a third of all rows is spread over its buckets.
+    (key, bucket). A key holding a third of all rows is spread over its buckets; when one
+    (key, bucket) cell still exceeds ``spark.layerwise.hotRows`` the buckets are narrowed
+    and counted again.
     """
     order = list(order)
-    b = _time_bucket(order[0], df.schema[order[0]].dataType, granularity)
-    d = df.withColumn("_tb", b)
-    hist = d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
+    from .splits import hot_rows
+    limit = hot_rows(df.sparkSession)
+    dtype = df.schema[order[0]].dataType
+    while True:
+        d = df.withColumn("_tb", _time_bucket(order[0], dtype, granularity))
+        hist = d.groupBy(key, "_tb").agg(F.count(F.lit(1)).alias("_cnt"))
+        biggest = hist.agg(F.max("_cnt")).first()[0] or 0
+        # a burst inside one bucket: narrow the buckets until no (key, bucket) cell is hot
+        if biggest <= limit or granularity <= MIN_BUCKET_SECONDS:
+            break
+        granularity = max(MIN_BUCKET_SECONDS, granularity / (2 * -(-biggest // limit)))
     w_hist = Window.partitionBy(key).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     offs = hist.select(key, "_tb", F.coalesce(F.sum("_cnt").over(w_hist), F.lit(0)).alias("_off"),
                        F.sum("_cnt").over(Window.partitionBy(key)).alias("_len"))

@@ -370,3 +370,17 @@ def test_ranks_and_split_with_a_heavily_repeated_id(spark):
     assert top <= bottom
     assert "Window" in plan
     assert hist["_cnt"].max() <= 64 and len(hist[hist["_seg"] > 0]) > 1  # the tie group was split
+
+
+def test_series_positions_narrow_buckets_for_a_burst(spark):
+    """All rows in one huge time bucket: buckets are narrowed until no cell exceeds hotRows."""
+    ev = fx.table(spark, SF, "events").select(F.lit(1).alias("user_id"), "ts", "event_id")
+    spark.conf.set("spark.layerwise.hotRows", "50")
+    try:
+        pos = sequence.positions(ev, "user_id", ["ts", "event_id"], granularity=1e9).toPandas()
+    finally:
+        spark.conf.unset("spark.layerwise.hotRows")
+    ref = ev.toPandas().sort_values(["ts", "event_id"]).reset_index(drop=True)
+    got = pos.sort_values("pos").reset_index(drop=True)
+    assert got["pos"].tolist() == list(range(len(ref)))
+    assert got["event_id"].tolist() == ref["event_id"].tolist()
