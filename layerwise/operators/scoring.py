@@ -121,7 +121,7 @@ def dense_join(df: DataFrame, id_col: str, features_col: str, W: DataFrame, b: D
 # ---------------------------------------------------------------- native activations (SCR-02)
 
 def act_expr(col: Column | str, kind: str, slope: float = 0.01) -> Column:
-    """Element-wise activation on an array column, inside codegen."""
+    """Element-wise activation on an array column, evaluated on the JVM (no Python)."""
     c = F.col(col) if isinstance(col, str) else col
     kind = kind.lower()
     if kind == "identity":
@@ -192,3 +192,30 @@ def merge_inputs(left: DataFrame, right: DataFrame, id_col: str, a: str, b: str,
                  out_col: str = "merged") -> DataFrame:
     """SCR-08: inner equi-join on id, then concatenate the two vectors."""
     return left.join(right, id_col, "inner").withColumn(out_col, F.concat(F.col(a), F.col(b)))
+
+
+def fit_batchnorm_layers(df: DataFrame, net: Net, inputs: dict | str) -> Net:
+    """SCR-06 feeding SCR-13: fit every batch-norm vertex's mean and variance from data.
+
+    Vertices are visited in order; for each one the net is scored up to its input (with the
+    statistics fitted so far) and one pair of global aggregates gives the per-channel moments.
+    Returns a copy of the net with the fitted statistics.
+    """
+    out = net.copy()
+    if isinstance(inputs, str):
+        inputs = {next(iter(net.inputs)): inputs}
+    for v in net.vertices:
+        if v.layer is None or v.layer.kind != "batchnorm":
+            continue
+        src = v.inputs[0]
+        shape = out.shapes[src]
+        c, h, w = (shape + (1, 1))[:3] if len(shape) < 3 else shape
+        if src in out.inputs:
+            col, scored = inputs[src], df
+        else:
+            col = "_bn_in"
+            scored = score(df, out, inputs, outputs={src: col})
+        mean, var = batchnorm_fit(scored, col, c, h, w)
+        out.params[(v.name, "mean")] = np.asarray(mean, dtype=float)
+        out.params[(v.name, "var")] = np.asarray(var, dtype=float)
+    return out

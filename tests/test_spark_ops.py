@@ -384,3 +384,18 @@ def test_series_positions_narrow_buckets_for_a_burst(spark):
     got = pos.sort_values("pos").reset_index(drop=True)
     assert got["pos"].tolist() == list(range(len(ref)))
     assert got["event_id"].tolist() == ref["event_id"].tolist()
+
+
+def test_fit_batchnorm_layers_normalises_each_channel(spark):
+    from layerwise.operators.model import Vertex, batchnorm_layer, conv2d
+    from layerwise.operators.scoring import fit_batchnorm_layers, score
+    v = fx.vectors64(spark, SF)
+    vs = [Vertex("c1", "layer", ["input"], conv2d(3, (3, 3), mode="same")),
+          Vertex("b1", "layer", ["c1"], batchnorm_layer())]
+    net = Net({"input": (4, 4, 4)}, vs, ["b1"]).init(seed=1)
+    fitted = fit_batchnorm_layers(v, net, "features")
+    out = np.stack(score(v, fitted, "features").toPandas()["out"].to_numpy()).reshape(-1, 3, 16)
+    per_channel = out.transpose(1, 0, 2).reshape(3, -1)
+    assert np.allclose(per_channel.mean(axis=1), 0.0, atol=1e-9)
+    fitted_var = fitted.params[("b1", "var")]
+    assert np.allclose(per_channel.var(axis=1), fitted_var / (fitted_var + 1e-5), atol=1e-9)
