@@ -399,3 +399,20 @@ def test_fit_batchnorm_layers_normalises_each_channel(spark):
     assert np.allclose(per_channel.mean(axis=1), 0.0, atol=1e-9)
     fitted_var = fitted.params[("b1", "var")]
     assert np.allclose(per_channel.var(axis=1), fitted_var / (fitted_var + 1e-5), atol=1e-9)
+
+
+def test_graph_model_round_trip(spark):
+    from layerwise.plans.queries_scoring import conv_block_net, two_input_net
+    from layerwise.sources.model_store import read_model, write_model
+    for net in (conv_block_net(), two_input_net()):
+        path = scratch_path(spark, "graph-model")
+        write_model(spark, net, path)
+        back = read_model(spark, path)
+        assert [v.name for v in back.vertices] == [v.name for v in net.vertices]
+        assert [v.op for v in back.vertices] == [v.op for v in net.vertices]
+        assert back.outputs == net.outputs and back.inputs == net.inputs
+        assert np.array_equal(back.flat(), net.flat())
+        rng = np.random.default_rng(0)
+        feeds = {k: rng.normal(size=(3, int(np.prod(s)))) for k, s in net.inputs.items()}
+        a, b = net.predict_proba(feeds), back.predict_proba(feeds)
+        assert all(np.allclose(a[o], b[o]) for o in net.outputs)
