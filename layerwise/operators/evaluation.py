@@ -26,6 +26,15 @@ def confusion(df: DataFrame, k: int, label_col: str = "label", pred_col: str = "
     return rows.groupBy("actual", "predicted").agg(F.sum("n").cast("bigint").alias("n"))
 
 
+def confusion_wide(conf: DataFrame, k: int) -> DataFrame:
+    """EVL-01 as a k x k grid: one row per actual class, one column per predicted class.
+
+    The pivot values are given, so no extra pass collects them.
+    """
+    return (conf.groupBy("actual").pivot("predicted", list(range(k))).agg(F.sum("n"))
+            .na.fill(0).orderBy("actual"))
+
+
 def merge_confusions(parts: Sequence[DataFrame]) -> DataFrame:
     """EVL-03: partial confusion tables merged by summing their counts."""
     u = reduce(lambda a, b: a.unionByName(b), parts)

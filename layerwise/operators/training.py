@@ -488,3 +488,22 @@ def dropout_expr(arr, id_col: str, seed: int, iteration: int, vertex: str, keep:
     a = F.col(arr) if isinstance(arr, str) else arr
     return F.transform(a, lambda x, u: F.when(hash01(seed, F.lit(iteration), F.lit(vertex), id_col, u) < F.lit(keep),
                                               x / F.lit(keep)).otherwise(F.lit(0.0)))
+
+
+def init_table(spark, n_in: int, n_out: int, seed: int, layer: int = 0, scheme: str = "xavier",
+               std: float = 0.01) -> DataFrame:
+    """OPT-1 table form: a weight matrix generated on the executors as rows (i, j, w).
+
+    Two md5 uniforms per cell, coin(seed|layer|cell|0) and coin(seed|layer|cell|1), feed
+    Box-Muller; Xavier scales by sqrt(2 / (n_in + n_out)). For matrices too large to build
+    on the driver; the result pairs with ``scoring.dense_join``.
+    """
+    from ..functions.hashing import hash01
+    sd = math.sqrt(2.0 / (n_in + n_out)) if scheme == "xavier" else std
+    cells = spark.range(n_in * n_out)
+    u1 = F.greatest(hash01(seed, F.lit(layer), "id", F.lit(0)), F.lit(1e-12))
+    u2 = hash01(seed, F.lit(layer), "id", F.lit(1))
+    gauss = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+    return cells.select((F.col("id") / F.lit(n_out)).cast("int").alias("i"),
+                        (F.col("id") % F.lit(n_out)).cast("int").alias("j"),
+                        (gauss * F.lit(sd)).alias("w"))

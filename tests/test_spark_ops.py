@@ -416,3 +416,30 @@ def test_graph_model_round_trip(spark):
         feeds = {k: rng.normal(size=(3, int(np.prod(s)))) for k, s in net.inputs.items()}
         a, b = net.predict_proba(feeds), back.predict_proba(feeds)
         assert all(np.allclose(a[o], b[o]) for o in net.outputs)
+
+
+def test_init_table_moments_and_sql_twin(spark, duck):
+    w = TR.init_table(spark, 200, 300, seed=9).toPandas()
+    assert len(w) == 60000
+    assert abs(w["w"].mean()) < 2e-3 and abs(w["w"].std() - np.sqrt(2 / 500)) < 2e-3
+    sql = """SELECT (id // 300)::INTEGER AS i, (id % 300)::INTEGER AS j,
+                    sqrt(-2 * ln(greatest(('0x' || substr(md5(concat_ws('|', '9', '0', id::VARCHAR, '0')), 1, 8))::BIGINT
+                                          / 4294967296.0, 1e-12)))
+                    * cos(2 * pi() * ('0x' || substr(md5(concat_ws('|', '9', '0', id::VARCHAR, '1')), 1, 8))::BIGINT
+                          / 4294967296.0) * sqrt(2.0 / 500) AS w FROM range(60000) t(id)"""
+    d = duck.execute(sql).df().sort_values(["i", "j"]).reset_index(drop=True)
+    s = w.sort_values(["i", "j"]).reset_index(drop=True)
+    assert np.allclose(d["w"], s["w"], atol=1e-12)
+
+
+def test_confusion_wide_and_string_indexer_cross_check(spark):
+    from pyspark.ml.feature import StringIndexer
+    from layerwise.operators.evaluation import confusion_wide
+    df = spark.range(300).select((F.col("id") % 3).alias("label"), (F.col("id") % 2).alias("pred"))
+    wide = confusion_wide(confusion(df, 3), 3).toPandas()
+    assert wide.shape == (3, 4) and int(wide[["0", "1", "2"]].to_numpy().sum()) == 300
+    c = fx.table(spark, SF, "customer").select("c_custkey", "c_mktsegment")
+    ours = {r["c_custkey"]: r["label"] for r in prep.index_labels(c, "c_mktsegment").collect()}
+    model = StringIndexer(inputCol="c_mktsegment", outputCol="ix", stringOrderType="alphabetAsc").fit(c)
+    theirs = {r["c_custkey"]: int(r["ix"]) for r in model.transform(c).collect()}
+    assert ours == theirs
