@@ -152,23 +152,38 @@ def lstm_score(df: DataFrame, key: str, order: Sequence[str], features_col: str,
     schema = T.StructType(fields)
     p = {k: np.asarray(v, dtype=float) for k, v in params.items()}
 
+    n_out = p["Wo"].shape[1]
+
     def run(batches):
-        cur_key, h, c, step = None, None, None, 0
+        from .scoring import to_list_array, to_matrix
+        carry = None  # (key, h, c, next step) of the series that may continue in the next batch
         for rb in batches:
-            keys = rb.column(key).to_pylist()
-            x = np.asarray(rb.column(features_col).flatten().to_numpy(zero_copy_only=False),
-                           dtype=float).reshape(len(keys), n_in)
-            outs = np.empty((len(keys), p["Wo"].shape[1]))
-            steps = np.empty(len(keys), dtype=np.int64)
-            for r, kv in enumerate(keys):
-                if kv != cur_key:
-                    cur_key, h, c, step = kv, np.zeros((1, units)), np.zeros((1, units)), 0
-                h, c = K.lstm_step(x[r:r + 1], h, c, p["Wx"], p["Wh"], p["b"], p["peep"])
-                z = np.concatenate([x[r:r + 1], h], axis=1) @ p["Wo"] + p["bo"]
-                outs[r] = K.activate(z, out_activation)[0]
-                steps[r] = step
-                step += 1
-            from .scoring import to_list_array
+            n = rb.num_rows
+            if n == 0:
+                continue
+            keys = np.asarray(rb.column(key).to_pylist(), dtype=object)
+            x = to_matrix(rb.column(features_col), n_in)
+            change = np.ones(n, dtype=bool)
+            change[1:] = keys[1:] != keys[:-1]
+            starts = np.flatnonzero(change)
+            lens = np.diff(np.append(starts, n))
+            H = np.zeros((len(starts), units))
+            C = np.zeros((len(starts), units))
+            step0 = np.zeros(len(starts), dtype=np.int64)
+            if carry is not None and keys[0] == carry[0]:
+                H[0], C[0], step0[0] = carry[1], carry[2], carry[3]
+            outs = np.empty((n, n_out))
+            steps = np.empty(n, dtype=np.int64)
+            # all series of the batch advance one step together (vectorised across keys)
+            for t in range(int(lens.max())):
+                act = np.flatnonzero(lens > t)
+                rows = starts[act] + t
+                h, c = K.lstm_step(x[rows], H[act], C[act], p["Wx"], p["Wh"], p["b"], p["peep"])
+                H[act], C[act] = h, c
+                z = np.concatenate([x[rows], h], axis=1) @ p["Wo"] + p["bo"]
+                outs[rows] = K.activate(z, out_activation)
+                steps[rows] = step0[act] + t
+            carry = (keys[-1], H[-1].copy(), C[-1].copy(), int(step0[-1] + lens[-1]))
             arrays = [rb.column(key)] + [rb.column(k) for k in keep] + [pa.array(steps), to_list_array(outs)]
             yield pa.RecordBatch.from_arrays(arrays, names=[key] + keep + ["step", out_col])
 
