@@ -30,15 +30,20 @@ def max_model_bytes(spark) -> int:
 
 def ship(spark, net: Net):
     """Return a zero-argument getter usable inside tasks; size-checked."""
+    return ship_releasable(spark, net)[0]
+
+
+def ship_releasable(spark, net: Net):
+    """(getter, release): like ``ship``; ``release()`` drops a broadcast copy once a job is done."""
     size = net.nbytes()
     limit = max_model_bytes(spark)
     if size > limit:
         raise ValueError(f"model has {size} bytes of parameters, above the broadcast bound {limit}; "
                          "score dense layers with dense_join() instead")
     if size <= CLOSURE_BYTES:
-        return lambda: net
+        return (lambda: net), (lambda: None)
     bc = spark.sparkContext.broadcast(net)
-    return lambda: bc.value
+    return (lambda: bc.value), (lambda: bc.unpersist(blocking=False))
 
 
 def to_matrix(col, width: int) -> np.ndarray:

@@ -117,12 +117,15 @@ def seeded_order(df: DataFrame, id_col: str, seed, pos_col: str = "pos") -> Data
 
 
 def split_sizes(n: int, weights: Sequence[float]) -> list[int]:
-    """Exact part sizes: cut_j = floor(n * cumw_j / total); the last part takes the rest."""
-    total = float(sum(weights))
-    cuts, acc = [], 0.0
-    for w in weights[:-1]:
+    """Exact part sizes: cut_j = floor(n * cumw_j / total) in exact rational arithmetic
+    (weights read as decimals); the last part takes the rest."""
+    from fractions import Fraction
+    ws = [Fraction(str(w)) for w in weights]
+    total = sum(ws)
+    cuts, acc = [], Fraction(0)
+    for w in ws[:-1]:
         acc += w
-        cuts.append(int(math.floor(n * acc / total + 1e-9)))
+        cuts.append(int(n * acc // total))
     cuts.append(n)
     return cuts
 

@@ -27,7 +27,7 @@ from ..functions.hashing import md5_int
 from ..session import scratch_path
 from . import kernels as K
 from .model import Net
-from .scoring import ship, to_matrix
+from .scoring import ship, ship_releasable, to_matrix
 from .splits import assign_batches
 
 CHUNK = 4096
@@ -358,7 +358,7 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             vec = np.concatenate([net.flat(), state])
             shipped = Net(net.inputs, net.vertices, net.outputs)
             shipped.params = dict(net.params)
-            get = ship(spark, shipped)
+            get, release = ship_releasable(spark, shipped)
             base_iter = iteration
             feats, labs, ks = dict(features), dict(labels), dict(n_classes)
 
@@ -383,6 +383,7 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
                 # many workers or large models: chunk-wise sums run as a grouped job
                 summed = per_worker.groupBy("chunk").applyInPandas(
                     lambda pdf: _sum_chunks(pdf).assign(nb=int(pdf["nb"].max())), schema).collect()
+            release()  # one broadcast per round: drop it once the round's job is done
             summed = sorted(summed, key=lambda row: row["chunk"])
             n_workers = summed[0]["n"]
             avg = np.concatenate([np.asarray(row["vals"], dtype=float) for row in summed]) / n_workers

@@ -443,3 +443,13 @@ def test_confusion_wide_and_string_indexer_cross_check(spark):
     model = StringIndexer(inputCol="c_mktsegment", outputCol="ix", stringOrderType="alphabetAsc").fit(c)
     theirs = {r["c_custkey"]: int(r["ix"]) for r in model.transform(c).collect()}
     assert ours == theirs
+
+
+def test_fit_with_a_broadcast_sized_model(spark):
+    """Parameters above the closure size go by broadcast, released after each round."""
+    v = fx.vectors64(spark, SF)
+    net0 = Net.sequential((64,), [dense(2100, "relu"), output(10, "softmax", "nll")]).init(seed=4)
+    assert net0.nbytes() > 1 << 20
+    spec = TR.FitSpec(workers=2, batch=64, frequency=2, epochs=1, seed=1, updater=TR.Updater("sgd", lr=0.01))
+    net, metrics, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    assert metrics.count() > 0 and not np.allclose(net.flat(), net0.flat())
