@@ -27,7 +27,7 @@ from ..functions.hashing import md5_int
 from ..session import scratch_path
 from . import kernels as K
 from .model import Net
-from .scoring import ship, ship_releasable, to_matrix
+from .scoring import ship_releasable, to_matrix
 from .splits import assign_batches
 
 CHUNK = 4096
@@ -109,7 +109,7 @@ def gradient(df: DataFrame, net: Net, features: dict | str, labels: dict | str,
     if isinstance(n_classes, int):
         n_classes = {net.outputs[0]: n_classes}
     widths = {k: int(np.prod(net.inputs[k])) for k in features}
-    get = ship(df.sparkSession, net)
+    get, release = ship_releasable(df.sparkSession, net)
     feats, labs, ks = dict(features), dict(labels), dict(n_classes)
     keys = net.param_keys()
 
@@ -140,6 +140,7 @@ def gradient(df: DataFrame, net: Net, features: dict | str, labels: dict | str,
     cols = list(dict.fromkeys(list(feats.values()) + list(labs.values())))
     partial = df.select(*cols).mapInArrow(run, _PARTIAL)
     total = tree_sum(partial, df.rdd.getNumPartitions()).collect()  # model-sized
+    release()
     total = sorted(total, key=lambda r: r["chunk"])
     n = total[0]["n"] if total else 0
     vec = np.concatenate([np.asarray(r["vals"], dtype=float) for r in total]) / max(n, 1)

@@ -59,7 +59,9 @@ def digits_mlp(spark, sf_dir, workers=3, epochs=2, seed=12345, hidden=(500, 100)
 
 def animals_mlp(spark, sf_dir, workers=8, epochs=2, seed=42):
     """4-4-3-3 on the line-item features (label = return flag), batches of 16, average every 5."""
-    a = fx.animals3(spark, sf_dir).withColumn("id", F.monotonically_increasing_id())
+    # line items have no unique key: a content hash is a deterministic id (identical rows tie)
+    a = fx.animals3(spark, sf_dir)
+    a = a.withColumn("id", F.xxhash64(*a.columns))
     ex = prep.split_label(a, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "flag_id"], 4, keep=["id"])
     stats = prep.fit_range(a, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     lo = [stats[c][0] for c in stats]
@@ -76,7 +78,7 @@ def animals_mlp(spark, sf_dir, workers=8, epochs=2, seed=42):
 
 def image_lenet(spark, sf_dir, workers=3, epochs=1, seed=42):
     """Photo-folder path: PNG folder per class -> scan -> 70/30 split -> resize 16x16 + flip 0.5
-    on train only -> scale to [0, 1] (fitted on train) -> LeNet-shaped net -> evaluation."""
+    on train only -> scale to [0, 1] (fixed pixel range) -> LeNet-shaped net -> evaluation."""
     img = fx.image8(spark, sf_dir)
     root = scratch_path(spark, "photos")
     write_png_folder(img, root, "id", "px", "label", 8, 8)
