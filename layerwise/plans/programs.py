@@ -111,3 +111,9 @@ def people_program_query(spark, sf_dir):
 def digits_program_query(spark, sf_dir):
     _, _, conf = digits_mlp(spark, sf_dir, hidden=(64, 32))
     return summary(conf)
+
+
+@register("program_image_lenet")
+def image_program_query(spark, sf_dir):
+    _, _, conf = image_lenet(spark, sf_dir)
+    return class_metrics(conf)
