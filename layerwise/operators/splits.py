@@ -21,8 +21,23 @@ MAX_BUCKETS = 1 << 16  # bound of every histogram collected or broadcast here
 HOT_ROWS = 1 << 22     # a rank unit above this size (and far above the average) is split
 
 
-def _bucket_bits(n_groups: int) -> int:
-    return max(0, 16 - math.ceil(math.log2(max(n_groups, 1))))
+ROWS_PER_BUCKET = 1 << 14
+
+
+def _size_bits(df: DataFrame) -> int:
+    """Bucket bits from the plan's size estimate: ~ROWS_PER_BUCKET rows per bucket, assuming
+    16 bytes per row (errs towards more buckets); 16 bits when the estimate is unknown or large."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate
+        return 16
+    rows = size / 16
+    return int(min(16, max(4, math.ceil(math.log2(max(rows / ROWS_PER_BUCKET, 1.0))))))
+
+
+def _bucket_bits(n_groups: int, df: DataFrame | None = None) -> int:
+    top = _size_bits(df) if df is not None else 16
+    return max(0, top - math.ceil(math.log2(max(n_groups, 1))))
 
 
 def with_order_key(df: DataFrame, id_col: str, seed) -> DataFrame:
@@ -52,7 +67,7 @@ def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
         raise ValueError(f"{len(hist)} (group, bucket) cells: raise n_groups to the number of groups")
     limit = hot_rows(spark)
     expected = max(1, int(hist["_cnt"].sum()) // max(len(hist), 1))
-    hot = hist[hist["_cnt"] > max(limit, 8 * expected)]
+    hot = hist[hist["_cnt"] > max(limit, 4 * expected)]
     if hot.empty:
         keyed = keyed.withColumn("_seg", F.lit(0)).withColumn("_sub", F.lit(0))
         return keyed, hist.assign(_seg=0, _sub=0)
@@ -91,7 +106,7 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
     heavily repeated id are split over several units (see ``_units``); their order
     among themselves follows a hash of the whole row.
     """
-    bits = _bucket_bits(n_groups)
+    bits = _bucket_bits(n_groups, df)
     pcols = list(partition_cols)
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
@@ -138,8 +153,9 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
     inside one part are labelled by a broadcast lookup with no shuffle; only the
     rows of the (at most len(weights)-1) buckets holding a cut are ranked.
     """
+    bits = _bucket_bits(1, df)
     keyed = (with_order_key(df, id_col, seed)
-             .withColumn("_b", hex_prefix_int(F.col("_key"), 4).cast("int")))
+             .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
     keyed, hpdf = _units(keyed, id_col, [], list(df.columns))
     unit = ["_b", "_seg", "_sub"]
     hpdf = hpdf.sort_values(unit).reset_index(drop=True)
