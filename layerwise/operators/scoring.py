@@ -52,6 +52,8 @@ def to_matrix(col, width: int) -> np.ndarray:
     n = len(col)
     if n == 0:
         return np.zeros((0, width))
+    if col.null_count:
+        raise ValueError(f"{col.null_count} null feature arrays: fill or filter them before scoring")
     vals = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     if vals.size != n * width:
         raise ValueError(f"expected {width} values per row, got {vals.size / max(n, 1)}")

@@ -454,3 +454,11 @@ def test_fit_with_a_broadcast_sized_model(spark):
     spec = TR.FitSpec(workers=2, batch=64, frequency=2, epochs=1, seed=1, updater=TR.Updater("sgd", lr=0.01))
     net, metrics, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
     assert metrics.count() > 0 and not np.allclose(net.flat(), net0.flat())
+
+
+def test_null_feature_arrays_raise_a_clear_error(spark):
+    from layerwise.operators.scoring import score
+    df = spark.createDataFrame([(1, [0.5, 0.25]), (2, None)], "id long, features array<double>")
+    net = Net.sequential((2,), [dense(3, "identity")]).fixed_init()
+    with pytest.raises(Exception, match="null feature arrays"):
+        score(df, net, "features", keep=["id"]).collect()
