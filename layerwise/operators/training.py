@@ -363,14 +363,14 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             base_iter = iteration
             feats, labs, ks = dict(features), dict(labels), dict(n_classes)
 
-            train = _make_train(get, vec, base_iter, n_par, keys, spec, id_col, feats, labs, ks)
+            train = _make_train(get, vec, base_iter, n_par, keys, spec, id_col, feats, labs, ks, widths)
 
             schema = T.StructType(_PARTIAL.fields + [T.StructField("nb", T.LongType())])
             rnd = data.filter((F.col("round_block") == F.lit(r // ROUNDS_PER_BLOCK)) & (F.col("round") == F.lit(r)))
             if co_located:
-                per_worker = rnd.mapInPandas(_per_partition(train), schema)
+                per_worker = rnd.mapInArrow(_per_partition(train), schema)
             else:
-                per_worker = rnd.groupBy("worker_id").applyInPandas(train, schema)
+                per_worker = rnd.groupBy("worker_id").applyInArrow(_as_table(train), schema)
             if spec.workers * vec.size * 8 <= DRIVER_AVERAGE_BYTES:
                 # W small parameter vectors: one collect, averaged on the driver
                 rows = per_worker.collect()
@@ -412,45 +412,63 @@ def cache_limit(spark) -> int:
 
 
 def _per_partition(train):
-    """mapInPandas body: the round's rows of the workers hashed to this partition, one worker at a time."""
+    """mapInArrow body: the round's rows of the workers hashed to this partition, one worker at a time."""
 
-    def run(it):
-        frames = [p for p in it if len(p)]
-        if not frames:
+    def run(batches):
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
             return
-        rows = pd.concat(frames, ignore_index=True)
-        for _, g in rows.groupby("worker_id", sort=True):
-            yield train(g)
+        rows = pa.Table.from_batches(parts)
+        workers = rows.column("worker_id").to_numpy()
+        for w in np.unique(workers):
+            yield train(rows.filter(pa.array(workers == w)))
+
+    return run
+
+
+def _as_table(train):
+    """applyInArrow body: one worker's round rows in, its parameter chunks out."""
+
+    def run(tbl: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([train(tbl)])
 
     return run
 
 
-def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks):
-    """One worker's part of a round: F mini-batches from the common parameters."""
+def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks, widths):
+    """One worker's part of a round: F mini-batches from the common parameters, on Arrow data.
+
+    The worker's rows are sorted once by (batch, md5 key, id), turned into whole matrices,
+    and each mini-batch is a slice of them.
+    """
+    import pyarrow.compute as pc
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+    def train(tbl: pa.Table) -> pa.RecordBatch:
         model = _get().copy()
-        pdf = pdf.sort_values(["batch_idx", "_key", id_col])
+        order = pc.sort_indices(tbl, sort_keys=[("batch_idx", "ascending"), ("_key", "ascending"),
+                                                (id_col, "ascending")])
+        tbl = tbl.take(order).combine_chunks()
+        bidx = tbl.column("batch_idx").to_numpy()
+        starts = np.flatnonzero(np.r_[True, bidx[1:] != bidx[:-1]])
+        ends = np.r_[starts[1:], len(bidx)]
+        fmat = {name: to_matrix(tbl.column(c), widths[name]) for name, c in feats.items()}
+        lmat = {}
+        for o, c in labs.items():
+            col = tbl.column(c)
+            lmat[o] = (to_matrix(col, ks[o]) if pa.types.is_list(col.type)
+                       else _onehot(col.to_numpy(), ks[o]))
+        ids = tbl.column(id_col).to_numpy()
         w, s = _vec[:n_par].copy(), _vec[n_par:].copy()
         score = 0.0
-        nb = 0
-        for bi, (b, g) in enumerate(pdf.groupby("batch_idx", sort=True)):
-            fd = {name: np.stack(g[c].to_numpy()).astype(float).reshape(len(g), -1)
-                  for name, c in feats.items()}
-            ld = {}
-            for o, c in labs.items():
-                vals = g[c].to_numpy()
-                ld[o] = (np.stack(vals).astype(float) if vals.dtype == object
-                         else _onehot(vals.astype(int), ks[o]))
-            w, s, score = _worker_step(model, spec, w, s, keys, fd, ld, _base + bi,
-                                       g[id_col].to_numpy())
-            nb += 1
+        for bi, (a, b) in enumerate(zip(starts, ends)):
+            fd = {k: m[a:b] for k, m in fmat.items()}
+            ld = {k: m[a:b] for k, m in lmat.items()}
+            w, s, score = _worker_step(model, spec, w, s, keys, fd, ld, _base + bi, ids[a:b])
         out = np.concatenate([w, s])
-        m = max(1, math.ceil(out.size / CHUNK))
-        return pd.DataFrame({"chunk": np.arange(m, dtype=np.int32), "n": np.ones(m, dtype=np.int64),
-                             "loss": np.full(m, score),
-                             "vals": [out[i * CHUNK:(i + 1) * CHUNK] for i in range(m)],
-                             "nb": np.full(m, nb, dtype=np.int64)})
+        rb = _chunks(out, 1, score)
+        return pa.RecordBatch.from_arrays(
+            list(rb.columns) + [pa.array(np.full(rb.num_rows, len(starts), dtype=np.int64))],
+            names=rb.schema.names + ["nb"])
 
     return train
 
