@@ -473,19 +473,6 @@ def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks, w
     return train
 
 
-def fit_sequential(batches, net: Net, spec: FitSpec, n_classes: int):
-    """Driver-side reference loop (tests only): plain mini-batch steps in order."""
-    net = net.copy()
-    keys = net.param_keys()
-    w = net.flat()
-    s = np.zeros(spec.updater.state_size(w.size))
-    it = 0
-    for x, y, ids in batches:
-        w, s, _ = _worker_step(net, spec, w, s, keys, {"input": x}, {net.outputs[0]: _onehot(y, n_classes)}, it, ids)
-        it += 1
-    return net.set_flat(w)
-
-
 # ---------------------------------------------------------------- table forms of the options (OPT-3, OPT-6)
 
 def schedule_expr(iteration, schedule: dict | None, base: float):

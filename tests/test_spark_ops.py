@@ -462,3 +462,25 @@ def test_null_feature_arrays_raise_a_clear_error(spark):
     net = Net.sequential((2,), [dense(3, "identity")]).fixed_init()
     with pytest.raises(Exception, match="null feature arrays"):
         score(df, net, "features", keep=["id"]).collect()
+
+
+def test_training_dropout_mask_equals_the_column_mask(spark):
+    v = fx.vectors64(spark, SF).limit(40)
+    spark_mask = {r["id"]: r["d"] for r in v.select("id", TR.dropout_expr("features", "id", 11, 3, "0", 0.5)
+                                                        .alias("d")).collect()}
+    pdf = v.toPandas()
+    x = np.stack(pdf["features"].to_numpy())
+    m = TR.dropout_mask(11, 3, pdf["id"].to_numpy(), "0", x.shape, 0.5)
+    for row, i in enumerate(pdf["id"]):
+        assert np.allclose(np.asarray(spark_mask[i]), x[row] * m[row] / 0.5)
+
+
+def test_fit_with_dropout_matches_numpy_simulation(spark):
+    v = fx.vectors64(spark, SF)
+    pdf = v.toPandas()
+    x, y, ids = np.stack(pdf["features"].to_numpy()), pdf["label"].to_numpy(), pdf["id"].to_numpy()
+    net0 = Net.sequential((64,), [dense(8, "relu", keep=0.5), output(10, "softmax", "nll")]).init(seed=5)
+    spec = TR.FitSpec(workers=2, batch=16, frequency=2, epochs=1, seed=11, updater=TR.Updater("sgd", lr=0.05), l2=1e-4)
+    got, _, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    ref = _numpy_averaging(x, y, ids, 11, 2, 16, 2, TR.Updater("sgd", lr=0.05), net0)
+    assert np.allclose(got.flat(), ref.flat(), atol=1e-9)
