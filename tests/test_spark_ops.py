@@ -102,7 +102,7 @@ def test_lstm_state_crosses_arrow_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def _numpy_averaging(x, y, ids, seed, W, b, F_, updater, n_params_net):
+def _numpy_averaging(x, y, ids, seed, W, b, F_, updater, n_params_net, spec=None):
     """Independent NumPy simulation of the averaging semantics (survey 7.4)."""
     keyed = [(hashlib.md5(f"{seed}|{i}".encode()).hexdigest(), i, r) for r, i in enumerate(ids)]
     workers = {}
@@ -113,7 +113,7 @@ def _numpy_averaging(x, y, ids, seed, W, b, F_, updater, n_params_net):
     keys = net.param_keys()
     w_vec = net.flat()
     s_vec = np.zeros(updater.state_size(w_vec.size))
-    spec = TR.FitSpec(workers=W, batch=b, frequency=F_, updater=updater, seed=seed, l2=1e-4)
+    spec = spec or TR.FitSpec(workers=W, batch=b, frequency=F_, updater=updater, seed=seed, l2=1e-4)
     it = 0
     rnd = 0
     while True:
@@ -484,3 +484,18 @@ def test_fit_with_dropout_matches_numpy_simulation(spark):
     got, _, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
     ref = _numpy_averaging(x, y, ids, 11, 2, 16, 2, TR.Updater("sgd", lr=0.05), net0)
     assert np.allclose(got.flat(), ref.flat(), atol=1e-9)
+
+
+def test_fit_options_match_numpy_simulation(spark):
+    """Renormalised gradients, step schedule, separate bias rate and L1 inside the averaging fit."""
+    v = fx.vectors64(spark, SF)
+    pdf = v.toPandas()
+    x, y, ids = np.stack(pdf["features"].to_numpy()), pdf["label"].to_numpy(), pdf["id"].to_numpy()
+    net0 = Net.sequential((64,), [dense(8, "tanh"), output(10, "softmax", "nll")]).init(seed=8)
+    upd = TR.Updater("nesterovs", lr=0.05, momentum=0.9, bias_lr=0.1,
+                     schedule={"type": "step", "decay": 0.5, "step": 3})
+    spec = TR.FitSpec(workers=3, batch=16, frequency=2, epochs=1, seed=13, updater=upd, l1=1e-3, l2=1e-4,
+                      renorm_l2=True)
+    got, _, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
+    ref = _numpy_averaging(x, y, ids, 13, 3, 16, 2, upd, net0, spec=spec)
+    assert np.allclose(got.flat(), ref.flat(), atol=1e-9)
