@@ -96,18 +96,20 @@ def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
 
 
 def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
-           n_groups: int = 1, rank_col: str = "rank") -> DataFrame:
+           n_groups: int | None = None, rank_col: str = "rank") -> DataFrame:
     """0-based rank of each row in (md5(seed|id), id) order, per ``partition_cols``.
 
     Two passes: (1) bucket histogram per group, a bounded table collected to the
     driver for its running sums; (2) broadcast join of the offsets and a row_number
-    inside (group, bucket) only. ``n_groups`` bounds the number of distinct group
-    values so the histogram stays within ``MAX_BUCKETS`` rows. Rows that tie on a
+    inside (group, bucket) only. ``n_groups`` (counted when not given) bounds the number
+    of distinct group values so the histogram stays within ``MAX_BUCKETS`` rows. Rows that tie on a
     heavily repeated id are split over several units (see ``_units``); their order
     among themselves follows a hash of the whole row.
     """
-    bits = _bucket_bits(n_groups, df)
     pcols = list(partition_cols)
+    if n_groups is None:
+        n_groups = df.select(*pcols).distinct().count() if pcols else 1
+    bits = _bucket_bits(n_groups, df)
     keyed = (with_order_key(df, id_col, seed)
              .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
     keyed, pdf = _units(keyed, id_col, pcols, list(df.columns))
@@ -197,7 +199,7 @@ def split_frames(df: DataFrame, id_col: str, weights: Sequence[float], seed) ->
 
 
 def assign_batches(df: DataFrame, id_col: str, size: int, seed,
-                   partition_cols: Sequence[str] = (), n_groups: int = 1,
+                   partition_cols: Sequence[str] = (), n_groups: int | None = None,
                    batch_col: str = "batch_id") -> DataFrame:
     """PRE-09: batch_id = floor(rank / size) in seeded order; the last batch may be short."""
     r = ranked(df, id_col, seed, partition_cols=partition_cols, n_groups=n_groups, rank_col="_rank")

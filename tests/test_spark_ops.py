@@ -36,7 +36,7 @@ def test_ranks_equal_python_sort_and_independent_of_partitions(spark):
 
 def test_batches_per_worker_cover_all_rows(spark):
     df = spark.range(1000).withColumn("w", (F.col("id") % 3).cast("int"))
-    b = splits.assign_batches(df, "id", 16, 1, partition_cols=["w"], n_groups=3).toPandas()
+    b = splits.assign_batches(df, "id", 16, 1, partition_cols=["w"]).toPandas()  # groups counted
     for w, g in b.groupby("w"):
         counts = g.groupby("batch_id").size()
         assert counts.iloc[:-1].eq(16).all() and counts.iloc[-1] <= 16
