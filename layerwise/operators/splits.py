@@ -44,6 +44,11 @@ def with_order_key(df: DataFrame, id_col: str, seed) -> DataFrame:
     return df.withColumn("_key", md5_key(seed, id_col))
 
 
+def _tuples(pdf, cols) -> list:
+    """Rows of a small pandas frame as plain Python tuples (works with or without Arrow)."""
+    return list(zip(*[[v.item() if hasattr(v, "item") else v for v in pdf[c].tolist()] for c in cols]))
+
+
 def hot_rows(spark) -> int:
     try:
         return int(spark.conf.get("spark.layerwise.hotRows"))
@@ -72,7 +77,7 @@ def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
         keyed = keyed.withColumn("_seg", F.lit(0)).withColumn("_sub", F.lit(0))
         return keyed, hist.assign(_seg=0, _sub=0)
     # repeated (key, id) values, looked for inside the over-full buckets only
-    hb = spark.createDataFrame(hot[[*pcols, "_b"]].astype({"_b": "int32"}),
+    hb = spark.createDataFrame(_tuples(hot, [*pcols, "_b"]),
                                T.StructType([keyed.schema[c] for c in pcols] + [T.StructField("_b", T.IntegerType())]))
     ties = (keyed.join(F.broadcast(hb), [*pcols, "_b"]).groupBy(*pcols, "_b", "_key", id_col)
             .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(max(limit // 4, 2 * expected))))
@@ -120,8 +125,7 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
     schema = T.StructType([keyed.schema[c] for c in pcols] + [
         T.StructField("_b", T.IntegerType()), T.StructField("_seg", T.IntegerType()),
         T.StructField("_sub", T.IntegerType()), T.StructField("_off", T.LongType())])
-    offsets = df.sparkSession.createDataFrame(
-        pdf[[*unit, "_off"]].astype({"_b": "int32", "_seg": "int32", "_sub": "int32"}), schema)
+    offsets = df.sparkSession.createDataFrame(_tuples(pdf, [*unit, "_off"]), schema)
     w = Window.partitionBy(*unit).orderBy("_key", id_col, "_h")
     out = (keyed.join(F.broadcast(offsets), on=unit, how="inner")
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
@@ -165,8 +169,8 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
     cuts = split_sizes(n, weights)
     lookup = []
     off = 0
-    for b, sg, sb, c in zip(hpdf["_b"].tolist(), hpdf["_seg"].tolist(), hpdf["_sub"].tolist(),
-                            hpdf["_cnt"].astype(int).tolist()):
+    for b, sg, sb, c in zip(hpdf["_b"].astype(int).tolist(), hpdf["_seg"].astype(int).tolist(),
+                            hpdf["_sub"].astype(int).tolist(), hpdf["_cnt"].astype(int).tolist()):
         lo, hi = off, off + c
         p_lo = next(j for j, cut in enumerate(cuts) if lo < cut) if c else 0
         p_hi = next(j for j, cut in enumerate(cuts) if hi - 1 < cut) if c else 0
@@ -176,10 +180,7 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
             lookup.append((b, sg, sb, None, lo))
         off = hi
     spark = df.sparkSession
-    import pandas as pd
-    lk = spark.createDataFrame(pd.DataFrame(lookup, columns=[*unit, "_p", "_off"]).astype(
-        {"_b": "int32", "_seg": "int32", "_sub": "int32", "_p": "Int32", "_off": "Int64"}),
-        "_b int, _seg int, _sub int, _p int, _off long")
+    lk = spark.createDataFrame(lookup, "_b int, _seg int, _sub int, _p int, _off long")
     joined = keyed.join(F.broadcast(lk), unit)
     plain = joined.filter(F.col("_p").isNotNull()).withColumn(part_col, F.col("_p").cast("bigint"))
     edge = joined.filter(F.col("_p").isNull())

@@ -35,10 +35,20 @@ def write_model(spark: SparkSession, net: Net, path: str, state: np.ndarray | No
     spark.createDataFrame(net.layer_rows(), LAYERS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/model_layers")
     spark.createDataFrame([(net.config_json(),)], "config string").coalesce(1).write.mode("overwrite") \
         .parquet(f"{path}/model_config")
-    spark.createDataFrame(_param_frame(net)).write.mode("overwrite").parquet(f"{path}/model_params")
+    params = _param_frame(net)
+    spark.createDataFrame(_rows(params, ["layer", "name", "idx", "value"]),
+                          "layer int, name string, idx bigint, value double") \
+        .write.mode("overwrite").parquet(f"{path}/model_params")
     if save_updater and state is not None and state.size:
-        st = _param_frame(net, state).assign(slot=slot)[["layer", "name", "slot", "idx", "value"]]
-        spark.createDataFrame(st).write.mode("overwrite").parquet(f"{path}/updater_state")
+        st = _param_frame(net, state).assign(slot=slot)
+        spark.createDataFrame(_rows(st, ["layer", "name", "slot", "idx", "value"]),
+                              "layer int, name string, slot string, idx bigint, value double") \
+            .write.mode("overwrite").parquet(f"{path}/updater_state")
+
+
+def _rows(pdf: pd.DataFrame, cols) -> list:
+    """Plain Python tuples (model-sized), independent of the session's Arrow setting."""
+    return list(zip(*[pdf[c].tolist() for c in cols]))
 
 
 def read_model(spark: SparkSession, path: str, with_state: bool = False):

@@ -499,3 +499,29 @@ def test_fit_options_match_numpy_simulation(spark):
     got, _, _ = TR.fit_averaging(v, net0, "id", "features", "label", 10, spec)
     ref = _numpy_averaging(x, y, ids, 13, 3, 16, 2, upd, net0, spec=spec)
     assert np.allclose(got.flat(), ref.flat(), atol=1e-9)
+
+
+def test_driver_side_tables_work_without_arrow(spark):
+    """Sessions without spark.sql.execution.arrow.pyspark.enabled (the Spark default)."""
+    import __spark_entry__ as entry
+    from layerwise.sources.model_store import read_model, write_model
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        assert entry.entry(spark).count() == 100
+        parts = splits.weighted_split(fx.table(spark, SF, "orders").select("o_orderkey"), "o_orderkey", [7, 3], 1)
+        assert parts.count() == fx.table(spark, SF, "orders").count()
+        df = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"))
+        spark.conf.set("spark.layerwise.hotRows", "32")
+        assert sorted(r[0] for r in splits.ranked(df, "k", 2, rank_col="r").select("r").collect()) == list(range(900))
+        spark.conf.unset("spark.layerwise.hotRows")
+        net = Net.sequential((64,), [dense(4, "relu"), output(10, "softmax", "nll")]).init(seed=1)
+        path = scratch_path(spark, "noarrow-model")
+        write_model(spark, net, path, state=np.ones(net.n_params()))
+        back, st = read_model(spark, path, with_state=True)
+        assert np.array_equal(back.flat(), net.flat()) and np.array_equal(st, np.ones(net.n_params()))
+        spec = TR.FitSpec(workers=2, batch=32, frequency=2, epochs=1, seed=1)
+        _, metrics, _ = TR.fit_averaging(fx.vectors64(spark, SF), net, "id", "features", "label", 10, spec)
+        assert metrics.count() > 0
+    finally:
+        spark.conf.unset("spark.layerwise.hotRows")
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
