@@ -67,3 +67,35 @@ def local_fs_path(path: str) -> str:
         raise NotImplementedError(
             f"{path}: Python-side file writes need the shared folder mounted as a POSIX path")
     return os.path.abspath(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``layerwise`` importable in every Python worker (``addPyFile`` of a zip), once per context.
+
+    Task closures refer to functions of this package; on a cluster the executors only see it
+    when it is shipped with the job.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    try:
+        folder = local_fs_path(root)
+    except NotImplementedError:
+        folder = tempfile.mkdtemp(prefix="layerwise-pkg-")  # read by the driver only, then served by Spark
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"layerwise-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
