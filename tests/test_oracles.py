@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
+from layerwise.plans import load_all, registry
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+load_all()
+QUERIES = {n: f for n, f in entry.queries().items() if n in registry.QUERIES}
+ORACLES = dict(registry.ORACLES)
 
 
 def _norm(v):
