@@ -67,3 +67,98 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, m AS component_id, doc_id = m AS ke
 def op5(spark, sf_dir):
     from layerwise.llm.near_dup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 2: url filters
+
+def _op2_level(name, counts, up, parent):
+    """SQL of one shrinkage level: strength, then posterior."""
+    return f"""
+{name}_l AS (SELECT c.*, p.m AS pm FROM {counts} c JOIN {parent} p ON c.{up} = p.key),
+{name}_f AS (SELECT count(*) AS g, sum(n)::DOUBLE AS n, sum(n * pow(k / n - pm, 2)) AS ss, sum(n * pm * (1 - pm)) AS vv FROM {name}_l WHERE n > 0),
+{name}_s AS (SELECT round(greatest(1.0::DOUBLE, least(1000.0::DOUBLE, CASE WHEN g < 2 OR ss / n <= vv / n * g / n THEN 1000.0::DOUBLE
+    ELSE (vv / n - ss / n) / (ss / n - vv / n * g / n) END)), 6) AS s FROM {name}_f),
+{name}_ab AS (SELECT key, {up}, k + pm * s AS a, n - k + (1 - pm) * s AS b FROM {name}_l, {name}_s),
+{name} AS (SELECT *, a / (a + b) AS m FROM {name}_ab)"""
+
+
+OP2_SQL = f"""
+WITH parts AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+outcomes AS (SELECT host, quality = 0 OR toxic = 1 AS bad FROM parts JOIN labels
+    ON try_cast(nullif(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1), '') AS BIGINT) = doc_id),
+hosts AS (SELECT DISTINCT host FROM parts),
+counted AS (SELECT h.host AS key, array_to_string(string_split(h.host, '.')[-2:], '.') AS domain, string_split(h.host, '.')[-1] AS suffix,
+    count(*) FILTER (WHERE bad) AS k, count(bad) AS n FROM hosts h LEFT JOIN outcomes o ON h.host = o.host GROUP BY h.host),
+domains AS (SELECT domain AS key, suffix, sum(k)::BIGINT AS k, sum(n)::BIGINT AS n FROM counted GROUP BY ALL),
+suffixes AS (SELECT suffix AS key, '' AS up, sum(k)::BIGINT AS k, sum(n)::BIGINT AS n FROM domains GROUP BY ALL),
+overall AS (SELECT '' AS key, coalesce(sum(k) / nullif(sum(n), 0), 0.5::DOUBLE) AS m FROM suffixes),
+{_op2_level('sp', 'suffixes', 'up', 'overall')}, {_op2_level('dp', 'domains', 'suffix', 'sp')}, {_op2_level('hp', 'counted', 'domain', 'dp')},
+bounds AS (SELECT key, round(m - 1.645::DOUBLE * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))), 6) AS bound FROM hp),
+rules(action, rule, tail, prefix) AS (VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+    ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')),
+fit AS (SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(action, length(rule)) AS action
+    FROM (SELECT DISTINCT host, path FROM parts) p, rules WHERE (host = tail OR ends_with(host, '.' || tail)) AND starts_with(path, prefix) GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN bound > 0.35 THEN 'block' ELSE 'allow' END) AS verdict, bound
+FROM parts JOIN bounds ON host = key LEFT JOIN fit USING (host, path)
+"""
+
+
+@register("op2_url_filters", OP2_SQL)
+def op2(spark, sf_dir):
+    """A page's url names its document (``/lang/number``); that document's labels are its outcome."""
+    from pyspark.sql import functions as F
+
+    from layerwise.llm.url_filter import judge_urls, path_of
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(path_of(F.col("url")), "^/[a-z]+/([0-9]+)", 1).try_cast("bigint")
+    labels = table(spark, sf_dir, "labels")
+    outcomes = pages.withColumn("doc_id", number).join(labels, "doc_id") \
+        .select("url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return judge_urls(pages, outcomes)
+
+
+# ------------------------------------------------------------------ 7: quality rules
+
+@register("op7_quality_rules")
+def op7(spark, sf_dir):
+    from layerwise.llm.quality import judge
+    labels = table(spark, sf_dir, "labels")
+    return judge(table(spark, sf_dir, "documents"), labels.filter("quality = 1 and toxic = 0").select("doc_id"))
+
+
+# ------------------------------------------------------------------ 9: secret scans
+
+@register("op9_secret_scans")
+def op9(spark, sf_dir):
+    from layerwise.llm.secret_scan import scan_report
+    return scan_report(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 8: sharding
+
+@register("op8_balanced_shards")
+def op8(spark, sf_dir):
+    from layerwise.llm.sharding import assign_shards
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 6: private data
+
+@register("op6_pii_surrogates")
+def op6(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from layerwise.llm.pii import KINDS, pseudonymise
+    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", *[F.col(f"_pii.{k}").cast("long").alias(f"n_{k}") for k in KINDS])
+
+
+# ------------------------------------------------------------------ 10: SentencePiece
+
+@register("op10_sentencepiece")
+def op10(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from layerwise.llm.pieces import encode
+    return encode(table(spark, sf_dir, "documents")).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
