@@ -1,13 +1,59 @@
-"""The corpus pipeline: its stages in order, each reading what the one before it kept."""
+"""The corpus pipeline: five stages, each working on everything the one before it kept.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
+the next stage's ``docs``.  All but the last return the columns of ``documents``.
+
+1. quality_rules: rejected documents go (rules, and the trusted / raw n-gram score).
+2. near_duplicates: one document of each class of 5-word shingle similarity >= 0.8 stays (the smallest id).
+3. decontamination: documents that hold a benchmark window go.
+4. private_data: entities are replaced by surrogates; ``n_chars`` follows the new text.
+5. sentencepiece: ids of the remaining texts, with the round trip checked.
+
+Decisions are per doc_id: rows that repeat a doc_id stay or go together.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from layerwise.llm import decontam, near_dup, pieces, pii, quality
+from layerwise.llm.common import keep_rows, materialise, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    return keep_rows(docs, quality.judge(docs, trusted).filter("kept").select("doc_id"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_rows(docs, near_dup.near_duplicates(docs, num=80, bands=32).filter("kept").select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    hit = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return keep_rows(docs, hit.filter("not contaminated").select("doc_id"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = pii.pseudonymise(docs).drop("_pii")
+    if "n_chars" not in docs.columns:
+        return clean
+    n_chars = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", n_chars)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encode(docs)
+
+
+STAGES = [("quality rules", quality_rules), ("MinHash near-dedup", near_duplicates), ("benchmark decontamination", decontamination),
+          ("PII", private_data), ("SentencePiece", sentencepiece)]
+ORACLE_SQL = None  # surrogates, n-gram hashes and pieces are not SQL; tests/llm compares with plain Python
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(spark, stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

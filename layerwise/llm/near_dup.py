@@ -14,7 +14,8 @@ Exact steps after banding:
    hold an unchecked pair is one unit of work, compared exactly in one task (nodes of the largest
    label are not compared among themselves).  Only links that join labels leave the task.
 
-A link at the threshold 0.85 shares no band with probability (1 - 0.85^4)^24 < 2e-8.
+A link of similarity J shares no band with probability (1 - J^4)^bands: below 5e-8 at 0.8 with 32 bands, below
+2e-8 at 0.85 with 24.
 
 Defined results: null or wordless texts have no shingles, are linked with nothing and kept; fewer than
 k words make one shingle; repeated rows are linked like other copies; a null doc_id never names a
@@ -226,7 +227,7 @@ def _exact_links(spark, members: DataFrame, sets: DataFrame, labels: DataFrame,
     return m.mapInArrow(_unit_runner(num, den), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 85, den: int = 100, bands: int = 24, rows: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, bands: int = 32, rows: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row: classes of texts linked by
     ``den * |A & B| >= num * |A | B|``, named by their smallest doc_id."""
     spark = docs.sparkSession

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwise.llm.common import id_text, prepare
-from layerwise.llm.textnp import CHUNK_BYTES, chunks, prefix_hash, range_hash, text_buffer
+from layerwise.llm.textnp import CHUNK_BYTES, chunks, prefix_hash, range_hash, spread, text_buffer
 
 U64 = np.uint64
 BLANK = "▁"
@@ -245,18 +245,19 @@ def with_blank(col: pa.Array) -> pa.Array:
 
 
 class UnitCache:
-    """Units already encoded in this worker: bytes and ids by hash, emptied at ``LIMIT`` units."""
+    """Units already worked out in this worker: bytes and ids (or other values) by hash, emptied at ``LIMIT`` units."""
 
     LIMIT = 400_000
 
-    def __init__(self):
+    def __init__(self, dtype=np.int32):
+        self.dtype = dtype
         self.clear()
 
     def clear(self):
         self.hash = np.zeros(0, dtype=U64)
         self.row = np.zeros(0, dtype=np.int64)
         self.text, self.text_off = np.zeros(0, np.uint8), np.zeros(1, np.int64)
-        self.ids, self.ids_off = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.ids, self.ids_off = np.zeros(0, self.dtype), np.zeros(1, np.int64)
 
     def find(self, h: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Row of each unit, -1 for unknown ones; bytes are compared behind equal hashes."""
@@ -290,11 +291,6 @@ class UnitCache:
 _CACHES: dict[str, UnitCache] = {}
 
 
-def spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of each range, one after the other."""
-    return np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-
-
 def encode_chunk(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray, cache: UnitCache | None = None):
     """(ids, offsets) of the texts in a chunk; each non-empty text begins with its blank."""
     starts = split_units(buf, off)

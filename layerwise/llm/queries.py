@@ -66,7 +66,7 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, m AS component_id, doc_id = m AS ke
 @register("op5_minhash_near_dedup", OP5_SQL)
 def op5(spark, sf_dir):
     from layerwise.llm.near_dup import near_duplicates
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), num=85, bands=24)
 
 
 # ------------------------------------------------------------------ 2: url filters
@@ -162,3 +162,24 @@ def op10(spark, sf_dir):
 
     from layerwise.llm.pieces import encode
     return encode(table(spark, sf_dir, "documents")).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
+# ------------------------------------------------------------------ 1: language identification
+
+@register("op1_language_id")
+def op1(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from layerwise.llm.lang_id import fit, predict
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    fitted = fit(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return predict(docs, fitted).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+# ------------------------------------------------------------------ 4: repeated strings
+
+@register("op4_suffix_array_dedup")
+def op4(spark, sf_dir):
+    from layerwise.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")

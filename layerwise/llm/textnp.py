@@ -79,6 +79,11 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES):
         a = b
 
 
+def spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after the other."""
+    return np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+
+
 def lower_table() -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32
@@ -117,16 +122,16 @@ def words(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def prefix_hash(buf: np.ndarray) -> np.ndarray:
-    """P[i] = sum of code(byte j) * BASE^j for j < i, mod 2^64."""
+def prefix_hash(buf: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
+    """P[i] = sum of code(byte j) * base^j for j < i, mod 2^64."""
     out = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(byte_codes()[buf] * powers(BASE, len(buf)), dtype=np.uint64, out=out[1:])
+    np.cumsum(byte_codes()[buf] * powers(base, len(buf)), dtype=np.uint64, out=out[1:])
     return out
 
 
-def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
     """Hash of each byte range; equal bytes give equal hashes wherever they stand."""
-    inv = powers(inverse(BASE), len(prefix))
+    inv = powers(inverse(base), len(prefix))
     return mix64((prefix[ends] - prefix[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
