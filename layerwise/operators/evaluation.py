@@ -35,6 +35,14 @@ def confusion_wide(conf: DataFrame, k: int) -> DataFrame:
             .na.fill(0).orderBy("actual"))
 
 
+def partial_confusions(df: DataFrame, k: int, part_col: str, label_col: str = "label",
+                       pred_col: str = "pred") -> DataFrame:
+    """EVL-03: (part, actual, predicted, n) of every part in one pass over the scored rows."""
+    rows = df.select(part_col, F.col(label_col).cast("bigint").alias("actual"),
+                     F.col(pred_col).cast("bigint").alias("predicted"))
+    return rows.groupBy(part_col, "actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
 def merge_confusions(parts: Sequence[DataFrame]) -> DataFrame:
     """EVL-03: partial confusion tables merged by summing their counts."""
     u = reduce(lambda a, b: a.unionByName(b), parts)

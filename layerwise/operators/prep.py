@@ -6,16 +6,13 @@ passed as arguments; everything here is a JVM-side column expression (no Python)
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.hashing import hash01
 
-LABEL_TABLE_BOUND = 1 << 16  # label dictionaries up to this size are broadcast
 
 
 # ---------------------------------------------------------------- PRE-01..04
@@ -32,19 +29,10 @@ def split_label(df: DataFrame, cols: Sequence[str], label_index: int,
 
 def index_labels(df: DataFrame, col: str, out_col: str = "label") -> DataFrame:
     """PRE-02: class name -> 0-based id in sorted order of the distinct names."""
-    names = df.select(col).where(F.col(col).isNotNull()).distinct()
-    first = names.limit(LABEL_TABLE_BOUND + 1).collect()
-    spark = df.sparkSession
-    if len(first) <= LABEL_TABLE_BOUND:
-        # bounded dictionary: sorted on the driver, broadcast as a lookup
-        ordered = sorted(r[0] for r in first)
-        lut = spark.createDataFrame([(v, i) for i, v in enumerate(ordered)],
-                                    T.StructType([df.schema[col], T.StructField(out_col, T.IntegerType())]))
-        return df.join(F.broadcast(lut), col, "left")
-    # very large dictionaries: ranks from a range-partitioned sort, shuffle join
-    rdd = names.orderBy(col).rdd.zipWithIndex().map(lambda t: (t[0][0], int(t[1])))
-    lut = spark.createDataFrame(rdd, f"{col} string, {out_col} int")
-    return df.join(lut, col, "left")
+    from .splits import sorted_numbers
+    names = df.select(F.col(col).alias("_name")).where(F.col("_name").isNotNull()).distinct()
+    lut = sorted_numbers(names, "_name", out_col).withColumn(out_col, F.col(out_col).cast("int"))
+    return df.join(lut, F.col(col) == F.col("_name"), "left").drop("_name")
 
 
 def class_list(df: DataFrame, label_col: str) -> DataFrame:
@@ -69,7 +57,7 @@ def check_labels(df: DataFrame, col: str, k: int, strict: bool = True) -> DataFr
     ok = F.col(col).isNotNull() & (F.col(col) >= 0) & (F.col(col) < k)
     if strict:
         return df.withColumn(col, F.when(ok, F.col(col)).otherwise(
-            F.raise_error(F.concat(F.lit(f"label outside 0..{k - 1}: "), F.col(col).cast("string")))))
+            F.raise_error(F.concat(F.lit(f"label outside 0..{k - 1}: "), F.coalesce(F.col(col).cast("string"), F.lit("null"))))))
     return df.withColumn("label_ok", ok)
 
 
@@ -108,40 +96,52 @@ def apply_range(df: DataFrame, stats: dict[str, tuple[float, float]], a: float =
 
 # ---------------------------------------------------------------- PRE-06..08 images
 
-def resize(px: Column | str, c: int, h: int, w: int, oh: int, ow: int) -> Column:
+def _shape(v) -> Column:
+    return F.lit(v) if isinstance(v, int) else F.col(v) if isinstance(v, str) else v
+
+
+def align_channels(px: Column | str, c, h, w, to_c: int) -> Column:
+    """Images of c channels with ``to_c`` of them: grey is repeated, an alpha channel (c = 2 or 4) is
+    dropped, colour becomes grey by the mean. ``c, h, w`` are numbers or columns of the row."""
+    arr = F.col(px) if isinstance(px, str) else px
+    c, n = _shape(c), _shape(h) * _shape(w)
+    plane = lambda k: F.slice(arr, n * k + 1, n)
+    grey = c <= 2
+    if to_c == 1:
+        mean = F.transform(F.sequence(F.lit(1), n), lambda i: ((F.element_at(arr, i) + F.element_at(arr, i + n) + F.element_at(arr, i + n + n))
+                                                              / F.lit(3.0)).cast("int"))
+        return F.when(grey, plane(0)).otherwise(mean)
+    return F.when(grey, F.concat(*[plane(0)] * to_c)).otherwise(F.slice(arr, 1, n * to_c))
+
+
+def resize(px: Column | str, c, h, w, oh: int, ow: int) -> Column:
     """PRE-06: bilinear resize with half-pixel centres, edge-clamped, per channel.
 
     src = (dst + 0.5) * in / out - 0.5, negative src clamped to 0, the right/bottom
-    neighbour clamped to the last row/column. Output is DOUBLE.
+    neighbour clamped to the last row/column. Output is DOUBLE. ``c, h, w`` are numbers or
+    columns, so every image is read by its own shape; an array whose length is not c*h*w raises.
+    The plan does not grow with the image: positions come from index arithmetic.
     """
     arr = F.col(px) if isinstance(px, str) else px
-    # The sampling geometry depends only on the shapes: computed once on the driver and
-    # folded into one literal array, so each image is a pure gather + blend on the JVM.
-    geo = []
-    for ch in range(c):
-        for y in range(oh):
-            fy = max((y + 0.5) * (h / oh) - 0.5, 0.0)
-            y0 = min(math.floor(fy), h - 1)
-            y1 = min(y0 + 1, h - 1)
-            for x in range(ow):
-                fx = max((x + 0.5) * (w / ow) - 0.5, 0.0)
-                x0 = min(math.floor(fx), w - 1)
-                x1 = min(x0 + 1, w - 1)
-                base = ch * h * w + 1
-                geo.append((base + y0 * w + x0, base + y0 * w + x1, base + y1 * w + x0, base + y1 * w + x1,
-                            fy - math.floor(fy), fx - math.floor(fx)))
-    # one SQL literal (a single call into the JVM instead of one per value)
-    table = F.expr("array(" + ", ".join(
-        f"named_struct('a', {a}, 'b', {b}, 'c', {c_}, 'd', {d}, 'ty', {ty!r}D, 'tx', {tx!r}D)"
-        for a, b, c_, d, ty, tx in geo) + ")")
-
-    def one(s):
-        p = [F.element_at(arr, s[n]).cast("double") for n in ("a", "b", "c", "d")]
-        top = (F.lit(1.0) - s["tx"]) * p[0] + s["tx"] * p[1]
-        bot = (F.lit(1.0) - s["tx"]) * p[2] + s["tx"] * p[3]
-        return (F.lit(1.0) - s["ty"]) * top + s["ty"] * bot
-
-    return F.transform(table, one)
+    c, h, w = _shape(c), _shape(h), _shape(w)
+    area = oh * ow
+
+    def one(i):
+        y, x = F.floor((i % area) / ow), i % ow
+        base = F.floor(i / area) * h * w + 1
+        fy = F.greatest((y + 0.5) * (h.cast("double") / F.lit(float(oh))) - 0.5, F.lit(0.0))
+        fx = F.greatest((x + 0.5) * (w.cast("double") / F.lit(float(ow))) - 0.5, F.lit(0.0))
+        y0, x0 = F.least(F.floor(fy), h - 1), F.least(F.floor(fx), w - 1)
+        y1, x1 = F.least(y0 + 1, h - 1), F.least(x0 + 1, w - 1)
+        ty, tx = fy - F.floor(fy), fx - F.floor(fx)
+        at = lambda yy, xx: F.element_at(arr, (base + yy * w + xx).cast("int")).cast("double")
+        top = (F.lit(1.0) - tx) * at(y0, x0) + tx * at(y0, x1)
+        bot = (F.lit(1.0) - tx) * at(y1, x0) + tx * at(y1, x1)
+        return (F.lit(1.0) - ty) * top + ty * bot
+
+    out = F.transform(F.sequence(F.lit(0), c * area - 1), one)
+    wrong = F.raise_error(F.concat_ws(" ", F.lit("image of"), F.size(arr), F.lit("values where"), c * h * w, F.lit("are stated")))
+    return F.when(arr.isNull(), F.lit(None).cast("array<double>")).when(F.size(arr) != c * h * w, wrong.cast("array<double>")).otherwise(out)
 
 
 def flip_horizontal(px: Column | str, c: int, h: int, w: int) -> Column:

@@ -44,7 +44,8 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
     its row count) gives each bucket's offset, and row_number runs only inside one
     (key, bucket). A key holding a third of all rows is spread over its buckets; when one
     (key, bucket) cell still exceeds ``spark.layerwise.hotRows`` the buckets are narrowed
-    and counted again.
+    and counted again. Rows with a null order value stand first in their series; a null key
+    is a series of its own.
     """
     order = list(order)
     from .splits import hot_rows
@@ -62,9 +63,10 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
     offs = hist.select(key, "_tb", F.coalesce(F.sum("_cnt").over(w_hist), F.lit(0)).alias("_off"),
                        F.sum("_cnt").over(Window.partitionBy(key)).alias("_len"))
     w = Window.partitionBy(key, "_tb").orderBy(*order)
-    out = (d.join(offs, [key, "_tb"])
+    offs = offs.select(F.col(key).alias("_ok"), F.col("_tb").alias("_otb"), "_off", "_len")
+    out = (d.join(offs, F.col(key).eqNullSafe(F.col("_ok")) & F.col("_tb").eqNullSafe(F.col("_otb")))
            .withColumn(pos_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
-    out = out.drop("_tb", "_off")
+    out = out.drop("_tb", "_off", "_ok", "_otb")
     return out if with_length else out.drop("_len")
 
 

@@ -1,9 +1,10 @@
 """Seeded ordering, exact weighted splits, stride samples and mini-batch ranks.
 
 Global ranks are computed without a single-partition window: rows are keyed by
-md5(seed|id); the first hex digits of that key form an order-preserving bucket.
-A bounded histogram of buckets (at most ``MAX_BUCKETS`` rows) gives every bucket
-its starting offset, and only rows inside one bucket are ranked together.
+md5(seed|id); the first bits of that key form an order-preserving bucket. Bucket
+counts and their running sums (computed in Spark) give every bucket its starting
+offset, and only rows inside one bucket are ranked together. The weighted split
+collects its own histogram of at most ``MAX_BUCKETS`` buckets.
 """
 
 from __future__ import annotations
@@ -68,8 +69,6 @@ def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
     spark = keyed.sparkSession
     keyed = keyed.withColumn("_h", F.xxhash64(*data_cols))
     hist = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()  # bounded
-    if len(hist) > MAX_BUCKETS:
-        raise ValueError(f"{len(hist)} (group, bucket) cells: raise n_groups to the number of groups")
     limit = hot_rows(spark)
     expected = max(1, int(hist["_cnt"].sum()) // max(len(hist), 1))
     hot = hist[hist["_cnt"] > max(limit, 4 * expected)]
@@ -102,34 +101,66 @@ def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
 
 def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
            n_groups: int | None = None, rank_col: str = "rank") -> DataFrame:
-    """0-based rank of each row in (md5(seed|id), id) order, per ``partition_cols``.
-
-    Two passes: (1) bucket histogram per group, a bounded table collected to the
-    driver for its running sums; (2) broadcast join of the offsets and a row_number
-    inside (group, bucket) only. ``n_groups`` (counted when not given) bounds the number
-    of distinct group values so the histogram stays within ``MAX_BUCKETS`` rows. Rows that tie on a
-    heavily repeated id are split over several units (see ``_units``); their order
-    among themselves follows a hash of the whole row.
+    """0-based rank of each row in (md5(seed|id), id) order, per ``partition_cols`` (null is a group).
+
+    Rows are cut into order-preserving units: the first bits of the md5 key, and inside a cell of
+    more than ``hot_rows`` rows (a heavily repeated id) also the key, the id and the top bits of a row
+    hash. Spark counts the units and sums them up per group; row_number runs inside one unit only.
+    Nothing but the list of over-full cells (at most rows / ``hot_rows`` of them) reaches the
+    driver, and there is no limit on groups. Rows that tie on the id follow a hash of the whole row.
     """
     pcols = list(partition_cols)
-    if n_groups is None:
-        n_groups = df.select(*pcols).distinct().count() if pcols else 1
-    bits = _bucket_bits(n_groups, df)
-    keyed = (with_order_key(df, id_col, seed)
-             .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
-    keyed, pdf = _units(keyed, id_col, pcols, list(df.columns))
-    unit = [*pcols, "_b", "_seg", "_sub"]
-    pdf = pdf.sort_values(unit).reset_index(drop=True)
-    running = pdf.groupby(pcols)["_cnt"].cumsum() if pcols else pdf["_cnt"].cumsum()
-    pdf["_off"] = (running - pdf["_cnt"]).astype("int64")
-    schema = T.StructType([keyed.schema[c] for c in pcols] + [
-        T.StructField("_b", T.IntegerType()), T.StructField("_seg", T.IntegerType()),
-        T.StructField("_sub", T.IntegerType()), T.StructField("_off", T.LongType())])
-    offsets = df.sparkSession.createDataFrame(_tuples(pdf, [*unit, "_off"]), schema)
-    w = Window.partitionBy(*unit).orderBy("_key", id_col, "_h")
-    out = (keyed.join(F.broadcast(offsets), on=unit, how="inner")
-           .withColumn(rank_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")))
-    return out.drop("_key", "_b", "_off", "_seg", "_sub", "_h")
+    bits = _rank_bits(df, n_groups)
+    keyed = (with_order_key(df, id_col, seed).withColumn("_h", F.xxhash64(*df.columns))
+             .withColumn("_b", F.shiftright(hex_prefix_int(F.col("_key"), 8), 32 - bits)))
+    limit = hot_rows(df.sparkSession)
+    cells = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(limit))
+    hot = cells.select(*pcols, "_b").collect()
+    is_hot = F.lit(False)
+    if hot:
+        lk = df.sparkSession.createDataFrame([tuple(r) for r in hot], cells.select(*pcols, "_b").schema)
+        lk = lk.select(*[F.col(c).alias(f"_hot_{c}") for c in [*pcols, "_b"]], F.lit(True).alias("_hot"))
+        on = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in [*pcols, "_b"]]
+        keyed = keyed.join(F.broadcast(lk), on, "left").drop(*[f"_hot_{c}" for c in [*pcols, "_b"]])
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    keyed = (keyed.withColumn("_uk", F.when(is_hot, F.col("_key")).otherwise(F.lit("")))
+             .withColumn("_ui", F.when(is_hot, F.col(id_col)))
+             .withColumn("_uh", F.when(is_hot, F.shiftright("_h", 52)).otherwise(F.lit(0)))
+             .drop("_hot"))
+    unit = ["_b", "_uk", "_ui", "_uh"]
+    before = Window.partitionBy(*pcols).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*pcols, *unit).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*[F.col(c).alias(f"_o{c}") for c in [*pcols, *unit]],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    on = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in [*pcols, *unit]]
+    w = Window.partitionBy(*pcols, *unit).orderBy("_key", id_col, "_h")
+    out = keyed.withColumn("_rn", F.row_number().over(w)).join(offsets, on)
+    return out.select(*df.columns, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias(rank_col))
+
+
+def _rank_bits(df: DataFrame, n_groups: int | None) -> int:
+    """Unit bits for about ROWS_PER_BUCKET rows a unit by the plan's size estimate (16 bytes a row);
+    an estimate that is far off changes the unit sizes, never the ranks."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate
+        size = 1 << 40
+    per_group = size / 16 / ROWS_PER_BUCKET / max(n_groups or 1, 1)
+    return int(min(28, max(0 if n_groups else 4, math.ceil(math.log2(max(per_group, 1.0))))))
+
+
+def sorted_numbers(df: DataFrame, col: str, out_col: str) -> DataFrame:
+    """(col, out_col): 0-based place of each distinct value in sorted order.
+
+    A range exchange sorts the values; a partition's rows are numbered in place and get the
+    offset of the partitions before it (one row per partition is summed up)."""
+    ranged = (df.select(col).repartitionByRange(col).withColumn("_p", F.spark_partition_id()))
+    w = Window.partitionBy("_p").orderBy(col)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (ranged.withColumn("_rn", F.row_number().over(w)).join(offsets, "_p")
+            .select(col, (F.col("_off") + F.col("_rn") - 1).alias(out_col)))
 
 
 def seeded_order(df: DataFrame, id_col: str, seed, pos_col: str = "pos") -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import time
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import md5_int
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 from . import kernels as K
 from .model import Net
 from .scoring import ship_releasable, to_matrix
 from .splits import assign_batches
 
 CHUNK = 4096
+FAN_IN = 16   # first-level groups of partial vectors per chunk
 ROUNDS_PER_BLOCK = 64
 DRIVER_AVERAGE_BYTES = 1 << 26  # workers x parameters below this are averaged after one collect
 CACHE_ROUNDS_BYTES = 1 << 33    # prepared round tables up to this size are persisted co-located
@@ -54,6 +56,15 @@ def penalty_grads(net: Net, grads: dict, l1: float = 0.0, l2: float = 0.0):
     return grads
 
 
+def _labelled(df: DataFrame, labels: dict, n_classes: dict) -> DataFrame:
+    """Class labels must be 0..k-1 and not null: a bad one raises where the rows are read."""
+    from .prep import check_labels
+    for out, c in labels.items():
+        if not isinstance(df.schema[c].dataType, T.ArrayType):
+            df = check_labels(df, c, n_classes[out])
+    return df
+
+
 def _onehot(labels: np.ndarray, k: int) -> np.ndarray:
     y = np.zeros((labels.shape[0], k))
     y[np.arange(labels.shape[0]), labels.astype(int)] = 1.0
@@ -138,8 +149,8 @@ def gradient(df: DataFrame, net: Net, features: dict | str, labels: dict | str,
         yield _chunks(vec, n, loss)
 
     cols = list(dict.fromkeys(list(feats.values()) + list(labs.values())))
-    partial = df.select(*cols).mapInArrow(run, _PARTIAL)
-    total = tree_sum(partial, df.rdd.getNumPartitions()).collect()  # model-sized
+    partial = _labelled(df.select(*cols), labs, ks).mapInArrow(run, _PARTIAL)
+    total = tree_sum(partial, FAN_IN * FAN_IN).collect()  # model-sized
     release()
     total = sorted(total, key=lambda r: r["chunk"])
     n = total[0]["n"] if total else 0
@@ -189,8 +200,9 @@ class Updater:
     bias_lr: float | None = None
 
     def rate(self, iteration: int, is_bias: bool = False) -> float:
-        base = self.bias_lr if (is_bias and self.bias_lr is not None) else self.lr
-        return schedule_rate(self.schedule, base, iteration)
+        rate = schedule_rate(self.schedule, self.lr, iteration)
+        # a bias rate of its own follows the schedule in the same proportion
+        return rate * self.bias_lr / self.lr if is_bias and self.bias_lr is not None else rate
 
     def state_size(self, n: int) -> int:
         return n if self.kind in ("nesterovs", "rmsprop") else 0
@@ -236,17 +248,26 @@ def renormalise_l2(net: Net, grads: dict) -> dict:
     return out
 
 
+# FIXED VALUES of the dropout coin: odd multipliers of a 32-bit counter hash
+COIN = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE3D, 0x27D4EB2F)
+COIN_MIX = 0x045D9F3B
+
+
+def _vertex_code(vname) -> int:
+    return zlib.crc32(str(vname).encode())
+
+
 def dropout_mask(seed: int, iteration: int, ids: np.ndarray, vname: str, shape, keep: float) -> np.ndarray:
-    """OPT-6: keep-mask from md5(seed|iteration|vertex|id|unit) < keep (same coin as SQL)."""
-    import hashlib
-    n = shape[0]
-    units = int(np.prod(shape[1:]))
-    m = np.empty((n, units))
-    for r in range(n):
-        for u in range(units):
-            h = hashlib.md5(f"{seed}|{iteration}|{vname}|{ids[r]}|{u}".encode()).hexdigest()
-            m[r, u] = 1.0 if int(h[:8], 16) / 4294967296.0 < keep else 0.0
-    return m.reshape(shape)
+    """OPT-6: keep-mask from a 32-bit hash of (seed, iteration, vertex, id, unit) < keep, on whole arrays
+    (same coin as ``dropout_expr``)."""
+    n, units, m = shape[0], int(np.prod(shape[1:])), np.uint64(0xFFFFFFFF)
+    head = (seed * COIN[0] + iteration * COIN[1] + _vertex_code(vname)) % (1 << 32)
+    row = (np.asarray(ids).astype(np.int64).view(np.uint64) & m) * np.uint64(COIN[2])
+    x = (np.uint64(head) + row[:, None] + np.arange(units, dtype=np.uint64)[None, :] * np.uint64(COIN[3])) & m
+    for _ in range(2):
+        x = ((x ^ (x >> np.uint64(16))) * np.uint64(COIN_MIX)) & m
+    x = x ^ (x >> np.uint64(16))
+    return (x / 4294967296.0 < keep).astype(float).reshape(shape)
 
 
 # ---------------------------------------------------------------- parameter averaging (TRN-03..05)
@@ -295,12 +316,12 @@ def prepare_rounds(df: DataFrame, id_col: str, spec: FitSpec, epoch: int = 0) ->
 
 
 def _round_table(spark, src: DataFrame, id_col: str, spec: FitSpec, epoch: int):
-    """Write the epoch's round table once; return (table, number of rounds, co-located flag)."""
+    """Write the epoch's round table once; return (table, number of rounds, co-located flag, path)."""
     path = scratch_path(spark, f"rounds-e{epoch}")
     prep = prepare_rounds(src, id_col, spec, epoch)
-    # one writer per round block, rows sorted by round: a round reads one directory and,
+    # one writer per round block and worker, rows sorted by round: a round reads one directory and,
     # through row-group statistics, only its own rows
-    (prep.repartition("round_block").sortWithinPartitions("round", "worker_id")
+    (prep.repartition("round_block", "worker_id").sortWithinPartitions("round", "worker_id")
      .write.mode("overwrite").partitionBy("round_block").parquet(path))
     data = spark.read.parquet(path)
     n_rounds_row = data.agg(F.max("round").alias("r")).first()
@@ -315,18 +336,21 @@ def _round_table(spark, src: DataFrame, id_col: str, spec: FitSpec, epoch: int):
                            spec.workers * (n_rounds // ROUNDS_PER_BLOCK + 1)))
         data = (data.repartition(parts, "worker_id", "round_block").sortWithinPartitions("round")
                 .persist(StorageLevel.MEMORY_AND_DISK))  # sorted: cached-batch statistics prune rounds
-    return data, n_rounds, co_located
+    return data, n_rounds, co_located, path
 
 
 def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, labels: dict | str,
-                  n_classes: dict | int, spec: FitSpec, run: str = "fit", listener=None):
+                  n_classes: dict | int, spec: FitSpec, run: str = "fit", listener=None,
+                  state: np.ndarray | None = None, iteration: int = 0, start_round: int = 0, stop_round: int | None = None):
     """TRN-03: synchronous parameter averaging. Returns (trained Net, metrics DataFrame, state vector).
 
     The round table is written once per fit (or once per epoch when reshuffling). Per round
     one Spark job: read round r (cached co-located rows, or partition-pruned Parquet grouped by
     worker), run F mini-batches in NumPy from the shipped parameters, emit the worker's
     parameters + updater state in chunks, and average them (one collect when small, a grouped
-    chunk sum otherwise).
+    chunk sum otherwise). ``state`` and ``iteration`` continue an earlier fit (see
+    ``model_store.read_updater``); rounds, counted over all epochs, outside
+    [start_round, stop_round) are left out.
     """
     spark = df.sparkSession
     if isinstance(features, str):
@@ -338,32 +362,39 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     net = net.copy()
     keys = net.param_keys()
     n_par = net.n_params()
-    state = np.zeros(spec.updater.state_size(n_par))
+    state = np.zeros(spec.updater.state_size(n_par)) if state is None else np.asarray(state, dtype=float)
+    if state.size != spec.updater.state_size(n_par):
+        raise ValueError(f"updater state of {state.size} values where {spec.updater.state_size(n_par)} are needed")
     widths = {k: int(np.prod(net.inputs[k])) for k in features}
     cols = list(dict.fromkeys([id_col] + list(features.values()) + list(labels.values())))
     metrics = []
     t0 = time.time()
-    iteration = 0
+    done = 0
     # the input is computed once: written to the shared folder, then ranked from the written copy
     src_path = scratch_path(spark, "fit-input")
-    df.select(*cols).write.mode("overwrite").parquet(src_path)
+    _labelled(df.select(*cols), labels, n_classes).write.mode("overwrite").parquet(src_path)
     src = spark.read.parquet(src_path)
     data = None
     co_located = False
     for epoch in range(spec.epochs):
         if data is None or spec.reshuffle_each_epoch:
-            if data is not None and co_located:
+            if data is not None:
                 data.unpersist()
-            data, n_rounds, co_located = _round_table(spark, src, id_col, spec, epoch)
+                drop_scratch(spark, rounds_path)
+            data, n_rounds, co_located, rounds_path = _round_table(spark, src, id_col, spec, epoch)
         for r in range(n_rounds):
+            done += 1
+            if done <= start_round or (stop_round is not None and done > stop_round):
+                continue
             vec = np.concatenate([net.flat(), state])
             shipped = Net(net.inputs, net.vertices, net.outputs)
             shipped.params = dict(net.params)
+            shipped.fit_state = state  # parameters and state travel once, together
             get, release = ship_releasable(spark, shipped)
             base_iter = iteration
             feats, labs, ks = dict(features), dict(labels), dict(n_classes)
 
-            train = _make_train(get, vec, base_iter, n_par, keys, spec, id_col, feats, labs, ks, widths)
+            train = _make_train(get, base_iter, n_par, keys, spec, id_col, feats, labs, ks, widths)
 
             schema = T.StructType(_PARTIAL.fields + [T.StructField("nb", T.LongType())])
             rnd = data.filter((F.col("round_block") == F.lit(r // ROUNDS_PER_BLOCK)) & (F.col("round") == F.lit(r)))
@@ -397,8 +428,10 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
                 metrics.append(rec)
                 if listener is not None:
                     listener(rec)
-    if data is not None and co_located:
+    if data is not None:
         data.unpersist()
+        drop_scratch(spark, rounds_path)
+    drop_scratch(spark, src_path)
     mdf = spark.createDataFrame(metrics, "run string, epoch int, round int, iteration bigint, score double, "
                                          "elapsed_ms bigint")
     return net, mdf, state
@@ -435,7 +468,7 @@ def _as_table(train):
     return run
 
 
-def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks, widths):
+def _make_train(_get, _base, n_par, keys, spec, id_col, feats, labs, ks, widths):
     """One worker's part of a round: F mini-batches from the common parameters, on Arrow data.
 
     The worker's rows are sorted once by (batch, md5 key, id), turned into whole matrices,
@@ -444,7 +477,8 @@ def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks, w
     import pyarrow.compute as pc
 
     def train(tbl: pa.Table) -> pa.RecordBatch:
-        model = _get().copy()
+        given = _get()
+        model = given.copy()
         order = pc.sort_indices(tbl, sort_keys=[("batch_idx", "ascending"), ("_key", "ascending"),
                                                 (id_col, "ascending")])
         tbl = tbl.take(order).combine_chunks()
@@ -458,7 +492,7 @@ def _make_train(_get, _vec, _base, n_par, keys, spec, id_col, feats, labs, ks, w
             lmat[o] = (to_matrix(col, ks[o]) if pa.types.is_list(col.type)
                        else _onehot(col.to_numpy(), ks[o]))
         ids = tbl.column(id_col).to_numpy()
-        w, s = _vec[:n_par].copy(), _vec[n_par:].copy()
+        w, s = given.flat().copy(), given.fit_state.copy()
         score = 0.0
         for bi, (a, b) in enumerate(zip(starts, ends)):
             fd = {k: m[a:b] for k, m in fmat.items()}
@@ -490,11 +524,20 @@ def schedule_expr(iteration, schedule: dict | None, base: float):
 
 
 def dropout_expr(arr, id_col: str, seed: int, iteration: int, vertex: str, keep: float):
-    """OPT-6 on an array column: unit u kept when md5(seed|iteration|vertex|id|u) < keep, scaled 1/keep."""
-    from ..functions.hashing import hash01
+    """OPT-6 on an array column: unit u kept when the coin of (seed, iteration, vertex, id, u) < keep, scaled 1/keep."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    return F.transform(a, lambda x, u: F.when(hash01(seed, F.lit(iteration), F.lit(vertex), id_col, u) < F.lit(keep),
-                                              x / F.lit(keep)).otherwise(F.lit(0.0)))
+    m = F.lit(0xFFFFFFFF).cast("bigint")
+    head = (seed * COIN[0] + iteration * COIN[1] + _vertex_code(vertex)) % (1 << 32)
+    # the low 32 bits of a product of 32-bit numbers, split so that it stays below 2^63
+    times = lambda v, k: (((F.shiftright(v, 16) * k).bitwiseAND(0xFFFF)) * 65536 + v.bitwiseAND(0xFFFF) * k)
+    row = times(F.col(id_col).cast("bigint").bitwiseAND(m), COIN[2])
+
+    def coin(u):
+        x = (F.lit(head).cast("bigint") + row + times(u.cast("bigint"), COIN[3])).bitwiseAND(m)
+        for _ in range(2):
+            x = (x.bitwiseXOR(F.shiftright(x, 16)) * COIN_MIX).bitwiseAND(m)
+        return x.bitwiseXOR(F.shiftright(x, 16)) / F.lit(4294967296.0)
+    return F.transform(a, lambda x, u: F.when(coin(u) < F.lit(keep), x / F.lit(keep)).otherwise(F.lit(0.0)))
 
 
 def init_table(spark, n_in: int, n_out: int, seed: int, layer: int = 0, scheme: str = "xavier",

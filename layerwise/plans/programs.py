@@ -16,6 +16,7 @@ from ..operators.evaluation import class_metrics, confusion, summary
 from ..operators.model import Net, conv2d, dense, output, pool2d
 from ..operators.scoring import predict
 from ..session import scratch_path
+from ..sources.delimited import scan_delimited
 from ..sources.images import scan_images, write_png_folder
 from ..sources.model_store import read_model, write_model
 from . import fixtures as fx
@@ -26,7 +27,12 @@ def people_mlp(spark, sf_dir, workers=3, epochs=2, seed=3):
     """8-40-30-13 leaky-ReLU MLP, Nesterov(0.1), l2 1e-4; batches of 10 read, every third
     batch held out (without the reference's train/test overlap), 16 rows per worker step,
     averaging every 10 steps."""
-    data = fx.people13(spark, sf_dir)
+    fields = ["id", "label"] + [f"f{i}" for i in range(8)]
+    people = fx.people13(spark, sf_dir).select("id", "label", *[F.element_at("features", i + 1).alias(f"f{i}") for i in range(8)])
+    path = scratch_path(spark, "people-csv")
+    people.write.csv(path)
+    rows = scan_delimited(spark, path, "id bigint, label int, " + ", ".join(f"{c} double" for c in fields[2:]))
+    data = prep.check_labels(prep.split_label(rows, fields[1:], label_index=0, keep=["id"]), "label", 13)
     batched = splits.assign_batches(data, "id", 10, seed)
     parts = splits.stride_sample(batched, "batch_id", every=3, exclude=True)
     train = parts.filter(F.col("part") == "train").drop("part", "batch_id")
@@ -63,12 +69,15 @@ def animals_mlp(spark, sf_dir, workers=8, epochs=2, seed=42):
     a = fx.animals3(spark, sf_dir)
     a = a.withColumn("id", F.xxhash64(*a.columns))
     ex = prep.split_label(a, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "flag_id"], 4, keep=["id"])
-    stats = prep.fit_range(a, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-    lo = [stats[c][0] for c in stats]
-    span = [stats[c][1] - stats[c][0] for c in stats]
-    ex = ex.withColumn("features", F.transform("features", lambda x, i: (x - F.element_at(F.array(*map(F.lit, lo)), i + 1))
-                                               / F.element_at(F.array(*map(F.lit, span)), i + 1)))
     train, test = splits.split_frames(ex, "id", [7, 3], seed)
+    # the range comes from the training rows only; a constant column becomes 0
+    n = range(4)
+    wide = train.select(*[F.element_at("features", i + 1).alias(f"f{i}") for i in n])
+    stats = prep.fit_range(wide, [f"f{i}" for i in n])
+    lo = F.array(*[F.lit(stats[f"f{i}"][0]) for i in n])
+    span = F.array(*[F.lit((stats[f"f{i}"][1] - stats[f"f{i}"][0]) or 1.0) for i in n])
+    scaled = F.transform("features", lambda x, i: (x - F.element_at(lo, i + 1)) / F.element_at(span, i + 1))
+    train, test = train.withColumn("features", scaled), test.withColumn("features", scaled)
     net = Net.sequential((4,), [dense(4, "leakyrelu"), dense(3, "leakyrelu"), output(3, "softmax", "nll")]).init(seed=6)
     spec = TR.FitSpec(workers=workers, batch=16, frequency=5, epochs=epochs, seed=seed,
                       updater=TR.Updater("nesterovs", lr=0.1, momentum=0.9))
@@ -109,10 +118,16 @@ def people_program_query(spark, sf_dir):
 
 @register("program_digits_mlp")
 def digits_program_query(spark, sf_dir):
-    _, _, conf = digits_mlp(spark, sf_dir, hidden=(64, 32))
+    _, _, conf = digits_mlp(spark, sf_dir)
     return summary(conf)
 
 
+@register("program_animals_mlp")
+def animals_program_query(spark, sf_dir):
+    _, _, conf = animals_mlp(spark, sf_dir)
+    return class_metrics(conf)
+
+
 @register("program_image_lenet")
 def image_program_query(spark, sf_dir):
     _, _, conf = image_lenet(spark, sf_dir)

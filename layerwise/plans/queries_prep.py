@@ -221,6 +221,25 @@ def pre06_up(spark, sf_dir):
     return prep.explode_array(r, ["id"], "r", "i", "value")
 
 
+@register("pre06_resize_mixed", f"""
+WITH img AS (SELECT id, px, CASE WHEN id % 3 = 0 THEN 8 WHEN id % 3 = 1 THEN 4 ELSE 16 END AS h,
+                    CASE WHEN id % 3 = 0 THEN 8 WHEN id % 3 = 1 THEN 6 ELSE 4 END AS w FROM ({IMG8})),
+g AS (SELECT id, px, h, w, t.k AS k, greatest(((t.k // 7) + 0.5::DOUBLE) * (h::DOUBLE / 5) - 0.5::DOUBLE, 0.0::DOUBLE) AS fy,
+             greatest(((t.k % 7) + 0.5::DOUBLE) * (w::DOUBLE / 7) - 0.5::DOUBLE, 0.0::DOUBLE) AS fx FROM img, range(35) t(k)),
+n AS (SELECT *, floor(fy)::BIGINT AS y0, floor(fx)::BIGINT AS x0, least(floor(fy)::BIGINT + 1, h - 1) AS y1,
+             least(floor(fx)::BIGINT + 1, w - 1) AS x1, fy - floor(fy) AS ty, fx - floor(fx) AS tx FROM g)
+SELECT id, k AS i, (1.0::DOUBLE - ty) * ((1.0::DOUBLE - tx) * px[y0 * w + x0 + 1] + tx * px[y0 * w + x1 + 1])
+                   + ty * ((1.0::DOUBLE - tx) * px[y1 * w + x0 + 1] + tx * px[y1 * w + x1 + 1]) AS value FROM n""")
+def pre06_mixed(spark, sf_dir):
+    """Images of three shapes (8x8, 4x6, 16x4), each resized by its own shape to 5x7."""
+    img = fx.image8(spark, sf_dir)
+    kind = F.col("id") % 3
+    img = img.withColumn("h", F.when(kind == 0, 8).when(kind == 1, 4).otherwise(16)) \
+        .withColumn("w", F.when(kind == 0, 8).when(kind == 1, 6).otherwise(4))
+    img = img.withColumn("px", F.slice("px", F.lit(1), F.col("h") * F.col("w")))
+    return prep.explode_array(img.select("id", prep.resize("px", 1, "h", "w", 5, 7).alias("r")), ["id"], "r", "i", "value")
+
+
 @register("pre07_flip", f"""
 SELECT id, t.k AS i, px[(t.k // 8) * 8 + 7 - (t.k % 8) + 1]::INTEGER AS value FROM ({IMG8}), range(64) t(k)""")
 def pre07(spark, sf_dir):

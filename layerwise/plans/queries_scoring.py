@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash01
 from ..operators import prep, sequence
 from ..operators import scoring as S
-from ..operators.evaluation import class_metrics, confusion, merge_confusions, summary
+from ..operators.evaluation import class_metrics, confusion, merge_confusions, partial_confusions, summary
 from ..operators.model import (Net, Vertex, activation_layer, batchnorm_layer, conv2d, dense, fixed_weight,
                                lrn_layer, output, pool2d, zeropad_layer)
 from . import fixtures as fx
@@ -423,6 +423,6 @@ def evl02_summary(spark, sf_dir):
 @register("evl03_merge_partial", CONFUSION_SQL + "\nSELECT * FROM conf")
 def evl03(spark, sf_dir):
     pred = scored_predictions(spark, sf_dir)
-    half = hash01(SEED, "id") < F.lit(0.5)
-    parts = [confusion(pred.filter(half), 10), confusion(pred.filter(~half), 10)]
-    return merge_confusions(parts)
+    parts = partial_confusions(pred.withColumn("half", hash01(SEED, "id") < F.lit(0.5)), 10, "half")
+    grid = confusion(pred.limit(0), 10)  # zero cells
+    return merge_confusions([parts.drop("half"), grid])

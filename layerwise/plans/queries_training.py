@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -126,12 +128,12 @@ def opt4(spark, sf_dir):
 FIT_W, FIT_B, FIT_LR = 3, 16, 0.5
 
 
-def softmax_regression_fit(spark, sf_dir, frequency=1, updater=None):
+def softmax_regression_fit(spark, sf_dir, frequency=1, updater=None, net=None, **resume):
     v = fx.vectors64(spark, sf_dir)
-    net = Net.sequential((64,), [output(10, "softmax", "nll")]).init(scheme="zero")
+    net = net or Net.sequential((64,), [output(10, "softmax", "nll")]).init(scheme="zero")
     spec = TR.FitSpec(workers=FIT_W, batch=FIT_B, frequency=frequency, epochs=1, seed=SEED,
                       updater=updater or TR.Updater("sgd", lr=FIT_LR))
-    return TR.fit_averaging(v, net, "id", "features", "label", 10, spec, run="softmax-regression")
+    return TR.fit_averaging(v, net, "id", "features", "label", 10, spec, run="softmax-regression", **resume)
 
 
 FIT_SQL = f"""
@@ -271,6 +273,24 @@ def trn03_nesterov(spark, sf_dir):
     return params_frame(spark, net).withColumn("value", F.round("value", 6))
 
 
+@register("snk02_resume_fit", FIT_NF2_SQL)
+def snk02_resume(spark, sf_dir):
+    """The same fit in two halves: the model, its updater state, kind, rates and iteration are written after
+    the first rounds, read again, and the rest of the rounds continue from them."""
+    from ..session import scratch_path
+    from ..sources.model_store import read_model, read_updater, write_model
+    updater = TR.Updater("nesterovs", lr=NF2_LR, momentum=NF2_MU)
+    net, metrics, state = softmax_regression_fit(spark, sf_dir, frequency=2, updater=updater, stop_round=2)
+    path = scratch_path(spark, "resume")
+    done = metrics.agg(F.max("iteration")).first()[0] or 0
+    write_model(spark, net, path, state=state, updater=updater, iteration=done)
+    net, state = read_model(spark, path, with_state=True)
+    updater, iteration = read_updater(spark, path)
+    net, _, _ = softmax_regression_fit(spark, sf_dir, frequency=2, updater=updater, net=net, state=state,
+                                       iteration=iteration, start_round=2)
+    return params_frame(spark, net).withColumn("value", F.round("value", 6))
+
+
 @register("snk03_training_metrics", FIT_METRICS_SQL)
 def snk03(spark, sf_dir):
     """Metrics rows of the averaging fit, written and read back; elapsed_ms stays in the
@@ -345,11 +365,18 @@ def opt3(spark, sf_dir):
                      TR.schedule_expr("iteration", MAP_SCHEDULE, 0.01).alias("map_rate"))
 
 
+def _coin_sql(seed: int, iteration: int, vertex: str) -> str:
+    """The dropout coin of (id, i) in 32-bit arithmetic."""
+    head = (seed * TR.COIN[0] + iteration * TR.COIN[1] + zlib.crc32(vertex.encode())) % (1 << 32)
+    x = f"(({head} + ((id::HUGEINT & 4294967295) * {TR.COIN[2]}) + i::HUGEINT * {TR.COIN[3]}) % 4294967296)::BIGINT"
+    for _ in range(2):
+        x = f"((xor({x}, ({x}) >> 16)::HUGEINT * {TR.COIN_MIX}) % 4294967296)::BIGINT"
+    return f"(xor({x}, ({x}) >> 16) / 4294967296.0::DOUBLE)"
+
+
 @register("opt6_dropout_mask", f"""
 WITH v AS ({V64}), e AS ({explode('v', 'x')})
-SELECT id, i::BIGINT AS i,
-       CASE WHEN (('0x' || substr(md5(concat_ws('|', '{SEED}', '0', '0', id::VARCHAR, i::VARCHAR)), 1, 8))::BIGINT
-                  / 4294967296.0::DOUBLE) < 0.5::DOUBLE THEN v / 0.5::DOUBLE ELSE 0.0::DOUBLE END AS value
+SELECT id, i::BIGINT AS i, CASE WHEN {_coin_sql(SEED, 0, '0')} < 0.5::DOUBLE THEN v / 0.5::DOUBLE ELSE 0.0::DOUBLE END AS value
 FROM e""")
 def opt6(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
@@ -357,7 +384,6 @@ def opt6(spark, sf_dir):
     return prep.explode_array(d, ["id"], "dropped", "i", "value")
 
 
-
 # ---------------------------------------------------------------- TRN-05 one step in SQL, OPT-2 updates in SQL
 
 def graph_table(spark, sf_dir):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,8 +31,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be on shared storage.
-    Only when it is unset (local runs, tests) a fresh folder is created and
-    registered as the context's checkpoint directory.
+    Only when it is unset on a local master (tests) a fresh folder is created, registered as
+    the context's checkpoint directory and removed at exit; elsewhere a missing setting raises.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -45,7 +47,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001
             root = None
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="layerwise-ckpt-")
+        atexit.register(shutil.rmtree, root, True)
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -56,6 +61,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a sub-folder of the shared checkpoint folder once nothing reads it any more."""
+    if not path.startswith(checkpoint_root(spark) + "/"):
+        raise ValueError(f"{path} is no scratch folder")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop))
+
+
 def local_fs_path(path: str) -> str:
     """Path usable by Python file APIs inside tasks (shared POSIX mount)."""
     if path.startswith("file:"):

@@ -46,6 +46,9 @@ def _to_channel_major(batches):
         data = img.field("data").to_pylist()
         pxs = []
         for d, h, w, c in zip(data, hs, ws, cs):
+            if h < 0:  # an undecodable file: shape -1, no pixels
+                pxs.append(None)
+                continue
             a = np.frombuffer(d, dtype=np.uint8).reshape(h, w, c)
             if c >= 3:
                 a = a[:, :, [2, 1, 0] + list(range(3, c))]  # BGR(A) -> RGB(A)
@@ -57,16 +60,32 @@ def _to_channel_major(batches):
 
 
 def scan_images(spark: SparkSession, path: str, formats: Sequence[str] = ALLOWED_FORMATS,
-                with_label: bool = True) -> DataFrame:
-    """Decode every allowed image under ``path`` (recursively) to (origin, c, h, w, px) with px
-    channel-major RGB ints; label = parent folder name."""
-    raw = (spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "true")
-           .load(path))
+                with_label: bool = True, channels: int | None = None, invalid: str = "raise") -> DataFrame:
+    """Every allowed image under ``path`` (recursively) as (origin, c, h, w, px) with px channel-major
+    RGB ints; label = parent folder name. ``channels`` brings all images to that many channels.
+
+    A file that does not decode fails the scan, or with ``invalid="keep"`` stays as a row with
+    null px and shape -1 (``invalid_images`` counts them)."""
+    raw = spark.read.format("image").option("recursiveFileLookup", "true").load(path)
     raw = raw.filter(_ext_filter(F.col("image.origin"), formats))
     out = raw.mapInArrow(_to_channel_major, _IMG_SCHEMA)
+    if invalid == "raise":
+        fail = F.raise_error(F.concat(F.lit("not an image: "), F.col("origin"))).cast("int")
+        out = out.withColumn("h", F.when(F.col("h") < 0, fail).otherwise(F.col("h")))
+    elif invalid != "keep":
+        raise ValueError(f"invalid={invalid!r}: 'raise' or 'keep'")
+    if channels is not None:
+        from ..operators.prep import align_channels
+        px = F.when(F.col("px").isNotNull(), align_channels("px", "c", "h", "w", channels))
+        out = out.withColumn("px", px).withColumn("c", F.when(F.col("c") > 0, F.lit(channels)).otherwise(F.col("c")))
     return label_from_path(out, "origin") if with_label else out
 
 
+def invalid_images(scanned: DataFrame) -> DataFrame:
+    """Number of files that did not decode, per label (scan with ``invalid="keep"``)."""
+    return scanned.filter(F.col("px").isNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def png_bytes(px: np.ndarray) -> bytes:
     """Minimal 8-bit greyscale (h, w) or RGB (h, w, 3) PNG encoder for fixtures."""
     px = np.asarray(px, dtype=np.uint8)

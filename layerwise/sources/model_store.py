@@ -1,16 +1,21 @@
 """SNK-01/02/03: models and training metrics as Parquet tables.
 
 model_layers(layer, kind, n_in, n_out, activation, options), model_params(layer, name, idx, value),
-updater_state(layer, name, slot, idx, value) and a one-row model_config(config).
+updater_state(layer, name, slot, idx, value) with a one-row updater(options) of its kind, rates and
+iteration, and a one-row model_config(config).
 """
 
 from __future__ import annotations
 
+import dataclasses
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.model import Net, net_from_rows
+from ..session import path_exists
 
 LAYERS_SCHEMA = "layer int, kind string, n_in int, n_out int, activation string, options string"
 
@@ -31,7 +36,7 @@ def _param_frame(net: Net, vec: np.ndarray | None = None) -> pd.DataFrame:
 
 
 def write_model(spark: SparkSession, net: Net, path: str, state: np.ndarray | None = None,
-                save_updater: bool = True, slot: str = "v") -> None:
+                save_updater: bool = True, slot: str = "v", updater=None, iteration: int = 0) -> None:
     spark.createDataFrame(net.layer_rows(), LAYERS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/model_layers")
     spark.createDataFrame([(net.config_json(),)], "config string").coalesce(1).write.mode("overwrite") \
         .parquet(f"{path}/model_config")
@@ -39,6 +44,9 @@ def write_model(spark: SparkSession, net: Net, path: str, state: np.ndarray | No
     spark.createDataFrame(_rows(params, ["layer", "name", "idx", "value"]),
                           "layer int, name string, idx bigint, value double") \
         .write.mode("overwrite").parquet(f"{path}/model_params")
+    if save_updater and updater is not None:
+        options = json.dumps({"iteration": iteration, **dataclasses.asdict(updater)})
+        spark.createDataFrame([(options,)], "options string").coalesce(1).write.mode("overwrite").parquet(f"{path}/updater")
     if save_updater and state is not None and state.size:
         st = _param_frame(net, state).assign(slot=slot)
         spark.createDataFrame(_rows(st, ["layer", "name", "slot", "idx", "value"]),
@@ -64,19 +72,25 @@ def read_model(spark: SparkSession, path: str, with_state: bool = False):
         net.params[(vname, pname)] = g.sort_values("idx")["value"].to_numpy().reshape(shp)
     if not with_state:
         return net
-    try:
-        st = spark.read.parquet(f"{path}/updater_state").toPandas()
-    except Exception:  # noqa: BLE001 - no state saved
+    if not path_exists(spark, f"{path}/updater_state"):
         return net, None
-    order = {(names[int(r.layer)], r.name): None for r in st.itertuples()}
-    vec = []
-    for vname, pname, shp in net.param_keys():
-        g = st[(st["layer"] == [i for i, n in names.items() if n == vname][0]) & (st["name"] == pname)]
-        vec.append(g.sort_values("idx")["value"].to_numpy())
-    del order
+    st = spark.read.parquet(f"{path}/updater_state").toPandas()
+    number = {n: i for i, n in names.items()}
+    vec = [st[(st["layer"] == number[vname]) & (st["name"] == pname)].sort_values("idx")["value"].to_numpy()
+           for vname, pname, _ in net.param_keys()]
     return net, np.concatenate(vec) if vec else None
 
 
+def read_updater(spark: SparkSession, path: str):
+    """(Updater, iteration) stored with the model, or (None, 0) where none was saved."""
+    from ..operators.training import Updater
+    if not path_exists(spark, f"{path}/updater"):
+        return None, 0
+    options = json.loads(spark.read.parquet(f"{path}/updater").first()["options"])
+    iteration = options.pop("iteration")
+    return Updater(**options), iteration
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """SNK-03: append training metrics rows (run, epoch, round, iteration, score, elapsed_ms)."""
     df.write.mode("append").parquet(path)

@@ -525,3 +525,74 @@ def test_driver_side_tables_work_without_arrow(spark):
     finally:
         spark.conf.unset("spark.layerwise.hotRows")
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+
+
+# ---------------------------------------------------------------- nulls, many groups, strict inputs
+
+def test_ranked_many_groups_and_a_null_group(spark):
+    df = spark.range(70_000).select(F.col("id"), F.when(F.col("id") < 69_000, F.col("id")).alias("grp"))
+    got = splits.ranked(df, "id", 5, partition_cols=["grp"])
+    assert got.count() == 70_000
+    assert got.filter("grp is not null and rank <> 0").count() == 0
+    null = [r["rank"] for r in got.filter("grp is null").select("rank").collect()]
+    assert sorted(null) == list(range(1000))
+
+
+def test_positions_keep_null_orders_and_keys(spark):
+    rows = [("a", None, 1.0), ("a", 10, 2.0), ("a", 12, 3.0), (None, 5, 4.0), (None, None, 5.0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    got = {(r["k"], r["t"]): r["pos"] for r in sequence.positions(df, "k", ["t"]).collect()}
+    assert got == {("a", None): 0, ("a", 10): 1, ("a", 12): 2, (None, None): 0, (None, 5): 1}
+
+
+def test_fits_refuse_bad_labels(spark):
+    net = Net.sequential((2,), [output(3, "softmax", "nll")]).init(seed=1)
+    for bad in (-1, 3, None):
+        df = spark.createDataFrame([(1, [0.1, 0.2], 0), (2, [0.3, 0.4], bad)], "id long, x array<double>, label int")
+        with pytest.raises(Exception, match="label outside"):
+            TR.gradient(df, net, "x", "label", 3)
+        with pytest.raises(Exception, match="label outside"):
+            TR.fit_averaging(df, net, "id", "x", "label", 3, TR.FitSpec(workers=1, batch=2))
+
+
+def test_resize_reads_its_own_shape_or_raises(spark):
+    df = spark.createDataFrame([(1, list(range(16)))], "id long, px array<int>")
+    with pytest.raises(Exception, match="16 values where 4"):
+        df.select(prep.resize("px", 1, 2, 2, 1, 1)).collect()
+    assert df.select(prep.resize("px", 1, 4, 4, 1, 1).alias("r")).first()["r"] == [7.5]
+    big = spark.range(2).select(F.sequence(F.lit(0), F.lit(3 * 32 * 48 - 1)).alias("px"))
+    out = big.select(prep.resize("px", 3, 32, 48, 224, 224).alias("r")).first()["r"]
+    assert len(out) == 3 * 224 * 224 and out[0] == 0.0 and out[-1] == 3 * 32 * 48 - 1
+
+
+def test_align_channels(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (2, [1, 2, 9, 9]), (3, [1, 2, 3, 4, 5, 6]), (4, [1, 2, 3, 4, 5, 6, 9, 9])], "c int, px array<int>")
+    rgb = {r["c"]: r["p"] for r in df.select("c", prep.align_channels("px", "c", 1, 2, 3).alias("p")).collect()}
+    assert rgb == {1: [1, 2] * 3, 2: [1, 2] * 3, 3: [1, 2, 3, 4, 5, 6], 4: [1, 2, 3, 4, 5, 6]}
+    grey = {r["c"]: r["p"] for r in df.select("c", prep.align_channels("px", "c", 1, 2, 1).alias("p")).collect()}
+    assert grey == {1: [1, 2], 2: [1, 2], 3: [3, 4], 4: [3, 4]}
+
+
+def test_undecodable_images_are_kept_or_fail(spark, tmp_path):
+    import numpy as np
+
+    from layerwise.sources.images import invalid_images, png_bytes, scan_images
+    (tmp_path / "cats").mkdir()
+    (tmp_path / "cats" / "a.png").write_bytes(png_bytes(np.zeros((2, 2), dtype=np.uint8)))
+    (tmp_path / "cats" / "b.png").write_bytes(b"no image")
+    kept = scan_images(spark, str(tmp_path), invalid="keep", channels=3)
+    assert sorted((r["h"], None if r["px"] is None else len(r["px"])) for r in kept.collect()) == [(-1, None), (2, 12)]
+    assert [tuple(r) for r in invalid_images(kept).collect()] == [("cats", 1)]
+    with pytest.raises(Exception, match="not an image"):
+        scan_images(spark, str(tmp_path)).collect()
+
+
+def test_bias_rate_follows_the_schedule():
+    u = TR.Updater("sgd", lr=0.01, bias_lr=0.02, schedule={"type": "map", "values": {0: 0.01, 5: 0.001}})
+    assert abs(u.rate(0, True) - 0.02) < 1e-15 and abs(u.rate(5, True) - 0.002) < 1e-15 and u.rate(5) == 0.001
+
+
+def test_index_labels_in_one_path(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "name string")
+    got = sorted(((r["name"], r["label"]) for r in prep.index_labels(df, "name").collect()), key=str)
+    assert got == [("a", 0), ("a", 0), ("b", 1), ("c", 2), (None, None)]
