@@ -5,7 +5,7 @@ normal form (lower case, digits only, ...) is what coreference means: every writ
 same surrogate, poured back into the written form's punctuation and case.  A surrogate is drawn from
 SHA-256(key, type, normal form, attempt) and stays of its type: digits for digits, vowels for vowels and
 consonants for consonants of the same script, octets for octets, a valid Luhn digit where there was one;
-titles and the last letter of names, which carry gender, stay, as do country codes and top-level domains.
+titles and the last letter of each name, which carry gender, stay, as do country codes and top-level domains.
 
 Distinctness is checked over the whole table: where two entities of a type draw one surrogate, or a
 surrogate is some real entity of the corpus, all but the first by normal form draw again with the next
@@ -27,7 +27,7 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"),
     ("ip", rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z]{4})?(?: ?\d{4}){2,6}(?: ?[A-Z0-9]{1,4}){0,2}(?![A-Za-z0-9])"),
     ("card", r"(?<![0-9])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![0-9])"),
     ("ssn", r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])"),
     ("phone", r"(?<![0-9+])(?:\+\d{8,15}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})(?![0-9])"),
@@ -96,9 +96,12 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     n = F.length(norm)
     # characters before ``head`` and from ``tail`` on stay: scheme digit, country, gender ending, top-level domain
     head = F.when(kind == "card", 1).when(kind == "iban", 2).otherwise(0)
-    tail = F.when(kind == "email", n - F.length(F.substring_index(norm, ".", -1)) - 1) \
-        .when(kind == "person", n - 1).otherwise(n)
-    drawn = F.array_join(F.transform(chars, lambda c, i: F.when((i < head) | (i >= tail), c).otherwise(_draw(c, _byte(digest, i)))), "")
+    tail = F.when(kind == "email", n - F.length(F.substring_index(norm, ".", -1)) - 1).otherwise(n)
+
+    def draw(c: Column, i: Column) -> Column:
+        ends_name = (kind == "person") & F.substring(norm, i + 2, F.lit(1)).isin("", " ", "-")
+        return F.when((i < head) | (i >= tail) | ends_name, c).otherwise(_draw(c, _byte(digest, i)))
+    drawn = F.array_join(F.transform(chars, draw), "")
     octets = F.concat_ws(".", *[(F.pmod(_byte(digest, F.lit(i)), F.lit(254)) + 1).cast("string") for i in range(4)])
     body = F.left(drawn, n - 1)
     check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
