@@ -6,11 +6,11 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash01
+from ..operators import image_ops as I
 from ..operators import prep, sequence
 from ..operators import scoring as S
 from ..operators.evaluation import class_metrics, confusion, merge_confusions, partial_confusions, summary
-from ..operators.model import (Net, Vertex, activation_layer, batchnorm_layer, conv2d, dense, fixed_weight,
-                               lrn_layer, output, pool2d, zeropad_layer)
+from ..operators.model import Net, Vertex, activation_layer, batchnorm_layer, conv2d, dense, fixed_weight, output
 from . import fixtures as fx
 from . import sql_tensors as Q
 from .registry import IMG8, V64, act_sql, b_sql, dense_sql, explode, register, softmax_sql, w_sql
@@ -61,6 +61,12 @@ def scr02(spark, sf_dir):
 
 # ---------------------------------------------------------------- SCR-03 conv, SCR-04 pool
 
+def _weights(net):
+    """(weights, bias) of a net's only layer."""
+    by_name = {name: value for (_, name), value in net.params.items()}
+    return by_name["W"], by_name["b"]
+
+
 def _img_rows(src_sql, arr, h, w):
     return Q.pixels(f"({src_sql})", arr, h, w)
 
@@ -71,7 +77,7 @@ WITH p AS ({_img_rows(IMG8, 'px', 8, 8)}), c AS ({Q.conv('p', 0, 2, 3, 3, 1, 0,
 def scr03_a(spark, sf_dir):
     img = fx.image8(spark, sf_dir).select("id", F.transform("px", lambda p: p.cast("double")).alias("x"))
     net = Net.sequential((1, 8, 8), [conv2d(2, (3, 3), (1, 1), (0, 0), "truncate")]).fixed_init()
-    return _explode(S.score(img, net, "x", keep=["id"]), ["id"], "out")
+    return _explode(img.select("id", I.conv2d("x", 1, 8, 8, *_weights(net)).alias("out")), ["id"], "out")
 
 
 @register("scr03_conv_4x4x4_stride2_same", f"""
@@ -80,23 +86,22 @@ WITH p AS ({_img_rows(V64, 'x', 4, 4)}), c AS ({Q.conv('p', 0, 3, 3, 3, 2, 0, 0,
 def scr03_b(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
     net = Net.sequential((4, 4, 4), [conv2d(3, (3, 3), (2, 2), (0, 0), "same")]).fixed_init()
-    return _explode(S.score(v, net, "features", keep=["id"]), ["id"], "out")
+    out = I.conv2d("features", 4, 4, 4, *_weights(net), stride=(2, 2), mode="same")
+    return _explode(v.select("id", out.alias("out")), ["id"], "out")
 
 
 @register("scr04_maxpool_2x2", f"""
 WITH p AS ({_img_rows(IMG8, 'px', 8, 8)}), q AS ({Q.pool('p', 2, 2, 4, 4)}) {Q.flat('q', 4, 4)}""")
 def scr04_a(spark, sf_dir):
     img = fx.image8(spark, sf_dir).select("id", F.transform("px", lambda p: p.cast("double")).alias("x"))
-    net = Net.sequential((1, 8, 8), [pool2d((2, 2), (2, 2))])
-    return _explode(S.score(img, net, "x", keep=["id"]), ["id"], "out")
+    return _explode(img.select("id", I.pool2d("x", 1, 8, 8, (2, 2), (2, 2)).alias("out")), ["id"], "out")
 
 
 @register("scr04_maxpool_3x3_stride2", f"""
 WITH p AS ({_img_rows(IMG8, 'px', 8, 8)}), q AS ({Q.pool('p', 3, 2, 3, 3)}) {Q.flat('q', 3, 3)}""")
 def scr04_b(spark, sf_dir):
     img = fx.image8(spark, sf_dir).select("id", F.transform("px", lambda p: p.cast("double")).alias("x"))
-    net = Net.sequential((1, 8, 8), [pool2d((3, 3), (2, 2))])
-    return _explode(S.score(img, net, "x", keep=["id"]), ["id"], "out")
+    return _explode(img.select("id", I.pool2d("x", 1, 8, 8, (3, 3), (2, 2)).alias("out")), ["id"], "out")
 
 
 # ---------------------------------------------------------------- SCR-05 LRN, SCR-06 batch norm, SCR-07 pad
@@ -109,8 +114,7 @@ o AS (SELECT id, c, y, x, round(v / pow(2.0::DOUBLE + 0.0001::DOUBLE * ss, 0.75:
 {Q.flat('o', 4, 4)}""")
 def scr05(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
-    net = Net.sequential((4, 4, 4), [lrn_layer()])
-    return _rounded(_explode(S.score(v, net, "features", keep=["id"]), ["id"], "out"), ["value"])
+    return _rounded(_explode(v.select("id", I.lrn("features", 4, 4, 4).alias("out")), ["id"], "out"), ["value"])
 
 
 @register("scr06_batchnorm_fit", f"""
@@ -132,8 +136,7 @@ SELECT id, t.k AS i,
 FROM ({IMG8}), range(196) t(k)""")
 def scr07(spark, sf_dir):
     img = fx.image8(spark, sf_dir).select("id", F.transform("px", lambda p: p.cast("double")).alias("x"))
-    net = Net.sequential((1, 8, 8), [zeropad_layer(3)])
-    return _explode(S.score(img, net, "x", keep=["id"]), ["id"], "out")
+    return _explode(img.select("id", I.zero_pad("x", 1, 8, 8, 3, 3, 3, 3).alias("out")), ["id"], "out")
 
 
 # ---------------------------------------------------------------- SCR-08 merge, SCR-09 residual add
