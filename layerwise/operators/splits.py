@@ -4,7 +4,7 @@ Global ranks are computed without a single-partition window: rows are keyed by
 md5(seed|id); the first bits of that key form an order-preserving bucket. Bucket
 counts and their running sums (computed in Spark) give every bucket its starting
 offset, and only rows inside one bucket are ranked together. The weighted split
-collects its own histogram of at most ``MAX_BUCKETS`` buckets.
+looks up the rows at its cuts and labels all others by comparison, in one scan.
 """
 
 from __future__ import annotations
@@ -14,42 +14,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.hashing import hex_prefix_int, md5_key
 
-MAX_BUCKETS = 1 << 16  # bound of every histogram collected or broadcast here
+MAX_BUCKETS = 1 << 16  # bound of every histogram collected here (4 hex digits)
 HOT_ROWS = 1 << 22     # a rank unit above this size (and far above the average) is split
 
 
 ROWS_PER_BUCKET = 1 << 14
 
 
-def _size_bits(df: DataFrame) -> int:
-    """Bucket bits from the plan's size estimate: ~ROWS_PER_BUCKET rows per bucket, assuming
-    16 bytes per row (errs towards more buckets); 16 bits when the estimate is unknown or large."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate
-        return 16
-    rows = size / 16
-    return int(min(16, max(4, math.ceil(math.log2(max(rows / ROWS_PER_BUCKET, 1.0))))))
-
-
-def _bucket_bits(n_groups: int, df: DataFrame | None = None) -> int:
-    top = _size_bits(df) if df is not None else 16
-    return max(0, top - math.ceil(math.log2(max(n_groups, 1))))
-
-
 def with_order_key(df: DataFrame, id_col: str, seed) -> DataFrame:
     return df.withColumn("_key", md5_key(seed, id_col))
 
 
-def _tuples(pdf, cols) -> list:
-    """Rows of a small pandas frame as plain Python tuples (works with or without Arrow)."""
-    return list(zip(*[[v.item() if hasattr(v, "item") else v for v in pdf[c].tolist()] for c in cols]))
-
-
 def hot_rows(spark) -> int:
     try:
         return int(spark.conf.get("spark.layerwise.hotRows"))
@@ -57,48 +35,6 @@ def hot_rows(spark) -> int:
         return HOT_ROWS
 
 
-def _units(keyed: DataFrame, id_col: str, pcols: list, data_cols: list):
-    """Order-preserving rank units (pcols, _b, _seg, _sub) and their sizes.
-
-    Normally a unit is one md5 bucket (_seg = _sub = 0). A bucket far above the average
-    size holds a heavily repeated id: its rows are tied in the order, so each such tie
-    group becomes its own segment between the runs of other rows (_seg = 2 * groups below,
-    + 1 for the group itself) and is split into _sub parts by a row hash. Every unit stays
-    small, and the concatenation of units in key order is still the sorted order.
-    """
-    spark = keyed.sparkSession
-    keyed = keyed.withColumn("_h", F.xxhash64(*data_cols))
-    hist = keyed.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()  # bounded
-    limit = hot_rows(spark)
-    expected = max(1, int(hist["_cnt"].sum()) // max(len(hist), 1))
-    hot = hist[hist["_cnt"] > max(limit, 4 * expected)]
-    if hot.empty:
-        keyed = keyed.withColumn("_seg", F.lit(0)).withColumn("_sub", F.lit(0))
-        return keyed, hist.assign(_seg=0, _sub=0)
-    # repeated (key, id) values, looked for inside the over-full buckets only
-    hb = spark.createDataFrame(_tuples(hot, [*pcols, "_b"]),
-                               T.StructType([keyed.schema[c] for c in pcols] + [T.StructField("_b", T.IntegerType())]))
-    ties = (keyed.join(F.broadcast(hb), [*pcols, "_b"]).groupBy(*pcols, "_b", "_key", id_col)
-            .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > F.lit(max(limit // 4, 2 * expected))))
-    part = max(1, limit // 8)
-    ties = ties.withColumn("_s", F.ceil(F.col("_n") / F.lit(part)).cast("int"))
-    per_bucket = ties.groupBy(*pcols, "_b").agg(F.collect_list(
-        F.struct(F.col("_key").alias("k"), F.col(id_col).alias("i"), F.col("_s").alias("s"))).alias("_ties"))
-    # at most MAX_BUCKETS / 2 tie groups exist in total, so this table is bounded
-    keyed = keyed.join(F.broadcast(per_bucket), [*pcols, "_b"], "left")
-    key, idc = F.col("_key"), F.col(id_col)
-    below = F.coalesce(F.size(F.filter("_ties", lambda t: (t["k"] < key) | ((t["k"] == key) & (t["i"] < idc)))),
-                       F.lit(0))
-    mine = F.filter("_ties", lambda t: (t["k"] == key) & (t["i"] == idc))
-    is_tie = F.coalesce(F.size(mine), F.lit(0)) > 0
-    keyed = (keyed.withColumn("_seg", F.when(is_tie, below * 2 + 1).otherwise(below * 2).cast("int"))
-             .withColumn("_sub", F.when(is_tie, F.pmod(F.col("_h"), F.element_at(mine, 1)["s"].cast("long")))
-                         .otherwise(F.lit(0)).cast("int"))
-             .drop("_ties"))
-    hist = keyed.groupBy(*pcols, "_b", "_seg", "_sub").agg(F.count(F.lit(1)).alias("_cnt")).toPandas()
-    return keyed, hist
-
-
 def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
            n_groups: int | None = None, rank_col: str = "rank") -> DataFrame:
     """0-based rank of each row in (md5(seed|id), id) order, per ``partition_cols`` (null is a group).
@@ -110,6 +46,23 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
     driver, and there is no limit on groups. Rows that tie on the id follow a hash of the whole row.
     """
     pcols = list(partition_cols)
+    keyed = _rank_units(df, id_col, seed, pcols, n_groups)
+    unit = list(UNIT)
+    before = Window.partitionBy(*pcols).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*pcols, *unit).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*[F.col(c).alias(f"_o{c}") for c in [*pcols, *unit]],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    on = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in [*pcols, *unit]]
+    w = Window.partitionBy(*pcols, *unit).orderBy("_key", id_col, "_h")
+    out = keyed.withColumn("_rn", F.row_number().over(w)).join(offsets, on)
+    return out.select(*df.columns, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias(rank_col))
+
+
+UNIT = ("_b", "_uk", "_ui", "_uh")
+
+
+def _rank_units(df: DataFrame, id_col: str, seed, pcols: list, n_groups: int | None) -> DataFrame:
+    """Rows with their key, row hash and the columns of their order-preserving unit (UNIT)."""
     bits = _rank_bits(df, n_groups)
     keyed = (with_order_key(df, id_col, seed).withColumn("_h", F.xxhash64(*df.columns))
              .withColumn("_b", F.shiftright(hex_prefix_int(F.col("_key"), 8), 32 - bits)))
@@ -123,19 +76,10 @@ def ranked(df: DataFrame, id_col: str, seed, partition_cols: Sequence[str] = (),
         on = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in [*pcols, "_b"]]
         keyed = keyed.join(F.broadcast(lk), on, "left").drop(*[f"_hot_{c}" for c in [*pcols, "_b"]])
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    keyed = (keyed.withColumn("_uk", F.when(is_hot, F.col("_key")).otherwise(F.lit("")))
+    return (keyed.withColumn("_uk", F.when(is_hot, F.col("_key")).otherwise(F.lit("")))
              .withColumn("_ui", F.when(is_hot, F.col(id_col)))
              .withColumn("_uh", F.when(is_hot, F.shiftright("_h", 52)).otherwise(F.lit(0)))
              .drop("_hot"))
-    unit = ["_b", "_uk", "_ui", "_uh"]
-    before = Window.partitionBy(*pcols).orderBy(*unit).rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy(*pcols, *unit).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(*[F.col(c).alias(f"_o{c}") for c in [*pcols, *unit]],
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    on = [F.col(c).eqNullSafe(F.col(f"_o{c}")) for c in [*pcols, *unit]]
-    w = Window.partitionBy(*pcols, *unit).orderBy("_key", id_col, "_h")
-    out = keyed.withColumn("_rn", F.row_number().over(w)).join(offsets, on)
-    return out.select(*df.columns, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias(rank_col))
 
 
 def _rank_bits(df: DataFrame, n_groups: int | None) -> int:
@@ -153,8 +97,13 @@ def sorted_numbers(df: DataFrame, col: str, out_col: str) -> DataFrame:
     """(col, out_col): 0-based place of each distinct value in sorted order.
 
     A range exchange sorts the values; a partition's rows are numbered in place and get the
-    offset of the partitions before it (one row per partition is summed up)."""
-    ranged = (df.select(col).repartitionByRange(col).withColumn("_p", F.spark_partition_id()))
+    offset of the partitions before it (one row per partition is summed up). The ranges are
+    written once, since two evaluations could draw different borders."""
+    from ..session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "sorted-values")
+    df.select(col).repartitionByRange(col).withColumn("_p", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
     w = Window.partitionBy("_p").orderBy(col)
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
@@ -186,43 +135,58 @@ def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
                    part_col: str = "part") -> DataFrame:
     """SPL-02: assign each row to part j with exact sizes in seeded order.
 
-    Pass 1 collects the bucket histogram (<= MAX_BUCKETS rows). Buckets entirely
-    inside one part are labelled by a broadcast lookup with no shuffle; only the
-    rows of the (at most len(weights)-1) buckets holding a cut are ranked.
+    The row at each cut is looked up first: a histogram of key prefixes (at most ``MAX_BUCKETS`` counts), once
+    more inside a prefix that is still too full, then an ordering of the rows of one prefix. The
+    result is one scan that compares each row's (key, id, row hash) with the cuts, without a
+    shuffle. Only where equal rows lie on both sides of a cut are all rows ranked.
     """
-    bits = _bucket_bits(1, df)
-    keyed = (with_order_key(df, id_col, seed)
-             .withColumn("_b", (hex_prefix_int(F.col("_key"), 4) / (1 << (16 - bits))).cast("int")))
-    keyed, hpdf = _units(keyed, id_col, [], list(df.columns))
-    unit = ["_b", "_seg", "_sub"]
-    hpdf = hpdf.sort_values(unit).reset_index(drop=True)
-    n = int(hpdf["_cnt"].sum())
-    cuts = split_sizes(n, weights)
-    lookup = []
+    keyed = with_order_key(df, id_col, seed).withColumn("_h", F.xxhash64(*df.columns))
+    first = _prefix_counts(keyed, "")
+    cuts = split_sizes(sum(c for _, c in first), weights)
+    at = [_row_at(keyed, id_col, cut, first, hot_rows(df.sparkSession)) for cut in cuts[:-1]]
+    if any(row == "tie" for row in at):
+        place = ranked(df, id_col, seed, rank_col="_rank")
+        after = [F.col("_rank") >= F.lit(cut) for cut in cuts[:-1]]
+    else:
+        place = keyed
+        key = F.struct("_key", F.col(id_col).alias("id"), "_h")
+        after = [F.lit(row == "start") if isinstance(row, str) else
+                 key >= F.struct(F.lit(row[0]).alias("_key"), F.lit(row[1]).cast(df.schema[id_col].dataType).alias("id"), F.lit(row[2]).alias("_h"))
+                 for row in at]
+    part = sum((x.cast("bigint") for x in after), F.lit(0).cast("bigint"))
+    return place.select(*df.columns, part.alias(part_col))
+
+
+def _prefix_counts(keyed: DataFrame, prefix: str) -> list:
+    """Sorted (prefix + 4 more hex digits, rows): at most MAX_BUCKETS entries."""
+    rows = keyed.filter(F.col("_key").startswith(prefix)) if prefix else keyed
+    counts = rows.groupBy(F.substring("_key", 1, len(prefix) + 4).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return sorted((r["p"], r["n"]) for r in counts.collect())
+
+
+def _row_at(keyed: DataFrame, id_col: str, rank: int, counts: list, limit: int):
+    """(key, id, hash) of the row at a 0-based rank; "start" for rank 0, "end" past the last row,
+    "tie" when the row before it is equal or the equal keys are too many to order at once."""
+    if rank == 0:
+        return "start"
+    if rank >= sum(n for _, n in counts):
+        return "end"
     off = 0
-    for b, sg, sb, c in zip(hpdf["_b"].astype(int).tolist(), hpdf["_seg"].astype(int).tolist(),
-                            hpdf["_sub"].astype(int).tolist(), hpdf["_cnt"].astype(int).tolist()):
-        lo, hi = off, off + c
-        p_lo = next(j for j, cut in enumerate(cuts) if lo < cut) if c else 0
-        p_hi = next(j for j, cut in enumerate(cuts) if hi - 1 < cut) if c else 0
-        if p_lo == p_hi:
-            lookup.append((b, sg, sb, p_lo, None))
-        else:
-            lookup.append((b, sg, sb, None, lo))
-        off = hi
-    spark = df.sparkSession
-    lk = spark.createDataFrame(lookup, "_b int, _seg int, _sub int, _p int, _off long")
-    joined = keyed.join(F.broadcast(lk), unit)
-    plain = joined.filter(F.col("_p").isNotNull()).withColumn(part_col, F.col("_p").cast("bigint"))
-    edge = joined.filter(F.col("_p").isNull())
-    w = Window.partitionBy(*unit).orderBy("_key", id_col, "_h")
-    rank = F.col("_off") + F.row_number().over(w) - 1
-    part_expr = F.lit(len(cuts) - 1)
-    for j in range(len(cuts) - 2, -1, -1):
-        part_expr = F.when(rank < F.lit(cuts[j]), F.lit(j)).otherwise(part_expr)
-    edge = edge.withColumn(part_col, part_expr.cast("bigint"))
-    cols = [c for c in df.columns] + [part_col]
-    return plain.select(*cols).unionByName(edge.select(*cols))
+    while True:
+        for prefix, n in counts:
+            if rank < off + n:
+                break
+            off += n
+        if n <= limit:
+            break
+        if len(prefix) >= 32:
+            return "tie"
+        counts = _prefix_counts(keyed, prefix)
+    w = Window.partitionBy(F.substring("_key", 1, len(prefix))).orderBy("_key", id_col, "_h")
+    near = (keyed.filter(F.col("_key").startswith(prefix)).select("_key", id_col, "_h")
+            .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn").isin(rank - off, rank - off + 1)))
+    found = [tuple(r)[:3] for r in near.orderBy("_rn").collect()]
+    return "tie" if len(found) == 2 and found[0] == found[1] else found[-1]
 
 
 def split_frames(df: DataFrame, id_col: str, weights: Sequence[float], seed) -> list[DataFrame]:
