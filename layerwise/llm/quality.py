@@ -88,10 +88,14 @@ def base_columns(text: Column, words: Column) -> dict[str, Column]:
     }
 
 
-def ngram_buckets(words: Column, buckets: int) -> Column:
-    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    two = F.transform(_positions(words, 2), lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(buckets)).cast("int"))
-    return F.concat(one, two)
+def gram_rows(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """keys and ``bucket`` of every unigram and bigram of rows(*keys, words).
+
+    A row without words gives one null bucket, and a last word gives one for the bigram it does not open."""
+    pairs = F.inline_outer(F.arrays_zip("words", F.slice("words", 2, F.size("words")))).alias("one", "two")
+    one = F.when(F.col("one").isNotNull(), F.pmod(F.xxhash64("one"), F.lit(buckets)).cast("int"))
+    two = F.when(F.col("two").isNotNull(), F.pmod(F.xxhash64("one", "two"), F.lit(buckets)).cast("int"))
+    return rows.select(*keys, pairs).select(*keys, F.explode(F.array(one, two)).alias("bucket"))
 
 
 def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> DataFrame:
@@ -101,13 +105,12 @@ def fit_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alp
     ``BROADCAST_IDS`` of them; beyond that the texts are shuffled to meet them."""
     spark = docs.sparkSession
     ids = trusted.select(F.col("doc_id").cast("long").alias("t_id")).filter("t_id is not null").distinct()
-    ids = materialise(spark, ids, "quality-trusted")
+    ids = materialise(spark, ids, "quality-trusted", small=True)
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     base = id_text(docs)
-    marked = base.join(ids, base["doc_id"] == ids["t_id"], "left").select(
-        F.col("t_id").isNotNull().alias("trusted"), F.explode(let(word_array(F.col("text")), lambda w: ngram_buckets(w, buckets))).alias("bucket"))
-    counts = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("target"))
+    marked = base.join(ids, base["doc_id"] == ids["t_id"], "left").select(F.col("t_id").isNotNull().alias("trusted"), word_array(F.col("text")).alias("words"))
+    counts = gram_rows(marked, ["trusted"], buckets).filter("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("target"))
     counts = materialise(spark, counts, "quality-counts")
     total = counts.agg(F.sum("raw").alias("r"), F.sum("target").alias("t")).first()
     share = float(total["t"] or 0) / float(total["r"] or 1)
@@ -121,9 +124,9 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
     weights = F.broadcast(fit_weights(docs, trusted, buckets, alpha))  # at most ``buckets`` rows
     rows = id_text(docs).withColumn("row", F.monotonically_increasing_id()).withColumn("words", word_array(F.col("text")))
     base = base_columns(F.col("text"), F.col("words"))
-    rows = rows.select("row", "doc_id", *[c.alias(n) for n, c in base.items()], ngram_buckets(F.col("words"), buckets).alias("grams"))
     keys = ["row", "doc_id", *base]
-    scored = rows.select(*keys, F.explode_outer("grams").alias("bucket")).join(weights, "bucket", "left") \
+    rows = rows.select("row", "doc_id", *[c.alias(n) for n, c in base.items()], "words")
+    scored = gram_rows(rows, keys, buckets).join(weights, "bucket", "left") \
         .groupBy(*keys).agg(F.sum("w").alias("s"), F.count("bucket").alias("n"))
     llr = F.coalesce(F.col("s") / F.lit(float(UNIT)) / F.col("n"), F.lit(0.0))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
