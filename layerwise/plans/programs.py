@@ -20,7 +20,8 @@ from ..sources.delimited import scan_delimited
 from ..sources.images import scan_images, write_png_folder
 from ..sources.model_store import read_model, write_model
 from . import fixtures as fx
-from .registry import register
+from . import sql_fit as SF
+from .registry import V64, md5_int, order_key, register
 
 
 def people_mlp(spark, sf_dir, workers=3, epochs=2, seed=3):
@@ -46,6 +47,19 @@ def people_mlp(spark, sf_dir, workers=3, epochs=2, seed=3):
     return net, metrics, conf
 
 
+PEOPLE_WIDTHS = [8, 40, 30, 13]
+
+
+def _people_sql(workers=3, epochs=2, seed=3) -> str:
+    start = Net.sequential((8,), [dense(40, "leakyrelu"), dense(30, "leakyrelu"), output(13, "softmax", "nll")]).init(seed=seed)
+    ctes = f"""v AS ({V64}), f AS (SELECT id, x[1:8] AS x, (id % 13)::INTEGER AS label, {order_key(seed)} AS k FROM v),
+t AS (SELECT *, (row_number() OVER (ORDER BY k, id) - 1) // 10 AS batch_id FROM f),
+d AS (SELECT id, {md5_int(seed, 'id')} % {workers} AS worker, k, x, label FROM t WHERE batch_id % 3 <> 0)"""
+    fit = SF.fit_ctes(ctes, PEOPLE_WIDTHS, ["leakyrelu", "leakyrelu"], SF.dense_rows(start), SF.softmax_delta(13), workers, 16, 10,
+                      epochs, 0.1, 0.9, 1e-4)
+    return fit + "\n" + SF.dense_select(PEOPLE_WIDTHS)
+
+
 def digits_mlp(spark, sf_dir, workers=3, epochs=2, seed=12345, hidden=(500, 100)):
     """64-500-100-10 on the vector table (the reference's 784-500-100-10 on digits):
     train/test split, averaging every 5 batches of 16, model written and restored."""
@@ -116,6 +130,14 @@ def people_program_query(spark, sf_dir):
     return class_metrics(conf)
 
 
+@register("program_people_params", _people_sql())
+def people_params_query(spark, sf_dir):
+    """The weights the same program ends with: scan, split into batches, held-out batches, averaging fit."""
+    from .queries_training import params_frame
+    net, _, _ = people_mlp(spark, sf_dir)
+    return params_frame(spark, net).withColumn("value", F.round("value", 6))
+
+
 @register("program_digits_mlp")
 def digits_program_query(spark, sf_dir):
     _, _, conf = digits_mlp(spark, sf_dir)

@@ -14,6 +14,7 @@ from ..operators.model import Net, Vertex, conv2d, dense, output, pool2d
 from ..operators.scoring import predict
 from ..operators.splits import assign_batches, weighted_split
 from . import fixtures as fx
+from . import sql_fit as SF
 from . import sql_tensors as Q
 from .queries_scoring import SCORER_SQL, TWO_INPUTS_SQL, scorer_net
 from .registry import V64, b_sql, dense_sql, explode, md5_int, order_key, register, softmax_sql, w_sql
@@ -334,18 +335,56 @@ def graph_net():
     return Net({"input1": (3,), "input2": (3,)}, vs, ["out1", "out2"])
 
 
-@register("trn05_fit_graph")
-def trn05(spark, sf_dir):
-    """Two inputs merged, two outputs (class: order status, regression: scaled price and line count)."""
+def _graph_fit(spark, sf_dir):
     j = graph_table(spark, sf_dir)
     spec = TR.FitSpec(workers=3, batch=256, frequency=5, epochs=1, seed=SEED,
                       updater=TR.Updater("nesterovs", lr=0.01, momentum=0.9))
-    net, metrics, _ = TR.fit_averaging(j, graph_net().init(seed=SEED), "id", {"input1": "in1", "input2": "in2"},
-                                       {"out1": "status_id", "out2": "target"}, {"out1": 3, "out2": 2}, spec,
-                                       run="graph")
+    return TR.fit_averaging(j, graph_net().init(seed=SEED), "id", {"input1": "in1", "input2": "in2"},
+                            {"out1": "status_id", "out2": "target"}, {"out1": 3, "out2": 2}, spec, run="graph")
+
+
+@register("trn05_fit_graph")
+def trn05(spark, sf_dir):
+    """Two inputs merged, two outputs (class: order status, regression: scaled price and line count)."""
+    _, metrics, _ = _graph_fit(spark, sf_dir)
     return metrics.select("run", "epoch", "round", "iteration", F.round("score", 6).alias("score"))
 
 
+def _graph_rows() -> list:
+    """The graph as two dense layers over 6 inputs, 8 hidden units and 5 outputs, absent connections left out."""
+    p = graph_net().init(seed=SEED).params
+    rows = []
+    for name, i0, j0 in (("ly1", 0, 0), ("ly2", 3, 4)):
+        rows += [(0, i + i0, j + j0, float(p[(name, "W")][i, j])) for i in range(3) for j in range(4)]
+        rows += [(0, 6, j + j0, float(p[(name, "b")][j])) for j in range(4)]
+    for name, j0, k in (("out1", 0, 3), ("out2", 3, 2)):
+        rows += [(1, i, j + j0, float(p[(name, "W")][i, j])) for i in range(8) for j in range(k)]
+        rows += [(1, 8, j + j0, float(p[(name, "b")][j])) for j in range(k)]
+    return rows
+
+
+_GRAPH_DELTA = """SELECT o.worker, o.id, o.j, o.e / sum(o.e) OVER (PARTITION BY o.id) - CASE WHEN r.label = o.j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d
+FROM (SELECT *, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM {z} WHERE j < 3) o JOIN rows_now r ON r.id = o.id
+UNION ALL SELECT o.worker, o.id, o.j, o.z - CASE WHEN o.j = 3 THEN r.t0 ELSE r.t1 END AS d FROM {z} o JOIN rows_now r ON r.id = o.id WHERE o.j >= 3"""
+
+GRAPH_FIT_SQL = SF.fit_ctes(f"""{TWO_INPUTS_SQL},
+t AS (SELECT o_orderkey AS id, (CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END) AS label,
+             round(o_totalprice / 524288 * 256) / 256 AS t0 FROM orders),
+d AS (SELECT j.id, {md5_int(SEED, 'j.id')} % 3 AS worker, {order_key(SEED, 'j.id')} AS k, list_concat(j.in1, j.in2) AS x, t.label, t.t0, j.in2[1] AS t1
+      FROM j JOIN t ON t.id = j.id)""", [6, 8, 5], ["relu"], _graph_rows(), _GRAPH_DELTA, 3, 256, 5, 1, 0.01, 0.9) + """
+SELECT (CASE WHEN l = 0 AND j < 4 THEN 0 WHEN l = 0 THEN 1 WHEN j < 3 THEN 3 ELSE 4 END)::INTEGER AS layer,
+       CASE WHEN i < CASE l WHEN 0 THEN 6 ELSE 8 END THEN 'W' ELSE 'b' END AS name,
+       (CASE WHEN l = 0 AND i = 6 THEN j % 4 WHEN l = 0 THEN (i % 3) * 4 + j % 4 WHEN i = 8 THEN CASE WHEN j < 3 THEN j ELSE j - 3 END
+             WHEN j < 3 THEN i * 3 + j ELSE i * 2 + j - 3 END)::BIGINT AS idx, round(w, 6) AS value FROM fitted"""
+
+
+@register("trn05_graph_params", GRAPH_FIT_SQL)
+def trn05_params(spark, sf_dir):
+    """The weights the graph fit ends with."""
+    net, _, _ = _graph_fit(spark, sf_dir)
+    return params_frame(spark, net).withColumn("value", F.round("value", 6))
+
+
 # ---------------------------------------------------------------- OPT-3 schedules, OPT-6 dropout
 
 STEP_SCHEDULE = {"type": "step", "decay": 0.1, "step": 10}
