@@ -28,7 +28,7 @@ PATTERNS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"),
     ("ip", rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z]{4})?(?: ?\d{4}){2,6}(?: ?[A-Z0-9]{1,4}){0,2}(?![A-Za-z0-9])"),
-    ("card", r"(?<![0-9])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![0-9])"),
+    ("card", r"(?<![0-9A-Za-z])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])"),
     ("phone", r"(?<![0-9+])(?:\+\d{8,15}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})(?![0-9])"),
     ("person", rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}"),
@@ -135,18 +135,18 @@ def _count(entities: Column, kind: str) -> Column:
 def assign_surrogates(spark, entities: DataFrame, key: str) -> DataFrame:
     """entities(kind, norm), distinct -> (kind, norm, fake), fake distinct within its kind and never a real entity."""
     current = materialise(spark, entities.select("kind", "norm", F.lit(0).alias("attempt"))
-                          .withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map")
+                          .withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map", small=True)
     real = entities.select("kind", F.col("norm").alias("fake"), F.lit(True).alias("is_real"))
     for _ in range(MAX_ATTEMPTS):
         first = current.groupBy("kind", "fake").agg(F.min("norm").alias("owner"), F.count(F.lit(1)).alias("n"))
         bad = first.join(real, ["kind", "fake"], "left").filter("n > 1 or is_real").select("kind", "fake", "owner", F.coalesce("is_real", F.lit(False)).alias("is_real"))
-        bad = materialise(spark, bad, "pii-bad")
+        bad = materialise(spark, bad, "pii-bad", small=True)
         if bad.isEmpty():
             return current.select("kind", "norm", "fake")
         again = current.join(bad, ["kind", "fake"], "left")
         lost = F.col("is_real") | (F.col("owner") != F.col("norm"))
         again = again.select("kind", "norm", (F.col("attempt") + F.coalesce(lost, F.lit(False)).cast("int")).alias("attempt"))
-        current = materialise(spark, again.withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map")
+        current = materialise(spark, again.withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map", small=True)
     raise ValueError("a surrogate space is too small for its distinct entities")
 
 
@@ -162,7 +162,7 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
     hits = materialise(spark, hits, "pii-hits")
     written = hits.select("_uid", F.posexplode("_found").alias("at", "written")).withColumn("kind", kind_of(F.col("written"))) \
         .withColumn("norm", normal_form(F.col("kind"), F.col("written")))
-    mapping = assign_surrogates(spark, materialise(spark, written.select("kind", "norm").distinct(), "pii-entities"), key)
+    mapping = assign_surrogates(spark, materialise(spark, written.select("kind", "norm").distinct(), "pii-entities", small=True), key)
     poured = written.join(mapping, ["kind", "norm"]).withColumn("new", pour(F.col("kind"), F.col("written"), F.col("fake")))
     per_row = poured.groupBy("_uid").agg(F.sort_array(F.collect_list(F.struct("at", "new", "kind"))).alias("_new"))  # one text's entities
     text = F.concat(F.array_join(F.zip_with(F.slice("_gaps", 1, F.size("_new")), "_new", lambda g, x: F.concat(g, x["new"])), ""),
