@@ -67,12 +67,20 @@ def to_list_array(m: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(m).ravel(), type=pa.float64()))
 
 
+def _batches(batches, rows: int | None):
+    """Arrow batches cut to at most ``rows`` rows."""
+    for rb in batches:
+        for a in range(0, rb.num_rows, rows or max(rb.num_rows, 1)):
+            yield rb.slice(a, rows) if rows else rb
+
+
 def score(df: DataFrame, net: Net, inputs: dict | str, keep: Sequence[str] = (),
-          outputs: dict | None = None) -> DataFrame:
+          outputs: dict | None = None, batch_rows: int | None = None) -> DataFrame:
     """SCR-14 (and single-layer SCR-01..09, 13, 16): add one array column per output.
 
     inputs: input name -> array column (a single string for one-input nets);
-    outputs: vertex name -> output column (default: the net's outputs as 'out', 'out_<name>').
+    outputs: vertex name -> output column (default: the net's outputs as 'out', 'out_<name>');
+    batch_rows: rows scored at once (default: Spark's Arrow batches).
     """
     if isinstance(inputs, str):
         inputs = {next(iter(net.inputs)): inputs}
@@ -88,7 +96,7 @@ def score(df: DataFrame, net: Net, inputs: dict | str, keep: Sequence[str] = (),
 
     def run(batches):
         model = get()
-        for rb in batches:
+        for rb in _batches(batches, batch_rows):
             feeds = {name: to_matrix(rb.column(col), widths[name]) for name, col in in_cols.items()}
             vals, _ = model.forward(feeds)
             arrays = [rb.column(c) for c in keep]
@@ -105,8 +113,8 @@ def argmax(col: Column | str) -> Column:
 
 
 def predict(df: DataFrame, net: Net, features_col: str, keep: Sequence[str] = (),
-            prob_col: str = "prob", pred_col: str = "pred") -> DataFrame:
-    out = score(df, net, features_col, keep=keep, outputs={net.outputs[0]: prob_col})
+            prob_col: str = "prob", pred_col: str = "pred", batch_rows: int | None = None) -> DataFrame:
+    out = score(df, net, features_col, keep=keep, outputs={net.outputs[0]: prob_col}, batch_rows=batch_rows)
     return out.withColumn(pred_col, argmax(prob_col))
 
 
@@ -119,7 +127,7 @@ def dense_join(df: DataFrame, id_col: str, features_col: str, W: DataFrame, b: D
     """
     x = df.select(id_col, F.posexplode(features_col).alias("i", "v"))
     z = (x.join(W, "i").groupBy(id_col, "j").agg(F.sum(F.col("v") * F.col("w")).alias("s"))
-         .join(F.broadcast(b) if b.count() <= 1 << 16 else b, "j")
+         .join(b, "j")
          .select(id_col, "j", (F.col("s") + F.col("b")).alias("zj")))
     return (z.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("j", "zj"))).alias("_s"))
             .select(id_col, F.transform("_s", lambda s: s["zj"]).alias(out_col)))

@@ -286,6 +286,7 @@ class FitSpec:
     dropout_seed: int = 7
     reshuffle_each_epoch: bool = False
     score_every: int = 1          # SNK-03: keep a metrics row every N rounds (and the last of each epoch)
+    score_every_iterations: int | None = None  # or whenever N more mini-batches are done
 
 
 def _worker_step(model: Net, spec: FitSpec, w: np.ndarray, s: np.ndarray, keys, fd, ld, iteration, ids):
@@ -424,7 +425,11 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             iteration += int(summed[0]["nb"])
             score = summed[0]["loss"] / n_workers
             rec = (run, epoch, r, iteration, float(score), int((time.time() - t0) * 1000))
-            if r % max(spec.score_every, 1) == 0 or r == n_rounds - 1:
+            if spec.score_every_iterations:
+                due = iteration // spec.score_every_iterations > base_iter // spec.score_every_iterations
+            else:
+                due = r % max(spec.score_every, 1) == 0
+            if due or r == n_rounds - 1:
                 metrics.append(rec)
                 if listener is not None:
                     listener(rec)

@@ -595,3 +595,17 @@ def test_index_labels_in_one_path(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "name string")
     got = sorted(((r["name"], r["label"]) for r in prep.index_labels(df, "name").collect()), key=str)
     assert got == [("a", 0), ("a", 0), ("b", 1), ("c", 2), (None, None)]
+
+
+def test_metrics_every_n_iterations_and_batched_scoring(spark):
+    from layerwise.operators.scoring import score
+    v = fx.vectors64(spark, SF)
+    net = Net.sequential((64,), [output(10, "softmax", "nll")]).init(seed=1)
+    spec = TR.FitSpec(workers=2, batch=4, frequency=2, seed=3, score_every_iterations=6)
+    _, metrics, _ = TR.fit_averaging(v.limit(100), net, "id", "features", "label", 10, spec)
+    got = [r["iteration"] for r in metrics.orderBy("iteration").collect()]
+    steps = [b // 6 - a // 6 for a, b in zip([0] + got, got)]
+    assert all(s >= 1 for s in steps[:-1]) and all(b - a <= 8 for a, b in zip([0] + got, got))
+    whole = {r["id"]: r["out"] for r in score(v, net, "features", keep=["id"]).collect()}
+    parts = {r["id"]: r["out"] for r in score(v, net, "features", keep=["id"], batch_rows=7).collect()}
+    assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], atol=1e-12) for k in whole)
