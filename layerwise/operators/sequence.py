@@ -1,7 +1,8 @@
 """Operators over ordered series per key (SCR-10..12).
 
-1-D convolution and pooling are scatter-aggregates over (key, output step) after a
-skew-proof per-key position (time-bucket histogram + row_number inside a bucket).
+1-D convolution and pooling read their windows by ``lag`` inside (key, block of positions), with the
+border rows of a block copied to the next, after a skew-proof per-key position (time-bucket
+histogram + row_number inside a bucket).
 The recurrent layer needs state carried from
 step to step: rows are hash-partitioned by key and sorted inside partitions, then
 one ``mapInArrow`` streams them batch by batch, carrying (h, c) across batch
@@ -24,6 +25,7 @@ from . import kernels as K
 
 SERIES_BUCKET_SECONDS = 3600
 MIN_BUCKET_SECONDS = 1e-6
+BLOCK_ROWS = 1 << 14   # positions of a series that share a window partition
 
 
 def _time_bucket(col_name: str, dtype, granularity: float):
@@ -70,51 +72,65 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
     return out if with_length else out.drop("_len")
 
 
+def _taps(df: DataFrame, key: str, order: Sequence[str], value_col: str, k: int, stride: int, pad: int,
+          granularity: float) -> DataFrame:
+    """(key, pos, x0 .. x{k-1}): the k values under output step ``pos``, null outside the series.
+
+    Rows are dealt out by (key, block of positions); the last k-1 rows of a block are copied to the next
+    one, so every window lies in one block and ``lag`` reads it there: one exchange of about the
+    rows themselves, and a hot key is spread over its blocks.
+    """
+    d = positions(df.select(key, *order, value_col), key, order, granularity=granularity, with_length=True)
+    d = d.select(key, "pos", "_len", F.col(value_col).alias("_x"))
+    if pad:  # the row that ends a series brings the padding behind it
+        tail = F.when(F.col("pos") == F.col("_len") - 1, F.sequence(F.lit(0), F.lit(pad))).otherwise(F.array(F.lit(0)))
+        d = d.select(key, "_len", "_x", "pos", F.explode(tail).alias("_t")) \
+            .select(key, "_len", (F.col("pos") + F.col("_t")).alias("pos"), F.when(F.col("_t") == 0, F.col("_x")).alias("_x"))
+    block = F.floor(F.col("pos") / F.lit(BLOCK_ROWS)).cast("bigint")
+    border = F.col("pos") % F.lit(BLOCK_ROWS) >= F.lit(BLOCK_ROWS - (k - 1))
+    d = d.select(key, "_len", "pos", "_x", block.alias("_own"), F.explode(F.when(border, F.array(block, block + 1)).otherwise(F.array(block))).alias("_block"))
+    w = Window.partitionBy(key, "_block").orderBy("pos")
+    first = F.col("pos") + F.lit(pad - (k - 1))  # = t * stride
+    d = d.select(key, "_len", "_own", "_block", first.alias("_first"),
+                 *[(F.lag("_x", k - 1 - j).over(w) if j < k - 1 else F.col("_x")).alias(f"x{j}") for j in range(k)])
+    steps = F.floor((F.col("_len") + F.lit(2 * pad - k)) / F.lit(stride)) + 1
+    t = (F.col("_first") / stride).cast("bigint")
+    keep = (F.col("_own") == F.col("_block")) & (F.col("_first") >= 0) & (F.col("_first") % stride == 0) & (t < steps)
+    return d.filter(keep).select(key, t.alias("pos"), *[f"x{j}" for j in range(k)])
+
+
 def conv1d(df: DataFrame, key: str, order: Sequence[str], value_col: str, weights: np.ndarray,
            bias: np.ndarray, padding: int | None = None, stride: int = 1, out_col: str = "out",
            granularity: float = SERIES_BUCKET_SECONDS) -> DataFrame:
-    """weights (n_out, k): out[t, o] = sum_d w[o, d] * x[t*stride + d - padding] + b[o], zeros outside.
+    """weights (n_out, k): out[t, o] = sum_d w[o, d] * x[t*stride + d - padding] + b[o], zeros outside and for nulls.
 
-    Scatter-aggregate: each input row sends w[:, d] * x to the output steps it feeds, and the
-    contributions are summed per (key, output step), a nearly unique grouping key, so a hot
-    series is spread over many tasks. Output length per key = floor((n + 2p - k) / stride) + 1.
+    Output length per key = floor((n + 2p - k) / stride) + 1.
     """
     n_out, k = weights.shape
     pad = k // 2 if padding is None else padding
-    d = positions(df.select(key, *order, value_col), key, order, granularity=granularity, with_length=True)
-    x = F.col(value_col).cast("double")
-    taps = []
-    for dd in range(k):
-        num = F.col("pos") + F.lit(pad - dd)  # = t * stride
-        t = F.when(num % stride == 0, (num / stride).cast("bigint"))
-        taps.append(F.struct(t.alias("t"), F.array(*[x * F.lit(float(weights[o, dd])) for o in range(n_out)]).alias("c")))
-    contrib = d.select(key, "_len", F.explode(F.array(*taps)).alias("tap")).select(key, "_len", "tap.t", "tap.c")
-    n_steps = F.floor((F.col("_len") + F.lit(2 * pad - k)) / F.lit(stride)) + 1
-    contrib = contrib.filter(F.col("t").isNotNull() & (F.col("t") >= 0) & (F.col("t") < n_steps))
-    sums = contrib.groupBy(key, F.col("t").alias("pos")).agg(
-        *[F.sum(F.col("c")[o]).alias(f"_o{o}") for o in range(n_out)])
-    return sums.select(key, "pos", F.array(*[F.col(f"_o{o}") + F.lit(float(bias[o])) for o in range(n_out)])
-                       .alias(out_col))
+    d = _taps(df, key, order, value_col, k, stride, pad, granularity)
+    x = [F.coalesce(F.col(f"x{j}").cast("double"), F.lit(0.0)) for j in range(k)]
+    outs = []
+    for o in range(n_out):
+        z = x[0] * F.lit(float(weights[o, 0]))
+        for j in range(1, k):
+            z = z + x[j] * F.lit(float(weights[o, j]))
+        outs.append(z + F.lit(float(bias[o])))
+    return d.select(key, "pos", F.array(*outs).alias(out_col))
 
 
 def pool1d(df: DataFrame, key: str, order: Sequence[str], value_col: str, kernel: int = 3, stride: int = 2,
            padding: int = 1, kind: str = "max", out_col: str = "value",
            granularity: float = SERIES_BUCKET_SECONDS) -> DataFrame:
-    """Window k, stride s, padding p: out[t] = agg(x[t*s - p .. t*s - p + k - 1]), padding ignored.
-
-    Scatter-aggregate as in ``conv1d``: each row joins the (at most ceil(k/s)) windows that
-    contain it; the aggregate runs per (key, output step).
-    """
-    d = positions(df.select(key, *order, value_col), key, order, granularity=granularity, with_length=True)
-    taps = []
-    for dd in range(kernel):
-        num = F.col("pos") + F.lit(padding - dd)
-        taps.append(F.when(num % stride == 0, (num / stride).cast("bigint")))
-    contrib = d.select(key, "_len", value_col, F.explode(F.array(*taps)).alias("t"))
-    n_steps = F.floor((F.col("_len") + F.lit(2 * padding - kernel)) / F.lit(stride)) + 1
-    contrib = contrib.filter(F.col("t").isNotNull() & (F.col("t") >= 0) & (F.col("t") < n_steps))
-    agg = F.max if kind == "max" else F.avg
-    return contrib.groupBy(key, F.col("t").alias("pos")).agg(agg(value_col).alias(out_col))
+    """Window k, stride s, padding p: out[t] = agg(x[t*s - p .. t*s - p + k - 1]), padding and nulls ignored."""
+    d = _taps(df, key, order, value_col, kernel, stride, padding, granularity)
+    cells = F.filter(F.array(*[F.col(f"x{j}") for j in range(kernel)]), lambda v: v.isNotNull())
+    if kind == "max":
+        out = F.array_max(cells)
+    else:
+        total = F.aggregate(cells, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+        out = F.when(F.size(cells) > 0, total / F.size(cells))
+    return d.select(key, "pos", out.alias(out_col))
 
 
 def lstm_params(n_in: int, units: int, n_out: int, seed: int | None = None) -> dict:

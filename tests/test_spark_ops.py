@@ -609,3 +609,26 @@ def test_metrics_every_n_iterations_and_batched_scoring(spark):
     whole = {r["id"]: r["out"] for r in score(v, net, "features", keep=["id"]).collect()}
     parts = {r["id"]: r["out"] for r in score(v, net, "features", keep=["id"], batch_rows=7).collect()}
     assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], atol=1e-12) for k in whole)
+
+
+@pytest.mark.parametrize("k,stride,pad", [(3, 1, 1), (5, 2, 2), (4, 3, 0), (1, 1, 0), (2, 2, 1)])
+def test_series_windows_across_blocks(spark, monkeypatch, k, stride, pad):
+    monkeypatch.setattr(sequence, "BLOCK_ROWS", 5)
+    series = {"a": [float(i * i % 7) if i % 6 else None for i in range(33)], "b": [1.0], "c": [float(i) for i in range(6)]}
+    df = spark.createDataFrame([(key, i, v) for key, vs in series.items() for i, v in enumerate(vs)], "k string, t int, v double")
+    w = np.arange(2 * k, dtype=float).reshape(2, k) - 2
+    conv = {(r["k"], r["pos"]): r["out"] for r in sequence.conv1d(df, "k", ["t"], "v", w, np.array([0.5, -1.0]), padding=pad, stride=stride).collect()}
+    top = {(r["k"], r["pos"]): r["value"] for r in sequence.pool1d(df, "k", ["t"], "v", k, stride, pad).collect()}
+    mean = {(r["k"], r["pos"]): r["value"] for r in sequence.pool1d(df, "k", ["t"], "v", k, stride, pad, kind="avg").collect()}
+    want = {}
+    for key, vs in series.items():
+        cells = [None] * pad + vs + [None] * pad
+        for t in range((len(vs) + 2 * pad - k) // stride + 1):
+            want[key, t] = cells[t * stride:t * stride + k]
+    assert conv.keys() == top.keys() == mean.keys() == want.keys()
+    for key, cells in want.items():
+        x = np.array([0.0 if c is None else c for c in cells])
+        assert np.allclose(conv[key], w @ x + [0.5, -1.0])
+        real = [c for c in cells if c is not None]
+        assert top[key] == (max(real) if real else None)
+        assert (mean[key] is None) if not real else abs(mean[key] - sum(real) / len(real)) < 1e-12
