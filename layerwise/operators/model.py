@@ -219,9 +219,39 @@ class Net:
         shp = self.inputs[name]
         return x.reshape((x.shape[0],) + shp)
 
-    def forward(self, feeds: dict, train=False, mask_fn=None):
-        """Values of every vertex. ``mask_fn(vertex, shape)`` gives dropout masks when training."""
+    def values(self, feeds: dict, wanted) -> dict:
+        """Values of the wanted vertices only: others are computed where these need them and dropped
+        after their last use."""
+        wanted = set(wanted)
+        needed, todo = set(), list(wanted)
+        by_name = {v.name: v for v in self.vertices}
+        while todo:
+            name = todo.pop()
+            if name in by_name and name not in needed:
+                needed.add(name)
+                todo += by_name[name].inputs
+        path = [v for v in self.vertices if v.name in needed]
+        uses: dict = {}
+        for v in path:
+            for i in v.inputs:
+                uses[i] = uses.get(i, 0) + 1
+        part = Net(self.inputs, [], [])
+        part.params = self.params
         vals = {k: self._reshape_in(k, np.asarray(x, dtype=float)) for k, x in feeds.items()}
+        for v in path:
+            part.vertices = [v]
+            vals[v.name] = part.forward({}, seen=vals)[0][v.name]
+            for i in v.inputs:
+                uses[i] -= 1
+                if not uses[i] and i not in wanted:
+                    vals.pop(i, None)
+        return {k: vals[k] for k in wanted}
+
+    def forward(self, feeds: dict, train=False, mask_fn=None, seen: dict | None = None):
+        """Values of every vertex. ``mask_fn(vertex, shape)`` gives dropout masks when training; ``seen``
+        holds values computed before."""
+        vals = {k: self._reshape_in(k, np.asarray(x, dtype=float)) for k, x in feeds.items()}
+        vals.update(seen or {})
         cache = {}
         for v in self.vertices:
             ins = [vals[i] for i in v.inputs]

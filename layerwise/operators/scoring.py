@@ -98,7 +98,7 @@ def score(df: DataFrame, net: Net, inputs: dict | str, keep: Sequence[str] = (),
         model = get()
         for rb in _batches(batches, batch_rows):
             feeds = {name: to_matrix(rb.column(col), widths[name]) for name, col in in_cols.items()}
-            vals, _ = model.forward(feeds)
+            vals = model.values(feeds, out_map)
             arrays = [rb.column(c) for c in keep]
             arrays += [to_list_array(vals[v]) for v in out_map]
             yield pa.RecordBatch.from_arrays(arrays, names=keep + list(out_map.values()))
