@@ -9,7 +9,8 @@ the next stage's ``docs``.  All but the last return the columns of ``documents``
 4. private_data: entities are replaced by surrogates; ``n_chars`` follows the new text.
 5. sentencepiece: ids of the remaining texts, with the round trip checked.
 
-Decisions are per doc_id: rows that repeat a doc_id stay or go together.
+Decisions are per doc_id: rows that repeat a doc_id stay or go together, but of rows that repeat doc_id and
+text stage 2 leaves one.
 """
 
 from __future__ import annotations
@@ -27,7 +28,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_rows(docs, near_dup.near_duplicates(docs, num=80, bands=32).filter("kept").select("doc_id"))
+    kept = near_dup.near_duplicates(docs, num=80, bands=32).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = materialise(spark, kept, "pipeline-kept", small=True)
+    out = keep_rows(docs, kept.select("doc_id"))
+    if kept.filter("n > 1").isEmpty():
+        return out
+    return out.dropDuplicates(["doc_id", "text"])  # rows that repeat a document: one stays
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,5 +57,22 @@ def test_pipeline_stages(spark):
     assert kept[4][2].count() == len(ids[4]) and kept[4][2].filter("not round_trip").count() == 0
 
 
+def test_near_duplicate_stage_leaves_one_of_repeated_rows(spark):
+    import corpus_pipeline as cp
+    from helpers import AWKWARD, frame
+    out = cp.near_duplicates(spark, frame(spark), SF)
+    want = brute([r for i, r in enumerate(AWKWARD) if r not in AWKWARD[:i]], 80)
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(d) for d, _, _, keep in want if keep)
+    assert out.columns == frame(spark).columns
+
+
+def test_stages_on_empty_tables(spark):
+    import corpus_pipeline as cp
+    from helpers import frame
+    docs = frame(spark, []).limit(0)
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, SF).count() == 0
+
+
 def test_pipeline_runs_from_the_entry(spark):
     assert entry.queries()["pipeline"](spark, SF).count() > 0
