@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.columns import let, literal_array
 from .kernels import LRN_ALPHA, LRN_BETA, LRN_K, LRN_N, conv_geometry
 
 
@@ -42,19 +43,21 @@ def conv2d(px: Column | str, c: int, h: int, w: int, weights: np.ndarray, bias:
     """SCR-03: weights (n_out, c, kh, kw) travel as one literal array; zeros outside the image."""
     n_out, _, kh, kw = weights.shape
     (top, _, left, _), oh, ow = conv_geometry(h, w, kh, kw, stride[0], stride[1], padding[0], padding[1], mode)
-    at = _reader(_array(px), h, w)
-    flat = F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in weights.ravel()) + ")")
-    shift = F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in bias) + ")")
+    flat, shift = literal_array(weights.ravel()), literal_array(bias)
     taps = c * kh * kw
 
-    def value(o, y, x):
-        y0, x0 = y * stride[0] - top, x * stride[1] - left
+    def body(arr):
+        at = _reader(arr, h, w)
 
-        def add(acc, t):
-            got = at(_div(t, kh * kw), y0 + _div(t % (kh * kw), kw), x0 + t % kw)
-            return acc + F.coalesce(got, F.lit(0.0)) * F.get(flat, o * taps + t)
-        return F.aggregate(F.sequence(F.lit(0), F.lit(taps - 1)), F.lit(0.0), add) + F.get(shift, o)
-    return F.when(_array(px).isNotNull(), _pixels(n_out, oh, ow, value))
+        def value(o, y, x):
+            y0, x0 = y * stride[0] - top, x * stride[1] - left
+
+            def add(acc, t):
+                got = at(_div(t, kh * kw), y0 + _div(t % (kh * kw), kw), x0 + t % kw)
+                return acc + F.coalesce(got, F.lit(0.0)) * F.get(flat, o * taps + t)
+            return F.aggregate(F.sequence(F.lit(0), F.lit(taps - 1)), F.lit(0.0), add) + F.get(shift, o)
+        return F.when(arr.isNotNull(), _pixels(n_out, oh, ow, value))
+    return let(_array(px), body)
 
 
 def pool2d(px: Column | str, c: int, h: int, w: int, kernel=(2, 2), stride=(2, 2), padding=(0, 0), mode: str = "truncate",
@@ -62,31 +65,40 @@ def pool2d(px: Column | str, c: int, h: int, w: int, kernel=(2, 2), stride=(2, 2
     """SCR-04: largest or mean value of each window; places outside the image are skipped by max and 0 to mean."""
     kh, kw = kernel
     (top, _, left, _), oh, ow = conv_geometry(h, w, kh, kw, stride[0], stride[1], padding[0], padding[1], mode)
-    at = _reader(_array(px), h, w)
 
-    def value(ch, y, x):
-        cells = F.array(*[at(ch, y * stride[0] - top + i, x * stride[1] - left + j) for i in range(kh) for j in range(kw)])
-        if kind == "max":
-            return F.array_max(cells)
-        return F.aggregate(cells, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0))) / float(kh * kw)
-    return F.when(_array(px).isNotNull(), _pixels(c, oh, ow, value))
+    def body(arr):
+        at = _reader(arr, h, w)
+
+        def value(ch, y, x):
+            cells = F.array(*[at(ch, y * stride[0] - top + i, x * stride[1] - left + j) for i in range(kh) for j in range(kw)])
+            if kind == "max":
+                return F.array_max(cells)
+            return F.aggregate(cells, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0))) / float(kh * kw)
+        return F.when(arr.isNotNull(), _pixels(c, oh, ow, value))
+    return let(_array(px), body)
 
 
 def lrn(px: Column | str, c: int, h: int, w: int, k: float = LRN_K, n: int = LRN_N, alpha: float = LRN_ALPHA, beta: float = LRN_BETA) -> Column:
     """SCR-05: a / (k + alpha * sum of squares over the n nearest channels) ^ beta."""
-    at = _reader(_array(px), h, w)
 
-    def value(ch, y, x):
-        total = F.lit(0.0)
-        for d in range(-(n // 2), n // 2 + 1):
-            near = F.when((ch + d >= 0) & (ch + d < c), at(ch + d, y, x))
-            total = total + F.coalesce(near * near, F.lit(0.0))
-        return at(ch, y, x) / F.pow(F.lit(float(k)) + F.lit(float(alpha)) * total, F.lit(float(beta)))
-    return F.when(_array(px).isNotNull(), _pixels(c, h, w, value))
+    def body(arr):
+        at = _reader(arr, h, w)
+
+        def value(ch, y, x):
+            total = F.lit(0.0)
+            for d in range(-(n // 2), n // 2 + 1):
+                near = F.when((ch + d >= 0) & (ch + d < c), at(ch + d, y, x))
+                total = total + F.coalesce(near * near, F.lit(0.0))
+            return at(ch, y, x) / F.pow(F.lit(float(k)) + F.lit(float(alpha)) * total, F.lit(float(beta)))
+        return F.when(arr.isNotNull(), _pixels(c, h, w, value))
+    return let(_array(px), body)
 
 
 def zero_pad(px: Column | str, c: int, h: int, w: int, top: int, bottom: int, left: int, right: int) -> Column:
     """SCR-07: a frame of zeros around every channel."""
-    at = _reader(_array(px), h, w)
-    out = _pixels(c, h + top + bottom, w + left + right, lambda ch, y, x: F.coalesce(at(ch, y - top, x - left), F.lit(0.0)))
-    return F.when(_array(px).isNotNull(), out)
+
+    def body(arr):
+        at = _reader(arr, h, w)
+        out = _pixels(c, h + top + bottom, w + left + right, lambda ch, y, x: F.coalesce(at(ch, y - top, x - left), F.lit(0.0)))
+        return F.when(arr.isNotNull(), out)
+    return let(_array(px), body)

@@ -15,8 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import let, literal_array
+from . import image_ops
+from .kernels import BN_EPS
 from .model import Net
 
+COLUMN_MODEL_PARAMS = 1 << 14
 CLOSURE_BYTES = 1 << 20          # ship inside the task closure below this
 DEFAULT_MAX_MODEL_BYTES = 1 << 29  # 512 MiB: broadcast bound for parameters
 
@@ -106,6 +110,66 @@ def score(df: DataFrame, net: Net, inputs: dict | str, keep: Sequence[str] = (),
     return df.select(*keep, *[c for c in set(in_cols.values()) if c not in keep]).mapInArrow(run, schema)
 
 
+def dense_expr(x: Column | str, W: np.ndarray, b: np.ndarray) -> Column:
+    """SCR-01 as an array expression: x . W + b with the weights as one literal."""
+    n_in, n_out = W.shape
+    flat, shift = literal_array(W.ravel()), literal_array(b)
+
+    def body(arr):
+        def unit(o):
+            return F.aggregate(F.sequence(F.lit(0), F.lit(n_in - 1)), F.lit(0.0), lambda acc, i: acc + F.get(arr, i) * F.get(flat, i * n_out + o)) + F.get(shift, o)
+        return F.when(arr.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(n_out - 1)), unit))
+    return let(F.col(x) if isinstance(x, str) else x, body)
+
+
+def score_columns(df: DataFrame, net: Net, inputs: dict | str, keep: Sequence[str] = (), outputs: dict | None = None) -> DataFrame:
+    """SCR-13, 14, 16 without Python: every vertex of the net is one array expression of its inputs.
+
+    Same arguments and result as ``score``; the weights are literals of the plan, so this is for models up
+    to COLUMN_MODEL_PARAMS parameters (larger ones raise: ``score`` ships them to the tasks)."""
+    if net.n_params() > COLUMN_MODEL_PARAMS:
+        raise ValueError(f"{net.n_params()} parameters as literals; use score()")
+    if isinstance(inputs, str):
+        inputs = {next(iter(net.inputs)): inputs}
+    if outputs is None:
+        outputs = {o: ("out" if len(net.outputs) == 1 else f"out_{o}") for o in net.outputs}
+    at = {name: f"_v_{name}" for name in [*net.inputs, *[v.name for v in net.vertices]]}
+    doubles = [F.transform(c, lambda x: x.cast("double")).alias(at[name]) for name, c in inputs.items()]
+    cur = df.select(*keep, *doubles)
+    for v in net.vertices:
+        ins = [F.col(at[i]) for i in v.inputs]
+        cur = cur.withColumn(at[v.name], _vertex_expr(net, v, ins))
+    return cur.select(*keep, *[F.col(at[v]).alias(c) for v, c in outputs.items()])
+
+
+def _vertex_expr(net: Net, v, ins: list) -> Column:
+    if v.op == "merge":
+        return F.concat(*ins)
+    if v.op == "add":
+        out = ins[0]
+        for i in ins[1:]:
+            out = residual_add(out, i)
+        return out
+    lay, x, shape = v.layer, ins[0], net.shapes[v.inputs[0]]
+    p = {name: value for (vertex, name), value in net.params.items() if vertex == v.name}
+    if lay.kind in ("dense", "output"):
+        return act_expr(dense_expr(x, p["W"], p["b"]), lay.activation)
+    if lay.kind == "activation":
+        return act_expr(x, lay.activation)
+    c, h, w = shape
+    if lay.kind == "conv2d":
+        return act_expr(image_ops.conv2d(x, c, h, w, p["W"], p["b"], lay.stride, lay.padding, lay.mode), lay.activation)
+    if lay.kind == "pool2d":
+        return image_ops.pool2d(x, c, h, w, lay.kernel, lay.stride, lay.padding, lay.mode, lay.pool)
+    if lay.kind == "lrn":
+        return image_ops.lrn(x, c, h, w, **lay.opts)
+    if lay.kind == "zeropad":
+        return image_ops.zero_pad(x, c, h, w, *lay.padding)
+    if lay.kind == "batchnorm":
+        return batchnorm_apply(x, h * w, p["mean"], p["var"], p["gamma"], p["beta"], lay.opts.get("eps", BN_EPS))
+    raise ValueError(lay.kind)
+
+
 def argmax(col: Column | str) -> Column:
     """SCR-15: predicted class; ties go to the lowest index."""
     c = F.col(col) if isinstance(col, str) else col
@@ -150,10 +214,8 @@ def act_expr(col: Column | str, kind: str, slope: float = 0.01) -> Column:
     if kind == "tanh":
         return F.transform(c, lambda x: F.tanh(x))
     if kind == "softmax":
-        m = F.array_max(c)
-        e = F.transform(c, lambda x: F.exp(x - m))
-        s = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-        return F.transform(e, lambda x: x / s)
+        shifted = let(c, lambda a: let(F.array_max(a), lambda m: F.transform(a, lambda x: F.exp(x - m))))
+        return let(shifted, lambda e: let(F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x), lambda s: F.transform(e, lambda x: x / s)))
     raise ValueError(kind)
 
 

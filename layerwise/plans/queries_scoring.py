@@ -303,7 +303,7 @@ a AS ({Q.add('b3', 'p')}), r AS (SELECT id, c, y, x, round(greatest(v, 0.0::DOUB
 {Q.flat('r', 4, 4)}""")
 def scr13_identity(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
-    return _rounded(_explode(S.score(v, identity_block_net(), "features", keep=["id"]), ["id"], "out"), ["value"])
+    return _rounded(_explode(S.score_columns(v, identity_block_net(), "features", keep=["id"]), ["id"], "out"), ["value"])
 
 
 @register("scr13_conv_block", f"""
@@ -316,7 +316,7 @@ a AS ({Q.add('b3', 'bs')}), r AS (SELECT id, c, y, x, round(greatest(v, 0.0::DOU
 {Q.flat('r', 2, 2)}""")
 def scr13_conv(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
-    return _rounded(_explode(S.score(v, conv_block_net(), "features", keep=["id"]), ["id"], "out"), ["value"])
+    return _rounded(_explode(S.score_columns(v, conv_block_net(), "features", keep=["id"]), ["id"], "out"), ["value"])
 
 
 # ---------------------------------------------------------------- SCR-14..16 whole nets
@@ -339,7 +339,7 @@ WITH {SCORER_SQL}
 SELECT id, j::BIGINT AS i, round(p, 6) AS value FROM s""")
 def scr14(spark, sf_dir):
     v = fx.vectors64(spark, sf_dir)
-    out = S.score(v, scorer_net(), "features", keep=["id"])
+    out = S.score_columns(v, scorer_net(), "features", keep=["id"])
     return _rounded(_explode(out, ["id"], "out"), ["value"])
 
 
@@ -373,7 +373,7 @@ SELECT id, 'out1' AS head, j::BIGINT AS i, round(p, 6) AS value FROM s1
 UNION ALL SELECT id, 'out2' AS head, j::BIGINT AS i, round(z, 6) AS value FROM z2""")
 def scr16(spark, sf_dir):
     o = fx.order_inputs(spark, sf_dir).select("id", "in1")
-    out = S.score(o, multi_task_net(), "in1", keep=["id"], outputs={"out1": "o1", "out2": "o2"})
+    out = S.score_columns(o, multi_task_net(), "in1", keep=["id"], outputs={"out1": "o1", "out2": "o2"})
     a = _explode(out, ["id"], "o1").withColumn("head", F.lit("out1"))
     b = _explode(out, ["id"], "o2").withColumn("head", F.lit("out2"))
     return _rounded(a.unionByName(b).select("id", "head", "i", "value"), ["value"])

@@ -632,3 +632,23 @@ def test_series_windows_across_blocks(spark, monkeypatch, k, stride, pad):
         real = [c for c in cells if c is not None]
         assert top[key] == (max(real) if real else None)
         assert (mean[key] is None) if not real else abs(mean[key] - sum(real) / len(real)) < 1e-12
+
+
+def test_column_scoring_equals_batch_scoring(spark):
+    from layerwise.operators.model import Vertex, activation_layer, batchnorm_layer, conv2d, lrn_layer, pool2d, zeropad_layer
+    from layerwise.operators.scoring import score, score_columns
+    v = fx.vectors64(spark, SF).limit(40)
+    L = lambda name, ins, lay: Vertex(name, "layer", ins, lay)
+    vs = [L("pad", ["input"], zeropad_layer(1)), L("c1", ["pad"], conv2d(3, (3, 3), (2, 2))), L("b1", ["c1"], batchnorm_layer()),
+          L("r1", ["b1"], activation_layer("leakyrelu")), L("n1", ["r1"], lrn_layer()), L("p1", ["n1"], pool2d((2, 2), (1, 1), mode="same")),
+          L("sc", ["input"], conv2d(3, (1, 1), (2, 2), mode="same")), Vertex("add", "add", ["p1", "sc"]), L("d", ["add"], dense(5, "tanh")),
+          L("e", ["add"], dense(4, "sigmoid")), Vertex("m", "merge", ["d", "e"]), L("out", ["m"], output(3, "softmax", "nll"))]
+    net = Net({"input": (4, 4, 4)}, vs, ["out"]).init(seed=4)
+    a = {r["id"]: r for r in score(v, net, "features", keep=["id"], outputs={"out": "o", "d": "d"}).collect()}
+    b = {r["id"]: r for r in score_columns(v, net, "features", keep=["id"], outputs={"out": "o", "d": "d"}).collect()}
+    assert a.keys() == b.keys()
+    assert all(np.allclose(a[k]["o"], b[k]["o"]) and np.allclose(a[k]["d"], b[k]["d"]) for k in a)
+    plan = score_columns(v, net, "features", keep=["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    null = spark.createDataFrame([(1, None)], "id long, features array<double>")
+    assert score_columns(null, net, "features", keep=["id"]).first()["out"] is None
