@@ -84,7 +84,7 @@ def base_columns(text: Column, words: Column) -> dict[str, Column]:
         "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(bare)).cast("long"),
         "n_dup_lines": repeated.cast("long"),
-        "n_repeat_words": repeated_words(words),
+        "n_repeat_words": let(words, repeated_words),
     }
 
 
@@ -126,8 +126,9 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
     base = base_columns(F.col("text"), F.col("words"))
     keys = ["row", "doc_id", *base]
     rows = rows.select("row", "doc_id", *[c.alias(n) for n, c in base.items()], "words")
+    # the other columns are aggregates, so that no filter on them is evaluated a second time before the n-grams
     scored = gram_rows(rows, keys, buckets).join(weights, "bucket", "left") \
-        .groupBy(*keys).agg(F.sum("w").alias("s"), F.count("bucket").alias("n"))
+        .groupBy("row").agg(F.sum("w").alias("s"), F.count("bucket").alias("n"), *[F.any_value(c).alias(c) for c in keys[1:]])
     llr = F.coalesce(F.col("s") / F.lit(float(UNIT)) / F.col("n"), F.lit(0.0))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return scored.select("doc_id", *base, failed.alias("base_failed"), (~failed & (llr >= threshold)).alias("kept"), llr.alias("llr"))
