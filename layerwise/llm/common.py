@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from layerwise.session import scratch_path, ship_package
 
+FILES_PER_CORE, FEW_PER_CORE = 16, 4
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -28,15 +29,20 @@ def freeing_shuffles(spark: SparkSession):
         spark.conf.set(CLEAN, was)
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialise(spark: SparkSession, df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: a short lineage that
-    survives lost executors."""
+    survives lost executors. ``small``: a table without texts, for which few files do."""
     path = scratch_path(spark, name)
     with freeing_shuffles(spark):
-        df.write.parquet(path)
+        few_files(df, FEW_PER_CORE if small else FILES_PER_CORE).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame, per_core: int = FILES_PER_CORE) -> DataFrame:
+    """At most ``per_core`` partitions, and so files, for each core of the cluster."""
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
@@ -60,17 +66,17 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
     of its label (pointer jumping), so long chains halve.  Every round is a written table; the stop
     test is one changed-row check, no label reaches the driver."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialise(spark, both, "cc-edges")
+    both = materialise(spark, both, "cc-edges", small=True)
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")) \
         .select("node", F.least("node", "m").alias("label"))
-    labels = materialise(spark, labels, "cc-labels")
+    labels = materialise(spark, labels, "cc-labels", small=True)
     for _ in range(max_rounds):
         seen = both.join(labels.select(F.col("node").alias("b"), "label"), "b") \
             .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("hop"))
         jump = labels.select(F.col("node").alias("hop"), F.col("label").alias("far"))
         step = step.join(jump, "hop").select("node", "old", F.least("hop", "far").alias("label"))
-        step = materialise(spark, step, "cc-labels")
+        step = materialise(spark, step, "cc-labels", small=True)
         labels = step.select("node", "label")
         if step.filter("old <> label").isEmpty():
             return labels

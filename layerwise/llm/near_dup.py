@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     nodes = materialise(spark, nodes, "nd-nodes")
     keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("centre")).filter("c > 1")
-    members = materialise(spark, keyed.join(shared, "key").select("key", "node", "n", "centre"), "nd-members")
+    members = materialise(spark, keyed.join(shared, "key").select("key", "node", "n", "centre"), "nd-members", small=True)
 
     wanted = members.select("node").distinct().join(nodes.select("node", "rep"), "node").select("rep").distinct()
     texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
@@ -252,9 +252,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     both = F.size(F.array_intersect("s", "sc"))
     links = pairs.filter(den * both >= num * (F.col("n") + F.col("nc") - both)) \
         .select(F.col("node").alias("a"), F.col("centre").alias("b"))
-    labels = materialise(spark, components(spark, materialise(spark, links, "nd-links")), "nd-labels")
+    labels = materialise(spark, components(spark, materialise(spark, links, "nd-links", small=True)), "nd-labels", small=True)
 
-    more = materialise(spark, _exact_links(spark, members.select("key", "node"), sets, labels, num, den).distinct(), "nd-more")
+    more = materialise(spark, _exact_links(spark, members.select("key", "node"), sets, labels, num, den).distinct(), "nd-more", small=True)
     merged = components(spark, more).select(F.col("node").alias("label"), F.col("label").alias("top"))
     every = members.select("node").distinct().join(labels, "node", "left") \
         .withColumn("label", F.coalesce("label", "node")).join(merged, "label", "left") \

@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwise.llm.common import freeing_shuffles, id_text, materialise, prepare
+from layerwise.llm.common import few_files, freeing_shuffles, id_text, prepare
 from layerwise.llm.textnp import chunks, class_table, text_buffer, words
-from layerwise.session import scratch_path
+from layerwise.session import path_exists, scratch_path
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -84,8 +84,7 @@ def _scan_runner():
 def read_ledger(spark: SparkSession, path: str, rule_version: str) -> DataFrame:
     """Entries of one rule version; an empty frame where nothing was written yet."""
     schema = f"blob string, findings {FINDINGS}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/rule_version={rule_version}")
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not path_exists(spark, f"{path}/rule_version={rule_version}"):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/rule_version={rule_version}")
 
@@ -96,14 +95,14 @@ def scan(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION) -> Data
     prepare(spark)
     texts = id_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("blob", F.sha2("text", 256))
-    paths = materialise(spark, texts.select("doc_id", "blob"), "secret-paths")
+    paths = texts.select("doc_id", "blob")
     seen = read_ledger(spark, ledger, rule_version).select("blob")
     fresh = paths.groupBy("blob").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("one")).join(seen, "blob", "left_anti")
     fresh = fresh.select(F.col("one").alias("f_one"), F.col("blob").alias("f_blob"))
     todo = texts.join(fresh, (F.coalesce("doc_id", F.lit(-1)) == F.col("f_one")) & (F.col("blob") == F.col("f_blob")), "left_semi")
     entries = todo.select("blob", "text").mapInArrow(_scan_runner(), f"blob string, findings {FINDINGS}")
     with freeing_shuffles(spark):
-        entries.write.mode("append").parquet(f"{ledger}/rule_version={rule_version}")
+        few_files(entries).write.mode("append").parquet(f"{ledger}/rule_version={rule_version}")
     known = read_ledger(spark, ledger, rule_version).dropDuplicates(["blob"])
     return paths.join(known, "blob", "left")
 
@@ -120,6 +119,7 @@ def scan_report(docs: DataFrame, ledger: str | None = None, rule_version: str =
 
     spans = F.coalesce("findings", F.array().cast(FINDINGS))
     base = F.filter(spans, lambda x: x["kind"].isin(*KINDS[:3]))
+
     def number(kind):
         return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
     counts = [number(k).alias(f"n_{k}") for k in KINDS[:3]]

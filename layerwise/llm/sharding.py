@@ -100,7 +100,7 @@ def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 12) -> DataFr
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     groups = rows.groupBy("g").agg(F.count(F.lit(1)).alias("copies"))
-    groups = materialise(spark, groups.filter("copies > 1"), "shard-groups")
+    groups = materialise(spark, groups.filter("copies > 1"), "shard-groups", small=True)
 
     # nodes: member p of a group starts on shard (hash + p) mod shards
     first = F.pmod(F.xxhash64("g"), F.lit(shards)).cast("int")
@@ -108,15 +108,15 @@ def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 12) -> DataFr
     nodes = groups.select("g", "copies", first.alias("first"), step) \
         .select("g", F.pmod(F.col("first") + F.col("p"), F.lit(shards)).cast("int").alias("s"),
                 F.floor((F.col("copies") - F.col("p") - 1) / shards + 1).cast("long").alias("m"))
-    nodes = materialise(spark, nodes, "shard-nodes")
+    nodes = materialise(spark, nodes, "shard-nodes", small=True)
     for _ in range(rounds):
-        moves = materialise(spark, propagate_round(nodes, quotas), "shard-moves")
+        moves = materialise(spark, propagate_round(nodes, quotas), "shard-moves", small=True)
         if moves.isEmpty():
             break
-        nodes = materialise(spark, _apply(nodes, moves), "shard-nodes")
+        nodes = materialise(spark, _apply(nodes, moves), "shard-nodes", small=True)
     totals = _totals(nodes, shards)
     if any(t > q for t, q in zip(totals, quotas)):
-        nodes = materialise(spark, _apply(nodes, shed_excess(nodes, quotas)), "shard-nodes")
+        nodes = materialise(spark, _apply(nodes, shed_excess(nodes, quotas)), "shard-nodes", small=True)
         totals = _totals(nodes, shards)
 
     cumulative = F.sum("m").over(W.partitionBy("g").orderBy("s"))
