@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerwise.llm.common import materialise, prepare
+
 # FIXED VALUES: the query's rules
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 # public suffixes of more than one label that the registered domain respects
@@ -72,14 +74,14 @@ def _shrunk(counts: DataFrame, parent: DataFrame, up: str) -> DataFrame:
         .withColumn("m", F.col("a") / (F.col("a") + F.col("b")))
 
 
-def reputation(hosts: DataFrame, z: float) -> DataFrame:
+def reputation(spark, hosts: DataFrame, z: float) -> DataFrame:
     """hosts(host, k, n): bad and all labelled pages per host -> (host, bound)."""
     named = hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "k", "n")
     domains = named.groupBy(F.col("domain").alias("key"), "suffix").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
     suffixes = domains.groupBy(F.col("suffix").alias("key")).agg(F.sum("k").alias("k"), F.sum("n").alias("n")).withColumn("top", F.lit(""))
     overall = suffixes.agg(F.lit("").alias("key"), F.coalesce(F.sum("k") / F.nullif(F.sum("n"), F.lit(0)), F.lit(PRIOR_RATE)).alias("m"))
-    suffix_post = _shrunk(suffixes, overall, "top")
-    domain_post = _shrunk(domains, suffix_post, "suffix")
+    suffix_post = materialise(spark, _shrunk(suffixes, overall, "top"), "url-suffixes", small=True)
+    domain_post = materialise(spark, _shrunk(domains, suffix_post, "suffix"), "url-domains", small=True)
     host_post = _shrunk(named.select(F.col("host").alias("key"), "domain", "k", "n"), domain_post, "domain")
     a, b = F.col("a"), F.col("b")
     sd = F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))
@@ -101,6 +103,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: DataFrame | None =
 
     outcomes(url, bad): labelled pages.  rules(action, rule), by default ``RULES``."""
     spark = pages.sparkSession
+    prepare(spark)
     if rules is None:
         rules = spark.createDataFrame(RULES, "action string, rule string")
     parts = pages.select(F.col("page_id").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -108,7 +111,9 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: DataFrame | None =
         .groupBy("host").agg(F.count_if("bad").alias("k"), F.count(F.lit(1)).alias("n"))
     hosts = parts.select("host").distinct()
     counted = hosts.join(counted, "host", "full").select("host", F.coalesce("k", F.lit(0)).alias("k"), F.coalesce("n", F.lit(0)).alias("n"))
-    known = reputation(counted, z).join(_host_rules(hosts, rules), "host", "left")
+    counted = materialise(spark, counted, "url-hosts", small=True)
+    known = reputation(spark, counted, z).join(_host_rules(counted.select("host"), rules), "host", "left")
+    known = materialise(spark, known, "url-known", small=True)
     joined = parts.join(known, "host", "left")
     fitting = F.filter("rules", lambda r: F.col("path").startswith(r["prefix"]))
     best = F.array_max(fitting)
