@@ -24,7 +24,9 @@ from layerwise.llm.common import keep_rows, materialise, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
-    return keep_rows(docs, quality.judge(docs, trusted).filter("kept").select("doc_id"))
+    # written first: a filter on the rules would be pushed below the n-grams and run the rules twice
+    verdicts = materialise(spark, quality.judge(docs, trusted).select("doc_id", "kept"), "pipeline-quality", small=True)
+    return keep_rows(docs, verdicts.filter("kept").select("doc_id"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
