@@ -17,6 +17,9 @@ from ..functions.columns import let, literal_array
 from .kernels import LRN_ALPHA, LRN_BETA, LRN_K, LRN_N, conv_geometry
 
 
+UNROLLED_TAPS = 64  # windows up to this size are written out term by term
+
+
 def _array(px: Column | str) -> Column:
     return F.col(px) if isinstance(px, str) else px
 
@@ -45,18 +48,33 @@ def conv2d(px: Column | str, c: int, h: int, w: int, weights: np.ndarray, bias:
     (top, _, left, _), oh, ow = conv_geometry(h, w, kh, kw, stride[0], stride[1], padding[0], padding[1], mode)
     flat, shift = literal_array(weights.ravel()), literal_array(bias)
     taps = c * kh * kw
+    inner = conv_geometry(h, w, kh, kw, stride[0], stride[1], padding[0], padding[1], mode)[0] == (0, 0, 0, 0)
 
     def body(arr):
         at = _reader(arr, h, w)
 
-        def value(o, y, x):
+        def unrolled(o, y, x):
+            # one addition for each place, the place in the array being a constant away from the window's corner
+            def total(corner, first):
+                out = F.get(shift, o)
+                for t in range(taps):
+                    ch, i, j = t // (kh * kw), t % (kh * kw) // kw, t % kw
+                    got = F.get(arr, corner + (ch * h * w + i * w + j)).cast("double")
+                    if not inner:
+                        yy, xx = y * stride[0] + (i - top), x * stride[1] + (j - left)
+                        got = F.when((yy >= 0) & (yy < h) & (xx >= 0) & (xx < w), got).otherwise(F.lit(0.0))
+                    out = out + F.coalesce(got, F.lit(0.0)) * F.get(flat, first + t)
+                return out
+            return let((y * stride[0] - top) * w + x * stride[1] - left, lambda corner: let(o * taps, lambda first: total(corner, first)))
+
+        def looped(o, y, x):
             y0, x0 = y * stride[0] - top, x * stride[1] - left
 
             def add(acc, t):
                 got = at(_div(t, kh * kw), y0 + _div(t % (kh * kw), kw), x0 + t % kw)
                 return acc + F.coalesce(got, F.lit(0.0)) * F.get(flat, o * taps + t)
             return F.aggregate(F.sequence(F.lit(0), F.lit(taps - 1)), F.lit(0.0), add) + F.get(shift, o)
-        return F.when(arr.isNotNull(), _pixels(n_out, oh, ow, value))
+        return F.when(arr.isNotNull(), _pixels(n_out, oh, ow, unrolled if taps <= UNROLLED_TAPS else looped))
     return let(_array(px), body)
 
 
