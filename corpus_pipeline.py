@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
 the next stage's ``docs``.  All but the last return the columns of ``documents``.
 
-1. quality_rules: rejected documents go (rules, and the trusted / raw n-gram score).
+1. quality_rules: rejected documents go (rules, the trusted / raw n-gram score, and passages with toxic words).
 2. near_duplicates: one document of each class of 5-word shingle similarity >= 0.8 stays (the smallest id).
 3. decontamination: documents that hold a benchmark window go.
 4. private_data: entities are replaced by surrogates; ``n_chars`` follows the new text.
@@ -23,9 +23,10 @@ from layerwise.llm.common import keep_rows, materialise, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    labels = table(spark, sf_dir, "labels")
+    trusted, toxic = labels.filter("quality = 1 and toxic = 0").select("doc_id"), labels.filter("toxic = 1").select("doc_id")
     # written first: a filter on the rules would be pushed below the n-grams and run the rules twice
-    verdicts = materialise(spark, quality.judge(docs, trusted).select("doc_id", "kept"), "pipeline-quality", small=True)
+    verdicts = materialise(spark, quality.judge(docs, trusted, toxic=toxic).select("doc_id", "kept"), "pipeline-quality", small=True)
     return keep_rows(docs, verdicts.filter("kept").select("doc_id"))
 
 

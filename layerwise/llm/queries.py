@@ -124,7 +124,8 @@ def op2(spark, sf_dir):
 def op7(spark, sf_dir):
     from layerwise.llm.quality import judge
     labels = table(spark, sf_dir, "labels")
-    return judge(table(spark, sf_dir, "documents"), labels.filter("quality = 1 and toxic = 0").select("doc_id"))
+    return judge(table(spark, sf_dir, "documents"), labels.filter("quality = 1 and toxic = 0").select("doc_id"),
+                 toxic=labels.filter("toxic = 1").select("doc_id"))
 
 
 # ------------------------------------------------------------------ 9: secret scans

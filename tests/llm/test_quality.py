@@ -61,3 +61,30 @@ def test_llr_against_python(spark):
 
 def test_empty_table(spark):
     assert quality.judge(frame(spark, []).limit(0), spark.createDataFrame([], "doc_id long")).count() == 0
+
+
+def test_toxic_words_in_long_texts_reject(spark):
+    """Two insults in a text of ordinary or great length, labelled or not, which the mean score does not see."""
+    def insulted(n, seed):
+        w = sentence(n, seed).split()
+        return " ".join([*w[:n // 2], "idiot", *w[n // 2:n // 2 + 20], "scum", *w[n // 2 + 20:]])
+    clean, bad = [(i, sentence(150, i)) for i in range(40)], [(100 + i, insulted(150, 100 + i)) for i in range(12)]
+    rows = clean + bad + [(200, insulted(6000, 200)), (201, sentence(6000, 201)), (202, sentence(90, 202) + " idiot")]
+    labels = spark.createDataFrame([(i,) for i in range(20)], "doc_id long"), spark.createDataFrame([(100 + i,) for i in range(8)], "doc_id long")
+    got = {r.doc_id: r for r in quality.judge(frame(spark, rows), labels[0], toxic=labels[1]).collect()}
+    assert {i for i, r in got.items() if not r.kept} == {*(i for i, _ in bad), 200}
+    assert got[200].n_toxic == 2 and got[200].llr > quality.THRESHOLD
+    assert all(r.kept for r in quality.judge(frame(spark, rows), labels[0]).collect())
+    none = labels[0].limit(0)
+    assert all(r.n_toxic == 0 for r in quality.judge(frame(spark, rows), none, toxic=labels[1]).collect())
+
+
+def test_labelled_toxic_documents_fall(spark):
+    """Of the labelled documents that pass the base rules; a quarter of the toxic ones holds no shared marker at this size."""
+    from conftest import SF01
+
+    from layerwise.llm.queries import QUERIES
+    label = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    got = [(label[r.doc_id], r.kept) for r in QUERIES["op7_quality_rules"](spark, SF01).collect() if r.doc_id in label and not r.base_failed]
+    toxic, clean = [k for x, k in got if x == (1, 1)], [k for x, k in got if x == (1, 0)]
+    assert toxic.count(False) >= 0.7 * len(toxic) > 0 and clean.count(True) >= 0.99 * len(clean)
