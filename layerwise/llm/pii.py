@@ -4,12 +4,14 @@ One pattern finds the entities of a text (email, ip, iban, card, ssn, phone, per
 normal form (lower case, digits only, ...) is what coreference means: every written form of it gets the
 same surrogate, poured back into the written form's punctuation and case.  A surrogate is drawn from
 SHA-256(key, type, normal form, attempt) and stays of its type: digits for digits, vowels for vowels and
-consonants for consonants of the same script, octets for octets, a valid Luhn digit where there was one;
+consonants for consonants of the same script (other letters for any letter of their script), octets for octets, a valid Luhn digit where there was one;
 titles and the last letter of each name, which carry gender, stay, as do country codes and top-level domains.
 
 Distinctness is checked over the whole table: where two entities of a type draw one surrogate, or a
 surrogate is some real entity of the corpus, all but the first by normal form draw again with the next
-attempt, until no collision is left.  Texts without entities are not shuffled.
+attempt, until no collision is left.  From attempt ``WIDEN_AFTER`` on emails and names also get drawn letters in
+front, one more every second attempt, so that a free surrogate always exists; the other kinds keep their fixed
+format, and only where that space is full does the job fail.  Texts without entities are not shuffled.
 
 Defined results: null stays null; an empty text stays empty; repeated rows are treated alike; other columns
 of the table pass unchanged whatever their names.
@@ -17,6 +19,8 @@ of the table pass unchanged whatever their names.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +42,11 @@ PATTERN = "|".join(p for _, p in PATTERNS)
 MAYBE = rf"[0-9@]|(?:{TITLES})\.? "
 # letter classes of one script each: a letter is replaced inside its class
 CLASSES = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäéèêëíîïóôöúûü", "çñß", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αειουω", "βγδζθκλμνξπρστφχψ"]
-MAX_ATTEMPTS = 64
+SCRIPTS = {"Latin": "abcdefghijklmnopqrstuvwxyz", "Cyrillic": "абвгдежзийклмнопрстуфхцчшщыэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω",
+           "Armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփքօֆ", "Georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ"}  # Latin letters for any other script
+WIDENED = ["email", "person"]
+WIDEN_AFTER = 8
+MAX_ATTEMPTS = 64  # of the kinds of fixed format
 
 
 def kind_of(written: Column) -> Column:
@@ -68,8 +76,17 @@ def _byte(digest: Column, i: Column) -> Column:
     return (F.conv(F.substring(digest, at, F.lit(2)), 16, 10).cast("int") + F.floor(i / 32).cast("int") * 37)
 
 
+def _script_letter(char: Column, b: Column) -> Column:
+    def pick(letters: str) -> Column:
+        return F.substring(F.lit(letters), (F.pmod(b, F.lit(len(letters))) + 1).cast("int"), F.lit(1))
+    out = pick(SCRIPTS["Latin"])
+    for name, letters in SCRIPTS.items():
+        out = F.when(char.rlike(rf"\p{{Is{name}}}"), pick(letters)).otherwise(out)
+    return out
+
+
 def _draw(char: Column, b: Column) -> Column:
-    out = char
+    out = F.when(char.rlike(r"\p{L}"), _script_letter(char, b)).otherwise(char)
     for letters in CLASSES:
         out = F.when(F.instr(F.lit(letters), char) > 0, F.substring(F.lit(letters), (F.pmod(b, F.lit(len(letters))) + 1).cast("int"), F.lit(1))).otherwise(out)
         if letters.isascii():
@@ -106,7 +123,11 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     body = F.left(drawn, n - 1)
     check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
     card = F.when(F.pmod(_luhn_sum(norm), F.lit(10)) == 0, F.concat(body, check)).otherwise(drawn)
-    return F.when(kind == "ip", octets).when(kind == "card", card).otherwise(drawn)
+    more = F.when(kind.isin(WIDENED) & (attempt >= WIDEN_AFTER), F.floor((attempt - WIDEN_AFTER) / 2).cast("int") + 1).otherwise(0)
+    second = F.sha2(F.concat_ws("|", F.lit(key), F.lit("more"), kind, norm, attempt.cast("string")), 256)
+    script = F.when(kind == "person", F.left(norm, F.lit(1))).otherwise(F.lit("a"))
+    extra = F.when(more > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(more, F.lit(1))), lambda i: _script_letter(script, _byte(second, i))), "")).otherwise("")
+    return F.when(kind == "ip", octets).when(kind == "card", card).otherwise(F.concat(extra, drawn))
 
 
 def pour(kind: Column, written: Column, fake: Column) -> Column:
@@ -117,15 +138,19 @@ def pour(kind: Column, written: Column, fake: Column) -> Column:
     chars = F.filter(F.split(body, ""), lambda c: c != "")
     marks = F.transform(chars, lambda c: F.regexp_like(c, significant).cast("int"))
     total = F.aggregate(marks, F.lit(0), lambda a, x: a + x)
-    lead = total - F.length(fake)  # significant characters in front that stay
+    longer = F.when(kind.isin(WIDENED), F.greatest(F.length(fake) - total, F.lit(0))).otherwise(0)  # drawn letters in front of the form
+    lead = total + longer - F.length(fake)  # significant characters in front that stay
 
     def put(c: Column, i: Column) -> Column:
         number = F.aggregate(F.slice(marks, 1, i + 1), F.lit(0), lambda a, x: a + x) - lead  # 1-based place in the surrogate
-        new = F.substring(fake, number, F.lit(1))
+        new = F.substring(fake, number + longer, F.lit(1))
         new = F.when(c != F.lower(c), F.upper(new)).otherwise(new)
         return F.when((F.get(marks, i) == 1) & (number >= 1), new).otherwise(c)
-    same_case = F.concat(F.when(kind == "person", title).otherwise(F.lit("")), F.array_join(F.transform(chars, put), ""))
-    return F.when(kind == "ip", fake).otherwise(same_case)
+    same_case = F.array_join(F.transform(chars, put), "")
+    front = F.left(fake, longer)
+    name = F.when(longer > 0, F.concat(F.upper(F.left(front, F.lit(1))), F.substring(front, F.lit(2), longer),
+                                       F.lower(F.left(same_case, F.lit(1))), F.substring(same_case, F.lit(2), F.length(same_case)))).otherwise(same_case)
+    return F.when(kind == "ip", fake).when(kind == "person", F.concat(title, name)).otherwise(F.concat(front, same_case))
 
 
 def _count(entities: Column, kind: str) -> Column:
@@ -137,17 +162,18 @@ def assign_surrogates(spark, entities: DataFrame, key: str) -> DataFrame:
     current = materialise(spark, entities.select("kind", "norm", F.lit(0).alias("attempt"))
                           .withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map", small=True)
     real = entities.select("kind", F.col("norm").alias("fake"), F.lit(True).alias("is_real"))
-    for _ in range(MAX_ATTEMPTS):
+    for attempt in itertools.count():
         first = current.groupBy("kind", "fake").agg(F.min("norm").alias("owner"), F.count(F.lit(1)).alias("n"))
         bad = first.join(real, ["kind", "fake"], "left").filter("n > 1 or is_real").select("kind", "fake", "owner", F.coalesce("is_real", F.lit(False)).alias("is_real"))
         bad = materialise(spark, bad, "pii-bad", small=True)
         if bad.isEmpty():
             return current.select("kind", "norm", "fake")
+        if attempt >= MAX_ATTEMPTS and not bad.filter(~F.col("kind").isin(WIDENED)).isEmpty():
+            raise ValueError("a surrogate space is too small for its distinct entities")
         again = current.join(bad, ["kind", "fake"], "left")
         lost = F.col("is_real") | (F.col("owner") != F.col("norm"))
         again = again.select("kind", "norm", (F.col("attempt") + F.coalesce(lost, F.lit(False)).cast("int")).alias("attempt"))
         current = materialise(spark, again.withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map", small=True)
-    raise ValueError("a surrogate space is too small for its distinct entities")
 
 
 def pseudonymise(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:

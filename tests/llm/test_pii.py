@@ -84,3 +84,22 @@ def test_plan_has_no_python(spark):
 
 def test_empty_table(spark):
     assert pii.pseudonymise(frame(spark, []).limit(0)).count() == 0
+
+
+def test_small_spaces_are_widened(spark):
+    """Short names, letters outside the classes and emails without a letter: always a distinct surrogate, never the name itself."""
+    names = ["Mr An", "Mr En", "Mr In", "Mr On", "Mr Un", "Mr Đỗ", "Dr Ås", "г-жа Её", "Mr Արամ", "Mr Ան",
+             *(f"Ms {x}u" for x in "WXLGHDFYSMTBCJKNPQRVZ")]
+    mails = ["---@---.com", "___@---.com", "--- @x", "A---@b.org"]
+    rows = [(i, f"met {x} there") for i, x in enumerate(names + mails)] + [(90, "met Mr An there")]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(frame(spark, rows)).collect()}
+    new = [re.fullmatch(r"met (.+) there", got[i]).group(1) for i in range(len(names + mails))]
+    assert got[90] == got[0] and new[len(names) + 2] == "--- @x"
+    bare = [x.split(" ", 1)[1].lower() for x in names]
+    fakes = [x.split(" ", 1)[1].lower() for x in new[:len(names)]]
+    assert len(set(fakes)) == len(names) and not set(fakes) & set(bare)
+    assert all(re.fullmatch(pii.PATTERNS[-1][1].replace(r"\p{Lu}\p{Ll}+", r"\w+").replace(r"\p{L}", r"\w"), x) and x[-1] == n[-1] for x, n in zip(new, names))
+    assert all(x.split(" ", 1)[1].istitle() for x in new[:len(names)])
+    kept = [new[len(names) + i] for i in (0, 1, 3)]
+    assert len({x.lower() for x in kept}) == 3 and not {x.lower() for x in kept} & {m.lower() for m in mails}
+    assert all(re.fullmatch(pii.PATTERNS[0][1], x) for x in kept)
