@@ -12,7 +12,8 @@ shuffle.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text when there is no
 training row; ties go to the first language by name; rows with a null language are not learned from;
-characters outside the vocabulary weigh the same in all languages; units above 48 bytes are scored in
+characters outside the vocabulary weigh the same in all languages, in runs of any length (the passes carry a
+power of two a byte, so no sum underflows); units above 48 bytes are scored in
 parts; repeated rows each get their row.
 """
 
@@ -30,6 +31,7 @@ from layerwise.llm.pieces import (BLANK, DISTINCT_CHUNK, Edges, UnitCache, Vocab
 from layerwise.llm.textnp import chunks, prefix_hash, range_hash, text_buffer
 
 UNIT_BYTES = 48
+SCALE_BITS = 20      # the passes work on probabilities times 2^20 a byte; 48 bytes stay far inside a float64
 UNKNOWN = 1e-8       # probability of a character without a piece, in every language
 PER_LANG = 1000
 ROUNDS = 3
@@ -89,8 +91,12 @@ class Lattice:
             lo, hi = np.searchsorted(border, [a, b])
             yield order[a:b], border[lo:hi] - a, target[border[lo:hi]]
 
+    def scaled(self, prob: np.ndarray) -> np.ndarray:
+        """Edge weights of both passes: the probabilities times 2^SCALE_BITS for each byte of the edge."""
+        return np.ldexp(prob, (SCALE_BITS * (self.end - self.start))[:, None])
+
     def forward(self, weight: np.ndarray) -> np.ndarray:
-        """Sums over all segmentations of the unit up to each position; weight: (edges, columns)."""
+        """Sums over all segmentations of the unit up to each position; weight: (edges, columns), scaled."""
         alpha = np.zeros((self.size, weight.shape[1]))
         alpha[self.starts] = 1.0
         if len(self.start):
@@ -115,7 +121,8 @@ def with_unknown(prob: np.ndarray) -> np.ndarray:
 def unit_loglik(vocab: Vocabulary, prob: np.ndarray, buf, starts, ends) -> np.ndarray:
     """(units, languages) log likelihoods; ``buf`` is the output of ``joined_units``."""
     lattice = Lattice(vocab, buf, starts, ends)
-    return np.log(lattice.forward(prob[lattice.piece])[ends])
+    total = np.log(lattice.forward(lattice.scaled(prob[lattice.piece]))[ends])
+    return total - ((ends - starts) * (SCALE_BITS * np.log(2.0)))[:, None]
 
 
 # ------------------------------------------------------------------ fit
@@ -153,7 +160,7 @@ def _expect_runner(shared, langs: list[str]):
                 ends = starts + np.diff(off[a:b + 1])
                 lattice = Lattice(vocab, buf, starts, ends)
                 column = which[a:b][lattice.unit]
-                w = prob[lattice.piece, column][:, None]
+                w = lattice.scaled(prob[lattice.piece, column][:, None])
                 alpha, beta = lattice.forward(w)[:, 0], lattice.backward(w)[:, 0]
                 post = alpha[lattice.start] * w[:, 0] * beta[lattice.end] / alpha[ends][lattice.unit] * n[a:b][lattice.unit]
                 np.add.at(total, (lattice.piece, column), post)

@@ -55,3 +55,15 @@ def test_nothing_learned_and_empty_table(spark):
     none = lang_id.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert {r.lang_pred for r in lang_id.predict(frame(spark), none).collect()} == {"und"}
     assert lang_id.predict(frame(spark, []).limit(0), none).count() == 0
+
+
+def test_long_runs_without_pieces(spark):
+    """Newlines, tabs and NULs have no piece: long runs leave fit finite and the rest of a text decides."""
+    runs = ["\n" * 44, "\t" * 48, "\x00" * 200, "\r\n" * 300]
+    rows = [(i, f"{w} word{r}{w}", g) for i, (r, (g, w)) in enumerate((r, x) for r in runs for x in (("en", "the cat and the dog"), ("fr", "le chat et le chien")))]
+    fitted = lang_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert np.isfinite(fitted[1]).all() and (fitted[1] > 0).all() and np.allclose(fitted[1][:-1].sum(axis=0), 1)
+    texts = [(200 + i, f"{r}le chien et le chat {r} x") for i, r in enumerate(runs)] + [(300 + i, f"the dog{r}") for i, r in enumerate(runs)]
+    got = {r.doc_id: r for r in lang_id.predict(frame(spark, texts), fitted).collect()}
+    assert all(got[200 + i].lang_pred == "fr" and got[300 + i].lang_pred == "en" for i in range(len(runs)))
+    assert all(0.5 < r.score <= 1 for r in got.values())
