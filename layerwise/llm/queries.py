@@ -184,3 +184,45 @@ def op1(spark, sf_dir):
 def op4(spark, sf_dir):
     from layerwise.llm.suffix_dedup import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+# ------------------------------------------------------------------ 13: periodic runs
+
+CRC_STEP = "list_reduce(list_prepend({x}, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+CRC_ID = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda z: ord(z)::BIGINT)), " \
+    f"lambda acc, b: {CRC_STEP.format(x='xor(acc, b)')}), 4294967295)"
+
+OP13_SQL = f"""
+WITH raw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{SPACE_WORDS}') AS o, {CRC_ID} AS h FROM documents),
+ga AS (SELECT r, doc_id, o, len(o) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a FROM raw),
+sized AS (SELECT r, doc_id, n, a, 1 + (n - a) // (3 + g % 8) AS p FROM ga),
+orig AS (SELECT r, unnest(range(len(o))) AS i, unnest(o) AS x FROM raw),
+idx AS (SELECT r, n, a, p, unnest(range(n)) AS i FROM sized),
+w AS (SELECT idx.r, idx.i, n, x FROM idx JOIN orig ON idx.r = orig.r AND orig.i = CASE WHEN a IS NULL OR idx.i < a THEN idx.i ELSE a + (idx.i - a) % p END),
+eq AS (SELECT u.r, u.i, v.i - u.i AS d FROM w u JOIN w v ON u.r = v.r AND u.x = v.x AND v.i > u.i AND 4 * (v.i - u.i) <= u.n),
+island AS (SELECT r, d, i, i - row_number() OVER (PARTITION BY r, d ORDER BY i) AS k FROM eq),
+st AS (SELECT r, d, min(i) AS s, count(*) + d AS m FROM island GROUP BY r, d, k HAVING count(*) + d >= greatest(6, 4 * d)),
+runs AS (SELECT * FROM st WHERE NOT EXISTS (SELECT 1 FROM st z WHERE z.r = st.r AND z.d < st.d AND z.s <= st.s AND z.s + z.m >= st.s + st.m)),
+best AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || m || ',' || d || chr(10), '' ORDER BY s, d) AS listing,
+    first(s ORDER BY m::HUGEINT * 1000000000000 // d DESC, s, d) AS s, first(m ORDER BY m::HUGEINT * 1000000000000 // d DESC, s, d) AS m,
+    first(d ORDER BY m::HUGEINT * 1000000000000 // d DESC, s, d) AS d FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + d, s + m)) AS i FROM runs),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM w ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, m::BIGINT AS length, d::BIGINT AS period, (1000 * m // d)::BIGINT AS exponent_milli,
+    sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM raw LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+@register("op13_periodic_runs", OP13_SQL)
+def op13(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from layerwise.llm.periodic_runs import best_run, periodic_runs, repeat_planted
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = periodic_runs(docs.withColumn("text", repeat_planted(F.col("doc_id"), F.col("text")))).withColumn("best", best_run(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
