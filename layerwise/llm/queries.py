@@ -226,3 +226,31 @@ def op13(spark, sf_dir):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+# ------------------------------------------------------------------ 12: collocations
+
+OP12_SQL = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOW}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+gram AS (SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)]) AS phrase
+    FROM (SELECT lang, w, unnest([1, 2, 3, 4]) AS m FROM w) WHERE len(w) >= m),
+total AS (SELECT lang, count(*) AS n FROM gram WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM gram GROUP BY ALL HAVING count(*) >= 30),
+covered AS (SELECT DISTINCT s.lang, s.phrase FROM f s JOIN f b ON s.lang = b.lang AND b.m > s.m AND 100 * b.a >= 80 * s.a
+    AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') WHERE s.m >= 2),
+cand AS (SELECT * FROM f ANTI JOIN covered USING (lang, phrase) WHERE m >= 2),
+cut AS (SELECT lang, m, phrase, a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS x, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS y
+    FROM cand, (SELECT unnest([1, 2, 3]) AS k) WHERE k < m),
+scored AS (SELECT cut.lang, cut.phrase, cut.a, u.a AS l, v.a AS r, (2000000::HUGEINT * cut.a // (u.a + v.a)) AS score, k
+    FROM cut JOIN f u ON u.lang = cut.lang AND u.phrase = x JOIN f v ON v.lang = cut.lang AND v.phrase = y),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM low)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op12_collocations", OP12_SQL)
+def op12(spark, sf_dir):
+    from layerwise.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
