@@ -1,15 +1,17 @@
 """Collocations of two to four words, counted in HAT-tries of word ids.
 
-Counting goes level by level, since every part of a frequent phrase is frequent: words; pairs of frequent words;
-triples and quadruples all of whose pairs are frequent.  What the next level needs of the last one is a Bloom filter of
-fixed size (``bloom_bits``): where it is full it lets more phrases through, which costs time and changes no count.
+Every part of a frequent phrase is frequent, so two counts by hash go first: of all words, and of all pairs of words
+the first count found frequent.  Each leaves a Bloom filter of fixed size (``bloom_bits``).  Then phrases of one to four
+words whose words and pairs pass the filters are counted exactly.  A hash collision or a full filter lets more phrases
+through, which costs time and changes no count.
 
 In a task phrases are paths (language, word, word, ...) in a HAT-trie: its upper nodes branch on ranges of word ids, its
 leaves are hash containers (open addressing) with the counts of all paths in their range.  A container that holds more than
 ``BURST`` paths bursts: its range is halved, or, when it is one word's, a node for the next word takes its place.
 When a task holds more than ``HELD`` paths, its largest subtrees are spilled whole, each as one run sorted by path.
 Runs leave the task and are dealt out by (language, prefix), the prefix being at most three words, and merged there.  No
-group holds more than a task's one count per phrase (and the quadruples that extend a triple).
+group holds more than a task's one count per phrase (and the quadruples that extend a triple).  The counts by
+hash use the same trie, its paths being the digits of the hash.
 
 The counts of frequent phrases are then joined: each cut of a phrase with the counts of its two parts, each phrase with the largest
 count of the longer phrases that hold it.
@@ -27,14 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layerwise.llm.common import materialise, prepare
+from layerwise.llm.common import freeing_shuffles, materialise, prepare
 from layerwise.llm.textnp import LOWER, chunks, class_table, exact_names, mix64, spread, text_buffer, word_hashes, words
 
 U64 = np.uint64
-CHUNK = 2 << 20             # bytes of text cut into words at once
-BLOCK = 1 << 18             # words counted at once
+CHUNK = 1 << 20             # bytes of text cut into words at once
+BLOCK = 1 << 17             # words counted at once
 BURST = 1 << 16             # paths in a container before it bursts
-HELD = 1 << 20              # paths a task holds before it spills
+HELD = 3 << 18              # paths a task holds before it spills
 LEXICON = 300_000           # words a task numbers before it spills everything and starts anew
 SPILL_ROWS = 1 << 15        # rows of a run sent at once
 BLOOM_BITS = 1 << 25
@@ -199,11 +201,18 @@ class Lexicon:
 
 # ------------------------------------------------------------------ tasks
 
-def phrase_hash(lang: np.ndarray, *word: np.ndarray) -> np.ndarray:
-    acc = lang
-    for w in word:
-        acc = mix64(acc * U64(0x9E3779B97F4A7C15) + w)
-    return acc
+def extended(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a phrase (or language) and one word more."""
+    return mix64(h * U64(0x9E3779B97F4A7C15) + word)
+
+
+def bloom_key(h: np.ndarray) -> np.ndarray:
+    return h >> U64(1)
+
+
+def passes(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bit = bloom_key(h) & U64(len(bloom) * 64 - 1)
+    return (bloom[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63))) & U64(1) > 0
 
 
 @lru_cache(maxsize=4096)
@@ -212,11 +221,54 @@ def lang_hash(name: str) -> np.uint64:
     return word_hashes(raw, np.array([0]), np.array([len(raw)]))[0]
 
 
+def cut_words(lang: list, buf: np.ndarray, off: np.ndarray):
+    """(lower-case bytes, starts, ends, text, hash, language hash, joined) of the words of a chunk; joined[i]: words i and
+    i + 1 stand in one piece."""
+    buf = LOWER[buf]
+    starts, ends, wo = words(buf, off, PIECE_WORDS)
+    text = np.repeat(np.arange(len(lang)), np.diff(wo))
+    hl = np.array([lang_hash(x) for x in lang], dtype=U64)[text]
+    stops = np.cumsum(BREAKS[buf], dtype=np.int32)
+    joined = np.zeros(len(starts), dtype=bool)
+    joined[:-1] = (stops[starts[1:] - 1] == stops[ends[:-1] - 1]) & (text[1:] == text[:-1])
+    return buf, starts, ends, text, word_hashes(buf, starts, ends), hl, joined
+
+
+class HashCounter:
+    """Counts of words, or of pairs of words that pass ``known``, by their hashes."""
+
+    def __init__(self, known: np.ndarray | None):
+        self.known, self.trie = known, Node(0)
+
+    def add(self, lang: list, buf: np.ndarray, off: np.ndarray):
+        """Count the texts of a chunk; yields the runs that had to be spilled."""
+        _, _, _, _, h, hl, joined = cut_words(lang, buf, off)
+        g = extended(hl, h)
+        if self.known is not None:
+            good = passes(self.known, g)
+            at = np.flatnonzero(joined[:-1] & good[:-1] & good[1:])
+            g = extended(g[at], h[at + 1])
+        for a in range(0, len(g), BLOCK):
+            key, n = np.unique(bloom_key(g[a:a + BLOCK]), return_counts=True)
+            self.trie.add(key, np.zeros(len(key), U64), n)
+            yield from self.spill(HELD)
+
+    def spill(self, above):
+        if self.trie.size > above:
+            while self.trie.size > above // 2:
+                key, _, n = self.trie.take_largest()
+                order = np.argsort(key)
+                yield pa.RecordBatch.from_arrays([pa.array(key[order].view(np.int64)), pa.array(n[order])], names=["key", "n"])
+
+    def rest(self):
+        yield from self.spill(0)
+
+
 class Counter:
-    """The trie, words and languages of one task."""
+    """The trie, words and languages of one task: phrases of 1 to 4 words whose words and pairs pass the filters."""
 
-    def __init__(self, sizes: tuple[int, ...], bloom: np.ndarray | None):
-        self.sizes, self.bloom = sizes, bloom
+    def __init__(self, known_words: np.ndarray, known_pairs: np.ndarray):
+        self.known_words, self.known_pairs = known_words, known_pairs
         self.totals: dict[str, int] = {}
         self._reset()
 
@@ -224,73 +276,58 @@ class Counter:
         self.trie, self.words = Node(0), Lexicon()
         self.langs: dict[str, int] = {}
         self.names: list[str] = []
-        self.lang_hashes: list = []
 
     def _lang(self, name):
         if name not in self.langs:
             self.langs[name] = len(self.names) + 1
             self.names.append(name)
-            self.lang_hashes.append(lang_hash(name))
         return self.langs[name]
 
-    def _known(self, h):
-        bit = h & U64(len(self.bloom) * 64 - 1)
-        return (self.bloom[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63))) & U64(1) > 0
-
     def add(self, lang: list, buf: np.ndarray, off: np.ndarray):
         """Count the texts of a chunk; yields the runs that had to be spilled."""
-        buf = LOWER[buf]
-        starts, ends, wo = words(buf, off, PIECE_WORDS)
-        text = np.repeat(np.arange(len(lang)), np.diff(wo))
-        h = word_hashes(buf, starts, ends)
-        # joined[i]: words i and i + 1 stand in one piece
-        stops = np.concatenate([[0], np.cumsum(BREAKS[buf])])
-        joined = np.zeros(len(starts), dtype=bool)
-        joined[:-1] = (stops[starts[1:]] == stops[ends[:-1]]) & (text[1:] == text[:-1])
+        buf, starts, ends, text, h, hl, joined = cut_words(lang, buf, off)
+        g = extended(hl, h)
+        good = passes(self.known_words, g)
+        joined[:-1] &= passes(self.known_pairs, extended(g[:-1], h[1:]))
+        for name, n in zip(lang, np.bincount(text, minlength=len(lang)).tolist()):
+            if n:
+                self.totals[name] = self.totals.get(name, 0) + n
         for a in range(0, len(starts), BLOCK):
             b = min(a + BLOCK + 3, len(starts))  # phrases that begin in the block may end behind it
             heads, name = np.unique(text[a:b], return_inverse=True)
             code = np.array([self._lang(lang[t]) for t in heads.tolist()], dtype=np.int64)[name]
-            self._block(min(BLOCK, len(starts) - a), code, buf, starts[a:b], ends[a:b], h[a:b], joined[a:b].copy())
+            self._block(min(BLOCK, len(starts) - a), code, buf, starts[a:b], ends[a:b], h[a:b], good[a:b], joined[a:b].copy())
             yield from self.spill()
 
-    def _block(self, own, code, buf, starts, ends, h, joined):
+    def _block(self, own, code, buf, starts, ends, h, good, joined):
         n = len(starts)
         joined[-1] = False
-        hl = np.array(self.lang_hashes, dtype=U64)[code - 1]
-        if 1 in self.sizes:
-            for c, count in enumerate(np.bincount(code[:own]).tolist()):
-                if count:
-                    self.totals[self.names[c - 1]] = self.totals.get(self.names[c - 1], 0) + count
-        elif 2 in self.sizes:
-            good = self._known(phrase_hash(hl, h))
-            joined[:-1] &= good[:-1] & good[1:]
-        else:
-            joined[:-1] &= self._known(phrase_hash(hl[:-1], h[:-1], h[1:]))
-        reach = np.ones(n, dtype=bool)
-        spots = []
-        for m in range(1, max(self.sizes) + 1):
-            if m in self.sizes:
-                spots.append((m, np.flatnonzero(reach[:own])))
-            reach[:-1] = joined[:-1] & reach[1:]  # m + 1 words from here lie in one piece
+        spots, reach = [np.flatnonzero(good[:own])], np.ones(n, dtype=bool)
+        for _ in range(3):
+            reach[:-1] = joined[:-1] & reach[1:]  # one word more from here lies in the piece
             reach[-1] = False
-        used = np.zeros(n, dtype=bool)
-        for m, at in spots:
-            for j in range(m):
-                used[at + j] = True
-        need = np.flatnonzero(used)
+            spots.append(np.flatnonzero(reach[:own]))
+        need = good.copy()
+        need[:-1] |= joined[:-1]
+        need[1:] |= joined[:-1]
+        need = np.flatnonzero(need)
         if not len(need):
             return
         name = exact_names(buf, starts[need], ends[need])
-        _, first = np.unique(name, return_index=True)
-        first = need[first]
+        first = np.empty(int(name.max()) + 1, dtype=np.int64)
+        first[name] = need
         number = np.zeros(n, dtype=U64)
         number[need] = self.words.ids(h[first], buf, starts[first], ends[first])[name].astype(U64)
-        for m, at in spots:
-            w = [number[at + j] if j < m else np.zeros(len(at), U64) for j in range(4)]
-            hi = (code[at].astype(U64) << U64(2 * ID_BITS)) | (w[0] << U64(ID_BITS)) | w[1]
-            lo = (w[2] << U64(ID_BITS)) | w[3]
-            order = np.lexsort((lo, hi)) if m > 2 else np.argsort(hi)
+        for m, at in enumerate(spots, 1):
+            hi = (code[at].astype(U64) << U64(2 * ID_BITS)) | (number[at] << U64(ID_BITS))
+            if m < 3:
+                hi |= number[at + 1] if m == 2 else U64(0)
+                hi, count = np.unique(hi, return_counts=True)
+                self.trie.add(hi, np.zeros(len(hi), U64), count)
+                continue
+            hi |= number[at + 1]
+            lo = (number[at + 2] << U64(ID_BITS)) | (number[at + 3] if m == 4 else U64(0))
+            order = np.lexsort((lo, hi))
             hi, lo = hi[order], lo[order]
             head = np.flatnonzero(np.concatenate([[True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])])) if len(hi) else order
             self.trie.add(hi[head], lo[head], np.diff(np.append(head, len(hi))))
@@ -317,7 +354,7 @@ class Counter:
             keep[(at + lens)[last]] = False
             off = np.concatenate([[0], (at + lens + 1)[last]]) - np.arange(len(last) + 1)
             phrase = pa.Array.from_buffers(pa.large_binary(), len(last), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(body[keep])])
-            prefix = phrase_hash(np.zeros(len(last), U64), *(hashes[w[:, j]] for j in range(3)))
+            prefix = extended(extended(hashes[w[:, 0]], hashes[w[:, 1]]), hashes[w[:, 2]])
             lang = pa.array(self.names).take(pa.array(part[0] - 1))
             yield pa.RecordBatch.from_arrays([lang, pa.array((prefix >> U64(32)).astype(np.uint32).view(np.int32)), phrase.cast(pa.binary()).cast(pa.string()),
                                               pa.array(n[a:a + SPILL_ROWS])], names=["lang", "prefix", "phrase", "n"])
@@ -339,9 +376,9 @@ class Counter:
                                              names=["lang", "prefix", "phrase", "n"])
 
 
-def _count_runner(sizes, bloom):
+def _runner(kind, *filters):
     def run(batches):
-        counter = Counter(sizes, None if bloom is None else bloom.value)
+        counter = kind(*(None if f is None else f.value for f in filters))
         for batch in batches:
             buf, off = text_buffer(batch.column(1))
             lang = batch.column(0).to_pylist()
@@ -353,31 +390,15 @@ def _count_runner(sizes, bloom):
 
 # ------------------------------------------------------------------ levels
 
-def count_phrases(docs: DataFrame, sizes: tuple[int, ...], min_count: int, bloom=None) -> DataFrame:
-    """(lang, phrase, n) of the phrases of the given numbers of words with n >= min_count; with size 1 also one row with
-    an empty phrase per language, the number of its words."""
-    runs = docs.mapInArrow(_count_runner(sizes, bloom), "lang string, prefix int, phrase string, n long")
-    merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
-    return merged.filter((F.col("n") >= min_count) | (F.col("phrase") == "")).select("lang", "phrase", "n")
-
-
-def _bloom_runner(m, bits):
-    def run(batches):
-        for batch in batches:
-            buf, off = text_buffer(batch.column(1))
-            starts, ends, wo = words(buf, off, PIECE_WORDS)
-            h = word_hashes(buf, starts, ends)
-            hl = np.array([lang_hash(x) for x in batch.column(0).to_pylist()], dtype=U64)
-            bit = phrase_hash(hl, *(h[wo[:-1] + j] for j in range(m))) & U64(bits - 1)
-            yield pa.RecordBatch.from_arrays([pa.array((bit >> U64(6)).astype(np.int64)), pa.array((U64(1) << (bit & U64(63))).view(np.int64))], names=["at", "word"])
-    return run
-
-
-def bloom_of(spark: SparkSession, frequent: DataFrame, m: int, bits: int):
-    """A broadcast bit set of ``bits`` bits with the hashes of the phrases, all of m words."""
-    rows = frequent.select("lang", "phrase").mapInArrow(_bloom_runner(m, bits), "at long, word long") \
+def frequent_filter(spark: SparkSession, texts: DataFrame, min_count: int, bits: int, known=None):
+    """A broadcast bit set with the hashes of the words (of the pairs of words in ``known``) counted ``min_count`` times or more."""
+    hashed = texts.mapInArrow(_runner(HashCounter, known), "key long, n long")
+    often = hashed.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    bit = F.col("key").bitwiseAND(F.lit(bits - 1))
+    rows = often.select(F.shiftright(bit, 6).alias("at"), F.expr(f"shiftleft(1L, cast((key & {min(bits, 64) - 1}) as int))").alias("word")) \
         .groupBy("at").agg(F.bit_or("word").alias("word"))
-    found = rows.toArrow()  # at most bits / 64 rows
+    with freeing_shuffles(spark):
+        found = rows.toArrow()  # at most bits / 64 rows
     held = np.zeros(bits // 64, dtype=U64)
     held[found["at"].to_numpy()] = found["word"].to_numpy().view(U64)
     return spark.sparkContext.broadcast(held)
@@ -388,16 +409,13 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, bloom_bits: int = BLO
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    parts, bloom, last = [], None, None
-    for sizes in ((1,), (2,), (3, 4)):
-        if last is not None:
-            bloom = bloom_of(spark, last, sizes[0] - 1, bloom_bits)
-        found = materialise(spark, count_phrases(texts, sizes, min_count, bloom), "phrases", small=True)
-        if bloom is not None:
-            bloom.unpersist()
-        last = found.filter("phrase <> ''")
-        parts.append(found.withColumn("m", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("lang", "phrase", "m", "n")
+    known_words = frequent_filter(spark, texts, min_count, bloom_bits)
+    known_pairs = frequent_filter(spark, texts, min_count, bloom_bits, known_words)
+    runs = texts.mapInArrow(_runner(Counter, known_words, known_pairs), "lang string, prefix int, phrase string, n long")
+    merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
+    merged = merged.filter((F.col("n") >= min_count) | (F.col("phrase") == ""))
+    m = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return materialise(spark, merged.select("lang", "phrase", m.alias("m"), "n"), "phrases", small=True)
 
 
 # ------------------------------------------------------------------ scores

@@ -55,15 +55,20 @@ def texts(n, seed):
     return ["".join(rnd.choice(vocab) + rnd.choice([" ", " ", " ", "\t ", ". ", "\n", ","]) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
 
 
-def count_in_process(rows, sizes, bloom=None):
-    got = Counter()
-    counter = C.Counter(sizes, bloom)
+EVERYTHING = np.full(1, ~np.uint64(0))
+
+
+def in_process(counter, rows):
     buf, off = text_buffer(pa.array([t for _, t in rows]))
-    batches = list(counter.add([g for g, _ in rows], buf, off)) + list(counter.rest())
+    return list(counter.add([g for g, _ in rows], buf, off)) + list(counter.rest())
+
+
+def counted(batches):
+    got = Counter()
     for b in batches:
         for g, _, p, n in zip(*(c.to_pylist() for c in b.columns)):
             got[g, p] += n
-    return got, batches
+    return got
 
 
 def test_counts_with_bursts_and_spills(monkeypatch):
@@ -73,36 +78,47 @@ def test_counts_with_bursts_and_spills(monkeypatch):
     rows = [(("en", "fr", "日")[i % 3], t) for i, t in enumerate(texts(60, 3))]
     want = Counter()
     for g, t in rows:
-        want.update((g, p) for p in grams(t, (1,)))
+        want.update((g, p) for p in grams(t))
         want[g, ""] += sum(1 for _ in grams(t, (1,)))
-    got, batches = count_in_process(rows, (1,))
-    assert got == +want and len(batches) > 20
-    everything = np.full(1, ~np.uint64(0))
-    for sizes in ((2,), (3, 4)):
-        got, _ = count_in_process(rows, sizes, everything)
-        assert got == Counter((g, p) for g, t in rows for p in grams(t, sizes))
+    batches = in_process(C.Counter(EVERYTHING, EVERYTHING), rows)
+    assert counted(batches) == +want and len(batches) > 20
+
+
+def test_counts_by_hash(monkeypatch):
+    rows = [(("en", "fr")[i % 2], t) for i, t in enumerate(texts(60, 3))]
+    for value in (4, 1 << 16):
+        monkeypatch.setattr(C, "BURST", value)
+        monkeypatch.setattr(C, "HELD", 10 * value)
+        for m, known in ((1, None), (2, EVERYTHING)):
+            got = Counter()
+            for b in in_process(C.HashCounter(known), rows):
+                assert b.column(0).to_pylist() == sorted(b.column(0).to_pylist())
+                for k, n in zip(*(c.to_pylist() for c in b.columns)):
+                    got[k] += n
+            assert sorted(got.values()) == sorted(Counter((g, p) for g, t in rows for p in grams(t, (m,))).values())
 
 
 def test_runs_are_sorted_and_the_trie_grows_deep(monkeypatch):
     monkeypatch.setattr(C, "BURST", 8)
     rows = [("en", t) for t in texts(40, 4)]
-    counter = C.Counter((3, 4), np.full(1, ~np.uint64(0)))
+    counter = C.Counter(EVERYTHING, EVERYTHING)
     buf, off = text_buffer(pa.array([t for _, t in rows]))
     assert not list(counter.add(["en"] * len(rows), buf, off))
 
     def depth(node):
         return 1 + max((depth(k) for k in node.kids if isinstance(k, C.Node)), default=0)
     assert depth(counter.trie) >= 3
-    paths = counter.trie.items()
-    short = [p for b in counter._run(paths) for p in b.column(2).to_pylist() if "ggg" not in p]
+    short = [p for b in counter._run(counter.trie.items()) for p in b.column(2).to_pylist() if "ggg" not in p]
     assert [p.split(" ") for p in short] == sorted((p.split(" ") for p in short), key=lambda w: [x.encode() for x in w]) and len(short) > 50
 
 
-def test_bloom_prunes_only_phrases_of_rare_parts(spark):
-    rows = [("en", "x y z. x y z. rare x y")]
-    frequent = spark.createDataFrame([("en", "x y"), ("en", "y z")], "lang string, phrase string")
-    bloom = C.bloom_of(spark, frequent, 2, 1 << 16).value
-    assert count_in_process(rows, (3, 4), bloom)[0] == Counter({("en", "x y z"): 2})
+def test_filters_drop_only_phrases_of_rare_parts(spark):
+    rows = [("en", "x y z. x y z. rare x y"), ("fr", "x y z")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    known = C.frequent_filter(spark, docs, 2, 1 << 16)
+    pairs = C.frequent_filter(spark, docs, 2, 1 << 16, known)
+    got = counted(in_process(C.Counter(known.value, pairs.value), rows))
+    assert got == Counter({("en", "x"): 3, ("en", "y"): 3, ("en", "z"): 2, ("en", "x y"): 3, ("en", "y z"): 2, ("en", "x y z"): 2, ("en", ""): 9, ("fr", ""): 3})
 
 
 def documents(spark, rows):
