@@ -1,8 +1,8 @@
 """Collocations of two to four words, counted in HAT-tries of word ids.
 
-Every part of a frequent phrase is frequent, so two counts by hash go first: of all words, and of all pairs of words
-the first count found frequent.  Each leaves a Bloom filter of fixed size (``bloom_bits``).  Then phrases of one to four
-words whose words and pairs pass the filters are counted exactly.  A hash collision or a full filter lets more phrases
+Every part of a frequent phrase is frequent, so counts by hash go first: of all words, then of all pairs, of all triples and
+of all quadruples of frequent words.  The hashes found frequent enter Bloom filters of fixed size (``bloom_bits``).  Then
+the words and phrases that pass the filters are counted exactly.  A hash collision or a full filter lets more phrases
 through, which costs time and changes no count.
 
 In a task phrases are paths (language, word, word, ...) in a HAT-trie: its upper nodes branch on ranges of word ids, its
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layerwise.llm.common import freeing_shuffles, materialise, prepare
+from layerwise.llm.common import few_files, materialise, prepare
 from layerwise.llm.textnp import LOWER, chunks, class_table, exact_names, mix64, spread, text_buffer, word_hashes, words
 
 U64 = np.uint64
@@ -39,7 +39,8 @@ BURST = 1 << 16             # paths in a container before it bursts
 HELD = 3 << 18              # paths a task holds before it spills
 LEXICON = 300_000           # words a task numbers before it spills everything and starts anew
 SPILL_ROWS = 1 << 15        # rows of a run sent at once
-BLOOM_BITS = 1 << 25
+BLOOM_BITS = 1 << 26
+TASKS_PER_CORE = 2          # in the exact count: each task sends each of its phrases once
 SALTS = 32
 ID_BITS = 21
 ID_MASK = (1 << ID_BITS) - 1
@@ -234,23 +235,34 @@ def cut_words(lang: list, buf: np.ndarray, off: np.ndarray):
     return buf, starts, ends, text, word_hashes(buf, starts, ends), hl, joined
 
 
+def phrase_starts(g, h, joined, allowed, most: int):
+    """(m, word numbers, hashes) of the phrases of m = 2 to ``most`` allowed words; g: hashes of the words with their language."""
+    link = joined[:-1] & allowed[:-1] & allowed[1:]
+    at = np.flatnonzero(link)
+    key = extended(g[at], h[at + 1])
+    for m in range(2, most + 1):
+        yield m, at, key
+        more = np.flatnonzero(link[np.minimum(at + m - 1, len(link) - 1)] & (at + m < len(h)))
+        at = at[more]
+        key = extended(key[more], h[at + m])
+
+
 class HashCounter:
-    """Counts of words, or of pairs of words that pass ``known``, by their hashes."""
+    """Counts by hash of all words, or of the phrases of m words that pass ``known``."""
 
-    def __init__(self, known: np.ndarray | None):
-        self.known, self.trie = known, Node(0)
+    def __init__(self, m: int, known: np.ndarray | None):
+        self.m, self.known, self.trie = m, known, Node(0)
 
     def add(self, lang: list, buf: np.ndarray, off: np.ndarray):
         """Count the texts of a chunk; yields the runs that had to be spilled."""
         _, _, _, _, h, hl, joined = cut_words(lang, buf, off)
-        g = extended(hl, h)
-        if self.known is not None:
-            good = passes(self.known, g)
-            at = np.flatnonzero(joined[:-1] & good[:-1] & good[1:])
-            g = extended(g[at], h[at + 1])
-        for a in range(0, len(g), BLOCK):
-            key, n = np.unique(bloom_key(g[a:a + BLOCK]), return_counts=True)
-            self.trie.add(key, np.zeros(len(key), U64), n)
+        key = extended(hl, h)
+        if self.m > 1:
+            for _, _, key in phrase_starts(key, h, joined, passes(self.known, key), self.m):
+                pass
+        for a in range(0, len(key), BLOCK):
+            part, n = np.unique(bloom_key(key[a:a + BLOCK]), return_counts=True)
+            self.trie.add(part, np.zeros(len(part), U64), n)
             yield from self.spill(HELD)
 
     def spill(self, above):
@@ -265,10 +277,10 @@ class HashCounter:
 
 
 class Counter:
-    """The trie, words and languages of one task: phrases of 1 to 4 words whose words and pairs pass the filters."""
+    """The trie, words and languages of one task: words that pass ``known``, phrases of 2 to 4 of them that pass ``phrases``."""
 
-    def __init__(self, known_words: np.ndarray, known_pairs: np.ndarray):
-        self.known_words, self.known_pairs = known_words, known_pairs
+    def __init__(self, known: np.ndarray, phrases: np.ndarray):
+        self.known, self.phrases = known, phrases
         self.totals: dict[str, int] = {}
         self._reset()
 
@@ -287,30 +299,26 @@ class Counter:
         """Count the texts of a chunk; yields the runs that had to be spilled."""
         buf, starts, ends, text, h, hl, joined = cut_words(lang, buf, off)
         g = extended(hl, h)
-        good = passes(self.known_words, g)
-        joined[:-1] &= passes(self.known_pairs, extended(g[:-1], h[1:]))
+        good = passes(self.known, g)
         for name, n in zip(lang, np.bincount(text, minlength=len(lang)).tolist()):
             if n:
                 self.totals[name] = self.totals.get(name, 0) + n
+        spots = [(1, np.flatnonzero(good))] + [(m, at[passes(self.phrases, key)]) for m, at, key in phrase_starts(g, h, joined, good, 4)]
         for a in range(0, len(starts), BLOCK):
             b = min(a + BLOCK + 3, len(starts))  # phrases that begin in the block may end behind it
             heads, name = np.unique(text[a:b], return_inverse=True)
             code = np.array([self._lang(lang[t]) for t in heads.tolist()], dtype=np.int64)[name]
-            self._block(min(BLOCK, len(starts) - a), code, buf, starts[a:b], ends[a:b], h[a:b], good[a:b], joined[a:b].copy())
+            own = [(m, at[np.searchsorted(at, a):np.searchsorted(at, a + BLOCK)] - a) for m, at in spots]
+            self._block(own, code, buf, starts[a:b], ends[a:b], h[a:b])
             yield from self.spill()
 
-    def _block(self, own, code, buf, starts, ends, h, good, joined):
+    def _block(self, spots, code, buf, starts, ends, h):
         n = len(starts)
-        joined[-1] = False
-        spots, reach = [np.flatnonzero(good[:own])], np.ones(n, dtype=bool)
-        for _ in range(3):
-            reach[:-1] = joined[:-1] & reach[1:]  # one word more from here lies in the piece
-            reach[-1] = False
-            spots.append(np.flatnonzero(reach[:own]))
-        need = good.copy()
-        need[:-1] |= joined[:-1]
-        need[1:] |= joined[:-1]
-        need = np.flatnonzero(need)
+        used = np.zeros(n, dtype=bool)
+        for m, at in spots:
+            for j in range(m):
+                used[at + j] = True
+        need = np.flatnonzero(used)
         if not len(need):
             return
         name = exact_names(buf, starts[need], ends[need])
@@ -318,7 +326,7 @@ class Counter:
         first[name] = need
         number = np.zeros(n, dtype=U64)
         number[need] = self.words.ids(h[first], buf, starts[first], ends[first])[name].astype(U64)
-        for m, at in enumerate(spots, 1):
+        for m, at in spots:
             hi = (code[at].astype(U64) << U64(2 * ID_BITS)) | (number[at] << U64(ID_BITS))
             if m < 3:
                 hi |= number[at + 1] if m == 2 else U64(0)
@@ -376,9 +384,9 @@ class Counter:
                                              names=["lang", "prefix", "phrase", "n"])
 
 
-def _runner(kind, *filters):
+def _runner(make, *filters):
     def run(batches):
-        counter = kind(*(None if f is None else f.value for f in filters))
+        counter = make(*(f.value for f in filters))
         for batch in batches:
             buf, off = text_buffer(batch.column(1))
             lang = batch.column(0).to_pylist()
@@ -390,18 +398,18 @@ def _runner(kind, *filters):
 
 # ------------------------------------------------------------------ levels
 
-def frequent_filter(spark: SparkSession, texts: DataFrame, min_count: int, bits: int, known=None):
-    """A broadcast bit set with the hashes of the words (of the pairs of words in ``known``) counted ``min_count`` times or more."""
-    hashed = texts.mapInArrow(_runner(HashCounter, known), "key long, n long")
+def frequent_filter(spark: SparkSession, texts: DataFrame, m: int, min_count: int, bits: int, known=None) -> np.ndarray:
+    """A bit set with the hashes of the words (of the phrases of m words in ``known``) counted ``min_count`` times or more."""
+    counter = _runner(lambda *k: HashCounter(m, *(k or (None,))), *([known] if known else []))
+    hashed = texts.mapInArrow(counter, "key long, n long")
     often = hashed.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
     bit = F.col("key").bitwiseAND(F.lit(bits - 1))
-    rows = often.select(F.shiftright(bit, 6).alias("at"), F.expr(f"shiftleft(1L, cast((key & {min(bits, 64) - 1}) as int))").alias("word")) \
+    rows = often.select(F.shiftright(bit, 6).alias("at"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("word")) \
         .groupBy("at").agg(F.bit_or("word").alias("word"))
-    with freeing_shuffles(spark):
-        found = rows.toArrow()  # at most bits / 64 rows
+    found = materialise(spark, rows, "phrase-filter", small=True).toArrow()  # at most bits / 64 rows
     held = np.zeros(bits // 64, dtype=U64)
     held[found["at"].to_numpy()] = found["word"].to_numpy().view(U64)
-    return spark.sparkContext.broadcast(held)
+    return held
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 30, bloom_bits: int = BLOOM_BITS) -> DataFrame:
@@ -409,9 +417,11 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, bloom_bits: int = BLO
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    known_words = frequent_filter(spark, texts, min_count, bloom_bits)
-    known_pairs = frequent_filter(spark, texts, min_count, bloom_bits, known_words)
-    runs = texts.mapInArrow(_runner(Counter, known_words, known_pairs), "lang string, prefix int, phrase string, n long")
+    known = spark.sparkContext.broadcast(frequent_filter(spark, texts, 1, min_count, bloom_bits))
+    phrases = np.zeros(bloom_bits // 64, dtype=U64)
+    for m in (2, 3, 4):
+        phrases |= frequent_filter(spark, texts, m, min_count, bloom_bits, known)
+    runs = few_files(texts, TASKS_PER_CORE).mapInArrow(_runner(Counter, known, spark.sparkContext.broadcast(phrases)), "lang string, prefix int, phrase string, n long")
     merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
     merged = merged.filter((F.col("n") >= min_count) | (F.col("phrase") == ""))
     m = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
