@@ -254,3 +254,15 @@ SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BI
 def op12(spark, sf_dir):
     from layerwise.llm.collocations import collocations
     return collocations(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 11: n-gram Jaccard join
+
+OP11_SQL = OP5_SQL.replace("< 5 THEN", "< 4 THEN").replace("w[i:i + 4]", "w[i:i + 3]").replace("len(w) - 3)", "len(w) - 2)") \
+    .replace(", doc_id = m AS kept", "")
+
+
+@register("op11_ngram_jaccard_join", OP11_SQL)
+def op11(spark, sf_dir):
+    from layerwise.llm.ngram_join import ngram_join
+    return ngram_join(table(spark, sf_dir, "documents"), num=85)
