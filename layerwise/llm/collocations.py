@@ -99,8 +99,9 @@ def path_field(hi, lo, depth: int):
 class Node:
     """A trie node: from each of ``cuts`` on, ids at this depth belong to the kid of the same number."""
 
-    def __init__(self, depth: int):
-        self.depth, self.cuts, self.kids = depth, np.zeros(1, U64), [Container()]
+    def __init__(self, depth: int, ranges: int = 1):
+        self.depth, self.cuts = depth, np.arange(ranges, dtype=U64) * U64((ID_MASK + 1) // ranges)
+        self.kids = [Container() for _ in range(ranges)]
 
     @property
     def size(self):
@@ -251,7 +252,7 @@ class HashCounter:
     """Counts by hash of all words, or of the phrases of m words that pass ``known``."""
 
     def __init__(self, m: int, known: np.ndarray | None):
-        self.m, self.known, self.trie = m, known, Node(0)
+        self.m, self.known, self.trie = m, known, Node(0, 16)  # hashes are spread evenly
 
     def add(self, lang: list, buf: np.ndarray, off: np.ndarray):
         """Count the texts of a chunk; yields the runs that had to be spilled."""
@@ -321,7 +322,7 @@ class Counter:
         need = np.flatnonzero(used)
         if not len(need):
             return
-        name = exact_names(buf, starts[need], ends[need])
+        name = exact_names(buf, starts[need], ends[need], h[need])
         first = np.empty(int(name.max()) + 1, dtype=np.int64)
         first[name] = need
         number = np.zeros(n, dtype=U64)

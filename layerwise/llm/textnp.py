@@ -139,11 +139,12 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return range_hash(prefix_hash(buf), starts, ends)
 
 
-def exact_names(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def exact_names(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray | None = None) -> np.ndarray:
     """A number for each byte range, the same for equal bytes and only for those (hashes, then bytes)."""
     if not len(starts):
         return np.zeros(0, np.int64)
-    _, first, name = np.unique(word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    hashes = word_hashes(buf, starts, ends) if hashes is None else hashes
+    _, first, name = np.unique(hashes, return_index=True, return_inverse=True)
     lens, twin = ends - starts, first[name]
     if np.array_equal(lens, lens[twin]) and np.array_equal(buf[spread(starts, lens)], buf[spread(starts[twin], lens)]):
         return name
