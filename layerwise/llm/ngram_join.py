@@ -3,11 +3,15 @@
 Jaccard distance (1 - |A & B| / |A | B|) is a metric.  Most documents share nothing with a given document and lie at distance 1
 from it, where a pivot separates nothing, so the levels of pivots differ:
 
-1. Pivots of one shingle.  Only documents that hold the shingle are nearer than 1.  A document goes to the regions of its
-   first shingles, rare ones first: as many as a linked document may lack, and one more.  Of two linked
-   documents' common shingles the first is among them for both, so each link lies in some region.  (Rarity comes from
-   counts in ``BUCKETS`` hash buckets; any order is exact, rare ones first keep regions small.)
-2. One document of each region is its pivot.  All distances to it are computed on full sets; documents within the
+1. Pivots of two shingles.  All shingles have one order, rare ones first; two shingles that follow each other in a document's order
+   are a pivot, and all documents in whose order they follow each other are its region.  Documents that are not
+   alike hardly share such pivots, though they share shingles.  A document goes to the regions of its first L - 1
+   pivots, L = 2 (1 - t) n + 2 for n shingles and similarity t, and each link lies in some region: the two documents' common shingles
+   are parted, in one order or the other, only by shingles that one of them lacks; as long as all pairs of
+   neighbours among the common ones are parted, the i-th common shingle stands at place i + u or before, u being what the
+   other one lacks, and the first pair that is not parted ends at place 2 u + v + 2 or before (v: what this one lacks), which is
+   L at most.  (Rarity comes from counts in ``BUCKETS`` hash buckets; any order is exact, rare ones first keep regions small.)
+2. One document of each region is its pivot.  Distances to it are computed on full sets; documents within the
    radius are linked, and what a group of near copies mostly is becomes one component here, in linear work.
 3. A region that still holds several components is left with its outsiders and those of its largest component whose
    distance to the pivot differs from an outsider's by at most the radius (triangle inequality).  Copies of the
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 
 from layerwise.llm.common import components, id_text, materialise, prepare
 from layerwise.llm.near_dup import _binary16, _fingerprints, _Forest, _list_array, _shared_counts, shingle_table
-from layerwise.llm.textnp import chunks, shingle_sets, text_buffer
+from layerwise.llm.textnp import chunks, mix64, shingle_sets, text_buffer
 
 U64 = np.uint64
 BUCKETS = 1 << 18
@@ -43,7 +47,7 @@ STUCK = 0.8         # a cell with more of its region than this is cut into block
 SLACK = 1e-9
 
 
-# ------------------------------------------------------------------ level 1: single shingles
+# ------------------------------------------------------------------ level 1: pairs of shingles
 
 def _bucket_of(h: np.ndarray) -> np.ndarray:
     return (h >> U64(46)).astype(np.int64)
@@ -73,15 +77,17 @@ def rarity_levels(spark: SparkSession, docs: DataFrame, k: int):
     return spark.sparkContext.broadcast(level)
 
 
-def first_shingles(h: np.ndarray, so: np.ndarray, level: np.ndarray, num: int, den: int):
-    """(keys, offsets): each text's rarest shingles, one more than a linked text may lack."""
+def region_keys(h: np.ndarray, so: np.ndarray, level: np.ndarray, num: int, den: int):
+    """(keys, offsets): each text's first pivots, pairs of neighbours in the order of its shingles."""
     n = np.diff(so)
     text = np.repeat(np.arange(len(n)), n)
     key = (level[_bucket_of(h)].astype(U64) << U64(55)) | (h & U64((1 << 55) - 1))
-    order = np.lexsort((key, text))
+    key = key[np.lexsort((key, text))]
     place = np.arange(len(h)) - np.repeat(so[:-1], n)
-    keep = place < (n - -(-num * n // den) + 1)[text]
-    return key[order][keep], np.searchsorted(text[keep], np.arange(len(n) + 1))
+    last = np.minimum(2 * n * (den - num) // den + 2, n) - 1  # place of the last shingle that counts
+    head = np.flatnonzero(place < last[text])
+    keys = mix64(mix64(key[head]) + key[np.minimum(head + 1, len(key) - 1)])
+    return keys, np.searchsorted(text[head], np.arange(len(n) + 1))
 
 
 def _set_runner(k, num, den, level):
@@ -95,7 +101,7 @@ def _set_runner(k, num, den, level):
                 n = np.diff(so)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(n.astype(np.int64)), _binary16(_fingerprints(h, so), n > 0),
-                     _list_array(*first_shingles(h, so, level.value, num, den))], names=["doc_id", "n_shingles", "node", "keys"])
+                     _list_array(*region_keys(h, so, level.value, num, den))], names=["doc_id", "n_shingles", "node", "keys"])
     return run
 
 
@@ -190,11 +196,11 @@ def several_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def windowed(m: DataFrame, radius: float) -> DataFrame:
     """Of a region's largest component only what an outsider may link with: its distance to the pivot (``near``) differs from
-    an outsider's by at most the radius.  Outsiders' distances are kept in steps of the radius."""
-    step = F.floor(F.col("near") / (radius + 1e-6))  # distances that differ by the radius are in one step or in neighbours
+    an outsider's by at most the radius (or one of them is not known).  Outsiders' distances are kept in steps of the radius."""
+    step = F.coalesce(F.floor(F.col("near") / (radius + 1e-6)), F.lit(-9))  # distances that differ by the radius are in one step or in neighbours
     out = m.filter("not is_main").groupBy("region").agg(F.collect_set(step).alias("steps"))  # at most 1 / radius + 1 numbers
     kept = m.join(out, "region").withColumn("at", step)
-    window = F.arrays_overlap("steps", F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1))
+    window = F.arrays_overlap("steps", F.array(F.col("at") - 1, F.col("at"), F.col("at") + 1, F.lit(-9))) | (F.col("at") == -9)
     return kept.filter(~F.col("is_main") | window).drop("steps", "at")
 
 
@@ -254,23 +260,27 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100) -> Da
     level = rarity_levels(spark, docs, k)
     every = id_text(docs).mapInArrow(_set_runner(k, num, den, level), "doc_id long, n_shingles long, node binary, keys array<long>")
     every = materialise(spark, every, "nj-sets")
-    nodes = every.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    nodes = every.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     nodes = materialise(spark, nodes, "nj-nodes")
-    keyed = nodes.select("node", F.explode("keys").alias("region"))
-    shared = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("pivot")).filter("c > 1")
-    regions = materialise(spark, keyed.join(shared, "region").select("region", "node", "pivot", "c"), "nj-regions", small=True)
+    keyed = nodes.select("node", "n", F.explode("keys").alias("region"))
+    shared = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("p")).filter("c > 1") \
+        .select("region", "c", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot"))
+    regions = materialise(spark, keyed.join(shared, "region").select("region", "node", "n", "pivot", "n_pivot", "c"), "nj-regions", small=True)
 
     wanted = regions.select("node").distinct().join(nodes.select("node", "rep"), "node").select("rep").distinct()
     texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
     sets = materialise(spark, shingle_table(texts, k).filter("node is not null").dropDuplicates(["node"]), "nj-full")
 
-    pairs = regions.filter("node <> pivot").select("node", "pivot").distinct()
+    near = F.col("node") != F.col("pivot")
+    alike = den * F.least("n", "n_pivot") >= num * F.greatest("n", "n_pivot")
+    pairs = regions.filter(near & alike).select("node", "pivot").distinct()
     dist = materialise(spark, distances(pairs, sets), "nj-distances", small=True)
     links = dist.filter(den * F.col("both") >= num * F.col("union")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     labels = components(spark, links)
 
-    members = regions.join(dist, ["node", "pivot"], "left") \
-        .select("region", "node", F.coalesce(1 - F.col("both") / F.col("union"), F.lit(0.0)).alias("near"), (2 * F.col("c")).alias("parent"))
+    # the pivot has been compared with its whole region and is not needed any more
+    members = regions.filter(near & (F.col("c") > 2)).join(dist, ["node", "pivot"], "left") \
+        .select("region", "node", (1 - F.col("both") / F.col("union")).alias("near"), (2 * F.col("c")).alias("parent"))
     more = recursive_links(spark, members, sets, labels, num, den)
     merged = components(spark, more).select(F.col("node").alias("label"), F.col("label").alias("top"))
     final = regions.select("node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) \

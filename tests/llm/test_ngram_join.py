@@ -66,17 +66,23 @@ def test_links_in_memory():
         assert [forest.find(i) for i in range(260)] == [want.find(i) for i in range(260)]
 
 
-def test_first_shingles_of_linked_sets_meet():
+def test_pivots_of_linked_sets_meet():
     rnd = np.random.default_rng(1)
     level = rnd.integers(0, 9, J.BUCKETS).astype(np.uint8)
-    for _ in range(300):
-        n = int(rnd.integers(1, 60))
+    linked = 0
+    for _ in range(3000):
+        n = int(rnd.integers(1, 80))
         a = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[rnd.random(len(a)) > .08], rnd.integers(0, 1 << 63, int(rnd.integers(0, 4))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
+        if len(a) != both or len(b) != both:
+            linked += 100 * both >= 85 * (len(a) + len(b) - both)
+        else:
+            continue  # equal sets are one node
         if len(b) and 100 * both >= 85 * (len(a) + len(b) - both):
-            keys, off = J.first_shingles(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), level, 85, 100)
+            keys, off = J.region_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), level, 85, 100)
             assert len(np.intersect1d(keys[:off[1]], keys[off[1]:]))
+    assert linked > 300
 
 
 def test_empty_table(spark):
