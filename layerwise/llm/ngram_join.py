@@ -11,8 +11,8 @@ from it, where a pivot separates nothing, so the levels of pivots differ:
    neighbours among the common ones are parted, the i-th common shingle stands at place i + u or before, u being what the
    other one lacks, and the first pair that is not parted ends at place 2 u + v + 2 or before (v: what this one lacks), which is
    L at most.  (Rarity comes from counts in ``BUCKETS`` hash buckets; any order is exact, rare ones first keep regions small.)
-2. One document of each region is its pivot.  Distances to it are computed on full sets; documents within the
-   radius are linked, and what a group of near copies mostly is becomes one component here, in linear work.
+2. One document of each region is its pivot, and regions of one pivot are one.  Distances to it are computed on full sets;
+   documents within the radius are linked, and what a group of near copies mostly is becomes one component here, in linear work.
 3. A region that still holds several components is left with its outsiders and those of its largest component whose
    distance to the pivot differs from an outsider's by at most the radius (triangle inequality).  Copies of the
    same component need no comparison, they are linked already.
@@ -45,6 +45,7 @@ PIVOTS = 16         # pivots that cut a larger region
 LEAF = 96           # documents compared pair by pair in memory
 STUCK = 0.8         # a cell with more of its region than this is cut into blocks
 SLACK = 1e-9
+KEY_BITS = 1 << 26  # bits of the filter of pivots that several documents have
 
 
 # ------------------------------------------------------------------ level 1: pairs of shingles
@@ -105,6 +106,35 @@ def _set_runner(k, num, den, level):
     return run
 
 
+def _shared_runner(bits):
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            off = lists.offsets.to_numpy()
+            keys = lists.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]]
+            bit = keys.view(U64) & U64(KEY_BITS - 1)
+            at = np.flatnonzero((bits.value[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63))) & U64(1))
+            row = pa.array(np.searchsorted(off - off[0], at, side="right") - 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(keys[at])], names=["node", "n", "region"])
+    return run
+
+
+def shared_pivots(spark: SparkSession, nodes: DataFrame) -> DataFrame:
+    """(node, n, region, pivot, n_pivot, c) for the pairs of shingles that several nodes have: c nodes, the smallest is the pivot.
+    A filter of fixed size drops most others before their rows are exchanged."""
+    bit = F.col("region").bitwiseAND(F.lit(KEY_BITS - 1))
+    rows = nodes.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count(F.lit(1)).alias("c")).filter("c > 1") \
+        .select(F.shiftright(bit, 6).alias("at"), F.expr("shiftleft(1L, cast(region & 63 as int))").alias("word")).groupBy("at").agg(F.bit_or("word").alias("word"))
+    found = materialise(spark, rows, "nj-filter", small=True).toArrow()  # at most KEY_BITS / 64 rows
+    held = np.zeros(KEY_BITS // 64, dtype=U64)
+    held[found["at"].to_numpy()] = found["word"].to_numpy().view(U64)
+    keyed = nodes.select("node", "n", "keys").mapInArrow(_shared_runner(spark.sparkContext.broadcast(held)), "node binary, n long, region long")
+    keyed = materialise(spark, keyed, "nj-keyed", small=True)
+    shared = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("p")).filter("c > 1") \
+        .select("region", "c", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot"))
+    return materialise(spark, keyed.join(shared, "region"), "nj-regions", small=True)
+
+
 # ------------------------------------------------------------------ distances
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -215,7 +245,7 @@ def split_regions(spark, large: DataFrame, sets: DataFrame, radius: float) -> Da
     known = pairs.join(dist, ["node", "pivot"])
     home = known.groupBy("region", "node").agg(F.min("d").alias("home"))
     cells = known.join(home, ["region", "node"]).filter(F.col("d") <= F.col("home") + 2 * radius + SLACK)
-    return materialise(spark, cells.select(F.xxhash64("region", "pivot").alias("region"), "node", F.col("d").alias("near"),
+    return materialise(spark, cells.select(F.concat("region", "pivot").alias("region"), "node", F.col("d").alias("near"),
                                            (F.col("n_rest") + F.col("n_main")).alias("parent")), "nj-cells", small=True)
 
 
@@ -235,7 +265,7 @@ def recursive_links(spark, members: DataFrame, sets: DataFrame, labels: DataFram
     radius, found = 1 - num / den, []
     while True:
         m = materialise(spark, windowed(several_labels(members, labels), radius), "nj-open", small=True)
-        stuck = F.col("n_rest") + F.col("n_main") > STUCK * F.col("parent")
+        stuck = F.coalesce(F.col("n_rest") + F.col("n_main") > STUCK * F.col("parent"), F.lit(False))
         now = m.filter((F.col("n_rest") <= REGION) | stuck)
         u = units(now).join(sets, "node").select("region", "i", "j", "side", "label", "shingles")
         u = u.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_region_runner(num, den), "a binary, b binary")
@@ -262,10 +292,7 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100) -> Da
     every = materialise(spark, every, "nj-sets")
     nodes = every.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     nodes = materialise(spark, nodes, "nj-nodes")
-    keyed = nodes.select("node", "n", F.explode("keys").alias("region"))
-    shared = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("p")).filter("c > 1") \
-        .select("region", "c", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot"))
-    regions = materialise(spark, keyed.join(shared, "region").select("region", "node", "n", "pivot", "n_pivot", "c"), "nj-regions", small=True)
+    regions = shared_pivots(spark, nodes)
 
     wanted = regions.select("node").distinct().join(nodes.select("node", "rep"), "node").select("rep").distinct()
     texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
@@ -279,8 +306,8 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100) -> Da
     labels = components(spark, links)
 
     # the pivot has been compared with its whole region and is not needed any more
-    members = regions.filter(near & (F.col("c") > 2)).join(dist, ["node", "pivot"], "left") \
-        .select("region", "node", (1 - F.col("both") / F.col("union")).alias("near"), (2 * F.col("c")).alias("parent"))
+    members = regions.filter(near & (F.col("c") > 2)).select("pivot", "node").distinct().join(dist, ["node", "pivot"], "left") \
+        .select(F.col("pivot").alias("region"), "node", (1 - F.col("both") / F.col("union")).alias("near"), F.lit(None).cast("long").alias("parent"))
     more = recursive_links(spark, members, sets, labels, num, den)
     merged = components(spark, more).select(F.col("node").alias("label"), F.col("label").alias("top"))
     final = regions.select("node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) \
