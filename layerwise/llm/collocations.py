@@ -1,7 +1,7 @@
 """Collocations of two to four words, counted in HAT-tries of word ids.
 
-Every part of a frequent phrase is frequent, so counts by hash go first: of all words, then of all pairs, of all triples and
-of all quadruples of frequent words.  The hashes found frequent enter Bloom filters of fixed size (``bloom_bits``).  Then
+Every part of a frequent phrase is frequent, so counts by hash go first: of all words, then of all pairs, and of all triples
+and quadruples of frequent words.  The hashes found frequent enter Bloom filters of fixed size (``bloom_bits``).  Then
 the words and phrases that pass the filters are counted exactly.  A hash collision or a full filter lets more phrases
 through, which costs time and changes no count.
 
@@ -249,22 +249,22 @@ def phrase_starts(g, h, joined, allowed, most: int):
 
 
 class HashCounter:
-    """Counts by hash of all words, or of the phrases of m words that pass ``known``."""
+    """Counts by hash of all words (size 1), or of the phrases of the given sizes whose words pass ``known``."""
 
-    def __init__(self, m: int, known: np.ndarray | None):
-        self.m, self.known, self.trie = m, known, Node(0, 16)  # hashes are spread evenly
+    def __init__(self, sizes: tuple[int, ...], known: np.ndarray | None):
+        self.sizes, self.known, self.trie = sizes, known, Node(0, 16)  # hashes are spread evenly
 
     def add(self, lang: list, buf: np.ndarray, off: np.ndarray):
         """Count the texts of a chunk; yields the runs that had to be spilled."""
         _, _, _, _, h, hl, joined = cut_words(lang, buf, off)
-        key = extended(hl, h)
-        if self.m > 1:
-            for _, _, key in phrase_starts(key, h, joined, passes(self.known, key), self.m):
-                pass
-        for a in range(0, len(key), BLOCK):
-            part, n = np.unique(bloom_key(key[a:a + BLOCK]), return_counts=True)
-            self.trie.add(part, np.zeros(len(part), U64), n)
-            yield from self.spill(HELD)
+        g = extended(hl, h)
+        keys = [g] if self.known is None else [
+            key for m, _, key in phrase_starts(g, h, joined, passes(self.known, g), self.sizes[-1]) if m in self.sizes]
+        for key in keys:
+            for a in range(0, len(key), BLOCK):
+                part, n = np.unique(bloom_key(key[a:a + BLOCK]), return_counts=True)
+                self.trie.add(part, np.zeros(len(part), U64), n)
+                yield from self.spill(HELD)
 
     def spill(self, above):
         if self.trie.size > above:
@@ -399,9 +399,9 @@ def _runner(make, *filters):
 
 # ------------------------------------------------------------------ levels
 
-def frequent_filter(spark: SparkSession, texts: DataFrame, m: int, min_count: int, bits: int, known=None) -> np.ndarray:
-    """A bit set with the hashes of the words (of the phrases of m words in ``known``) counted ``min_count`` times or more."""
-    counter = _runner(lambda *k: HashCounter(m, *(k or (None,))), *([known] if known else []))
+def frequent_filter(spark: SparkSession, texts: DataFrame, sizes: tuple[int, ...], min_count: int, bits: int, known=None) -> np.ndarray:
+    """A bit set with the hashes of the words (of the phrases of these sizes of words in ``known``) counted ``min_count`` times or more."""
+    counter = _runner(lambda *k: HashCounter(sizes, *(k or (None,))), *([known] if known else []))
     hashed = texts.mapInArrow(counter, "key long, n long")
     often = hashed.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
     bit = F.col("key").bitwiseAND(F.lit(bits - 1))
@@ -418,10 +418,10 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, bloom_bits: int = BLO
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    known = spark.sparkContext.broadcast(frequent_filter(spark, texts, 1, min_count, bloom_bits))
+    known = spark.sparkContext.broadcast(frequent_filter(spark, texts, (1,), min_count, bloom_bits))
     phrases = np.zeros(bloom_bits // 64, dtype=U64)
-    for m in (2, 3, 4):
-        phrases |= frequent_filter(spark, texts, m, min_count, bloom_bits, known)
+    for sizes in ((2,), (3, 4)):
+        phrases |= frequent_filter(spark, texts, sizes, min_count, bloom_bits, known)
     runs = few_files(texts, TASKS_PER_CORE).mapInArrow(_runner(Counter, known, spark.sparkContext.broadcast(phrases)), "lang string, prefix int, phrase string, n long")
     merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
     merged = merged.filter((F.col("n") >= min_count) | (F.col("phrase") == ""))
