@@ -5,7 +5,7 @@ product over its units (runs from one blank to the next) of the sum over *all* s
 pieces, computed by the forward algorithm for all distinct units and languages of a batch at once.  The
 prediction is the language of the largest likelihood; its score is the posterior under equal priors.
 
-Fit: expectation-maximisation.  Unit counts of a bounded sample of labelled rows (about ``per_lang`` rows a
+Fit: expectation-maximisation.  Unit counts of a bounded sample of labelled rows (about ``per_lang`` distinct rows a
 language, whole texts) are counted in Spark; each round the tasks run forward and backward passes and only
 expected piece counts (languages x vocabulary) come back.  Scoring reads every whole text and needs no
 shuffle.
@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwise.llm.common import id_text, materialise, prepare
-from layerwise.llm.pieces import (BLANK, DISTINCT_CHUNK, Edges, UnitCache, Vocabulary, distinct_units, joined_units,
-                                  split_units)
+from layerwise.llm.pieces import (BLANK, DISTINCT_CHUNK, NEW_BYTES, Edges, UnitCache, Vocabulary, blocks, distinct_units,
+                                  joined_units, split_units)
 from layerwise.llm.textnp import chunks, prefix_hash, range_hash, text_buffer
 
 UNIT_BYTES = 48
@@ -171,7 +171,7 @@ def _expect_runner(shared, langs: list[str]):
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", per_lang: int = PER_LANG, rounds: int = ROUNDS, model: str | None = None):
-    """(languages, probabilities) from labelled(key, text, lang); rows are sampled by a hash of ``key``."""
+    """(languages, probabilities) from labelled(key, text, lang); distinct rows are sampled by a hash of ``key`` and text."""
     spark = labelled.sparkSession
     prepare(spark)
     vocab = Vocabulary(model)
@@ -181,7 +181,8 @@ def fit(labelled: DataFrame, key: str = "doc_id", per_lang: int = PER_LANG, roun
     if not langs:
         return [], np.zeros((len(vocab.ids) + 1, 0))
     share = F.create_map(*[x for g in langs for x in (F.lit(g), F.lit(max(size[g], per_lang)).cast("long"))])[F.col("lang")]
-    sample = rows.filter(F.pmod(F.xxhash64("k"), share) < per_lang)
+    # by a hash of key and text: rows without a key, or with the same one, are sampled one by one; equal rows count once
+    sample = rows.filter(F.pmod(F.xxhash64("k", "text"), share) < per_lang).dropDuplicates(["k", "text", "lang"])
     units = sample.select("text", "lang").mapInArrow(_count_runner(), "lang string, unit binary, n long").groupBy("lang", "unit").agg(F.sum("n").alias("n"))
     units = materialise(spark, units, "lang-units")
     prob = with_unknown(np.full((len(vocab.ids), len(langs)), 1.0 / len(vocab.ids)))
@@ -198,9 +199,6 @@ def fit(labelled: DataFrame, key: str = "doc_id", per_lang: int = PER_LANG, roun
 
 # ------------------------------------------------------------------ predict
 
-_CACHES: dict = {}
-
-
 def text_loglik(vocab, prob, buf, off, cache: UnitCache) -> np.ndarray:
     """(texts, languages) log likelihoods of the texts in a chunk."""
     k = prob.shape[1]
@@ -211,11 +209,12 @@ def text_loglik(vocab, prob, buf, off, cache: UnitCache) -> np.ndarray:
     first, inverse = distinct_units(buf, starts, ends)
     us, ue = starts[first], ends[first]
     h = range_hash(prefix_hash(buf), us, ue)
-    if len(cache.hash) + len(h) > cache.LIMIT:
+    if cache.n_bytes > cache.LIMIT:
         cache.clear()
     row = cache.find(h, buf, us, ue)
-    new = np.flatnonzero(row < 0)
-    if len(new):
+    unknown = np.flatnonzero(row < 0)
+    for a, b in blocks((ue - us)[unknown], NEW_BYTES):
+        new = unknown[a:b]
         joined, at = joined_units(buf, us[new], ue[new])
         value = unit_loglik(vocab, prob, joined, at, at + ue[new] - us[new])
         row[new] = cache.add(h[new], buf, us[new], ue[new], value.ravel(), np.arange(len(new) + 1) * k)
@@ -228,17 +227,17 @@ def text_loglik(vocab, prob, buf, off, cache: UnitCache) -> np.ndarray:
 
 def _predict_runner(shared):
     def run(batches):
-        vocab, langs, prob, tag = shared.value
-        cache = _CACHES.setdefault(tag, UnitCache(np.float64)) if langs else None
+        vocab, langs, prob = shared.value
+        cache = UnitCache(np.float64)
         names = np.array([*langs, "und"], dtype=object)
         for batch in batches:
             ids, text = batch.column(0), batch.column(1)
             lettered = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
             best, score = np.full(len(ids), len(langs)), np.zeros(len(ids))
             if langs:
-                buf, off = text_buffer(normalised(text))
-                for a, b in chunks(off, DISTINCT_CHUNK):
-                    ll = text_loglik(vocab, prob, buf[off[a]:off[b]], off[a:b + 1] - off[a], cache)
+                _, size = text_buffer(text)
+                for a, b in chunks(size, DISTINCT_CHUNK):
+                    ll = text_loglik(vocab, prob, *text_buffer(normalised(text.slice(a, b - a))), cache)
                     top = ll.argmax(axis=1)
                     share = 1.0 / np.exp(ll - ll.max(axis=1, keepdims=True)).sum(axis=1)
                     best[a:b] = np.where(lettered[a:b], top, len(langs))
@@ -249,8 +248,7 @@ def _predict_runner(shared):
 
 def predict(docs: DataFrame, fitted, model: str | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row; reads nothing but ``text``."""
-    import uuid
     prepare(docs.sparkSession)
     langs, prob = fitted
-    shared = docs.sparkSession.sparkContext.broadcast((Vocabulary(model), langs, prob, uuid.uuid4().hex))
+    shared = docs.sparkSession.sparkContext.broadcast((Vocabulary(model), langs, prob))
     return id_text(docs).mapInArrow(_predict_runner(shared), "doc_id long, lang_pred string, score double")

@@ -34,7 +34,8 @@ BLANK = "▁"
 NO_RANK = np.iinfo(np.int64).max
 MATRIX_CHARS = 40
 DEPTH = 16          # bytes compared as words; longer pieces compare the rest one by one
-DISTINCT_CHUNK = 3 * CHUNK_BYTES
+DISTINCT_CHUNK = CHUNK_BYTES
+NEW_BYTES = 1 << 17         # unknown units indexed at once: each byte has several edges of five words
 
 
 def default_model() -> str:
@@ -245,14 +246,18 @@ def with_blank(col: pa.Array) -> pa.Array:
 
 
 class UnitCache:
-    """Units already worked out in this worker: bytes and ids (or other values) by hash, emptied at ``LIMIT`` units."""
+    """Units already worked out in this partition: bytes and ids (or other values) by hash, emptied at ``LIMIT`` bytes."""
 
-    LIMIT = 400_000
+    LIMIT = 16 << 20
 
     def __init__(self, dtype=np.int32):
         self.dtype = dtype
         self.clear()
 
+    @property
+    def n_bytes(self) -> int:
+        return sum(x.nbytes for x in (self.hash, self.row, self.text, self.text_off, self.ids, self.ids_off))
+
     def clear(self):
         self.hash = np.zeros(0, dtype=U64)
         self.row = np.zeros(0, dtype=np.int64)
@@ -288,7 +293,9 @@ class UnitCache:
         return rows
 
 
-_CACHES: dict[str, UnitCache] = {}
+def blocks(lens: np.ndarray, limit: int):
+    """Ranges of at most ``limit`` bytes (one unit at least)."""
+    return chunks(np.concatenate([[0], np.cumsum(lens)]), limit)
 
 
 def encode_chunk(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray, cache: UnitCache | None = None):
@@ -301,11 +308,12 @@ def encode_chunk(vocab: Vocabulary, buf: np.ndarray, off: np.ndarray, cache: Uni
     first, inverse = distinct_units(buf, starts, ends)
     us, ue = starts[first], ends[first]
     h = range_hash(prefix_hash(buf), us, ue)
-    if len(cache.hash) + len(h) > cache.LIMIT:
+    if cache.n_bytes > cache.LIMIT:
         cache.clear()
     row = cache.find(h, buf, us, ue)
-    new = np.flatnonzero(row < 0)
-    if len(new):
+    unknown = np.flatnonzero(row < 0)
+    for a, b in blocks((ue - us)[unknown], NEW_BYTES):
+        new = unknown[a:b]
         joined, at = joined_units(buf, us[new], ue[new])
         row[new] = cache.add(h[new], buf, us[new], ue[new], *encode_units(vocab, joined, at, at + ue[new] - us[new]))
     row = row[inverse]
@@ -342,21 +350,18 @@ def _encode_runner(shared):
     def run(batches):
         vocab = shared.value
         table = piece_bytes(vocab)
-        cache = _CACHES.setdefault(vocab.digest, UnitCache())  # lives as long as the worker
+        cache = UnitCache()
         for batch in batches:
-            ids, text = batch.column(0), batch.column(1)
-            plain = pc.replace_substring(pc.fill_null(text, ""), BLANK, " ")
-            want, want_off = text_buffer(plain)
-            buf, off = text_buffer(with_blank(text))
-            for a, b in chunks(off, DISTINCT_CHUNK):
-                tok, to = encode_chunk(vocab, buf[off[a]:off[b]], off[a:b + 1] - off[a], cache)
-                back, bo = decode_ids(table, tok, to)
+            ids, every = batch.column(0), batch.column(1)
+            _, size = text_buffer(every)
+            for a, b in chunks(size, DISTINCT_CHUNK):
+                text = every.slice(a, b - a)
+                want = text_buffer(pc.replace_substring(pc.fill_null(text, ""), BLANK, " "))
+                tok, to = encode_chunk(vocab, *text_buffer(with_blank(text)), cache)
                 lists = pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(tok))
-                nulls = text.slice(a, b - a).is_null()
-                got = _string_array(back, bo)
-                ok = pc.equal(got, _string_array(want[want_off[a]:want_off[b]], want_off[a:b + 1] - want_off[a]))
+                ok = pc.equal(_string_array(*decode_ids(table, tok, to)), _string_array(*want))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pc.if_else(nulls, pa.scalar(None, lists.type), lists), ok], names=["doc_id", "ids", "round_trip"])
+                    [ids.slice(a, b - a), pc.if_else(text.is_null(), pa.scalar(None, lists.type), lists), ok], names=["doc_id", "ids", "round_trip"])
     return run
 
 

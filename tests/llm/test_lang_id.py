@@ -67,3 +67,13 @@ def test_long_runs_without_pieces(spark):
     got = {r.doc_id: r for r in lang_id.predict(frame(spark, texts), fitted).collect()}
     assert all(got[200 + i].lang_pred == "fr" and got[300 + i].lang_pred == "en" for i in range(len(runs)))
     assert all(0.5 < r.score <= 1 for r in got.values())
+
+
+def test_sample_stays_bounded_without_ids_and_with_repeated_rows(spark, monkeypatch):
+    seen = []
+    keep = lang_id.materialise
+    monkeypatch.setattr(lang_id, "materialise", lambda s, df, name, **k: seen.append(keep(s, df, name, **k)) or seen[-1])
+    rows = [(None, f"word{i} the", "en") for i in range(3000)] + [(7, f"mot{i} le", "fr") for i in range(3000)] + [(1, "same row", "de")] * 3000
+    lang_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=200, rounds=1)
+    n = {r.lang: r.n for r in seen[0].filter("unit in (' the', ' le', ' same')").select("lang", "n").collect()}
+    assert 120 < n["en"] < 280 and 120 < n["fr"] < 280 and n.get("de", 1) == 1
