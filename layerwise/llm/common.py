@@ -59,25 +59,39 @@ def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__kept_id"]), "left_semi")
 
 
+EDGE_BLOCK = 512     # edges of a node that one task joins with the node's label
+JUMP_SALTS = 16      # parts of the nodes that share a label
+
+
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (node, label), label the smallest node reachable.
 
     Each round every node takes the smallest label among its own and its neighbours', then the label
     of its label (pointer jumping), so long chains halve.  Every round is a written table; the stop
-    test is one changed-row check, no label reaches the driver."""
+    test is one changed-row check, no label reaches the driver.
+
+    No node's edges meet in one task: a hub's edges are dealt over blocks and its label is copied to each of them, and
+    the nodes that share a label are dealt over ``JUMP_SALTS`` copies of it; minima are taken in two steps by the aggregation."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    both = materialise(spark, both, "cc-pairs", small=True)
+    nodes = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.ceil(F.count(F.lit(1)) / EDGE_BLOCK).cast("int").alias("blocks")) \
+        .select("node", F.least("node", "m").alias("label"), "blocks")
+    labels = materialise(spark, nodes, "cc-labels", small=True)
+    # an edge learns the blocks of its hub from one of the hub's copies, and takes one of them
+    salts = F.explode(F.sequence(F.lit(0), F.lit(JUMP_SALTS - 1))).alias("salt")
+    hubs = labels.filter("blocks > 1").select(F.col("node").alias("b"), "blocks", salts)
+    both = both.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(JUMP_SALTS)).cast("int")).join(hubs, ["b", "salt"], "left")
+    both = both.select("a", "b", F.pmod(F.xxhash64("a", F.lit(1)), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"))
     both = materialise(spark, both, "cc-edges", small=True)
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")) \
-        .select("node", F.least("node", "m").alias("label"))
-    labels = materialise(spark, labels, "cc-labels", small=True)
     for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("node").alias("b"), "label"), "b") \
-            .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("hop"))
-        jump = labels.select(F.col("node").alias("hop"), F.col("label").alias("far"))
-        step = step.join(jump, "hop").select("node", "old", F.least("hop", "far").alias("label"))
+        dealt = labels.select(F.col("node").alias("b"), "label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        seen = both.join(dealt, ["b", "block"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        step = labels.join(seen, "node").select("node", "blocks", F.col("label").alias("old"), F.least("label", "near").alias("hop")) \
+            .withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(JUMP_SALTS)).cast("int"))
+        jump = labels.filter("node <> label").select(F.col("node").alias("hop"), F.col("label").alias("far"), salts)
+        step = step.join(jump, ["hop", "salt"], "left").select("node", "blocks", "old", F.least("hop", "far").alias("label"))
         step = materialise(spark, step, "cc-labels", small=True)
-        labels = step.select("node", "label")
+        labels = step.select("node", "label", "blocks")
         if step.filter("old <> label").isEmpty():
-            return labels
+            return labels.select("node", "label")
     raise RuntimeError("components did not settle")  # 2^60 long chains only

@@ -17,6 +17,15 @@ def test_components_of_chains_stars_and_pairs(spark):
     assert components(spark, spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_hub_edges_are_dealt_over_blocks(spark, monkeypatch):
+    from layerwise.llm import common
+    monkeypatch.setattr(common, "EDGE_BLOCK", 16)
+    star = [("m", f"s{i:03d}") for i in range(200)]
+    chain = [(f"s{i:03d}", f"t{i:03d}") for i in range(0, 200, 3)] + [("t003", "a")]
+    got = {r.node: r.label for r in components(spark, spark.createDataFrame(star + chain, "a string, b string")).collect()}
+    assert set(got.values()) == {"a"} and len(got) == 1 + 200 + 67 + 1
+
+
 def test_keep_rows_matches_nulls_and_leaves_columns(spark):
     docs = spark.createDataFrame([(1, "a", "x"), (None, "b", "y"), (2, "c", "z"), (1, "d", "x")], "doc_id long, text string, __kept string")
     out = keep_rows(docs, spark.createDataFrame([(1,), (None,), (1,)], "doc_id long"))
