@@ -20,7 +20,8 @@ from it, where a pivot separates nothing, so the levels of pivots differ:
    same component need no comparison, they are linked already.
 4. Above ``REGION`` outsiders, several of them become pivots and cut the region into Voronoi cells.  A document is copied into each cell
    whose pivot is at most two radii farther than its nearest: of a linked pair the one meets the other in its cell.
-   Cells are regions again.  A cell that keeps almost all of its region is cut into blocks, each pair of blocks one unit.
+   Cells are regions again.  A region that its pivots do not part (a cell would keep almost all of it) is cut into blocks instead, each
+   pair of blocks one unit.
 5. Regions up to ``REGION`` are joined exactly in one task, by the same cells in memory.
 
 Texts with equal sets (128-bit fingerprints) are one node throughout.  Distances come from 64-bit shingle hashes.
@@ -44,9 +45,10 @@ U64 = np.uint64
 BUCKETS = 1 << 18
 REGION = 512        # documents joined in one task
 ROUNDS = 2          # comparisons of each document with one pivot
-PIVOTS = 16         # pivots that cut a larger region
+CUTS = 4            # pivots that cut a larger region
+PIVOTS = 16         # pivots that cut a region in memory
 LEAF = 96           # documents compared pair by pair in memory
-STUCK = 0.8         # a cell with more of its region than this is cut into blocks
+STUCK = 0.8         # a region is cut into blocks where a cell would have more of it than this
 SLACK = 1e-9
 UNKNOWN = -9         # step of a distance that was not computed
 KEY_BITS = 1 << 26  # bits of the filter of pivots that several documents have
@@ -266,18 +268,22 @@ def windowed(m: DataFrame, radius: float) -> DataFrame:
 
 
 def split_regions(spark, large: DataFrame, sets: DataFrame, radius: float) -> DataFrame:
-    """Voronoi cells of regions with many outsiders: members(region, node, near), with ``parent`` and the parent's size."""
-    drawn = F.pmod(F.xxhash64("node", "region"), F.greatest(F.lit(1), F.floor(F.col("n_rest") / (4 * PIVOTS)))) == 0  # about 4 * PIVOTS
+    """members(region, node, near, stuck): Voronoi cells of regions with many outsiders, or the region itself where no cell is smaller."""
+    drawn = F.pmod(F.xxhash64("node", "region"), F.greatest(F.lit(1), F.floor(F.col("n_rest") / (16 * CUTS)))) == 0  # about 16 * CUTS
     pivots = large.filter("not is_main").groupBy("region").agg(F.min("node").alias("first"), F.collect_set(F.when(drawn, F.col("node"))).alias("drawn"))
-    pivots = pivots.select("region", F.array_union(F.array("first"), F.slice(F.array_sort("drawn"), 1, PIVOTS - 1)).alias("pivots"))
-    pairs = large.join(pivots, "region").select("region", "node", "n_rest", "n_main", F.explode("pivots").alias("pivot"))
+    pivots = pivots.select("region", F.array_union(F.array("first"), F.slice(F.array_sort("drawn"), 1, CUTS - 1)).alias("pivots"))
+    pairs = large.join(pivots, "region").select("region", "node", "near", F.explode("pivots").alias("pivot"))
     pairs = materialise(spark, pairs, "nj-pivots", small=True)
     dist = distances(pairs.select("node", "pivot").distinct(), sets).select("node", "pivot", (1 - F.col("both") / F.col("union")).alias("d"))
     known = pairs.join(dist, ["node", "pivot"])
     home = known.groupBy("region", "node").agg(F.min("d").alias("home"))
-    cells = known.join(home, ["region", "node"]).filter(F.col("d") <= F.col("home") + 2 * radius + SLACK)
-    return materialise(spark, cells.select(F.concat("region", "pivot").alias("region"), "node", F.col("d").alias("near"),
-                                           (F.col("n_rest") + F.col("n_main")).alias("parent")), "nj-cells", small=True)
+    cells = known.join(home, ["region", "node"]).filter(F.col("d") <= F.col("home") + 2 * radius + SLACK).select("region", "node", "pivot", "d", "near")
+    cells = materialise(spark, cells, "nj-cells", small=True)
+    size = cells.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("n")).groupBy("region").agg(F.max("n").alias("most"))
+    parted = size.join(home.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region").select("region", (F.col("most") > STUCK * F.col("n")).alias("stuck"))
+    parted = materialise(spark, parted, "nj-parted", small=True)
+    return cells.join(parted.filter("not stuck"), "region").select(F.concat("region", "pivot").alias("region"), "node", F.col("d").alias("near"), "stuck") \
+        .unionByName(large.select("region", "node", "near").join(parted.filter("stuck"), "region"))
 
 
 def units(m: DataFrame) -> DataFrame:
@@ -296,12 +302,11 @@ def recursive_links(spark, members: DataFrame, sets: DataFrame, labels: DataFram
     radius, found = 1 - num / den, []
     while True:
         m = materialise(spark, windowed(several_labels(members, labels), radius), "nj-open", small=True)
-        stuck = F.coalesce(F.col("n_rest") + F.col("n_main") > STUCK * F.col("parent"), F.lit(False))
-        now = m.filter((F.col("n_rest") <= REGION) | stuck)
+        now = m.filter((F.col("n_rest") <= REGION) | F.col("stuck"))
         u = units(now).join(sets, "node").select("region", "i", "j", "side", "label", "shingles")
         u = u.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_region_runner(num, den), "a binary, b binary")
         found.append(materialise(spark, u.distinct(), "nj-more", small=True))
-        large = m.filter((F.col("n_rest") > REGION) & ~stuck)
+        large = m.filter((F.col("n_rest") > REGION) & ~F.col("stuck"))
         if large.isEmpty():
             break
         members = split_regions(spark, large, sets, radius)
@@ -332,7 +337,7 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100) -> Da
     open_, labels, known = star_links(spark, regions, sets, num, den)
     # the pivot has been compared with all of its region and is not needed any more
     members = open_.filter("node <> pivot and c > 2").select("pivot", "node").distinct().join(known, ["node", "pivot"], "left").select(
-        F.col("pivot").alias("region"), "node", (1 - F.col("both") / F.col("union")).alias("near"), F.lit(None).cast("long").alias("parent"))
+        F.col("pivot").alias("region"), "node", (1 - F.col("both") / F.col("union")).alias("near"), F.lit(False).alias("stuck"))
     more = recursive_links(spark, members, sets, labels, num, den)
     merged = components(spark, more).select(F.col("node").alias("label"), F.col("label").alias("top"))
     final = regions.select("node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) \

@@ -33,7 +33,7 @@ def test_awkward_rows(spark, num):
 
 
 def test_large_regions_are_cut_into_cells_and_blocks(spark, monkeypatch):
-    for name, value in (("REGION", 6), ("PIVOTS", 3), ("LEAF", 4)):
+    for name, value in (("REGION", 6), ("CUTS", 3), ("PIVOTS", 3), ("LEAF", 4)):
         monkeypatch.setattr(J, name, value)
     calls = []
     split = J.split_regions
