@@ -43,7 +43,7 @@ def ship_releasable(spark, net: Net):
     limit = max_model_bytes(spark)
     if size > limit:
         raise ValueError(f"model has {size} bytes of parameters, above the broadcast bound {limit}; "
-                         "score dense layers with dense_join() instead")
+                         "score dense layers with dense_blocked() instead")
     if size <= CLOSURE_BYTES:
         return (lambda: net), (lambda: None)
     bc = spark.sparkContext.broadcast(net)
@@ -182,19 +182,53 @@ def predict(df: DataFrame, net: Net, features_col: str, keep: Sequence[str] = ()
     return out.withColumn(pred_col, argmax(prob_col))
 
 
-def dense_join(df: DataFrame, id_col: str, features_col: str, W: DataFrame, b: DataFrame,
-               out_col: str = "z") -> DataFrame:
-    """SCR-01 relational form for weight matrices above the broadcast bound.
+def dense_blocked(df: DataFrame, id_col: str, features_col: str, W: DataFrame, b: DataFrame, n_in: int, n_out: int,
+                  out_col: str = "z", inner: int = 512, cols: int = 512, row_blocks: int | None = None) -> DataFrame:
+    """SCR-01 as a blocked matrix product, for weight matrices of any size: no task and no broadcast holds more than tiles.
 
-    W(i, j, w) and b(j, b) are tables; features are exploded and joined on i
-    (shuffle join), then summed per (id, j).
+    W(i, j, w) and b(j, b) are tables. Weights are gathered to tiles (inner block, column block) of at most inner x cols
+    values, features to tiles (row block, inner block). Tiles carry the replicated block keys (row, inner,
+    column block) of the products they take part in, each product is one group, and the partial products of a row and column block are summed
+    in the order of the inner blocks. Exchanged are features x column blocks, weights x row blocks and
+    rows x outputs x inner blocks; ``row_blocks`` (default: Spark's shuffle partitions) bounds the rows of a group.
+
+    ``id_col`` is unique; a null feature array gives a null result; missing weights count as 0.
     """
-    x = df.select(id_col, F.posexplode(features_col).alias("i", "v"))
-    z = (x.join(W, "i").groupBy(id_col, "j").agg(F.sum(F.col("v") * F.col("w")).alias("s"))
-         .join(b, "j")
-         .select(id_col, "j", (F.col("s") + F.col("b")).alias("zj")))
-    return (z.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("j", "zj"))).alias("_s"))
-            .select(id_col, F.transform("_s", lambda s: s["zj"]).alias(out_col)))
+    spark = df.sparkSession
+    row_blocks = row_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kb, jb = -(-(n_in + 1) // inner), -(-n_out // cols)  # the bias is the weight of one more input, which is 1
+    x = df.filter(F.col(features_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.concat(F.transform(features_col, lambda v: v.cast("double")), F.array(F.lit(1.0))).alias("x"))
+    x = x.select("id", F.pmod(F.xxhash64("id"), F.lit(row_blocks)).cast("int").alias("rb"),
+                 F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(kb - 1)), lambda k: F.slice("x", k * inner + 1, inner))).alias("kb", "part"))
+    x = x.withColumn("jb", F.explode(F.sequence(F.lit(0), F.lit(jb - 1))))
+    cells = W.select(F.col("i").cast("long"), F.col("j").cast("long"), F.col("w").cast("double")) \
+        .unionByName(b.select(F.lit(n_in).cast("long").alias("i"), F.col("j").cast("long"), F.col("b").cast("double").alias("w")))
+    tiles = cells.groupBy(F.floor(F.col("i") / inner).cast("int").alias("kb"), F.floor(F.col("j") / cols).cast("int").alias("jb")).agg(
+        F.collect_list(((F.col("i") % inner) * cols + F.col("j") % cols).cast("int")).alias("at"), F.collect_list("w").alias("w"))
+    tiles = tiles.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
+
+    def product(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        tile = np.zeros(inner * cols)
+        for at, w in zip(right.column("at").combine_chunks(), right.column("w").combine_chunks()):
+            tile[at.values.to_numpy()] = w.values.to_numpy()
+        parts = left.column("part").combine_chunks()
+        width = len(parts.values[parts.offsets[0].as_py():parts.offsets[-1].as_py()]) // max(len(parts), 1)
+        m = to_matrix(parts, width) @ tile.reshape(inner, cols)[:width] if len(parts) else np.zeros((0, cols))
+        n = len(parts)
+        return pa.table({"id": left.column("id"), "jb": pa.array(np.full(n, key[2].as_py(), np.int32)),
+                         "kb": pa.array(np.full(n, key[1].as_py(), np.int32)), "z": to_list_array(m)})
+    id_type = df.schema[id_col].dataType.simpleString()
+    partial = x.groupBy("rb", "kb", "jb").cogroup(tiles.groupBy("rb", "kb", "jb")) \
+        .applyInArrow(product, f"id {id_type}, jb int, kb int, z array<double>")
+    add = lambda acc, p: F.zip_with(acc, p["z"], lambda u, v: u + v)
+    zero = F.array_repeat(F.lit(0.0), cols)
+    summed = partial.groupBy("id", "jb").agg(F.sort_array(F.collect_list(F.struct("kb", "z"))).alias("p")) \
+        .select("id", "jb", F.aggregate("p", zero, add).alias("z"))
+    whole = summed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("jb", "z"))).alias("p")) \
+        .select(F.col("id").alias(id_col), F.slice(F.flatten(F.transform("p", lambda s: s["z"])), 1, n_out).alias(out_col))
+    none = df.filter(F.col(features_col).isNull()).select(id_col, F.lit(None).cast("array<double>").alias(out_col))
+    return whole.unionByName(none)
 
 
 # ---------------------------------------------------------------- native activations (SCR-02)
@@ -219,26 +253,36 @@ def act_expr(col: Column | str, kind: str, slope: float = 0.01) -> Column:
     raise ValueError(kind)
 
 
-def batchnorm_fit(df: DataFrame, px_col: str, c: int, h: int, w: int) -> tuple[list[float], list[float]]:
-    """SCR-06 fit: per-channel mean and population variance over rows and pixels.
+def _row_moments(arr: Column, c: int, hw: int) -> Column:
+    """An array of (mean, squared deviations from it) of each channel of one row."""
+    def state(ch):
+        mean = F.aggregate(ch, F.lit(0.0), lambda acc, x: acc + x) / F.lit(float(hw))
+        return let(mean, lambda m: F.struct(m.alias("m"), F.aggregate(ch, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m)).alias("q")))
+    return F.transform(F.sequence(F.lit(0), F.lit(c - 1)), lambda k: let(F.slice(arr, k * hw + 1, hw), state))
+
 
-    Two global aggregate passes straight from the arrays (per-row channel sums, then
-    squared deviations from the mean): no explode, partial aggregation in every task,
-    and a result of 2 x c numbers.
+def channel_moments(df: DataFrame, columns: Sequence[tuple[str, int, int]]) -> list[tuple[list[float], list[float]]]:
+    """Per-channel mean and population variance over rows and pixels of several array columns in one pass.
+
+    columns: (array column, channels, pixels per channel). Each row gives a channel's mean and squared deviations
+    from it; the states (count, mean, M2) of rows and tasks are merged by Spark's central-moment aggregates, so no
+    second pass is needed and large offsets cancel nothing. The result is 2 numbers a channel.
     """
-    hw = h * w
-    arr = F.col(px_col)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    rows = df
+    for t, (col, c, hw) in enumerate(columns):
+        rows = rows.withColumn(f"_moments{t}", _row_moments(F.col(col), c, hw))
+        for k in range(c):
+            at = F.col(f"_moments{t}")[k]
+            aggs += [F.avg(at["m"]).alias(f"m{t}_{k}"), F.var_pop(at["m"]).alias(f"v{t}_{k}"), F.sum(at["q"]).alias(f"q{t}_{k}")]
+    row = rows.select([f"_moments{t}" for t in range(len(columns))]).agg(*aggs).first()
+    return [([row[f"m{t}_{k}"] for k in range(c)],
+             [row[f"q{t}_{k}"] / (row["n"] * hw) + row[f"v{t}_{k}"] for k in range(c)]) for t, (_, c, hw) in enumerate(columns)]
 
-    def chan(k, fn):
-        return F.aggregate(F.slice(arr, k * hw + 1, hw), F.lit(0.0), lambda acc, x: acc + fn(x))
 
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(chan(k, lambda x: x)).alias(f"s{k}") for k in range(c)]).first()
-    n = row["n"] * hw
-    mean = [row[f"s{k}"] / n for k in range(c)]
-    row2 = df.agg(*[F.sum(chan(k, lambda x, m=mean[k]: (x - F.lit(m)) * (x - F.lit(m)))).alias(f"q{k}")
-                    for k in range(c)]).first()
-    var = [row2[f"q{k}"] / n for k in range(c)]
-    return mean, var
+def batchnorm_fit(df: DataFrame, px_col: str, c: int, h: int, w: int) -> tuple[list[float], list[float]]:
+    """SCR-06 fit: per-channel mean and population variance over rows and pixels, in one pass."""
+    return channel_moments(df, [(px_col, c, h * w)])[0]
 
 
 def batchnorm_apply(px: Column | str, hw: int, mean, var, gamma=None, beta=None, eps: float = 1e-5) -> Column:
@@ -274,25 +318,33 @@ def merge_inputs(left: DataFrame, right: DataFrame, id_col: str, a: str, b: str,
 def fit_batchnorm_layers(df: DataFrame, net: Net, inputs: dict | str) -> Net:
     """SCR-06 feeding SCR-13: fit every batch-norm vertex's mean and variance from data.
 
-    Vertices are visited in order; for each one the net is scored up to its input (with the
-    statistics fitted so far) and one pair of global aggregates gives the per-channel moments.
+    A level holds the batch norms with no unfitted one before them; all of a level are fitted by one job, which
+    scores the net up to their inputs (with the statistics fitted so far) and merges their moments.
     Returns a copy of the net with the fitted statistics.
     """
     out = net.copy()
     if isinstance(inputs, str):
         inputs = {next(iter(net.inputs)): inputs}
+    level = {name: 0 for name in net.inputs}
+    norms: dict[int, list] = {}
     for v in net.vertices:
-        if v.layer is None or v.layer.kind != "batchnorm":
-            continue
-        src = v.inputs[0]
-        shape = out.shapes[src]
-        c, h, w = (shape + (1, 1))[:3] if len(shape) < 3 else shape
-        if src in out.inputs:
-            col, scored = inputs[src], df
-        else:
-            col = "_bn_in"
-            scored = score(df, out, inputs, outputs={src: col})
-        mean, var = batchnorm_fit(scored, col, c, h, w)
-        out.params[(v.name, "mean")] = np.asarray(mean, dtype=float)
-        out.params[(v.name, "var")] = np.asarray(var, dtype=float)
+        level[v.name] = max(level[i] for i in v.inputs)
+        if v.layer is not None and v.layer.kind == "batchnorm":
+            norms.setdefault(level[v.name], []).append(v)
+            level[v.name] += 1
+    for _, vertices in sorted(norms.items()):
+        sources = list(dict.fromkeys(v.inputs[0] for v in vertices))
+        inner = {src: f"_bn_{i}" for i, src in enumerate(sources) if src not in out.inputs}
+        given = {src: inputs[src] for src in sources if src in out.inputs}
+        scored = score(df, out, inputs, keep=list(given.values()), outputs=inner) if inner else df
+        columns = {}
+        for src in sources:
+            shape = out.shapes[src]
+            c, h, w = (shape + (1, 1))[:3] if len(shape) < 3 else shape
+            columns[src] = ({**inner, **given}[src], c, h * w)
+        moments = dict(zip(columns, channel_moments(scored, list(columns.values()))))
+        for v in vertices:
+            mean, var = moments[v.inputs[0]]
+            out.params[(v.name, "mean")] = np.asarray(mean, dtype=float)
+            out.params[(v.name, "var")] = np.asarray(var, dtype=float)
     return out

@@ -551,7 +551,7 @@ def init_table(spark, n_in: int, n_out: int, seed: int, layer: int = 0, scheme:
 
     Two md5 uniforms per cell, coin(seed|layer|cell|0) and coin(seed|layer|cell|1), feed
     Box-Muller; Xavier scales by sqrt(2 / (n_in + n_out)). For matrices too large to build
-    on the driver; the result pairs with ``scoring.dense_join``.
+    on the driver; the result pairs with ``scoring.dense_blocked``.
     """
     from ..functions.hashing import hash01
     sd = math.sqrt(2.0 / (n_in + n_out)) if scheme == "xavier" else std

@@ -39,6 +39,17 @@ def scr01(spark, sf_dir):
     return _explode(S.score(v, net, "features", keep=["id"]), ["id"], "out")
 
 
+@register("scr01_dense_blocked", f"""
+WITH v AS ({V64}), e AS ({explode('v', 'x')})
+SELECT id, j::BIGINT AS i, z AS value FROM ({dense_sql('e', 0, 50)})""")
+def scr01_blocked(spark, sf_dir):
+    """64 x 50 weights from tables in tiles of 24 x 16, borders included."""
+    v = fx.vectors64(spark, sf_dir)
+    W = spark.range(64 * 50).selectExpr("id div 50 AS i", "id % 50 AS j").selectExpr("i", "j", "(((i * 7 + j * 13) % 17) - 8) / 64D AS w")
+    b = spark.range(50).selectExpr("id AS j", "((id * 5) % 9 - 4) / 64D AS b")
+    return _explode(S.dense_blocked(v, "id", "features", W, b, 64, 50, out_col="out", inner=24, cols=16, row_blocks=8), ["id"], "out")
+
+
 ACTS = ["relu", "leakyrelu", "sigmoid", "tanh"]
 
 

@@ -212,17 +212,38 @@ def test_fit_averaging_shared_storage_path_equals_co_located(spark):
     assert np.allclose(a.flat(), b.flat(), atol=1e-12)
 
 
-def test_dense_join_equals_mapinarrow_scoring(spark):
-    from layerwise.operators.scoring import dense_join, score
+def test_blocked_product_equals_mapinarrow_scoring(spark):
+    from layerwise.operators.scoring import dense_blocked, score
     v = fx.vectors64(spark, SF)
     net = Net.sequential((64,), [dense(10, "identity")]).fixed_init()
     a = {r["id"]: r["out"] for r in score(v, net, "features", keep=["id"]).collect()}
     W = net.params[("0", "W")]
     wdf = spark.createDataFrame([(i, j, float(W[i, j])) for i in range(64) for j in range(10)], "i int, j int, w double")
     bdf = spark.createDataFrame([(j, float(x)) for j, x in enumerate(net.params[("0", "b")])], "j int, b double")
-    b = {r["id"]: r["z"] for r in dense_join(v, "id", "features", wdf, bdf).collect()}
-    assert a.keys() == b.keys()
-    assert all(np.allclose(a[k], b[k]) for k in a)
+    for inner, cols, blocks in ((512, 512, 3), (13, 4, 2), (65, 10, 1), (64, 1, None)):
+        b = {r["id"]: r["z"] for r in dense_blocked(v, "id", "features", wdf, bdf, 64, 10, inner=inner, cols=cols, row_blocks=blocks).collect()}
+        assert a.keys() == b.keys()
+        assert all(np.allclose(a[k], b[k]) for k in a)
+
+
+def test_blocked_product_of_null_features_missing_weights_and_no_rows(spark):
+    from layerwise.operators.scoring import dense_blocked
+    x = spark.createDataFrame([("a", [1.0, 2.0, 3.0]), ("b", None)], "id string, f array<double>")
+    W = spark.createDataFrame([(0, 0, 2.0), (2, 1, -1.0)], "i int, j int, w double")
+    b = spark.createDataFrame([(1, 0.5)], "j int, b double")
+    got = {r.id: r.z for r in dense_blocked(x, "id", "f", W, b, 3, 4, inner=2, cols=2, row_blocks=2).collect()}
+    assert got == {"a": [2.0, -2.5, 0.0, 0.0], "b": None}
+    assert dense_blocked(x.limit(0), "id", "f", W, b, 3, 4).count() == 0
+
+
+def test_channel_moments_in_one_pass_are_stable(spark):
+    from layerwise.operators.scoring import channel_moments
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 2, 6)) + np.array([1e8, -3.0])[None, :, None]
+    df = spark.createDataFrame([(r.ravel().tolist(), r[0].tolist()) for r in x], "px array<double>, one array<double>").repartition(7)
+    (mean, var), (mean1, var1) = channel_moments(df, [("px", 2, 6), ("one", 1, 6)])
+    assert np.allclose(mean, x.mean(axis=(0, 2)), rtol=1e-12) and np.allclose(var, x.var(axis=(0, 2)), rtol=1e-6)
+    assert np.isclose(mean1[0], mean[0]) and np.isclose(var1[0], var[0])
 
 
 def test_large_model_goes_by_broadcast_and_size_bound_is_enforced(spark):
