@@ -132,15 +132,16 @@ def split_sizes(n: int, weights: Sequence[float]) -> list[int]:
 
 
 def weighted_split(df: DataFrame, id_col: str, weights: Sequence[float], seed,
-                   part_col: str = "part") -> DataFrame:
+                   part_col: str = "part", tie_cols: Sequence[str] | None = None) -> DataFrame:
     """SPL-02: assign each row to part j with exact sizes in seeded order.
 
     The row at each cut is looked up first: a histogram of key prefixes (at most ``MAX_BUCKETS`` counts), once
     more inside a prefix that is still too full, then an ordering of the rows of one prefix. The
     result is one scan that compares each row's (key, id, row hash) with the cuts, without a
     shuffle. Only where equal rows lie on both sides of a cut are all rows ranked.
+    ``tie_cols`` (default: all) order rows of one id; the look-up reads only these and the id.
     """
-    keyed = with_order_key(df, id_col, seed).withColumn("_h", F.xxhash64(*df.columns))
+    keyed = with_order_key(df, id_col, seed).withColumn("_h", F.xxhash64(*(tie_cols or df.columns)))
     first = _prefix_counts(keyed, "")
     cuts = split_sizes(sum(c for _, c in first), weights)
     at = [_row_at(keyed, id_col, cut, first, hot_rows(df.sparkSession)) for cut in cuts[:-1]]
@@ -189,8 +190,8 @@ def _row_at(keyed: DataFrame, id_col: str, rank: int, counts: list, limit: int):
     return "tie" if len(found) == 2 and found[0] == found[1] else found[-1]
 
 
-def split_frames(df: DataFrame, id_col: str, weights: Sequence[float], seed) -> list[DataFrame]:
-    parts = weighted_split(df, id_col, weights, seed)
+def split_frames(df: DataFrame, id_col: str, weights: Sequence[float], seed, tie_cols: Sequence[str] | None = None) -> list[DataFrame]:
+    parts = weighted_split(df, id_col, weights, seed, tie_cols=tie_cols)
     return [parts.filter(F.col("part") == j).drop("part") for j in range(len(weights))]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Sequence
@@ -66,8 +67,30 @@ def scan_images(spark: SparkSession, path: str, formats: Sequence[str] = ALLOWED
 
     A file that does not decode fails the scan, or with ``invalid="keep"`` stays as a row with
     null px and shape -1 (``invalid_images`` counts them)."""
+    return _decoded(_image_files(spark, path, formats).select("image"), with_label, channels, invalid)
+
+
+def _image_files(spark: SparkSession, path: str, formats: Sequence[str]) -> DataFrame:
+    """(image, key): key is the file's path below the folder. Both the filter on names and conditions on
+    the key are decided on file names, when files are listed; the images of other files are not read."""
     raw = spark.read.format("image").option("recursiveFileLookup", "true").load(path)
-    raw = raw.filter(_ext_filter(F.col("image.origin"), formats))
+    file = F.col("_metadata.file_path")
+    folder = re.escape(path.rstrip("/").rsplit("/", 1)[-1])
+    return raw.filter(_ext_filter(file, formats)).select("image", F.regexp_replace(file, f"^.*?/{folder}/", "").alias("key"))
+
+
+def split_images(spark: SparkSession, path: str, weights: Sequence[float], seed, formats: Sequence[str] = ALLOWED_FORMATS,
+                 with_label: bool = True, channels: int | None = None, invalid: str = "raise") -> list[DataFrame]:
+    """The images under ``path`` split by weight in the seeded order of their paths, one frame like ``scan_images`` a part.
+
+    The split works on the list of files: sizes and cuts are looked up without reading any file, and a part is a condition
+    on paths, so its scan opens its own files once and no others."""
+    from ..operators.splits import split_frames
+    files = _image_files(spark, path, formats)
+    return [_decoded(part.select("image"), with_label, channels, invalid) for part in split_frames(files, "key", weights, seed, tie_cols=["key"])]
+
+
+def _decoded(raw: DataFrame, with_label: bool, channels: int | None, invalid: str) -> DataFrame:
     out = raw.mapInArrow(_to_channel_major, _IMG_SCHEMA)
     if invalid == "raise":
         fail = F.raise_error(F.concat(F.lit("not an image: "), F.col("origin"))).cast("int")

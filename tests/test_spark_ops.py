@@ -607,6 +607,25 @@ def test_undecodable_images_are_kept_or_fail(spark, tmp_path):
         scan_images(spark, str(tmp_path)).collect()
 
 
+def test_split_by_path_opens_only_the_files_of_a_part(spark, tmp_path):
+    from layerwise.sources.images import png_bytes, scan_images, split_images
+    root = tmp_path / "set one"
+    for i in range(40):
+        d = root / f"c{i % 3}"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"{i}.png").write_bytes(png_bytes(np.full((2, 2), i)))
+    (root / "c0" / "notes.txt").write_text("no image")
+    names = lambda df: sorted(r.origin.rsplit("/", 1)[1] for r in df.collect())
+    a, b = split_images(spark, str(root), [7, 3], seed=3)
+    assert len(names(a)) == 28 and len(names(b)) == 12 and sorted(names(a) + names(b)) == names(scan_images(spark, str(root)))
+    victim = names(b)[0]
+    (root / f"c{int(victim[:-4]) % 3}" / victim).write_bytes(b"broken")  # b holds a file that does not decode
+    a, b = split_images(spark, str(root), [7, 3], seed=3)
+    assert len(names(a)) == 28
+    with pytest.raises(Exception, match="not an image"):
+        b.collect()
+
+
 def test_bias_rate_follows_the_schedule():
     u = TR.Updater("sgd", lr=0.01, bias_lr=0.02, schedule={"type": "map", "values": {0: 0.01, 5: 0.001}})
     assert abs(u.rate(0, True) - 0.02) < 1e-15 and abs(u.rate(5, True) - 0.002) < 1e-15 and u.rate(5) == 0.001
