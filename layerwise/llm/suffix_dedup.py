@@ -15,7 +15,8 @@
 4. Intervals are joined back to the documents and merged.
 
 Defined results: a null text is empty; texts shorter than ``length`` bytes lose nothing; repeated rows are
-elsewhere to each other, so they lose everything that long; null ids are joined like others.
+elsewhere to each other, so they lose everything that long; null ids are joined like others.  A row is known by its id and
+128 bits of its text's SHA-256, and rows that share both by one set of anchors, so their work grows with their number.
 """
 
 from __future__ import annotations
@@ -106,7 +107,7 @@ def _anchor_runner(length, k):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            mark = batch.column(1).to_numpy(zero_copy_only=False)
+            mark = batch.column(1)
             buf, off = text_buffer(batch.column(2))
             id_np = np.array([0 if x is None else x for x in ids], dtype=np.int64)
             null = np.array([x is None for x in ids], dtype=bool)
@@ -115,7 +116,7 @@ def _anchor_runner(length, k):
                 text, q, first, last, g, e = anchor_runs(buf[lo:hi], cuts, length, k)
                 row, base = a + text, lo - off[a + text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(id_np[row], mask=null[row]), pa.array(mark[row]), pa.array(_pack(q + base, first + base, last + base)),
+                    [pa.array(id_np[row], mask=null[row]), mark.take(pa.array(row)), pa.array(_pack(q + base, first + base, last + base)),
                      pa.array(g.view(np.int64)), pa.array(e.view(np.int64))], names=["doc_id", "mark", "at", "g", "e"])
     return run
 
@@ -359,28 +360,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_group: int = HOT_G
     spark = docs.sparkSession
     prepare(spark)
     texts = id_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
-        .select("doc_id", F.crc32(F.col("text").cast("binary")).alias("mark"), "text")
-    anchors = texts.mapInArrow(_anchor_runner(length, GRAM), "doc_id long, mark long, at long, g long, e long")
+        .select("doc_id", F.substring(F.unhex(F.sha2("text", 256)), 1, 16).alias("mark"), "text")
+    anchors = texts.mapInArrow(_anchor_runner(length, GRAM), "doc_id long, mark binary, at long, g long, e long")
     groups = anchors.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("e").alias("e0"), F.max("e").alias("e1")).filter("n > 1")
     groups = groups.select(F.col("g").alias("gg"), F.when(F.col("e0") == F.col("e1"), 0).when(F.col("n") <= hot_group, 1).otherwise(2).alias("kind"))
     decided = anchors.join(groups, F.col("g") == F.col("gg")).groupBy("doc_id", "mark").agg(
-        *[F.collect_list(F.when(F.col("kind") == k, F.col("at"))).alias(c) for k, c in enumerate(("whole", "open", "hot"))])
+        *[F.collect_set(F.when(F.col("kind") == k, F.col("at"))).alias(c) for k, c in enumerate(("whole", "open", "hot"))])
     decided = materialise(spark, decided, "sd-anchors")
 
     todo = decided.filter("size(open) + size(hot) > 0").select(F.col("doc_id").alias("t_id"), F.col("mark").alias("t_mark"), "open", "hot")
     bodies = texts.join(todo, texts["doc_id"].eqNullSafe(todo["t_id"]) & (texts["mark"] == todo["t_mark"])) \
         .select("doc_id", "mark", "text", "open", "hot") \
-        .mapInArrow(_body_runner(length), "doc_id long, mark long, key1 long, key2 long, at long, body binary")
+        .mapInArrow(_body_runner(length), "doc_id long, mark binary, key1 long, key2 long, at long, body binary")
     bodies = materialise(spark, bodies, "sd-bodies")
     spans = bodies.filter("body is not null").repartition("key1").sortWithinPartitions("key1") \
-        .mapInArrow(_window_runner(length), "doc_id long, mark long, start long, stop long")
+        .mapInArrow(_window_runner(length), "doc_id long, mark binary, start long, stop long")
     hot = bodies.filter("body is null")
     seen = hot.groupBy("key1", "key2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     hot = hot.join(seen, ["key1", "key2"]).select("doc_id", "mark", F.col("at").alias("start"), (F.col("at") + length).alias("stop"))
     first = F.shiftright("x", 24)
     whole = decided.select("doc_id", "mark", F.explode("whole").alias("x")) \
         .select("doc_id", "mark", first.alias("start"), (first + F.col("x").bitwiseAND(4095) + length).alias("stop"))
-    spans = spans.unionByName(hot).unionByName(whole).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = spans.unionByName(hot).unionByName(whole).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     spans = materialise(spark, spans, "sd-spans").select(F.col("doc_id").alias("s_id"), F.col("mark").alias("s_mark"), "spans")
     joined = texts.join(spans, texts["doc_id"].eqNullSafe(spans["s_id"]) & (texts["mark"] == spans["s_mark"]), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(

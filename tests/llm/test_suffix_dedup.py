@@ -67,3 +67,25 @@ def test_suffix_mergesort_orders_by_bytes():
     x, y = items[:300], items[300:600]
     for i, j, n in zip(x, y, suf.extension(x, y)):
         assert raw[i:i + n] == raw[j:j + n] and raw[i + n] != raw[j + n]
+
+
+def test_texts_of_equal_checksum_under_null_ids(spark):
+    """Two texts with one crc32 and no id: only the one that stands elsewhere too is removed."""
+    import zlib
+    seen, i = {}, 0
+    while True:
+        t = sentence(2, i) + f" {i:07d} " + "abc " * 65
+        c = zlib.crc32(t.encode())
+        if c in seen and seen[c] != t:
+            break
+        seen[c], i = t, i + 1
+    rows = [(None, t[:12] + str(zlib.crc32(t.encode())) * 25), (None, t), (None, seen[c]), (5, t)]
+    got = collect(sd.remove_repeats(frame(spark, rows)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute(rows, 200)
+
+
+def test_repeated_rows_grow_linearly(spark):
+    text = sentence(60, 77)
+    rows = [(None, text)] * 1500 + [(3, text)] * 1500 + [(4, sentence(60, 78))]
+    out = sd.remove_repeats(frame(spark, rows)).groupBy("doc_id", "n_removed").count().collect()
+    assert {(r.doc_id, r.n_removed > 0): r["count"] for r in out} == {(None, True): 1500, (3, True): 1500, (4, False): 1}
