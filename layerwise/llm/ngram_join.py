@@ -11,10 +11,9 @@ from it, where a pivot separates nothing, so the levels of pivots differ:
    neighbours among the common ones are parted, the i-th common shingle stands at place i + u or before, u being what the
    other one lacks, and the first pair that is not parted ends at place 2 u + v + 2 or before (v: what this one lacks), which is
    L at most.  (Rarity comes from counts in ``BUCKETS`` hash buckets; any order is exact, rare ones first keep regions small.)
-2. The smallest document of each region is its pivot, and documents within the radius of it (on full sets) are linked.  In
-   ``ROUNDS`` rounds each document is compared with one pivot of another component; what a group of near copies mostly is
-   becomes one component here, in linear work.  Then all documents are compared with the pivots of other components that remain.
-   Regions whose documents are all in one component are done at any point; the others' documents are gathered by pivot.
+2. The smallest document of each region is its pivot.  All distances to pivots of like size are computed on full sets and
+   documents within the radius are linked: what a group of near copies mostly is becomes one component here, in linear
+   work.  Regions whose documents are all in one component are done; the others' documents are gathered by pivot.
 3. A region that still holds several components is left with its outsiders and those of its largest component whose
    distance to the pivot differs from an outsider's by at most the radius (triangle inequality), where both are known.  Copies of the
    same component need no comparison, they are linked already.
@@ -44,7 +43,6 @@ from layerwise.llm.textnp import chunks, mix64, shingle_sets, text_buffer
 U64 = np.uint64
 BUCKETS = 1 << 18
 REGION = 512        # documents joined in one task
-ROUNDS = 2          # comparisons of each document with one pivot
 CUTS = 4            # pivots that cut a larger region
 PIVOTS = 16         # pivots that cut a region in memory
 LEAF = 96           # documents compared pair by pair in memory
@@ -151,31 +149,17 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("node", "pivot", both.alias("both"), (F.size("s") + F.size("sp") - both).alias("union"))
 
 
-def open_regions(spark: SparkSession, regions: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The rows of regions with several labels, with the labels of node and pivot."""
-    own = regions.drop("label", "pivot_label")
-    tagged = own.withColumn("label", F.col("node")) if labels is None else \
-        own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = tagged.groupBy("region").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min(F.struct("node", "label")).alias("p")) \
-        .filter("least <> most").select("region", F.col("p.label").alias("pivot_label"))
-    return materialise(spark, tagged.join(several, "region"), "nj-open", small=True)
-
-
-def star_links(spark: SparkSession, regions: DataFrame, sets: DataFrame, num: int, den: int):
-    """(regions that still hold several labels, labels, known distances) after the comparisons with pivots."""
-    labels, links, known = None, None, None
-    alike = (F.col("label") != F.col("pivot_label")) & (den * F.least("n", "n_pivot") >= num * F.greatest("n", "n_pivot"))
-    for i in range(ROUNDS + 1):
-        regions = open_regions(spark, regions, labels)
-        pairs = regions.filter(alike)
-        if i < ROUNDS:
-            pairs = pairs.groupBy("node").agg(F.min(F.struct(F.xxhash64("pivot", F.lit(i)).alias("h"), "pivot")).alias("p")).select("node", "p.pivot")
-        dist = materialise(spark, distances(pairs.select("node", "pivot").distinct(), sets), "nj-distances", small=True)
-        known = dist if known is None else known.union(dist)
-        near = dist.filter(den * F.col("both") >= num * F.col("union")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        links = near if links is None else links.union(near)
-        labels = components(spark, links)
-    return open_regions(spark, regions, labels), labels, known.distinct()
+def open_regions(spark: SparkSession, regions: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of regions of more than two documents with several labels."""
+    tagged = regions.filter("c > 2").select("region", "node", "pivot").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = tagged.groupBy("region").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("region")
+    return tagged.join(several, "region")
+
+
+def star_distances(spark: SparkSession, regions: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, pivot, both, union) of all documents and their regions' pivots of like size."""
+    alike = (F.col("node") != F.col("pivot")) & (den * F.least("n", "n_pivot") >= num * F.greatest("n", "n_pivot"))
+    return materialise(spark, distances(regions.filter(alike).select("node", "pivot").distinct(), sets), "nj-distances", small=True)
 
 
 # ------------------------------------------------------------------ level 3 and on
@@ -334,9 +318,10 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100) -> Da
     texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
     sets = materialise(spark, shingle_table(texts, k).filter("node is not null").dropDuplicates(["node"]), "nj-full")
 
-    open_, labels, known = star_links(spark, regions, sets, num, den)
+    known = star_distances(spark, regions, sets, num, den)
+    labels = components(spark, known.filter(den * F.col("both") >= num * F.col("union")).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     # the pivot has been compared with all of its region and is not needed any more
-    members = open_.filter("node <> pivot and c > 2").select("pivot", "node").distinct().join(known, ["node", "pivot"], "left").select(
+    members = open_regions(spark, regions, labels).filter("node <> pivot").select("pivot", "node").distinct().join(known, ["node", "pivot"], "left").select(
         F.col("pivot").alias("region"), "node", (1 - F.col("both") / F.col("union")).alias("near"), F.lit(False).alias("stuck"))
     more = recursive_links(spark, members, sets, labels, num, den)
     merged = components(spark, more).select(F.col("node").alias("label"), F.col("label").alias("top"))
