@@ -53,9 +53,9 @@ def id_text(docs: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids`` (one column, nulls match nulls)."""
+    """Rows of ``docs`` whose doc_id is in ``ids`` (one column, nulls match nulls); one plan at any size."""
     key = ids.columns[0]
-    ids = ids.select(F.col(key).alias("__kept_id"))
+    ids = ids.select(F.col(key).alias("__kept_id")).hint("merge")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__kept_id"]), "left_semi")
 
 
