@@ -203,6 +203,41 @@ def assign_batches(df: DataFrame, id_col: str, size: int, seed,
     return r.withColumn(batch_col, F.floor(F.col("_rank") / F.lit(size)).cast("bigint")).drop("_rank")
 
 
+BLOCK_ROWS = 1 << 20   # rows of a shuffled table's block, one file
+
+
+def write_shuffled(df: DataFrame, id_col: str, seed, path: str, block_rows: int = BLOCK_ROWS) -> None:
+    """The rows of ``df`` in seeded order with their 0-based ``rank``, for reading by ranges of ranks.
+
+    Ranked and exchanged once: ``path``/rows holds one folder a block of ``block_rows`` ranks, sorted by rank inside;
+    ``path``/index one row a block (block, first, n), ``path``/schema no rows. All blocks but the last are of one size, whatever the ids."""
+    taken = {"rank", "block"} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are taken by the shuffled table")
+    r = ranked(df, id_col, seed, rank_col="rank").withColumn("block", F.floor(F.col("rank") / F.lit(block_rows)).cast("bigint"))
+    r.limit(0).coalesce(1).write.parquet(f"{path}/schema")
+    r.repartition("block").sortWithinPartitions("block", "rank").write.partitionBy("block").parquet(f"{path}/rows")
+    blocks = df.sparkSession.read.schema(r.schema).parquet(f"{path}/rows").groupBy("block").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
+    blocks.coalesce(1).write.parquet(f"{path}/index")
+
+
+def shuffled_size(spark, path: str) -> int:
+    """Rows of a shuffled table, from its index."""
+    return spark.read.parquet(f"{path}/index").agg(F.sum("n")).first()[0] or 0
+
+
+def read_ranks(spark, path: str, start: int, end: int) -> DataFrame:
+    """Rows with start <= rank < end of a shuffled table: only the files of their blocks are opened, and of those the row groups they lie in.
+
+    Mini-batch b of size m is the range (b * m, (b + 1) * m); part j of a weighted split is the range between its cuts."""
+    index = spark.read.parquet(f"{path}/index")
+    found = index.filter((F.col("first") < end) & (F.col("first") + F.col("n") > start)).agg(F.min("block").alias("a"), F.max("block").alias("b")).first()
+    rows = spark.read.schema(spark.read.parquet(f"{path}/schema").schema).parquet(f"{path}/rows")
+    if found["a"] is None or start >= end:
+        return rows.drop("block").limit(0)
+    return rows.filter(F.col("block").between(found["a"], found["b"]) & (F.col("rank") >= start) & (F.col("rank") < end)).drop("block")
+
+
 def collate_batches(df: DataFrame, batch_col: str, cols, out_col: str = "rows") -> DataFrame:
     """PRE-09 collation: one row per batch holding its examples; a group is one batch (bounded
     by the batch size), never a whole table."""

@@ -9,6 +9,7 @@ from ..operators.evaluation import confusion
 from ..operators.model import Net, output
 from ..operators.scoring import predict
 from ..operators.training import gradient
+from ..session import scratch_path
 from . import fixtures as fx
 from .registry import IMG8, V64, explode, order_key, register
 
@@ -111,6 +112,18 @@ def pre09(spark, sf_dir):
     return splits.batch_bounds(b, "o_orderkey")
 
 
+@register("spl02_split_from_index", f"""
+WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY {order_key(SEED, 'o_orderkey')}, o_orderkey) - 1 AS rank, count(*) OVER () AS n
+           FROM orders)
+SELECT CASE WHEN rank < (n * 7) // 10 THEN 0 ELSE 1 END AS part, (rank // 128)::BIGINT AS batch_id, rank::BIGINT AS rank, o_orderkey, o_totalprice FROM r""")
+def spl02_split_from_index(spark, sf_dir):
+    path = scratch_path(spark, "shuffled-orders")
+    splits.write_shuffled(fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", SEED, path, block_rows=1 << 14)
+    cuts = [0, *splits.split_sizes(splits.shuffled_size(spark, path), [7, 3])]
+    train, test = (splits.read_ranks(spark, path, a, b).withColumn("part", F.lit(j)) for j, (a, b) in enumerate(zip(cuts, cuts[1:])))
+    return train.unionByName(test).select("part", F.floor(F.col("rank") / 128).cast("bigint").alias("batch_id"), "rank", "o_orderkey", "o_totalprice")
+
+
 # ---------------------------------------------------------------- SRC-02: vectors with split
 
 @register("src02_scan_vectors_train", f"""
