@@ -96,6 +96,44 @@ def pool2d(px: Column | str, c: int, h: int, w: int, kernel=(2, 2), stride=(2, 2
     return let(_array(px), body)
 
 
+def wide_pool2d(px: Column | str, c: int, h: int, w: int, kernel=(2, 2), stride=(2, 2), padding=(0, 0), mode: str = "truncate",
+                kind: str = "max") -> Column:
+    """``pool2d`` for windows of any size: along rows, then along columns, each in log2(width) steps a place.
+
+    One step doubles the run that a place knows (2, 4, 8, ... neighbours); a window is put together from the runs that
+    the binary digits of its width name. Steps are a fold over a short literal array, so the plan does not grow with the window."""
+    kh, kw = kernel
+    (top, _, left, _), oh, ow = conv_geometry(h, w, kh, kw, stride[0], stride[1], padding[0], padding[1], mode)
+    tall, wide = max(h + top, (oh - 1) * stride[0] + kh), max(w + left, (ow - 1) * stride[1] + kw)
+    none = F.lit(None).cast("double")
+
+    def join(a: Column, b: Column) -> Column:
+        return F.greatest(a, b) if kind == "max" else F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0))
+
+    def runs(arr: Column, width: int, step: int) -> Column:
+        """At each place the aggregate of ``width`` places, ``step`` apart; right where all of them are in the frame."""
+        digits, done = [], 0
+        for j in range(width.bit_length()):
+            taken = bool(width >> j & 1)
+            digits.append(f"struct({(1 << j) * step} as shift, {str(taken).lower()} as taken, {done * step} as done)")
+            done += (1 << j) * taken
+
+        def digit(acc, d):
+            known = F.when(d["taken"], F.transform(acc["known"], lambda v, i: join(v, F.get(acc["run"], i + d["done"])))).otherwise(acc["known"])
+            run = F.transform(acc["run"], lambda v, i: join(v, F.get(acc["run"], i + d["shift"])))
+            return F.struct(run.alias("run"), known.alias("known"))
+        start = F.struct(arr.alias("run"), F.transform(arr, lambda v: none).alias("known"))
+        return F.aggregate(F.expr("array(" + ", ".join(digits) + ")"), start, digit, lambda acc: acc["known"])
+
+    def body(arr):
+        at = _reader(arr, h, w)
+        framed = _pixels(c, tall, wide, lambda ch, y, x: at(ch, y - top, x - left))
+        out = let(framed, lambda f: let(runs(f, kw, 1), lambda r: let(runs(r, kh, wide), lambda v: _pixels(
+            c, oh, ow, lambda ch, y, x: F.get(v, ch * (tall * wide) + y * (stride[0] * wide) + x * stride[1])))))
+        return F.when(arr.isNotNull(), out if kind == "max" else F.transform(out, lambda v: v / float(kh * kw)))
+    return let(_array(px), body)
+
+
 def lrn(px: Column | str, c: int, h: int, w: int, k: float = LRN_K, n: int = LRN_N, alpha: float = LRN_ALPHA, beta: float = LRN_BETA) -> Column:
     """SCR-05: a / (k + alpha * sum of squares over the n nearest channels) ^ beta."""
 

@@ -46,7 +46,8 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
     its row count) gives each bucket's offset, and row_number runs only inside one
     (key, bucket). A key holding a third of all rows is spread over its buckets; when one
     (key, bucket) cell still exceeds ``spark.layerwise.hotRows`` the buckets are narrowed
-    and counted again. Rows with a null order value stand first in their series; a null key
+    and counted again; a burst at one value of order[0], which no narrowing parts, is cut by a range exchange
+    over the whole order. Rows with a null order value stand first in their series; a null key
     is a series of its own.
     """
     order = list(order)
@@ -61,6 +62,8 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
         if biggest <= limit or granularity <= MIN_BUCKET_SECONDS:
             break
         granularity = max(MIN_BUCKET_SECONDS, granularity / (2 * -(-biggest // limit)))
+    if biggest > limit:
+        return _ranged_positions(df, key, order, pos_col, with_length)
     w_hist = Window.partitionBy(key).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     offs = hist.select(key, "_tb", F.coalesce(F.sum("_cnt").over(w_hist), F.lit(0)).alias("_off"),
                        F.sum("_cnt").over(Window.partitionBy(key)).alias("_len"))
@@ -72,6 +75,26 @@ def positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str = "pos
     return out if with_length else out.drop("_len")
 
 
+def _ranged_positions(df: DataFrame, key: str, order: Sequence[str], pos_col: str, with_length: bool) -> DataFrame:
+    """``positions`` by ranges of (key, order, row hash): numbers inside a range plus the key's rows in ranges before it.
+
+    Rows that agree in key and order follow the hash of the whole row, so a burst is cut like any other rows. The
+    ranges are written once, since two evaluations could draw different borders."""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, "series-ranges")
+    (df.withColumn("_h", F.xxhash64(*df.columns)).repartitionByRange(key, *order, "_h")
+     .withColumn("_p", F.spark_partition_id()).write.parquet(path))
+    ranged = df.sparkSession.read.parquet(path)
+    sizes = ranged.groupBy(F.col(key).alias("_ok"), F.col("_p").alias("_op")).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy("_ok").orderBy("_op").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select("_ok", "_op", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                        F.sum("_cnt").over(Window.partitionBy("_ok")).alias("_len"))
+    w = Window.partitionBy("_p", key).orderBy(*order, "_h")
+    out = ranged.withColumn("_rn", F.row_number().over(w)).join(offs, F.col(key).eqNullSafe(F.col("_ok")) & (F.col("_p") == F.col("_op")))
+    out = out.select(*df.columns, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias(pos_col), "_len")
+    return out if with_length else out.drop("_len")
+
+
 def _taps(df: DataFrame, key: str, order: Sequence[str], value_col: str, k: int, stride: int, pad: int,
           granularity: float) -> DataFrame:
     """(key, pos, x0 .. x{k-1}): the k values under output step ``pos``, null outside the series.
@@ -133,6 +156,48 @@ def pool1d(df: DataFrame, key: str, order: Sequence[str], value_col: str, kernel
     return d.select(key, "pos", out.alias(out_col))
 
 
+def wide_pool1d(df: DataFrame, key: str, order: Sequence[str], value_col: str, kernel: int, stride: int = 1,
+                padding: int = 0, kind: str = "max", out_col: str = "value",
+                granularity: float = SERIES_BUCKET_SECONDS) -> DataFrame:
+    """``pool1d`` for windows of any width, in work and plan size that do not grow with ``kernel``.
+
+    The padded series is cut in blocks of ``kernel`` positions. A window is the end of one block and the start of
+    the next, so its largest value (or sum and count) is the block's value from the window's first position on, together
+    with the next block's up to the window's last one. Two running aggregates give both, and a row sends each to
+    the window that begins or ends there: at most two small states a row, grouped by (key, window).
+    A group of a running aggregate holds ``kernel`` rows, streamed, whatever share of the rows its key has."""
+    if padding > kernel:
+        raise ValueError(f"padding {padding} exceeds the window of {kernel}")
+    d = positions(df.select(key, *order, value_col), key, order, granularity=granularity, with_length=True)
+    d = d.select(key, "_len", F.col("pos"), F.col(value_col).alias("_x"))
+    if padding:  # the first and the last row of a series bring the padding beside it
+        front = F.when(F.col("pos") == 0, F.sequence(F.lit(-padding), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+        tail = F.when(F.col("pos") == F.col("_len") - 1, F.sequence(F.lit(1), F.lit(padding))).otherwise(F.array().cast("array<int>"))
+        d = d.select(key, "_len", "pos", "_x", F.explode(F.concat(front, F.array(F.lit(0)), tail)).alias("_t")) \
+            .select(key, "_len", (F.col("pos") + F.col("_t")).alias("pos"), F.when(F.col("_t") == 0, F.col("_x")).alias("_x"))
+    d = d.select(key, "_len", "_x", (F.col("pos") + padding).alias("_u")).withColumn("_block", F.floor(F.col("_u") / F.lit(kernel)))
+    up, down = Window.partitionBy(key, "_block").orderBy("_u"), Window.partitionBy(key, "_block").orderBy(F.desc("_u"))
+
+    def state(w):
+        w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        if kind == "max":
+            return F.struct(F.max("_x").over(w).alias("v"))
+        return F.struct(F.sum(F.col("_x").cast("double")).over(w).alias("v"), F.count("_x").over(w).alias("n"))
+    d = d.select(key, "_len", "_u", state(up).alias("_up"), state(down).alias("_down"))
+    first = F.col("_u") - F.lit(kernel - 1)   # of the window that ends here
+    # a window that is a whole block is known from its first row alone
+    ends = F.when((first >= 0) & (first % kernel != 0), F.struct(first.alias("s"), F.col("_up").alias("state")))
+    begins = F.struct(F.col("_u").alias("s"), F.col("_down").alias("state"))
+    sent = d.select(key, "_len", F.explode(F.array(begins, ends)).alias("_w")).filter(F.col("_w").isNotNull())
+    s = F.col("_w.s")
+    fits = (s % stride == 0) & (s + kernel <= F.col("_len") + 2 * padding)
+    sent = sent.filter(fits).select(key, F.floor(s / F.lit(stride)).cast("bigint").alias("pos"), "_w.state.*")
+    if kind == "max":
+        return sent.groupBy(key, "pos").agg(F.max("v").alias(out_col))
+    total = sent.groupBy(key, "pos").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    return total.select(key, "pos", F.when(F.col("n") > 0, F.col("v") / F.col("n")).alias(out_col))
+
+
 def lstm_params(n_in: int, units: int, n_out: int, seed: int | None = None) -> dict:
     """Parameters of a peephole LSTM + per-step output layer over concat(input, h)."""
     if seed is None:

@@ -115,6 +115,15 @@ def scr04_b(spark, sf_dir):
     return _explode(img.select("id", I.pool2d("x", 1, 8, 8, (3, 3), (2, 2)).alias("out")), ["id"], "out")
 
 
+@register("scr04_wide_maxpool_7x6", f"""
+WITH p AS ({_img_rows(IMG8, 'px', 8, 8)}),
+q AS (SELECT id, c, oy.oy AS y, ox.ox AS x, max(v) AS v FROM p, range(2) oy(oy), range(3) ox(ox)
+      WHERE p.y BETWEEN oy.oy AND oy.oy + 6 AND p.x BETWEEN ox.ox AND ox.ox + 5 GROUP BY id, c, oy.oy, ox.ox) {Q.flat('q', 2, 3)}""")
+def scr04_wide(spark, sf_dir):
+    img = fx.image8(spark, sf_dir).select("id", F.transform("px", lambda p: p.cast("double")).alias("x"))
+    return _explode(img.select("id", I.wide_pool2d("x", 1, 8, 8, (7, 6), (1, 1)).alias("out")), ["id"], "out")
+
+
 # ---------------------------------------------------------------- SCR-05 LRN, SCR-06 batch norm, SCR-07 pad
 
 @register("scr05_lrn", f"""
@@ -277,6 +286,27 @@ def scr12(spark, sf_dir):
     return sequence.pool1d(ev, "user_id", ["ts", "event_id"], "value", 3, 2, 1, "max")
 
 
+def _wide_sql(agg: str) -> str:
+    """Windows of 31 rows, 15 before and 15 behind, at every third row."""
+    return f"""
+WITH s AS (SELECT user_id, {agg}(value) OVER (w ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS value,
+                  row_number() OVER w - 1 AS pos
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, (pos // 3)::BIGINT AS pos, {'value' if agg == 'max' else 'round(value, 6)'} AS value FROM s WHERE pos % 3 = 0"""
+
+
+@register("scr12_wide_maxpool1d", _wide_sql("max"))
+def scr12_wide_max(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    return sequence.wide_pool1d(ev, "user_id", ["ts", "event_id"], "value", 31, 3, 15, "max")
+
+
+@register("scr12_wide_meanpool1d", _wide_sql("avg"))
+def scr12_wide_mean(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    return _rounded(sequence.wide_pool1d(ev, "user_id", ["ts", "event_id"], "value", 31, 3, 15, "avg"), ["value"])
+
+
 # ---------------------------------------------------------------- SCR-13 residual blocks
 
 def identity_block_net():

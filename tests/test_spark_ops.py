@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF
-from layerwise.operators import prep, sequence, splits
+from layerwise.operators import image_ops, prep, sequence, splits
 from layerwise.operators import training as TR
 from layerwise.operators.evaluation import confusion, merge_confusions
 from layerwise.operators.model import Net, dense, output
@@ -692,3 +692,79 @@ def test_column_scoring_equals_batch_scoring(spark):
     assert "Python" not in plan and "Arrow" not in plan
     null = spark.createDataFrame([(1, None)], "id long, features array<double>")
     assert score_columns(null, net, "features", keep=["id"]).first()["out"] is None
+
+
+@pytest.mark.parametrize("k, stride, pad", [(1, 1, 0), (4, 3, 0), (5, 2, 2), (7, 1, 7), (40, 5, 3), (16, 4, 8)])
+def test_wide_pool1d_matches_brute_force(spark, k, stride, pad):
+    series = {"a": [float(i * i % 7) if i % 6 else None for i in range(33)], "b": [1.0], "c": [float(i) for i in range(6)],
+              None: [None, None, 2.0, -1.0, None], "d": [None] * 9}
+    df = spark.createDataFrame([(key, i, v) for key, vs in series.items() for i, v in enumerate(vs)], "k string, t int, v double")
+    top = {(r["k"], r["pos"]): r["value"] for r in sequence.wide_pool1d(df, "k", ["t"], "v", k, stride, pad).collect()}
+    mean = {(r["k"], r["pos"]): r["value"] for r in sequence.wide_pool1d(df, "k", ["t"], "v", k, stride, pad, kind="avg").collect()}
+    want = {}
+    for key, vs in series.items():
+        cells = [None] * pad + vs + [None] * pad
+        for t in range((len(vs) + 2 * pad - k) // stride + 1):
+            want[key, t] = [c for c in cells[t * stride:t * stride + k] if c is not None]
+    assert top.keys() == mean.keys() == want.keys()
+    for at, real in want.items():
+        assert top[at] == (max(real) if real else None)
+        assert (mean[at] is None) if not real else abs(mean[at] - sum(real) / len(real)) < 1e-12
+
+
+def test_wide_pool1d_plan_does_not_grow_with_the_window(spark):
+    df = spark.range(10).selectExpr("id % 2 AS k", "id AS t", "id * 1.0D AS v")
+    plans = [sequence.wide_pool1d(df, "k", ["t"], "v", k)._jdf.queryExecution().optimizedPlan().toString() for k in (3, 3000)]
+    assert abs(len(plans[0]) - len(plans[1])) < 200
+    assert sequence.wide_pool1d(df.limit(0), "k", ["t"], "v", 3).count() == 0
+
+
+@pytest.mark.parametrize("kernel, stride, pad, mode", [((7, 6), (1, 1), (0, 0), "truncate"), ((5, 3), (2, 1), (2, 1), "truncate"),
+                                                        ((1, 1), (1, 2), (0, 0), "truncate"), ((4, 7), (3, 3), (0, 0), "same")])
+@pytest.mark.parametrize("kind", ["max", "avg"])
+def test_wide_pool2d_matches_pool2d(spark, kernel, stride, pad, mode, kind):
+    c, h, w = 2, 9, 11
+    rows = [(i, [float((i * 31 + j * j * 7) % 101 - 50) for j in range(c * h * w)]) for i in range(4)] + [(9, None)]
+    df = spark.createDataFrame(rows, "id int, x array<double>")
+    out = df.select("id", image_ops.pool2d("x", c, h, w, kernel, stride, pad, mode, kind).alias("a"),
+                    image_ops.wide_pool2d("x", c, h, w, kernel, stride, pad, mode, kind).alias("b")).collect()
+    for r in out:
+        assert (r["a"] is None) == (r["b"] is None)
+        assert r["a"] is None or np.allclose(np.array(r["a"], dtype=float), np.array(r["b"], dtype=float), equal_nan=True)
+
+
+def test_positions_of_a_burst_at_one_time(spark):
+    """All rows at one timestamp: no bucket parts them, the range exchange does; equal rows get places of their own."""
+    ev = fx.table(spark, SF, "events").select(F.when(F.col("event_id") % 3 > 0, 1).alias("user_id"), F.lit(7.0).alias("ts"), "event_id")
+    ev = ev.union(ev.filter("event_id < 40"))
+    spark.conf.set("spark.layerwise.hotRows", "50")
+    try:
+        plan = sequence.positions(ev, "user_id", ["ts", "event_id"], with_length=True)
+        pos = plan.toPandas()
+    finally:
+        spark.conf.unset("spark.layerwise.hotRows")
+    for is_null, g in pos.groupby(pos["user_id"].isna()):
+        g = g.sort_values("pos")
+        assert g["pos"].tolist() == list(range(len(g))) and set(g["_len"]) == {len(g)}
+        assert g["event_id"].tolist() == sorted(g["event_id"])
+    assert len(pos) == ev.count()
+
+
+def test_shuffled_table_is_read_by_ranges_of_ranks(spark, tmp_path):
+    path = str(tmp_path / "shuffled")
+    df = spark.createDataFrame([(i if i % 10 else None, f"r{i % 50}") for i in range(1000)], "id int, x string")
+    splits.write_shuffled(df, "id", 5, path, block_rows=100)
+    assert splits.shuffled_size(spark, path) == 1000
+    whole = [tuple(r) for r in splits.read_ranks(spark, path, 0, 1000).orderBy("rank").collect()]
+    assert [r[2] for r in whole] == list(range(1000))
+    assert sorted((str(r[0]), r[1]) for r in whole) == sorted((str(r[0]), r[1]) for r in df.collect())
+    part = splits.read_ranks(spark, path, 250, 420)
+    assert sorted(r["rank"] for r in part.collect()) == list(range(250, 420))
+    scan = part._jdf.queryExecution().executedPlan().collectLeaves().head()
+    part._jdf.queryExecution().toRdd().count()
+    assert scan.metrics().apply("numFiles").value() == 3  # of ten
+    assert splits.read_ranks(spark, path, 1000, 2000).count() == splits.read_ranks(spark, path, 5, 5).count() == 0
+    with pytest.raises(ValueError):
+        splits.write_shuffled(df.withColumn("rank", F.lit(1)), "id", 5, path + "2")
+    splits.write_shuffled(df.limit(0), "id", 5, path + "3")
+    assert splits.shuffled_size(spark, path + "3") == 0 and splits.read_ranks(spark, path + "3", 0, 9).count() == 0
