@@ -11,6 +11,7 @@ from ..operators import prep, sequence
 from ..operators import scoring as S
 from ..operators.evaluation import class_metrics, confusion, merge_confusions, partial_confusions, summary
 from ..operators.model import Net, Vertex, activation_layer, batchnorm_layer, conv2d, dense, fixed_weight, output
+from ..operators.statistics import activation_histograms, merge_histograms
 from . import fixtures as fx
 from . import sql_tensors as Q
 from .registry import IMG8, V64, act_sql, b_sql, dense_sql, explode, register, softmax_sql, w_sql
@@ -384,6 +385,18 @@ def scr14(spark, sf_dir):
     return _rounded(_explode(out, ["id"], "out"), ["value"])
 
 
+@register("snk03_layer_statistics", f"""
+WITH {SCORER_SQL},
+a AS (SELECT '{{0}}' AS vertex, v FROM h UNION ALL SELECT '{{1}}' AS vertex, p AS v FROM s)
+SELECT vertex, floor(round(v, 9) / 0.0625::DOUBLE)::BIGINT AS bin, count(*) AS n, round(sum(v), 6) AS total, round(min(v), 6) AS low, round(max(v), 6) AS high
+FROM a GROUP BY ALL""".format(*[v.name for v in scorer_net().vertices]))
+def snk03_layer_statistics(spark, sf_dir):
+    """Histograms of all activations of the scoring net by layer, from the sketches of two halves of the rows."""
+    v = fx.vectors64(spark, sf_dir)
+    halves = [activation_histograms(v.filter(half), scorer_net(), "features", 1 / 16) for half in ("id % 2 = 0", "id % 2 <> 0 or id is null")]
+    return _rounded(merge_histograms(halves, ["vertex"]).select("vertex", "bin", "n", "total", "low", "high"), ["total", "low", "high"])
+
+
 @register("scr15_predict_argmax", f"""
 WITH {SCORER_SQL}
 SELECT id, pred::INTEGER AS pred FROM pred""")

@@ -1,6 +1,7 @@
 """Spark operators: properties, sequences, images, models, training semantics."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF
-from layerwise.operators import image_ops, prep, sequence, splits
+from layerwise.operators import image_ops, prep, sequence, splits, statistics
 from layerwise.operators import training as TR
 from layerwise.operators.evaluation import confusion, merge_confusions
 from layerwise.operators.model import Net, dense, output
@@ -768,3 +769,32 @@ def test_shuffled_table_is_read_by_ranges_of_ranks(spark, tmp_path):
         splits.write_shuffled(df.withColumn("rank", F.lit(1)), "id", 5, path + "2")
     splits.write_shuffled(df.limit(0), "id", 5, path + "3")
     assert splits.shuffled_size(spark, path + "3") == 0 and splits.read_ranks(spark, path + "3", 0, 9).count() == 0
+
+
+def test_layer_statistics_of_parameters_updates_and_missing_values(spark):
+    rng = np.random.default_rng(3)
+    old, new = rng.normal(0, 1, 500), rng.normal(0, 2, 500)
+    frames = [spark.createDataFrame([(i % 2, "W", i, float(v)) for i, v in enumerate(vec)], "layer int, name string, idx long, value double")
+              for vec in (old, new)]
+    keys = ["layer", "name"]
+    sketch = statistics.update_histograms(frames[0], frames[1], 0.25)
+    bins = {(r["layer"], r["bin"]): r["n"] for r in sketch.collect()}
+    want = Counter((i % 2, int(np.floor(d / 0.25))) for i, d in enumerate(new - old))
+    assert bins == want
+    both = statistics.merge_histograms([statistics.parameter_histograms(f, 0.25) for f in frames], keys)
+    for r in statistics.summarise(both, keys).collect():
+        x = np.concatenate([old[r["layer"]::2], new[r["layer"]::2]])
+        assert r["n"] == 500 and r["missing"] == 0 and r["low"] == x.min() and r["high"] == x.max()
+        assert abs(r["mean"] - x.mean()) < 1e-9 and abs(r["deviation"] - x.std()) < 1e-9
+    odd = spark.createDataFrame([("a", None), ("a", float("nan")), ("a", -0.5), ("b", None)], "k string, v double")
+    got = {r["k"]: r for r in statistics.summarise(statistics.value_histograms(odd, ["k"], "v", 0.25), ["k"]).collect()}
+    assert (got["a"]["n"], got["a"]["missing"], got["a"]["mean"], got["a"]["low"]) == (1, 2, -0.5, -0.5)
+    assert (got["b"]["n"], got["b"]["missing"], got["b"]["mean"], got["b"]["deviation"]) == (0, 1, None, None)
+    assert statistics.summarise(statistics.value_histograms(odd.limit(0), ["k"], "v", 1.0), ["k"]).count() == 0
+
+
+def test_activation_statistics_agree_between_column_and_task_scoring(spark):
+    v = fx.vectors64(spark, SF)
+    net = Net.sequential((64,), [dense(4, "relu"), output(3, "softmax", "nll")]).fixed_init()
+    a, b = (sorted(tuple(r)[:3] for r in statistics.activation_histograms(v, net, "features", 0.5, columns=c).collect()) for c in (True, False))
+    assert a == b and sum(r[2] for r in a) == v.count() * 7
