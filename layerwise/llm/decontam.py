@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerwise.llm.common import id_text, prepare
+from layerwise.llm.common import id_text, materialise, prepare
 from layerwise.llm.textnp import ALNUM_WORDS, LOWER, chunks, shingle_hashes, text_buffer, word_hashes, words
 
 BLOCK_BYTES = 8 << 20
@@ -248,8 +248,11 @@ def _join_runner(shared, last: bool):
 
 
 def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The benchmark in blocks of about ``block_bytes`` of text: yields lists of (item_id, text)."""
-    rows = items.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    """The benchmark in blocks of about ``block_bytes`` of text: yields lists of (item_id, text).
+
+    Rows that repeat an item_id and text count once, so repeats do not swell one block; they are found once and written."""
+    rows = items.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
+    rows = materialise(items.sparkSession, rows, "benchmark-items", small=True)
     total = rows.agg(F.sum(F.length("text") + 64)).first()[0] or 0
     n = int(total // block_bytes) + 1
     at = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))

@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from helpers import ALNUM_WORD, AWKWARD, UP, collect, frame, sentence
-from layerwise.llm.decontam import contamination
+from layerwise.llm.decontam import contamination, item_blocks
 
 ITEMS = [(1, " ".join(AWKWARD[0][1].split()[20:45])), (2, "four words ONLY"), (3, None), (4, "..."), (None, AWKWARD[10][1][:200]), (5, "one"),
          (6, sentence(12, 77)), (1, sentence(15, 5)), (7, "only here")]
@@ -43,3 +43,10 @@ def test_empty_tables(spark):
     assert contamination(frame(spark, []).limit(0), items).count() == 0
     got = collect(contamination(frame(spark), items.limit(0)), *COLUMNS)
     assert got == brute(AWKWARD, [])
+
+
+def test_repeated_items_do_not_swell_a_block(spark):
+    items = spark.createDataFrame(ITEMS + [(6, ITEMS[6][1])] * 500 + [(None, None)] * 20, "item_id long, text string")
+    assert collect(contamination(frame(spark), items), *COLUMNS) == brute(AWKWARD, ITEMS)
+    blocks = list(item_blocks(items, 200))
+    assert sorted(map(str, (x for b in blocks for x in b))) == sorted(str(x) for x in ITEMS if x[1] is not None)
