@@ -10,8 +10,10 @@ titles and the last letter of each name, which carry gender, stay, as do country
 Distinctness is checked over the whole table: where two entities of a type draw one surrogate, or a
 surrogate is some real entity of the corpus, all but the first by normal form draw again with the next
 attempt, until no collision is left.  From attempt ``WIDEN_AFTER`` on emails and names also get drawn letters in
-front, one more every second attempt, so that a free surrogate always exists; the other kinds keep their fixed
-format, and only where that space is full does the job fail.  Texts without entities are not shuffled.
+front, one more every second attempt, so that a free surrogate always exists.  The other kinds keep their fixed
+format: what still collides after ``DRAWS`` draws takes the free surrogates of its format in a keyed order, found by
+listing as many members of the format's space as are taken or wanted, so a crowded space is used to its last
+member and only a full one fails.  Texts without entities are not shuffled.
 
 Defined results: null stays null; an empty text stays empty; repeated rows are treated alike; other columns
 of the table pass unchanged whatever their names.
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwise.llm.common import materialise, prepare
+from layerwise.llm.sharding import BUCKET_ROWS, dense_rank
 
 TITLES = "Mrs|Mr|Miss|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr|Don|Doña|г-н|г-жа"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -46,7 +49,9 @@ SCRIPTS = {"Latin": "abcdefghijklmnopqrstuvwxyz", "Cyrillic": "абвгдежз
            "Armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփքօֆ", "Georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ"}  # Latin letters for any other script
 WIDENED = ["email", "person"]
 WIDEN_AFTER = 8
-MAX_ATTEMPTS = 64  # of the kinds of fixed format
+DRAWS = 8  # of the kinds of fixed format, before the free surrogates are listed
+MOST = 1 << 62  # spaces count up to here
+STEP = (1 << 31) - 1  # a prime above every letter class, so multiples of it visit a whole space
 
 
 def kind_of(written: Column) -> Column:
@@ -157,23 +162,120 @@ def _count(entities: Column, kind: str) -> Column:
     return F.size(F.filter(entities, lambda x: x["kind"] == kind))
 
 
+def _class_size(char: Column) -> Column:
+    """How many characters ``_draw`` can put in the place of ``char``."""
+    size = F.lit(len(SCRIPTS["Latin"]))
+    for name, letters in SCRIPTS.items():
+        size = F.when(char.rlike(rf"\p{{Is{name}}}"), len(letters)).otherwise(size)
+    size = F.when(char.rlike(r"\p{L}"), size).otherwise(1)
+    for letters in CLASSES:
+        size = F.when(F.instr(F.lit(letters + (letters.upper() if letters.isascii() else "")), char) > 0, len(letters)).otherwise(size)
+    return F.when(char.rlike("[0-9]"), 10).otherwise(size)
+
+
+def _drawn_places(kind: Column, norm: Column) -> tuple[Column, Column]:
+    """Places head .. tail of a fixed format that are drawn; a valid card's last digit follows from the others."""
+    head = F.when(kind == "card", 1).when(kind == "iban", 2).otherwise(0)
+    checked = (kind == "card") & (F.pmod(_luhn_sum(norm), F.lit(10)) == 0)
+    return head, F.length(norm) - checked.cast("int")
+
+
+def _format(kind: Column, norm: Column) -> Column:
+    """Name of a format: its fixed characters, and the first of the class for each drawn one."""
+    head, tail = _drawn_places(kind, norm)
+    chars = F.filter(F.split(norm, ""), lambda c: c != "")
+    places = F.transform(chars, lambda c, i: F.when((i < head) | (i >= F.length(norm)), c).otherwise(_draw(c, F.lit(0))))
+    return F.when(kind == "ip", F.lit("ip")).otherwise(F.concat(F.array_join(places, ""), F.when(tail < F.length(norm), "*").otherwise("")))
+
+
+def _space(kind: Column, norm: Column) -> Column:
+    """Members of the format's space, up to ``MOST``."""
+    head, tail = _drawn_places(kind, norm)
+    chars = F.filter(F.split(norm, ""), lambda c: c != "")
+    sizes = F.transform(chars, lambda c, i: F.when((i < head) | (i >= tail), 1).otherwise(_class_size(c)).cast("long"))
+    most = F.lit(MOST).cast("long")
+    total = F.aggregate(sizes, F.lit(1).cast("long"), lambda a, x: F.when(a >= F.floor(most / x), most).otherwise(a * x))
+    return F.when(kind == "ip", F.lit(254 ** 4).cast("long")).otherwise(total)
+
+
+def _member(kind: Column, norm: Column, number: Column) -> Column:
+    """The ``number``-th member of the space of ``norm``'s format, its places being digits of a mixed radix."""
+    head, tail = _drawn_places(kind, norm)
+    chars = F.filter(F.split(norm, ""), lambda c: c != "")
+    places = F.reverse(F.transform(chars, lambda c, i: F.struct(c.alias("c"), ((i >= head) & (i < tail)).alias("drawn"))))
+
+    def put(acc: Column, x: Column) -> Column:
+        size = F.when(x["drawn"], _class_size(x["c"])).otherwise(1).cast("long")
+        char = F.when(x["drawn"], _draw(x["c"], acc["rest"])).otherwise(x["c"])
+        return F.struct(F.call_function("div", acc["rest"], size).alias("rest"), F.concat(char, acc["out"]).alias("out"))
+    drawn = F.aggregate(places, F.struct(number.alias("rest"), F.lit("").alias("out")), put, lambda acc: acc["out"])
+    body = F.left(drawn, F.length(norm) - 1)
+    check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
+    octets = F.concat_ws(".", *[(F.pmod(F.floor(number / F.lit(254 ** i)), F.lit(254)) + 1).cast("string") for i in range(4)])
+    return F.when(kind == "ip", octets).when(tail < F.length(norm), F.concat(body, check)).otherwise(drawn)
+
+
+def free_surrogates(spark, lost: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """lost(kind, norm) of fixed formats -> (kind, norm, fake): members of each format's space that are not in taken(kind, fake).
+
+    A format that wants n surrogates lists its first n + t members in a keyed order, t being the taken ones of that kind and
+    length, so at least n of them are free unless the space ends before.  Formats of one kind may share members; the
+    caller looks for collisions again."""
+    kind, norm = F.col("kind"), F.col("norm")
+    lost = lost.select("kind", "norm", _format(kind, norm).alias("format"), F.sha2(F.concat_ws("|", F.lit(key), kind, norm), 256).alias("place"))
+    lost = materialise(spark, lost, "pii-lost", small=True)
+    size = F.when(kind == "ip", 0).otherwise(F.length("fake"))
+    used = taken.groupBy("kind", size.alias("size")).agg(F.count(F.lit(1)).alias("t"))
+    formats = lost.groupBy("kind", "format").agg(F.count(F.lit(1)).alias("n"), F.min("norm").alias("norm")) \
+        .withColumn("size", F.when(kind == "ip", 0).otherwise(F.length("norm"))).join(used, ["kind", "size"], "left") \
+        .withColumn("space", _space(kind, norm)).withColumn("listed", F.least("space", F.col("n") + F.coalesce("t", F.lit(0))))
+    formats = materialise(spark, formats.select("kind", "format", "norm", "n", "space", "listed"), "pii-formats", small=True)
+    # listed in blocks, so that one format's list is not one row's array
+    blocks = formats.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("listed") - 1, F.lit(BUCKET_ROWS)))))
+    first = F.col("block") * BUCKET_ROWS
+    listed = blocks.repartition("kind", "format", "block") \
+        .withColumn("i", F.explode(F.sequence(first, F.least(first + BUCKET_ROWS, F.col("listed")) - 1)))
+    start = F.conv(F.left(F.sha2(F.concat_ws("|", F.lit(key), kind, F.col("format")), 256), F.lit(15)), 16, 10).cast("decimal(20,0)")
+    number = F.pmod(F.col("i").cast("decimal(20,0)") * F.lit(STEP).cast("decimal(10,0)") + start, F.col("space").cast("decimal(20,0)")).cast("long")
+    listed = listed.select("kind", "format", "i", _member(kind, norm, number).alias("fake"))
+    free = materialise(spark, listed.join(taken, ["kind", "fake"], "left_anti"), "pii-free", small=True)
+    buckets = F.call_function("div", F.col("listed"), F.lit(BUCKET_ROWS)) + 1
+    sized = formats.select("kind", "format", "listed")
+    wants = dense_rank(lost.join(sized, ["kind", "format"]), ["kind", "format"], ["place"], buckets, "at")
+    gives = dense_rank(free.join(sized, ["kind", "format"]), ["kind", "format"], ["i"], buckets, "at")
+    got = wants.select("kind", "format", "norm", "at").join(gives.select("kind", "format", "at", "fake"), ["kind", "format", "at"], "left")
+    got = materialise(spark, got.select("kind", "norm", "fake"), "pii-got", small=True)
+    if not got.filter("fake is null").isEmpty():
+        raise ValueError("a surrogate space is full: it has fewer free members than entities")
+    return got
+
+
 def assign_surrogates(spark, entities: DataFrame, key: str) -> DataFrame:
     """entities(kind, norm), distinct -> (kind, norm, fake), fake distinct within its kind and never a real entity."""
     current = materialise(spark, entities.select("kind", "norm", F.lit(0).alias("attempt"))
                           .withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map", small=True)
     real = entities.select("kind", F.col("norm").alias("fake"), F.lit(True).alias("is_real"))
+    columns = ["kind", "norm", "attempt", "fake"]
     for attempt in itertools.count():
         first = current.groupBy("kind", "fake").agg(F.min("norm").alias("owner"), F.count(F.lit(1)).alias("n"))
         bad = first.join(real, ["kind", "fake"], "left").filter("n > 1 or is_real").select("kind", "fake", "owner", F.coalesce("is_real", F.lit(False)).alias("is_real"))
         bad = materialise(spark, bad, "pii-bad", small=True)
         if bad.isEmpty():
             return current.select("kind", "norm", "fake")
-        if attempt >= MAX_ATTEMPTS and not bad.filter(~F.col("kind").isin(WIDENED)).isEmpty():
-            raise ValueError("a surrogate space is too small for its distinct entities")
-        again = current.join(bad, ["kind", "fake"], "left")
-        lost = F.col("is_real") | (F.col("owner") != F.col("norm"))
-        again = again.select("kind", "norm", (F.col("attempt") + F.coalesce(lost, F.lit(False)).cast("int")).alias("attempt"))
-        current = materialise(spark, again.withColumn("fake", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-map", small=True)
+        lost = F.coalesce(F.col("is_real") | (F.col("owner") != F.col("norm")), F.lit(False))
+        again = current.join(bad, ["kind", "fake"], "left").withColumn("lost", lost).select(*columns, "lost")
+        listed = F.col("lost") & ~F.col("kind").isin(WIDENED) if attempt >= DRAWS else F.lit(False)
+        moved = again.withColumn("attempt", F.col("attempt") + F.col("lost").cast("int")).filter(~listed)
+        # those that keep theirs are not drawn again: a listed surrogate is no draw
+        fake = F.when(F.col("lost"), surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)).otherwise(F.col("fake"))
+        moved = moved.withColumn("fake", fake).select(*columns)
+        if attempt >= DRAWS:
+            again = materialise(spark, again, "pii-again", small=True)
+            taken = again.filter("not lost").select("kind", "fake").unionByName(real.select("kind", "fake")).distinct()
+            given = free_surrogates(spark, again.filter(listed).select("kind", "norm"), taken, key)
+            moved = again.filter(~listed).withColumn("attempt", F.col("attempt") + F.col("lost").cast("int")).withColumn("fake", fake).select(*columns) \
+                .unionByName(given.select("kind", "norm", F.lit(attempt).alias("attempt"), "fake"))
+        current = materialise(spark, moved, "pii-map", small=True)
 
 
 def pseudonymise(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:

@@ -62,6 +62,32 @@ def test_collisions_are_drawn_again(spark):
         pii.assign_surrogates(spark, spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, norm string"), "k")
 
 
+def test_crowded_spaces_are_used_to_the_last_member(spark, monkeypatch):
+    """50 of 100 two-digit forms leave 50 free ones; cards of one first digit share members with cards that fail the check."""
+    monkeypatch.setattr(pii, "BUCKET_ROWS", 16)
+    valid = [f"4{i:02d}{c}" for i in range(100) for c in range(10) if luhn(f"4{i:02d}{c}")]
+    rows = [("ssn", f"{i:02d}") for i in range(50)] + [("card", c) for c in valid[:50]] + [("card", f"4{i:02d}{c}") for i in range(90, 100) for c in range(10)
+                                                                                          if not luhn(f"4{i:02d}{c}")]
+    rows += [("iban", f"DEa{i}") for i in range(5)] + [("ip", f"1.2.3.{i}") for i in range(1, 40)]
+    got = pii.assign_surrogates(spark, spark.createDataFrame(rows, "kind string, norm string"), "k").collect()
+    assert sorted((r.kind, r.norm) for r in got) == sorted(rows)
+    fakes = {(r.kind, r.fake) for r in got}
+    assert len(fakes) == len(rows) and not fakes & set(rows)
+    assert {f for k, f in fakes if k == "ssn"} == {f"{i:02d}" for i in range(50, 100)}
+    assert all(luhn(r.norm) <= luhn(r.fake) and len(r.fake) == 4 and r.fake[0] == "4" for r in got if r.kind == "card")
+    assert all(re.fullmatch(r"DE[aeiou]\d", r.fake) for r in got if r.kind == "iban")
+
+
+def test_listed_members_cover_a_space_once(spark):
+    from pyspark.sql import functions as F
+    for kind, norm, size in (("ssn", "123", 1000), ("card", "4111", 1000), ("card", "4242", 100), ("iban", "DEb9", 210), ("phone", "99", 100)):
+        df = spark.range(size).select(F.lit(kind).alias("kind"), F.lit(norm).alias("norm"), "id")
+        got = df.select(pii._member(F.col("kind"), F.col("norm"), F.col("id")).alias("f"), pii._space(F.col("kind"), F.col("norm")).alias("n"),
+                        pii._format(F.col("kind"), F.col("norm")).alias("a")).collect()
+        assert {r.n for r in got} == {size} and len({r.f for r in got}) == size and len({r.a for r in got}) == 1
+        assert norm in {r.f for r in got}
+
+
 def test_whole_corpus_keeps_distinctness(spark):
     from conftest import SF01
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
