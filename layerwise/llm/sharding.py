@@ -12,8 +12,8 @@ a group that holds a third of all rows is at most one node per shard.
 3. After the rounds, what still exceeds a quota moves to shards with room.  Documents without a copy have
    no links: they fill the shards to their exact quotas.
 
-Only per-shard totals (one number per shard) reach the driver.  Ranks are built from bucket counts, so
-no rank needs all rows, or all copies of a text, in one task.
+Only per-shard totals (one number per shard) reach the driver.  Ranks and running totals are built from bucket
+counts, so none needs all rows, all copies of a text or all nodes of a shard in one task.
 
 Defined results: a null text is the empty text (size 16); repeated rows are copies like others; null ids rank first;
 fewer documents than shards leave shards empty.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from layerwise.llm.common import id_text, materialise, prepare
 
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 8192
 
 
 def dense_rank(df: DataFrame, keys: list[str], order: list[str], buckets: Column, out: str) -> DataFrame:
@@ -40,6 +40,21 @@ def dense_rank(df: DataFrame, keys: list[str], order: list[str], buckets: Column
     return numbered.join(offsets, [*keys, "_sub"]).withColumn(out, F.col("_off") + F.col("_rn") - 1).drop("_sub", "_rn", "_off")
 
 
+def running_total(df: DataFrame, key: str, level: list[Column], order: list[str], out: str) -> DataFrame:
+    """Sum of ``m`` over the rows of the same ``key`` that come before, by level, hash bucket and ``order``.
+
+    A level fixes ``m``, so a row's sum is that of the (level, bucket) cells before its own plus its number in the cell
+    times m; only the cells' counts are summed up per key."""
+    buckets = df.count() // BUCKET_ROWS + 1
+    names = [f"_l{i}" for i in range(len(level))]
+    df = df.withColumns(dict(zip(names, level))).withColumn("_sub", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    cell = [key, *names, "_sub"]
+    before = W.partitionBy(key).orderBy(*names, "_sub").rowsBetween(W.unboundedPreceding, -1)
+    cells = df.groupBy(*cell).agg(F.sum("m").alias("_m")).select(*cell, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_off"))
+    numbered = df.withColumn("_rn", F.row_number().over(W.partitionBy(*cell).orderBy(*order)) - 1)
+    return numbered.join(cells, cell).withColumn(out, F.col("_off") + F.col("_rn") * F.col("m")).drop(*names, "_sub", "_rn", "_off")
+
+
 def _totals(nodes: DataFrame, shards: int) -> list[int]:
     got = {r["s"]: r["m"] for r in nodes.groupBy("s").agg(F.sum("m").alias("m")).collect()}  # one row per shard
     return [int(got.get(s, 0)) for s in range(shards)]
@@ -60,8 +75,8 @@ def propagate_round(nodes: DataFrame, quotas: list[int]) -> DataFrame:
     best = room.filter("room > 0").groupBy("g").agg(F.max(F.struct("m", F.xxhash64("g", "s").alias("tie"), "s", "room")).alias("b")) \
         .select("g", F.col("b.s").alias("t"), F.col("b.m").alias("mt"), F.col("b.tie").alias("tt"), F.col("b.room").alias("rt"))
     movers = nodes.join(best, "g").filter((F.col("s") != F.col("t")) & (F.struct("m", F.xxhash64("g", "s")) < F.struct("mt", "tt")))
-    line = W.partitionBy("t").orderBy(F.desc("mt"), F.desc("m"), "g", "s").rowsBetween(W.unboundedPreceding, -1)
-    movers = movers.withColumn("before", F.coalesce(F.sum("m").over(line), F.lit(0)))
+    movers = materialise(nodes.sparkSession, movers.select("g", "s", "m", "t", "mt", "rt"), "shard-movers", small=True)
+    movers = running_total(movers, "t", [-F.col("mt"), -F.col("m")], ["g", "s"], "before")
     moved = F.greatest(F.lit(0).cast("long"), F.least(F.col("m"), F.col("rt") - F.col("before")))
     return movers.select("g", "s", "m", "t", moved.alias("moved")).filter("moved > 0")
 
@@ -79,8 +94,8 @@ def shed_excess(nodes: DataFrame, quotas: list[int]) -> DataFrame:
     room = [max(0, q - t) for q, t in zip(quotas, totals)]
     starts = [sum(over[:s]) for s in range(len(over))]
     ends = [sum(room[:s + 1]) for s in range(len(room))]
-    line = W.partitionBy("s").orderBy("m", "g").rowsBetween(W.unboundedPreceding, -1)
-    leaving = nodes.withColumn("before", F.coalesce(F.sum("m").over(line), F.lit(0))).withColumn("over", F.get(_numbers(over), F.col("s")))
+    leaving = nodes.withColumn("over", F.get(_numbers(over), F.col("s"))).filter("over > 0")
+    leaving = running_total(leaving, "s", [F.col("m")], ["g"], "before")
     leaving = leaving.withColumn("n", F.least("m", F.col("over") - F.col("before"))).filter("n > 0") \
         .withColumn("p", F.get(_numbers(starts), F.col("s")) + F.col("before"))
     leaving = leaving.select("g", "s", "p", "n", F.explode(F.sequence(F.lit(0), F.lit(len(quotas) - 1))).alias("t"))

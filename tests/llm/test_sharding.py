@@ -38,6 +38,17 @@ def test_groups_stay_together_and_a_hot_group_fills_shards(spark, monkeypatch):
     assert sum(len(where[sentence(5, j)]) for j in range(20)) <= 24
 
 
+def test_running_totals_follow_levels(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 8)
+    rows = [(i % 3, f"g{i}", (i * 7) % 5 + 1) for i in range(200)]
+    from pyspark.sql import functions as F
+    got = sharding.running_total(spark.createDataFrame(rows, "t int, g string, m long"), "t", [-F.col("m")], ["g"], "before").collect()
+    for t in range(3):
+        line = sorted((r.before, r.m) for r in got if r.t == t)
+        assert [m for _, m in line] == sorted((m for k, _, m in rows if k == t), reverse=True)
+        assert [b for b, _ in line] == [sum(m for _, m in line[:i]) for i in range(len(line))]
+
+
 def test_only_groups(spark):
     """No single documents to fill with: the excess is shed exactly."""
     rows = [(i, f"g{i % 7}") for i in range(100)]
