@@ -273,6 +273,88 @@ def lstm_score(df: DataFrame, key: str, order: Sequence[str], features_col: str,
     return src.mapInArrow(run, schema)
 
 
+def lstm_score_segments(df: DataFrame, key: str, order: Sequence[str], features_col: str, params: dict,
+                        units: int, segment: int = 1 << 16, out_activation: str = "softmax", keep: Sequence[str] = (),
+                        out_col: str = "out", path: str | None = None, rounds: int | None = None) -> DataFrame:
+    """``lstm_score`` by segments of ``segment`` steps: one job scores segment r of all series at once and writes, with the
+    outputs, the state (h, c) of each series that ends the segment; the next job starts from those states.
+
+    A key that holds a third of all rows is ``segment`` rows of a job, beside the other keys' rows, and what a lost executor
+    costs is its part of one segment. With ``path`` (a folder of the shared storage) a later call goes on after the last
+    segment that is written there; ``rounds`` stops a call after so many segments. Steps follow ``positions``."""
+    from ..session import path_exists, scratch_path
+    from .scoring import to_list_array, to_matrix
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "lstm-segments")
+    keep = [c for c in keep if c != key]
+    if not path_exists(spark, f"{path}/series/_SUCCESS"):
+        cols = list(dict.fromkeys([key, *order, *keep, features_col]))
+        placed = positions(df.select(*cols), key, order, pos_col="step").select(key, *keep, features_col, "step")
+        placed = placed.withColumn("_segment", F.floor(F.col("step") / F.lit(segment)).cast("int"))
+        placed.repartition("_segment", key).sortWithinPartitions("_segment").write.mode("overwrite").partitionBy("_segment").parquet(f"{path}/series")
+    names = [key, *keep, "step", out_col, "state"]
+    schema = T.StructType([df.schema[key], *[df.schema[c] for c in keep], T.StructField("step", T.LongType()),
+                           T.StructField(out_col, T.ArrayType(T.DoubleType())), T.StructField("state", T.ArrayType(T.DoubleType()))])
+    if df.isEmpty():
+        return spark.createDataFrame([], schema).drop("state")
+    read = T.StructType([df.schema[key], *[df.schema[c] for c in keep], df.schema[features_col],
+                         T.StructField("step", T.LongType()), T.StructField("_segment", T.IntegerType())])
+    series = spark.read.schema(read).parquet(f"{path}/series")
+    p = {k: np.asarray(v, dtype=float) for k, v in params.items()}
+    n_in, n_out = p["Wx"].shape[0], p["Wo"].shape[1]
+
+    def run(batches):
+        held = {}  # states of series whose next rows are still to come
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            last = rb.column(key)[rb.num_rows - 1].as_py()
+            given = rb.column("state").is_valid().to_numpy(zero_copy_only=False)
+            states = rb.filter(pa.array(given))
+            for k, s in zip(states.column(key).to_pylist(), states.column("state").to_pylist()):
+                held[k] = (np.array(s[:units]), np.array(s[units:]))
+            rb = rb.filter(pa.array(~given))
+            n = rb.num_rows
+            if n:
+                keys = np.asarray([*rb.column(key).to_pylist(), None], dtype=object)[:-1]
+                x = to_matrix(rb.column(features_col), n_in)
+                change = np.ones(n, dtype=bool)
+                change[1:] = keys[1:] != keys[:-1]
+                starts = np.flatnonzero(change)
+                lens = np.diff(np.append(starts, n))
+                zero = (np.zeros(units), np.zeros(units))
+                H = np.array([held.get(keys[i], zero)[0] for i in starts])
+                C = np.array([held.get(keys[i], zero)[1] for i in starts])
+                outs, step = np.empty((n, n_out)), rb.column("step").to_numpy()
+                ends, after = (step + 1) % segment == 0, [None] * n
+                for t in range(int(lens.max())):
+                    act = np.flatnonzero(lens > t)
+                    rows = starts[act] + t
+                    h, c = K.lstm_step(x[rows], H[act], C[act], p["Wx"], p["Wh"], p["b"], p["peep"])
+                    H[act], C[act] = h, c
+                    outs[rows] = K.activate(np.concatenate([x[rows], h], axis=1) @ p["Wo"] + p["bo"], out_activation)
+                    for j in np.flatnonzero(ends[rows]):
+                        after[rows[j]] = [*h[j], *c[j]]
+                for i, k in enumerate(keys[starts]):
+                    held[k] = (H[i].copy(), C[i].copy())
+                yield pa.RecordBatch.from_arrays([rb.column(key), *[rb.column(k) for k in keep], pa.array(step), to_list_array(outs),
+                                                  pa.array(after, pa.list_(pa.float64()))], names=names)
+            held = {k: v for k, v in held.items() if k == last}  # rows are sorted by key
+
+    n_segments = series.agg(F.max("_segment")).first()[0] + 1
+    none = F.lit(None)
+    for r in range(n_segments if rounds is None else min(rounds, n_segments)):
+        if path_exists(spark, f"{path}/steps/_segment={r}/_SUCCESS"):
+            continue
+        rows = series.filter(F.col("_segment") == r).drop("_segment").withColumn("state", none.cast("array<double>"))
+        if r:
+            before = spark.read.schema(schema).parquet(f"{path}/steps/_segment={r - 1}").filter("state is not null")
+            rows = rows.unionByName(before.select(key, *[none.cast(df.schema[c].dataType).alias(c) for c in keep],
+                                                  none.cast(df.schema[features_col].dataType).alias(features_col), "step", "state"))
+        rows.repartition(key).sortWithinPartitions(key, "step").mapInArrow(run, schema).write.mode("overwrite").parquet(f"{path}/steps/_segment={r}")
+    return spark.read.schema(schema).parquet(f"{path}/steps").drop("state")
+
+
 def lstm_reference(xs: np.ndarray, params: dict, units: int, out_activation: str = "softmax") -> np.ndarray:
     """Step-by-step NumPy reference for one series (tests)."""
     h, c = np.zeros((1, units)), np.zeros((1, units))

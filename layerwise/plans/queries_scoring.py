@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash01
 from ..operators import image_ops as I
+from ..operators import image_tiles
 from ..operators import prep, sequence
 from ..operators import scoring as S
 from ..operators.evaluation import class_metrics, confusion, merge_confusions, partial_confusions, summary
@@ -138,6 +139,41 @@ def scr05(spark, sf_dir):
     return _rounded(_explode(v.select("id", I.lrn("features", 4, 4, 4).alias("out")), ["id"], "out"), ["value"])
 
 
+@register("scr05_tiled_conv_lrn_pool", f"""
+WITH p AS ({_img_rows(IMG8, 'px', 8, 8)}), c AS ({Q.conv('p', 0, 2, 3, 3, 1, 1, 1, 8, 8)}),
+s AS (SELECT a.id, a.c, a.y, a.x, a.v, sum(b.v * b.v) AS ss FROM c a JOIN c b
+      ON a.id = b.id AND a.y = b.y AND a.x = b.x AND abs(a.c - b.c) <= 2 GROUP BY a.id, a.c, a.y, a.x, a.v),
+o AS (SELECT id, c, y, x, v / pow(2.0::DOUBLE + 0.0001::DOUBLE * ss, 0.75::DOUBLE) AS v FROM s),
+q AS ({Q.pool('o', 3, 2, 3, 3)}) {Q.flat('q', 3, 3, val='round(v, 6)')}""")
+def scr05_tiled(spark, sf_dir):
+    grid = image_tiles.Grid(1, 8, 8, 3, 3)
+    net = Net.sequential((1, 8, 8), [conv2d(2, (3, 3), (1, 1), (0, 0), "same")]).fixed_init()
+    tiles = image_tiles.cut_tiles(fx.image8(spark, sf_dir), "id", "px", grid)
+    tiles, grid = image_tiles.conv2d_tiles(tiles, "id", grid, *_weights(net), mode="same", tile=(4, 3))
+    tiles, grid = image_tiles.lrn_tiles(tiles, "id", grid)
+    tiles, grid = image_tiles.pool2d_tiles(tiles, "id", grid, (3, 3), (2, 2), tile=(2, 2))
+    return _rounded(image_tiles.tile_values(tiles, "id", grid), ["value"])
+
+
+# twelve vectors make an image of 3 channels and 2 x 2 tiles of 8 x 8 places
+@register("scr03_tiled_conv_11x11x3_stride4", f"""
+WITH whole AS (SELECT vec_id // 12 AS id FROM embeddings GROUP BY 1 HAVING count(*) = 12),
+e AS (SELECT vec_id // 12 AS id, (vec_id % 12) // 4 AS ch, vec_id % 4 AS q, generate_subscripts(embedding, 1) - 1 AS k,
+             round(unnest(embedding)::DOUBLE * 256) / 256 AS v FROM embeddings),
+p AS (SELECT id, ch AS c, (q // 2) * 8 + k // 8 AS y, (q % 2) * 8 + k % 8 AS x, v FROM e WHERE id IN (SELECT id FROM whole)),
+c AS ({Q.conv('p', 0, 4, 11, 11, 4, 2, 2, 3, 3)}) {Q.flat('c', 3, 3, val='round(v, 6)')}""")
+def scr03_tiled(spark, sf_dir):
+    v = fx.vectors64(spark, sf_dir)
+    tile = F.col("id") % 4
+    tiles = v.groupBy(F.floor(F.col("id") / 12).cast("bigint").alias("image"), F.floor(tile / 2).cast("int").alias("ty"), (tile % 2).cast("int").alias("tx")) \
+        .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("id", "features"))), lambda r: r["features"])).alias("px"))
+    whole = v.groupBy(F.floor(F.col("id") / 12).cast("bigint").alias("image")).agg(F.count(F.lit(1)).alias("n")).filter("n = 12").select("image")
+    net = Net.sequential((3, 16, 16), [conv2d(4, (11, 11), (4, 4), (2, 2), "truncate")]).fixed_init()
+    tiles = tiles.join(whole, "image").withColumnRenamed("image", "id")
+    tiles, grid = image_tiles.conv2d_tiles(tiles, "id", image_tiles.Grid(3, 16, 16, 8, 8), *_weights(net), stride=(4, 4), padding=(2, 2), tile=(2, 2))
+    return _rounded(image_tiles.tile_values(tiles, "id", grid), ["value"])
+
+
 @register("scr06_batchnorm_fit", f"""
 WITH p AS ({_img_rows(V64, 'x', 4, 4)}),
 st AS (SELECT c, avg(v) AS m, var_pop(v) AS s2 FROM p GROUP BY c),
@@ -257,6 +293,13 @@ def scr10(spark, sf_dir):
     return _rounded(_explode(out, ["user_id", "event_id", "step"], "out"), ["value"])
 
 
+@register("scr10_lstm_segments", _lstm_sql())
+def scr10_segments(spark, sf_dir):
+    s = fx.user_series(spark, sf_dir)
+    out = sequence.lstm_score_segments(s, "user_id", ["ts", "event_id"], "features", sequence.lstm_params(5, 5, 5), units=5, segment=32, keep=["event_id"])
+    return _rounded(_explode(out, ["user_id", "event_id", "step"], "out"), ["value"])
+
+
 CONV1D_W = np.array([[fixed_weight(0, d, o) for d in range(3)] for o in range(2)])
 CONV1D_B = np.array([((o * 5) % 9 - 4) / 64.0 for o in range(2)])
 

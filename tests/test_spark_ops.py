@@ -103,6 +103,50 @@ def test_lstm_state_crosses_arrow_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_lstm_segments_equal_the_whole_and_go_on_after_a_stop(spark):
+    import os
+    from layerwise.session import local_fs_path, scratch_path
+    s = fx.user_series(spark, SF).withColumn("user_id", F.when(F.col("user_id") % 5 != 0, F.col("user_id")))
+    params, path = sequence.lstm_params(5, 5, 5), scratch_path(spark, "segments-test")
+    args = (s, "user_id", ["ts", "event_id"], "features", params, 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        want = {r.event_id: (r.step, r.out) for r in sequence.lstm_score(*args, keep=["event_id"]).collect()}
+        part = sequence.lstm_score_segments(*args, segment=20, keep=["event_id"], path=path, rounds=2).collect()
+        assert {r.step for r in part} == set(range(40))
+        first = f"{local_fs_path(path)}/steps/_segment=0"
+        files = sorted(os.listdir(first))
+        got = {r.event_id: (r.step, r.out) for r in sequence.lstm_score_segments(*args, segment=20, keep=["event_id"], path=path).collect()}
+        assert sorted(os.listdir(first)) == files  # what was written is not scored again
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and np.allclose(got[k][1], want[k][1]) for k in want)
+    assert sequence.lstm_score_segments(s.limit(0), *args[1:]).count() == 0
+
+
+@pytest.mark.parametrize("shape,tile,out_tile,kernel,stride,padding,mode", [
+    ((2, 7, 5), (3, 2), (2, 3), (3, 3), (1, 1), (1, 1), "truncate"), ((1, 9, 9), (2, 2), (1, 4), (2, 2), (3, 3), (0, 0), "truncate"),
+    ((3, 6, 8), (4, 8), None, (5, 3), (2, 1), (0, 0), "same")])
+def test_tiled_layers_equal_whole_images(spark, shape, tile, out_tile, kernel, stride, padding, mode):
+    from layerwise.operators import image_ops, image_tiles
+    c, h, w = shape
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=c * h * w).tolist()) for i in range(3)] + [(None, rng.normal(size=c * h * w).tolist()), (9, None)]
+    df = spark.createDataFrame(rows, "id long, px array<double>")
+    weights, bias = rng.normal(size=(2, c, *kernel)), rng.normal(size=2)
+    tiles = image_tiles.cut_tiles(df, "id", "px", image_tiles.Grid(*shape, *tile))
+    for (got, grid), want in (
+            (image_tiles.conv2d_tiles(tiles, "id", image_tiles.Grid(*shape, *tile), weights, bias, stride, padding, mode, out_tile),
+             image_ops.conv2d("px", c, h, w, weights, bias, stride, padding, mode)),
+            (image_tiles.pool2d_tiles(tiles, "id", image_tiles.Grid(*shape, *tile), kernel, stride, padding, mode, "max", out_tile),
+             image_ops.pool2d("px", c, h, w, kernel, stride, padding, mode))):
+        found = {(r.id, r.i): r.value for r in image_tiles.tile_values(got, "id", grid).collect()}
+        whole = {(r.id, i): v for r in df.select("id", want.alias("o")).collect() if r.o is not None for i, v in enumerate(r.o)}
+        assert found.keys() == whole.keys()
+        assert all(np.isclose(found[k], whole[k]) for k in whole)
+
+
 def _numpy_averaging(x, y, ids, seed, W, b, F_, updater, n_params_net, spec=None):
     """Independent NumPy simulation of the averaging semantics (survey 7.4)."""
     keyed = [(hashlib.md5(f"{seed}|{i}".encode()).hexdigest(), i, r) for r, i in enumerate(ids)]
