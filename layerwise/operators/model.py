@@ -157,6 +157,15 @@ class Net:
     def n_params(self) -> int:
         return int(sum(np.prod(s) for _, _, s in self.param_keys()))
 
+    def products(self) -> int:
+        """Multiplications of one row's forward pass: weights times the places they are used at."""
+        n = 0
+        for v in self.vertices:
+            size = int(np.prod(self.shapes[v.name]))
+            w = self.param_shapes(v).get("W")
+            n += size if w is None else size * (int(np.prod(w)) // v.layer.n_out)
+        return n
+
     def nbytes(self) -> int:
         return 8 * self.n_params()
 

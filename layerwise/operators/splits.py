@@ -197,10 +197,11 @@ def split_frames(df: DataFrame, id_col: str, weights: Sequence[float], seed, tie
 
 def assign_batches(df: DataFrame, id_col: str, size: int, seed,
                    partition_cols: Sequence[str] = (), n_groups: int | None = None,
-                   batch_col: str = "batch_id") -> DataFrame:
-    """PRE-09: batch_id = floor(rank / size) in seeded order; the last batch may be short."""
-    r = ranked(df, id_col, seed, partition_cols=partition_cols, n_groups=n_groups, rank_col="_rank")
-    return r.withColumn(batch_col, F.floor(F.col("_rank") / F.lit(size)).cast("bigint")).drop("_rank")
+                   batch_col: str = "batch_id", rank_col: str | None = None) -> DataFrame:
+    """PRE-09: batch_id = floor(rank / size) in seeded order; the last batch may be short. The rank stays as ``rank_col``."""
+    r = ranked(df, id_col, seed, partition_cols=partition_cols, n_groups=n_groups, rank_col=rank_col or "_rank")
+    r = r.withColumn(batch_col, F.floor(F.col(rank_col or "_rank") / F.lit(size)).cast("bigint"))
+    return r if rank_col else r.drop("_rank")
 
 
 BLOCK_ROWS = 1 << 20   # rows of a shuffled table's block, one file

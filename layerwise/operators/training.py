@@ -6,7 +6,9 @@
 * ``fit_averaging``: each worker (md5 bucket of the id) runs F mini-batches from
   the common parameters; the workers' parameters and updater state are averaged.
   The prepared table is written once, partitioned by round block, so a round reads
-  only its own rows, and lineage never grows with the number of rounds.
+  only its own rows, and lineage never grows with the number of rounds.  Rounds of little
+  arithmetic, which a job of its own would take longer to start than to run, run a bounded
+  block to a task; rounds of much arithmetic are a job each, with the workers in tasks of their own.
 """
 
 from __future__ import annotations
@@ -36,12 +38,16 @@ FAN_IN = 16   # first-level groups of partial vectors per chunk
 ROUNDS_PER_BLOCK = 64
 DRIVER_AVERAGE_BYTES = 1 << 26  # workers x parameters below this are averaged after one collect
 CACHE_ROUNDS_BYTES = 1 << 33    # prepared round tables up to this size are persisted co-located
+ROUND_PRODUCTS = 1 << 30        # rounds of fewer multiplications (about a second's work) run in blocks, one task a block
+BLOCK_BYTES = 1 << 24           # features and labels of such a block
 
 
 # ---------------------------------------------------------------- losses and penalties (TRN-01)
 
 def penalty(net: Net, l1: float = 0.0, l2: float = 0.0) -> float:
     s = 0.0
+    if not (l1 or l2):
+        return s
     for k in net.weight_keys():
         w = net.params[k]
         s += l1 * float(np.abs(w).sum()) + 0.5 * l2 * float((w * w).sum())
@@ -305,15 +311,32 @@ def _worker_step(model: Net, spec: FitSpec, w: np.ndarray, s: np.ndarray, keys,
     return w2, s2, loss + penalty(model, spec.l1, spec.l2)
 
 
-def prepare_rounds(df: DataFrame, id_col: str, spec: FitSpec, epoch: int = 0) -> DataFrame:
-    """Worker, batch and round columns (TRN-03 fixed semantics, section 7.4 of the survey)."""
+def prepare_rounds(df: DataFrame, id_col: str, spec: FitSpec, epoch: int = 0, block: int = ROUNDS_PER_BLOCK) -> DataFrame:
+    """Worker, rank inside the worker, batch and round columns (TRN-03 fixed semantics, section 7.4 of the survey)."""
     seed = spec.seed + (epoch if spec.reshuffle_each_epoch else 0)
     d = df.withColumn("worker_id", (md5_int(seed, id_col) % F.lit(spec.workers)).cast("int"))
     d = assign_batches(d, id_col, spec.batch, seed, partition_cols=["worker_id"], n_groups=spec.workers,
-                       batch_col="batch_idx")
+                       batch_col="batch_idx", rank_col="_rank")
     d = d.withColumn("round", (F.col("batch_idx") / F.lit(spec.frequency)).cast("bigint"))
-    return d.withColumn("round_block", (F.col("round") / F.lit(ROUNDS_PER_BLOCK)).cast("bigint")) \
-            .withColumn("_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string"))))
+    return d.withColumn("round_block", (F.col("round") / F.lit(block)).cast("bigint"))
+
+
+def rounds_together(net: Net, spec: FitSpec, widths: dict, n_classes: dict) -> int:
+    """Rounds of a block that one task runs; 0 where a round has work enough for a job of its own, a task per worker."""
+    rows = spec.workers * spec.frequency * spec.batch
+    if rows * net.products() > ROUND_PRODUCTS:
+        return 0
+    return BLOCK_BYTES // (rows * 8 * (sum(widths.values()) + sum(n_classes.values())))
+
+
+def _block_table(spark, src: DataFrame, id_col: str, spec: FitSpec, epoch: int, block: int):
+    """Write the epoch's round table once, one file a block of rounds; return (table, number of rounds, path)."""
+    path = scratch_path(spark, f"rounds-e{epoch}")
+    prep = prepare_rounds(src, id_col, spec, epoch, block)
+    prep.drop("batch_idx").repartition("round_block").write.mode("overwrite").partitionBy("round_block").parquet(path)
+    data = spark.read.schema(prep.drop("batch_idx").schema).parquet(path)
+    last = data.agg(F.max("round")).first()[0]
+    return data, 0 if last is None else int(last) + 1, path
 
 
 def _round_table(spark, src: DataFrame, id_col: str, spec: FitSpec, epoch: int):
@@ -377,12 +400,44 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     src = spark.read.parquet(src_path)
     data = None
     co_located = False
+    together = rounds_together(net, spec, widths, n_classes)
     for epoch in range(spec.epochs):
         if data is None or spec.reshuffle_each_epoch:
             if data is not None:
                 data.unpersist()
                 drop_scratch(spark, rounds_path)
-            data, n_rounds, co_located, rounds_path = _round_table(spark, src, id_col, spec, epoch)
+            if together:
+                data, n_rounds, rounds_path = _block_table(spark, src, id_col, spec, epoch, together)
+            else:
+                data, n_rounds, co_located, rounds_path = _round_table(spark, src, id_col, spec, epoch)
+        if together:
+            first = max(start_round - done, 0)
+            end = n_rounds if stop_round is None else min(n_rounds, stop_round - done)
+            done += n_rounds
+            for block in range(first // together, math.ceil(end / together)):
+                span = (max(first, block * together), min(end, (block + 1) * together))
+                if span[0] >= span[1]:
+                    continue
+                shipped = Net(net.inputs, net.vertices, net.outputs)
+                shipped.params = dict(net.params)
+                shipped.fit_state = state
+                get, release = ship_releasable(spark, shipped)
+                elapsed = int((time.time() - t0) * 1000)
+                rows = data.filter(F.col("round_block") == F.lit(block)).coalesce(1)
+                found = rows.mapInArrow(_make_block(get, iteration, span, n_rounds, spec, id_col, dict(features), dict(labels),
+                                                    dict(n_classes), widths), _BLOCK_RESULT).toArrow()
+                release()
+                found = found.sort_by("chunk").to_pylist()
+                vec = np.concatenate([np.asarray(row["vals"]) for row in found if row["chunk"] >= 0])
+                net.set_flat(vec[:n_par])
+                state = vec[n_par:]
+                iteration = found[-1]["iteration"]
+                for row in sorted((row for row in found if row["chunk"] < 0), key=lambda row: row["round"]):
+                    rec = (run, epoch, row["round"], row["iteration"], row["score"], elapsed + row["ms"])
+                    metrics.append(rec)
+                    if listener is not None:
+                        listener(rec)
+            continue
         for r in range(n_rounds):
             done += 1
             if done <= start_round or (stop_round is not None and done > stop_round):
@@ -425,11 +480,7 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
             iteration += int(summed[0]["nb"])
             score = summed[0]["loss"] / n_workers
             rec = (run, epoch, r, iteration, float(score), int((time.time() - t0) * 1000))
-            if spec.score_every_iterations:
-                due = iteration // spec.score_every_iterations > base_iter // spec.score_every_iterations
-            else:
-                due = r % max(spec.score_every, 1) == 0
-            if due or r == n_rounds - 1:
+            if _due(spec, r, n_rounds, base_iter, iteration):
                 metrics.append(rec)
                 if listener is not None:
                     listener(rec)
@@ -442,6 +493,15 @@ def fit_averaging(df: DataFrame, net: Net, id_col: str, features: dict | str, la
     return net, mdf, state
 
 
+def _due(spec: FitSpec, r: int, n_rounds: int, before: int, after: int) -> bool:
+    """Whether round r, which led from iteration ``before`` to ``after``, has a metrics row."""
+    if r == n_rounds - 1:
+        return True
+    if spec.score_every_iterations:
+        return after // spec.score_every_iterations > before // spec.score_every_iterations
+    return r % max(spec.score_every, 1) == 0
+
+
 def cache_limit(spark) -> int:
     try:
         return int(spark.conf.get("spark.layerwise.cacheRoundsBytes"))
@@ -476,7 +536,7 @@ def _as_table(train):
 def _make_train(_get, _base, n_par, keys, spec, id_col, feats, labs, ks, widths):
     """One worker's part of a round: F mini-batches from the common parameters, on Arrow data.
 
-    The worker's rows are sorted once by (batch, md5 key, id), turned into whole matrices,
+    The worker's rows are sorted once by rank (md5 key, id), turned into whole matrices,
     and each mini-batch is a slice of them.
     """
     import pyarrow.compute as pc
@@ -484,8 +544,7 @@ def _make_train(_get, _base, n_par, keys, spec, id_col, feats, labs, ks, widths)
     def train(tbl: pa.Table) -> pa.RecordBatch:
         given = _get()
         model = given.copy()
-        order = pc.sort_indices(tbl, sort_keys=[("batch_idx", "ascending"), ("_key", "ascending"),
-                                                (id_col, "ascending")])
+        order = pc.sort_indices(tbl, sort_keys=[("_rank", "ascending")])
         tbl = tbl.take(order).combine_chunks()
         bidx = tbl.column("batch_idx").to_numpy()
         starts = np.flatnonzero(np.r_[True, bidx[1:] != bidx[:-1]])
@@ -512,6 +571,167 @@ def _make_train(_get, _base, n_par, keys, spec, id_col, feats, labs, ks, widths)
     return train
 
 
+# ---------------------------------------------------------------- blocks of rounds in one task
+
+_BLOCK_RESULT = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("vals", T.ArrayType(T.DoubleType())),
+                              T.StructField("round", T.IntegerType()), T.StructField("iteration", T.LongType()),
+                              T.StructField("score", T.DoubleType()), T.StructField("ms", T.LongType())])
+
+
+class _Copies:
+    """The workers' copies of a net whose vertices are dense layers: one mini-batch step of all of them in array
+    operations over a leading axis of copies, with the arithmetic of ``_worker_step``."""
+
+    def __init__(self, net: Net, spec: FitSpec, n: int):
+        self.net, self.spec, self.n = net, spec, n
+        keys = net.param_keys()
+        sizes = [int(np.prod(shp)) for _, _, shp in keys]
+        ends = np.cumsum(sizes)
+        self.w, self.g = np.zeros((n, net.n_params())), np.zeros((n, net.n_params()))
+        at = [slice(e - s, e) for s, e in zip(sizes, ends)]
+        self.p = {(a, b): self.w[:, i].reshape(n, *shp) for (a, b, shp), i in zip(keys, at)}
+        self.gp = {(a, b): self.g[:, i].reshape(n, *shp) for (a, b, shp), i in zip(keys, at)}
+        self.is_weight = np.concatenate([np.full(s, float(b == "W")) for (_, b, _), s in zip(keys, sizes)])
+        self.is_bias = np.concatenate([np.full(s, b == "b") for (_, b, _), s in zip(keys, sizes)])
+
+    @staticmethod
+    def able(net: Net, spec: FitSpec) -> bool:
+        layers = [v.layer for v in net.vertices if v.layer is not None]
+        return (not spec.renorm_l2 and all(v.op in ("layer", "merge") for v in net.vertices)
+                and all(lay.kind in ("dense", "output") and lay.keep >= 1.0 for lay in layers)
+                and all(len(s) == 1 for s in net.inputs.values()) and set(net.params) == {(a, b) for a, b, _ in net.param_keys()})
+
+    def start(self, w: np.ndarray, s: np.ndarray):
+        self.w[:] = w
+        self.s = np.broadcast_to(s, (self.n, s.size))
+
+    def step(self, feeds: dict, labels: dict, iteration: int, scored: bool):
+        """One step on (copies, rows, width) arrays; the copies' scores where asked for."""
+        n, spec, p = self.n, self.spec, self.p
+        rows = next(iter(feeds.values())).shape[1]
+        vals, zs = {k: x.reshape(n * rows, -1) for k, x in feeds.items()}, {}
+        for v in self.net.vertices:
+            if v.op == "merge":
+                vals[v.name] = np.concatenate([vals[i] for i in v.inputs], axis=1)
+                continue
+            z = np.matmul(vals[v.inputs[0]].reshape(n, rows, -1), p[(v.name, "W")]) + p[(v.name, "b")][:, None, :]
+            zs[v.name] = z.reshape(n * rows, -1)
+            vals[v.name] = K.activate(zs[v.name], v.layer.activation)
+        grads, score = {}, 0.0
+        for o in self.net.outputs:
+            lay, y = self.net._vertex(o).layer, labels[o].reshape(n * rows, -1)
+            if scored:
+                score = score + K.loss_rows(vals[o], y, lay.loss or "mse")
+            grads[o] = ("z", K.loss_grad_z(zs[o], vals[o], y, lay.loss or "mse", lay.activation) / rows)
+        if scored:
+            score = score.reshape(n, rows).mean(axis=1)
+            if spec.l1 or spec.l2:
+                ww = self.w * self.is_weight
+                score = score + spec.l1 * np.abs(ww).sum(axis=1) + 0.5 * spec.l2 * (ww * ww).sum(axis=1)
+        for v in reversed(self.net.vertices):
+            if v.name not in grads:
+                continue
+            kind, g = grads.pop(v.name)
+            if v.op == "merge":
+                off = 0
+                for i in v.inputs:
+                    width = vals[i].shape[1]
+                    if i not in self.net.inputs:
+                        Net._acc(grads, i, g[:, off:off + width])
+                    off += width
+                continue
+            dz = g if kind == "z" else K.activate_grad(zs[v.name], vals[v.name], g, v.layer.activation)
+            dz, src = dz.reshape(n, rows, -1), v.inputs[0]
+            np.matmul(vals[src].reshape(n, rows, -1).transpose(0, 2, 1), dz, out=self.gp[(v.name, "W")])
+            np.sum(dz, axis=1, out=self.gp[(v.name, "b")])
+            if src not in self.net.inputs:
+                Net._acc(grads, src, np.matmul(dz, p[(v.name, "W")].transpose(0, 2, 1)).reshape(n * rows, -1))
+        g = self.g
+        if spec.l1 or spec.l2:
+            g = g + self.is_weight * (spec.l2 * self.w + spec.l1 * np.sign(self.w))
+        rate = spec.updater.rate(iteration)
+        if spec.updater.bias_lr is not None:
+            rate = np.where(self.is_bias, spec.updater.rate(iteration, True), rate)
+        self.w[:], self.s = spec.updater.step(self.w, g, self.s, rate)
+        return score
+
+
+def _make_block(get, iteration, span, n_rounds, spec, id_col, feats, labs, ks, widths):
+    """mapInArrow body: the rows of the rounds ``span`` of all workers in, parameters, state and metrics rows out.
+
+    A worker's rows lie in rank order, so batch b of round r is a slice. Rounds in which all workers have full batches
+    run on arrays of all copies where the net allows it, others worker by worker."""
+
+    def run(batches):
+        t0 = time.time()
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        tbl = pa.Table.from_batches(parts)
+        tbl = tbl.take(np.lexsort((tbl.column("_rank").to_numpy(), tbl.column("worker_id").to_numpy()))).combine_chunks()
+        worker, rank = tbl.column("worker_id").to_numpy(), tbl.column("_rank").to_numpy()
+        begin = np.flatnonzero(np.r_[True, worker[1:] != worker[:-1]])
+        stop = np.r_[begin[1:], len(worker)]
+        zero = begin - rank[begin]  # where rank 0 of each worker would lie
+        fmat = {name: to_matrix(tbl.column(c), widths[name]) for name, c in feats.items()}
+        lmat = {}
+        for o, c in labs.items():
+            col = tbl.column(c)
+            lmat[o] = to_matrix(col, ks[o]) if pa.types.is_list(col.type) else _onehot(col.to_numpy(), ks[o])
+        ids = tbl.column(id_col).to_numpy()
+        given = get()
+        model, keys = given.copy(), given.param_keys()
+        w, s, n_par = given.flat(), given.fit_state, given.n_params()
+        per_round, it, out = spec.batch * spec.frequency, iteration, []
+        copies = _Copies(given, spec, len(begin)) if _Copies.able(given, spec) else None
+        for r in range(*span):
+            lo, hi = zero + r * per_round, np.minimum(zero + (r + 1) * per_round, stop)
+            before, full = it, bool((hi - lo == per_round).all())
+            if full and copies is not None:
+                it += spec.frequency
+                due = _due(spec, r, n_rounds, before, it)
+                fd = {k: np.stack([m[a:b] for a, b in zip(lo, hi)]) for k, m in fmat.items()}
+                ld = {k: np.stack([m[a:b] for a, b in zip(lo, hi)]) for k, m in lmat.items()}
+                copies.start(w, s)
+                for b in range(spec.frequency):
+                    i = slice(b * spec.batch, (b + 1) * spec.batch)
+                    score = copies.step({k: m[:, i] for k, m in fd.items()}, {k: m[:, i] for k, m in ld.items()},
+                                        before + b, due and b == spec.frequency - 1)
+                w, s = copies.w.mean(axis=0), copies.s.mean(axis=0)
+                score = float(np.mean(score))
+            else:
+                voters, scores = [], []
+                for a, end in zip(lo, hi):
+                    if a >= end:
+                        continue
+                    ww, ss, last = w, s, 0.0
+                    for b, i in enumerate(range(a, end, spec.batch)):
+                        j = min(i + spec.batch, end)
+                        ww, ss, last = _worker_step(model, spec, ww, ss, keys, {k: m[i:j] for k, m in fmat.items()},
+                                                    {k: m[i:j] for k, m in lmat.items()}, before + b, ids[i:j])
+                        it = max(it, before + b + 1)
+                    voters.append(np.concatenate([ww, ss]))
+                    scores.append(last)
+                avg = np.mean(voters, axis=0)
+                w, s = avg[:n_par], avg[n_par:]
+                score = float(np.mean(scores))
+                due = _due(spec, r, n_rounds, before, it)
+            if due:
+                out.append((r, it, score, int((time.time() - t0) * 1000)))
+        vec = np.concatenate([w, s])
+        vals = [vec[i:i + CHUNK] for i in range(0, max(vec.size, 1), CHUNK)]
+        table = pa.Table.from_pylist([{"chunk": -1, "vals": None, "round": m[0], "iteration": m[1], "score": m[2], "ms": m[3]} for m in out]
+                                     + [{"chunk": i, "vals": v, "round": None, "iteration": it, "score": None, "ms": None}
+                                        for i, v in enumerate(vals)], schema=_BLOCK_ARROW)
+        yield from table.to_batches()
+
+    return run
+
+
+_BLOCK_ARROW = pa.schema([("chunk", pa.int32()), ("vals", pa.list_(pa.float64())), ("round", pa.int32()), ("iteration", pa.int64()),
+                          ("score", pa.float64()), ("ms", pa.int64())])
+
+
 # ---------------------------------------------------------------- table forms of the options (OPT-3, OPT-6)
 
 def schedule_expr(iteration, schedule: dict | None, base: float):
