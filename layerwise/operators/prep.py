@@ -151,19 +151,22 @@ def flip_horizontal(px: Column | str, c: int, h: int, w: int) -> Column:
                                  lambda r: F.reverse(F.slice(arr, r * w + 1, w))))
 
 
+def _one_argument(fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda x: fn(x)  # transform counts a function's arguments, defaults included
+
+
 def augment(df: DataFrame, px_col: str, id_col: str,
             steps: Sequence[tuple[Callable[[Column], Column], float]], seed, epoch: int = 0,
             out_col: str | None = None) -> DataFrame:
     """PRE-08: ordered pipeline; step s applies when hash01(seed|s|epoch|id) < p.
 
-    Steps that change the array length must have p = 1.0.
+    Steps that change the array length must have p = 1.0. A step reads the array of the step before through a
+    lambda variable: its formula may use it for every pixel, and the steps before are computed once an image.
     """
     cur = F.col(px_col)
     for s, (fn, p) in enumerate(steps):
-        if p >= 1.0:
-            cur = fn(cur)
-        else:
-            cur = F.when(hash01(seed, F.lit(s), F.lit(epoch), id_col) < F.lit(p), fn(cur)).otherwise(cur)
+        step = fn if p >= 1.0 else lambda x, fn=fn, s=s, p=p: F.when(hash01(seed, F.lit(s), F.lit(epoch), id_col) < F.lit(p), fn(x)).otherwise(x)
+        cur = F.element_at(F.transform(F.array(cur), _one_argument(step)), 1)
     return df.withColumn(out_col or px_col, cur)
 
 

@@ -107,6 +107,10 @@ def image_lenet(spark, sf_dir, workers=3, epochs=1, seed=42):
     write_png_folder(img, root, "id", "px", "label", 8, 8)
     scanned = scan_images(spark, root).select(
         F.regexp_extract("origin", r"/(\d+)\.png$", 1).cast("bigint").alias("id"), "px", "label")
+    # one small file an image: opened once, labels, cuts and both parts read the decoded copy
+    decoded = scratch_path(spark, "photos-decoded")
+    scanned.write.parquet(decoded)
+    scanned = spark.read.parquet(decoded)
     labelled = prep.index_labels(scanned.withColumnRenamed("label", "cls"), "cls", "label")
     train, test = splits.split_frames(labelled, "id", [7, 3], seed)
     steps = [(lambda c: prep.resize(c, 1, 8, 8, 16, 16), 1.0), (lambda c: prep.flip_horizontal(c, 1, 16, 16), 0.5)]
