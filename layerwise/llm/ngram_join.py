@@ -23,7 +23,9 @@ from it, where a pivot separates nothing, so the levels of pivots differ:
    pair of blocks one unit.
 5. Regions up to ``REGION`` are joined exactly in one task, by the same cells in memory.
 
-Texts with equal sets (128-bit fingerprints) are one node throughout.  Distances come from 64-bit shingle hashes.
+Texts with equal sets (128-bit fingerprints) are one node throughout, named by 64 bits; where two sets share these, all names are
+taken again with another salt.  Distances come from 64-bit shingle hashes.  What tasks exchange are texts, about a third of
+their sets' hashes, and sets are hashed where they are compared; pivots are exchanged once, by a row of two numbers each.
 
 Defined results: null or wordless texts have an empty set and are their own component; fewer than n words make one
 shingle; repeated rows are linked like other copies; a null doc_id names a component only where all its rows have null ids.
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.llm.common import components, id_text, materialise, prepare
-from layerwise.llm.near_dup import _binary16, _fingerprints, _Forest, _list_array, _shared_counts, shingle_table
+from layerwise.llm.near_dup import _fingerprints, _Forest, _shared_counts
 from layerwise.llm.textnp import chunks, mix64, shingle_sets, text_buffer
 
 U64 = np.uint64
@@ -49,7 +51,8 @@ LEAF = 96           # documents compared pair by pair in memory
 STUCK = 0.8         # a region is cut into blocks where a cell would have more of it than this
 SLACK = 1e-9
 UNKNOWN = -9         # step of a distance that was not computed
-KEY_BITS = 1 << 26  # bits of the filter of pivots that several documents have
+ID_BITS = 1 << 26   # bits of the filter of doc_ids
+NAME_BITS = (64,) * 8  # bits of a node's name, for each salt
 
 
 # ------------------------------------------------------------------ level 1: pairs of shingles
@@ -95,58 +98,131 @@ def region_keys(h: np.ndarray, so: np.ndarray, level: np.ndarray, num: int, den:
     return keys, np.searchsorted(text[head], np.arange(len(n) + 1))
 
 
-def _set_runner(k, num, den, level):
+def node_names(h: np.ndarray, so: np.ndarray, salt: int, bits: int):
+    """(names, others): 64 bits of each set's fingerprint (``bits`` of them kept), and what tells sets of one name apart."""
+    fp = _fingerprints(h, so)
+    name = fp[:, 0] ^ mix64(fp[:, 1] + U64(salt))
+    return (name & U64((1 << bits) - 1)).view(np.int64), fp[:, 1].copy().view(np.int64)
+
+
+def _node_runner(k, salt, bits):
     def run(batches):
-        import pyarrow.compute  # noqa: F401
         for batch in batches:
             ids = batch.column(0)
             buf, off = text_buffer(batch.column(1))
             for a, b in chunks(off):
                 h, so = shingle_sets(buf[off[a]:off[b]], off[a:b + 1] - off[a], k)
                 n = np.diff(so)
+                name, other = node_names(h, so, salt, bits)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(n.astype(np.int64)), _binary16(_fingerprints(h, so), n > 0),
-                     _list_array(*region_keys(h, so, level.value, num, den))], names=["doc_id", "n_shingles", "node", "keys"])
+                    [ids.slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(name, mask=n == 0), pa.array(other, mask=n == 0)],
+                    names=["doc_id", "n_shingles", "node", "other"])
     return run
 
 
-def _shared_runner(bits):
+def named_nodes(spark: SparkSession, docs: DataFrame, k: int):
+    """every(doc_id, n_shingles, node), node null for an empty set; nodes(node, rep, n), rep the smallest doc_id; (salt, bits) of the names."""
+    for name in enumerate(NAME_BITS):
+        every = id_text(docs).mapInArrow(_node_runner(k, *name), "doc_id long, n_shingles long, node long, other long")
+        every = materialise(spark, every, "nj-sets", small=True)
+        nodes = every.filter("node is not null").groupBy("node").agg(
+            F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), (F.min("other") != F.max("other")).alias("mixed"))
+        nodes = materialise(spark, nodes, "nj-nodes", small=True)
+        if nodes.filter("mixed").isEmpty():
+            return every.drop("other"), nodes.drop("mixed"), name
+    raise RuntimeError("sets share their names with every salt")
+
+
+def id_filter(spark: SparkSession, ids: DataFrame):
+    """A broadcast filter of fixed size of the ids (column ``doc_id``); it lets few others pass."""
+    rows = ids.select(_id_bit().alias("bit")).select(F.shiftright("bit", 6).alias("at"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("word")) \
+        .groupBy("at").agg(F.bit_or("word").alias("word"))
+    found = materialise(spark, rows, "nj-filter", small=True).toArrow()  # at most ID_BITS / 64 rows
+    held = np.zeros(ID_BITS // 64, dtype=U64)
+    held[found["at"].to_numpy()] = found["word"].to_numpy().view(U64)
+    return spark.sparkContext.broadcast(held)
+
+
+def _id_bit():
+    return F.xxhash64("doc_id").bitwiseAND(F.lit(ID_BITS - 1))
+
+
+def _picked_sets(batches, k, held, salt, bits):
+    """(texts, hashes, offsets, names) of the non-empty sets of the rows (bit, text) that the filter lets pass, each once in a task."""
+    seen = set()
+    for batch in batches:
+        bit = batch.column(0).to_numpy().view(U64)
+        batch = batch.take(pa.array(np.flatnonzero((held.value[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63))) & U64(1))))
+        buf, off = text_buffer(batch.column(1))
+        for a, b in chunks(off):
+            h, so = shingle_sets(buf[off[a]:off[b]], off[a:b + 1] - off[a], k)
+            name, _ = node_names(h, so, salt, bits)
+            new = np.zeros(b - a, dtype=bool)
+            new[np.unique(name, return_index=True)[1]] = True
+            new &= np.diff(so) > 0
+            new[new] = [x not in seen for x in name[new].tolist()]
+            seen.update(name[new].tolist())
+            yield batch.column(1).slice(a, b - a), h, so, name, new
+
+
+def _key_runner(k, num, den, level, held, salt, bits):
     def run(batches):
-        for batch in batches:
-            lists = batch.column(2)
-            off = lists.offsets.to_numpy()
-            keys = lists.values.to_numpy(zero_copy_only=False)[off[0]:off[-1]]
-            bit = keys.view(U64) & U64(KEY_BITS - 1)
-            at = np.flatnonzero((bits.value[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63))) & U64(1))
-            row = pa.array(np.searchsorted(off - off[0], at, side="right") - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(keys[at])], names=["node", "n", "region"])
+        for _, h, so, name, new in _picked_sets(batches, k, held, salt, bits):
+            h, n = h[np.repeat(new, np.diff(so))], np.diff(so)[new]
+            keys, off = region_keys(h, np.concatenate([[0], np.cumsum(n)]), level.value, num, den)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[new], np.diff(off))), pa.array(keys.view(np.int64))], names=["node", "region"])
     return run
 
 
-def shared_pivots(spark: SparkSession, nodes: DataFrame) -> DataFrame:
-    """(node, n, region, pivot, n_pivot, c) for the pairs of shingles that several nodes have: c nodes, the smallest is the pivot.
-    A filter of fixed size drops most others before their rows are exchanged."""
-    bit = F.col("region").bitwiseAND(F.lit(KEY_BITS - 1))
-    rows = nodes.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count(F.lit(1)).alias("c")).filter("c > 1") \
-        .select(F.shiftright(bit, 6).alias("at"), F.expr("shiftleft(1L, cast(region & 63 as int))").alias("word")).groupBy("at").agg(F.bit_or("word").alias("word"))
-    found = materialise(spark, rows, "nj-filter", small=True).toArrow()  # at most KEY_BITS / 64 rows
-    held = np.zeros(KEY_BITS // 64, dtype=U64)
-    held[found["at"].to_numpy()] = found["word"].to_numpy().view(U64)
-    keyed = nodes.select("node", "n", "keys").mapInArrow(_shared_runner(spark.sparkContext.broadcast(held)), "node binary, n long, region long")
-    keyed = materialise(spark, keyed, "nj-keyed", small=True)
-    shared = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("p")).filter("c > 1") \
-        .select("region", "c", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot"))
-    return materialise(spark, keyed.join(shared, "region"), "nj-regions", small=True)
+def _text_runner(k, held, salt, bits):
+    def run(batches):
+        for text, _, _, name, new in _picked_sets(batches, k, held, salt, bits):
+            yield pa.RecordBatch.from_arrays([pa.array(name[new]), text.filter(pa.array(new))], names=["node", "text"])
+    return run
+
+
+def _picked_rows(spark, docs: DataFrame, reps: DataFrame):
+    """What the runners above read: the filter of the smallest doc_ids (``rep``) and the documents' rows (bit, text)."""
+    held = id_filter(spark, reps.select(F.col("rep").alias("doc_id")))
+    return held, id_text(docs).select(_id_bit().alias("bit"), "text")
+
+
+def shared_pivots(spark: SparkSession, docs: DataFrame, nodes: DataFrame, k: int, num: int, den: int, name) -> DataFrame:
+    """(node, region, pivot, c) for the pairs of shingles that several nodes have, the smallest node is the pivot, c the rows: one
+    for each node, or more where a doc_id repeats.  The pairs are exchanged once; counts and rows are read from the same exchange."""
+    level = rarity_levels(spark, docs, k)
+    held, rows = _picked_rows(spark, docs, nodes)
+    keyed = rows.mapInArrow(_key_runner(k, num, den, level, held, *name), "node long, region long").repartition("region")
+    shared = keyed.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("c")).filter("pivot <> last").drop("last")
+    return materialise(spark, keyed.join(shared.hint("shuffle_hash"), "region"), "nj-regions", small=True)
+
+
+def node_texts(spark: SparkSession, docs: DataFrame, wanted: DataFrame, k: int, name) -> DataFrame:
+    """(node, text), one text of each wanted(node, rep)."""
+    held, rows = _picked_rows(spark, docs, wanted)
+    texts = rows.mapInArrow(_text_runner(k, held, *name), "node long, text string").repartition("node")
+    return materialise(spark, texts.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "nj-texts")
 
 
 # ------------------------------------------------------------------ distances
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _distance_runner(k):
+    def run(batches):
+        for batch in batches:
+            (buf, off), (buf_p, off_p) = text_buffer(batch.column(2)), text_buffer(batch.column(3))
+            for a, b in chunks(off + off_p):
+                h, so = shingle_sets(buf[off[a]:off[b]], off[a:b + 1] - off[a], k)
+                hp, sp = shingle_sets(buf_p[off_p[a]:off_p[b]], off_p[a:b + 1] - off_p[a], k)
+                both = np.array([len(np.intersect1d(h[so[i]:so[i + 1]], hp[sp[i]:sp[i + 1]], assume_unique=True)) for i in range(b - a)], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(both),
+                                                  pa.array(np.diff(so) + np.diff(sp) - both)], names=["node", "pivot", "both", "union"])
+    return run
+
+
+def distances(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """(node, pivot, both, union) of pairs(node, pivot), from their full sets."""
-    joined = pairs.join(sets, "node").withColumnRenamed("shingles", "s") \
-        .join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("sp")), "pivot")
-    both = F.size(F.array_intersect("s", "sp"))
-    return joined.select("node", "pivot", both.alias("both"), (F.size("s") + F.size("sp") - both).alias("union"))
+    joined = pairs.join(texts, "node").join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("text_p")), "pivot")
+    return joined.select("node", "pivot", "text", "text_p").mapInArrow(_distance_runner(k), "node long, pivot long, both long, union long")
 
 
 def open_regions(spark: SparkSession, regions: DataFrame, labels: DataFrame) -> DataFrame:
@@ -156,10 +232,12 @@ def open_regions(spark: SparkSession, regions: DataFrame, labels: DataFrame) ->
     return tagged.join(several, "region")
 
 
-def star_distances(spark: SparkSession, regions: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def star_distances(spark: SparkSession, regions: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(node, pivot, both, union) of all documents and their regions' pivots of like size."""
-    alike = (F.col("node") != F.col("pivot")) & (den * F.least("n", "n_pivot") >= num * F.greatest("n", "n_pivot"))
-    return materialise(spark, distances(regions.filter(alike).select("node", "pivot").distinct(), sets), "nj-distances", small=True)
+    pairs = regions.filter("node <> pivot").select("node", "pivot").distinct().join(nodes.select("node", "n"), "node") \
+        .join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("n_pivot")), "pivot")
+    alike = den * F.least("n", "n_pivot") >= num * F.greatest("n", "n_pivot")
+    return materialise(spark, distances(pairs.filter(alike).select("node", "pivot"), texts, k), "nj-distances", small=True)
 
 
 # ------------------------------------------------------------------ level 3 and on
@@ -207,25 +285,26 @@ def region_links(sets, labels, side, num: int, den: int):
     return out
 
 
-def _region_runner(num, den):
+def _region_runner(k, num, den):
     def run(batches):
         unit, members = None, []
 
         def done():
             side = np.array([m[0] for m in members])
             links = region_links([m[2] for m in members], [m[1] for m in members], side, num, den)
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
         for batch in batches:
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
             side, label = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            lists = batch.column(5)
-            values, off = lists.values.to_numpy(zero_copy_only=False).view(U64), lists.offsets.to_numpy()
-            for r, now in enumerate(keys):
-                if now != unit:
-                    if len(members) > 1:
-                        yield done()
-                    unit, members = now, []
-                members.append((side[r], label[r], values[off[r]:off[r + 1]].copy()))
+            buf, off = text_buffer(batch.column(5))
+            for a, b in chunks(off):
+                h, so = shingle_sets(buf[off[a]:off[b]], off[a:b + 1] - off[a], k)
+                for r in range(a, b):
+                    if keys[r] != unit:
+                        if len(members) > 1:
+                            yield done()
+                        unit, members = keys[r], []
+                    members.append((side[r], label[r], h[so[r - a]:so[r - a + 1]].copy()))
         if len(members) > 1:
             yield done()
     return run
@@ -251,14 +330,14 @@ def windowed(m: DataFrame, radius: float) -> DataFrame:
     return kept.filter(~F.col("is_main") | window).drop("steps", "at")
 
 
-def split_regions(spark, large: DataFrame, sets: DataFrame, radius: float) -> DataFrame:
+def split_regions(spark, large: DataFrame, texts: DataFrame, k: int, radius: float) -> DataFrame:
     """members(region, node, near, stuck): Voronoi cells of regions with many outsiders, or the region itself where no cell is smaller."""
     drawn = F.pmod(F.xxhash64("node", "region"), F.greatest(F.lit(1), F.floor(F.col("n_rest") / (16 * CUTS)))) == 0  # about 16 * CUTS
     pivots = large.filter("not is_main").groupBy("region").agg(F.min("node").alias("first"), F.collect_set(F.when(drawn, F.col("node"))).alias("drawn"))
     pivots = pivots.select("region", F.array_union(F.array("first"), F.slice(F.array_sort("drawn"), 1, CUTS - 1)).alias("pivots"))
     pairs = large.join(pivots, "region").select("region", "node", "near", F.explode("pivots").alias("pivot"))
     pairs = materialise(spark, pairs, "nj-pivots", small=True)
-    dist = distances(pairs.select("node", "pivot").distinct(), sets).select("node", "pivot", (1 - F.col("both") / F.col("union")).alias("d"))
+    dist = distances(pairs.select("node", "pivot").distinct(), texts, k).select("node", "pivot", (1 - F.col("both") / F.col("union")).alias("d"))
     known = pairs.join(dist, ["node", "pivot"])
     home = known.groupBy("region", "node").agg(F.min("d").alias("home"))
     cells = known.join(home, ["region", "node"]).filter(F.col("d") <= F.col("home") + 2 * radius + SLACK).select("region", "node", "pivot", "d", "near")
@@ -266,7 +345,7 @@ def split_regions(spark, large: DataFrame, sets: DataFrame, radius: float) -> Da
     size = cells.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("n")).groupBy("region").agg(F.max("n").alias("most"))
     parted = size.join(home.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region").select("region", (F.col("most") > STUCK * F.col("n")).alias("stuck"))
     parted = materialise(spark, parted, "nj-parted", small=True)
-    return cells.join(parted.filter("not stuck"), "region").select(F.concat("region", "pivot").alias("region"), "node", F.col("d").alias("near"), "stuck") \
+    return cells.join(parted.filter("not stuck"), "region").select(F.concat_ws(" ", "region", "pivot").alias("region"), "node", F.col("d").alias("near"), "stuck") \
         .unionByName(large.select("region", "node", "near").join(parted.filter("stuck"), "region"))
 
 
@@ -281,19 +360,19 @@ def units(m: DataFrame) -> DataFrame:
                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "label", "node")
 
 
-def recursive_links(spark, members: DataFrame, sets: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
+def recursive_links(spark, members: DataFrame, texts: DataFrame, labels: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Label pairs linked inside regions that hold several labels."""
     radius, found = 1 - num / den, []
     while True:
         m = materialise(spark, windowed(several_labels(members, labels), radius), "nj-open", small=True)
         now = m.filter((F.col("n_rest") <= REGION) | F.col("stuck"))
-        u = units(now).join(sets, "node").select("region", "i", "j", "side", "label", "shingles")
-        u = u.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_region_runner(num, den), "a binary, b binary")
+        u = units(now).join(texts, "node").select("region", "i", "j", "side", "label", "text")
+        u = u.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_region_runner(k, num, den), "a long, b long")
         found.append(materialise(spark, u.distinct(), "nj-more", small=True))
         large = m.filter((F.col("n_rest") > REGION) & ~F.col("stuck"))
         if large.isEmpty():
             break
-        members = split_regions(spark, large, sets, radius)
+        members = split_regions(spark, large, texts, k, radius)
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -307,23 +386,16 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100) -> Da
     named by their smallest doc_id."""
     spark = docs.sparkSession
     prepare(spark)
-    level = rarity_levels(spark, docs, k)
-    every = id_text(docs).mapInArrow(_set_runner(k, num, den, level), "doc_id long, n_shingles long, node binary, keys array<long>")
-    every = materialise(spark, every, "nj-sets")
-    nodes = every.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
-    nodes = materialise(spark, nodes, "nj-nodes")
-    regions = shared_pivots(spark, nodes)
-
-    wanted = regions.select("node").distinct().join(nodes.select("node", "rep"), "node").select("rep").distinct()
-    texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
-    sets = materialise(spark, shingle_table(texts, k).filter("node is not null").dropDuplicates(["node"]), "nj-full")
+    every, nodes, name = named_nodes(spark, docs, k)
+    regions = shared_pivots(spark, docs, nodes, k, num, den, name)
+    texts = node_texts(spark, docs, regions.select("node").distinct().join(nodes.select("node", "rep"), "node"), k, name)
 
-    known = star_distances(spark, regions, sets, num, den)
+    known = star_distances(spark, regions, nodes, texts, k, num, den)
     labels = components(spark, known.filter(den * F.col("both") >= num * F.col("union")).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     # the pivot has been compared with all of its region and is not needed any more
     members = open_regions(spark, regions, labels).filter("node <> pivot").select("pivot", "node").distinct().join(known, ["node", "pivot"], "left").select(
-        F.col("pivot").alias("region"), "node", (1 - F.col("both") / F.col("union")).alias("near"), F.lit(False).alias("stuck"))
-    more = recursive_links(spark, members, sets, labels, num, den)
+        F.col("pivot").cast("string").alias("region"), "node", (1 - F.col("both") / F.col("union")).alias("near"), F.lit(False).alias("stuck"))
+    more = recursive_links(spark, members, texts, labels, k, num, den)
     merged = components(spark, more).select(F.col("node").alias("label"), F.col("label").alias("top"))
     final = regions.select("node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) \
         .join(merged, "label", "left").select("node", F.coalesce("top", "label").alias("label")).join(nodes.select("node", "rep"), "node")

@@ -87,3 +87,43 @@ def test_pivots_of_linked_sets_meet():
 
 def test_empty_table(spark):
     assert J.ngram_join(frame(spark, []).limit(0)).count() == 0
+
+
+def written(monkeypatch):
+    """(name, column types, rows, plan) of the tables that a join writes from here on."""
+    tables, write = [], J.materialise
+
+    def noted(spark, df, name, small=False):
+        out = write(spark, df, name, small)
+        if name in ("nj-sets", "nj-nodes", "nj-regions", "nj-texts"):
+            tables.append((name, {t for _, t in out.dtypes}, out.count(), df._jdf.queryExecution().executedPlan().toString()))
+        return out
+    monkeypatch.setattr(J, "materialise", noted)
+    return tables
+
+
+def test_what_is_written_and_exchanged(spark, monkeypatch):
+    """No table keeps the pivots or sets of all texts, pivots are exchanged once, and only texts that share a pivot are read again."""
+    tables = written(monkeypatch)
+    rows = [(i, sentence(200, 50 + i)) for i in range(60)]
+    rows += [(200 + i, edited(sentence(200, 50 + i), i, .01)) for i in range(6)]
+    got = collect(J.ngram_join(frame(spark, rows), num=85), "doc_id", "n_shingles", "component_id")
+    assert got == expected(rows, 85)
+    assert not [name for name, types, _, _ in tables if any(t.startswith("array") for t in types)]
+    found = {name: (n, plan) for name, _, n, plan in tables}
+    assert found["nj-texts"][0] < 30
+    plan = found["nj-regions"][1].split("Initial Plan")[-1]
+    assert "MapInArrow" in plan and "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_repeated_ids_and_shared_names(spark, monkeypatch):
+    """Copies under one id, ids with several texts, nodes whose rows all lack an id; a filter that lets all pass, names of two bits first."""
+    tables = written(monkeypatch)
+    monkeypatch.setattr(J, "ID_BITS", 64)
+    monkeypatch.setattr(J, "NAME_BITS", (2, 64))
+    base = [sentence(100, s) for s in (21, 22, 23)]
+    rows = [(5, base[0])] * 9 + [(5, base[1]), (5, edited(base[1], 1, .01)), (7, edited(base[0], 2, .01)), (3, base[0].upper())]
+    rows += [(None, base[2])] * 4 + [(None, edited(base[2], 3, .01))] + [(9, base[2] + " more")] + [(None, None), (None, "")]
+    got = collect(J.ngram_join(frame(spark, rows), num=85), "doc_id", "n_shingles", "component_id")
+    assert got == expected(rows, 85)
+    assert sum(name == "nj-nodes" for name, *_ in tables) == 2
